@@ -6,15 +6,24 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import contamination, language, neardup
+from tessera.llm import cascade, chunks, contamination, html, language, neardup, quality, rollup, sstable, templates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_token_shards": sstable.op1_token_shards,
+    "op2_quality": quality.op2_quality,
+    "op3_url_rules": cascade.op3_url_rules,
     "op4_contamination": contamination.op4_contamination,
+    "op5_line_templates": templates.op5_line_templates,
     "op6_near_duplicates": neardup.op6_near_duplicates,
+    "op7_token_rollup": rollup.op7_token_rollup,
+    "op8_main_text": html.op8_main_text,
+    "op9_chunked_bpe": chunks.op9_chunked_bpe,
     "op10_language": language.op10_language,
 }
 
 ORACLES: dict[str, str] = {
+    "op3_url_rules": cascade.ORACLE,
     "op4_contamination": contamination.ORACLE,
+    "op5_line_templates": templates.ORACLE,
     "op6_near_duplicates": neardup.ORACLE,
 }
