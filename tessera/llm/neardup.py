@@ -153,7 +153,8 @@ def links(docs: DataFrame, clusters: DataFrame, size: int, percent: int) -> Data
     sizes = written(clusters.groupBy("component").agg(F.count("*").alias("g")), "sizes")
     parts = F.ceil(F.col("g") / BLOCK).cast("int")
     placed = clusters.join(sizes, "component").select("node", "component", parts.alias("parts"), F.pmod(F.xxhash64("node"), parts).cast("int").alias("own"))
-    texts = docs.select(F.col("doc_id").alias("node"), "text").join(written(placed, "placed"), "node")
+    # A merge join at every size: the candidates grow with the documents, so they are never broadcast.
+    texts = docs.select(F.col("doc_id").alias("node"), "text").join(written(placed, "placed").hint("merge"), "node")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
