@@ -17,6 +17,11 @@ from tessera.functions.text import overlaps
 SPAN = "array<struct<start:int,end:int,text:string>>"
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often ``body`` names it."""
+    return F.element_at(F.transform(F.array(value), lambda x: body(x)), 1)
+
+
 def find_spans(text: Column, pattern: str) -> Column:
     """All matches in order: struct(start, end, text), 0-based, end exclusive."""
     matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
@@ -29,8 +34,7 @@ def find_spans(text: Column, pattern: str) -> Column:
         end = begin + F.length(p["m"])
         return F.struct(end.alias("at"), F.array_append(acc["out"], F.struct(begin.alias("start"), end.alias("end"), p["m"].alias("text"))).alias("out"))
 
-    found = F.aggregate(pairs, start, step, lambda acc: acc["out"])
-    return F.when(F.size(matches) > 0, found).otherwise(F.array().cast(SPAN))
+    return F.aggregate(pairs, start, step, lambda acc: acc["out"])
 
 
 def first_span(text: Column, pattern: str) -> Column:
@@ -57,5 +61,4 @@ def stable_unique(c: Column) -> Column:
 
 def only(c: Column) -> Column:
     """The item of an array that holds one distinct item, else null."""
-    distinct = F.array_distinct(c)
-    return F.when(F.size(distinct) == 1, F.element_at(distinct, 1))
+    return let(F.array_distinct(c), lambda x: F.when(F.size(x) == 1, F.element_at(x, 1)))

@@ -23,7 +23,7 @@ def encode_cell(spans: Column) -> Column:
             s["fim"].cast("string"),
             s["classe"],
             F.when(F.coalesce(s["id_canonico"], F.lit(0)) == 0, "-").otherwise(s["id_canonico"].cast("string")),
-            F.coalesce(F.format_string("%.4f", s["confianca"]), F.lit("-")),
+            F.when(s["confianca"].isNotNull(), F.format_string("%.4f", s["confianca"])).otherwise("-"),
         ),
     )
     return F.when(F.size(spans) > 0, F.array_join(part, "|")).otherwise("-")
