@@ -1,8 +1,8 @@
 """Exact tokenization of whole texts through a bounded cache of pieces.
 
-A text is cut in front of each run of white space, where the pre-tokenizers used
-here always split, so the library's ids of the text are those of its pieces, one
-after another. Each distinct piece is encoded once by the library for as long as
+A text is cut in front of each run of white space and behind words, where the
+pre-tokenizers used here always split, so the library's ids of the text are those
+of its pieces, one after another. Each distinct piece is encoded once by the library for as long as
 it stays in the cache of the Python worker. Texts with the separators U+001C to
 U+001F, which Python and the library class differently, go to the library whole.
 """
@@ -15,8 +15,11 @@ import re
 import numpy as np
 
 CUT = re.compile(r"\s*\S+|\s+")
-ODD = re.compile("[\x1c-\x1f\x85᠎]")
+#: The same, and also after a run of Latin letters that white space or ASCII punctuation but the apostrophe follows.
+FINE = re.compile(r"\s*[A-Za-zÀ-ÖØ-öø-ɏ]+(?=[\s!-&(-/:-@\[-`{-~]|\Z)|\s*\S+|\s+")
+ODD = re.compile("[\x1c-\x1f\x85\u180e]")
 LIMIT = 400_000
+BETWEEN, TOGETHER = "<|endoftext|>", 2000
 _LOADED: dict[str, object] = {}
 
 
@@ -34,28 +37,53 @@ def tokenizer(path: str):
 
 
 class Encoder:
-    """Ids of texts as little-endian unsigned 32-bit integers."""
+    """Ids of texts as little-endian unsigned 32-bit integers.
+
+    The cache has two generations of at most LIMIT pieces: when the young one is
+    full it becomes the old one, and pieces met again move back. Pieces to encode
+    go to the library together, with a special token between them, which the
+    library splits at before anything else.
+    """
 
     def __init__(self, path: str):
         self.library = tokenizer(path)
-        self.cache: dict[str, bytes] = {}
-
-    def fill(self, wanted: list[str]) -> None:
-        found = self.library.encode_batch_fast(wanted, add_special_tokens=False)
-        self.cache.update((k, np.array(e.ids, dtype="<u4").tobytes()) for k, e in zip(wanted, found))
-
-    def encode(self, text: str | None) -> bytes:
-        if not text:
-            return b""
-        cut = CUT.findall(text) if not ODD.search(text) else [text]
-        cache = self.cache
-        missing = [k for k in dict.fromkeys(cut) if k not in cache]
+        self.between = self.library.token_to_id(BETWEEN)
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def ids(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pieces, none of which holds the special token."""
+        groups = [pieces[k : k + TOGETHER] for k in range(0, len(pieces), TOGETHER)]
+        out: list[bytes] = []
+        for group, found in zip(groups, self.library.encode_batch_fast([BETWEEN.join(g) for g in groups], add_special_tokens=False)):
+            ids = np.array(found.ids, dtype="<u4")
+            edge = [-1, *np.flatnonzero(ids == self.between).tolist(), len(ids)]
+            if len(edge) != len(group) + 1:
+                raise ValueError("pieces were not kept apart")
+            raw = ids.tobytes()
+            out += [raw[4 * a + 4 : 4 * b] for a, b in zip(edge[:-1], edge[1:])]
+        return out
+
+    def learn(self, pieces: set[str]) -> None:
+        """Bring pieces into the young generation."""
+        known = {k: v for k in pieces if (v := self.old.get(k)) is not None}
+        self.young.update(known)
+        new = [k for k in pieces if k not in known]
+        plain = [k for k in new if BETWEEN not in k]
+        self.young.update(zip(plain, self.ids(plain)))
+        for k in new:
+            if BETWEEN in k:
+                self.young[k] = np.array(self.library.encode(k, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        if len(self.young) > LIMIT:
+            self.old, self.young = self.young, {}
+        cut = [FINE.findall(x) if not ODD.search(x) else [x] for x in ((t or "") for t in texts)]
+        missing = set().union(*cut).difference(self.young)
         if missing:
-            if len(cache) > LIMIT:
-                cache.clear()
-                missing = list(dict.fromkeys(cut))
-            self.fill(missing)
-        return b"".join([cache[k] for k in cut])
+            self.learn(missing)
+        get = self.young.__getitem__
+        return [b"".join(map(get, pieces)) for pieces in cut]
 
 
 _ENCODERS: dict[str, Encoder] = {}

@@ -86,7 +86,7 @@ def counted(docs: DataFrame, tokenizer: str) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
-                n = np.array([len(own.encode(x)) // 4 for x in part.column("text").to_pylist()], dtype=np.int64)
+                n = np.array([len(x) // 4 for x in own.encode(part.column("text").to_pylist())], dtype=np.int64)
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("doc_id", "source", "lang")), pa.array(n)], ["doc_id", "source", "lang", "n_tokens"])
 
     return docs.select("doc_id", "source", "lang", "text").mapInArrow(run, "doc_id long, source string, lang string, n_tokens long")

@@ -188,20 +188,21 @@ def write(docs: DataFrame, path: str, tokenizer: str, width: int = 2, end_id: in
     """Shards of ``docs`` (doc_id, text) below ``path``; the manifest, a row for each shard: file, first, last, n_docs, n_tokens, n_bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = ((i, x) for b in batches for at in range(0, b.num_rows, 500) for i, x in zip(b.column("doc_id").slice(at, 500).to_pylist(), b.column("text").slice(at, 500).to_pylist()))
+        own = encoder(tokenizer)
+        rows = (r for b in batches for at in range(0, b.num_rows, 500) for r in zip(b.column("doc_id").slice(at, 500).to_pylist(), own.encode(b.column("text").slice(at, 500).to_pylist())))
         got = next(rows, None)
         if got is None:
             return
         fs, top = pafs.FileSystem.from_uri(path)
         fs.create_dir(top, recursive=True)
         name = f"{uuid.uuid4().hex}.sst"
-        to, own = Writer(fs.open_output_stream(f"{top}/{name}"), width), encoder(tokenizer)
+        to = Writer(fs.open_output_stream(f"{top}/{name}"), width)
         first = last = got[0]
         repeat = -1
         while got is not None:
             repeat = repeat + 1 if got[0] == last and repeat >= 0 else 0
             last = got[0]
-            to.add(key_of(last, repeat), np.append(np.frombuffer(own.encode(got[1]), "<u4"), np.uint32(end_id)))
+            to.add(key_of(last, repeat), np.append(np.frombuffer(got[1], "<u4"), np.uint32(end_id)))
             got = next(rows, None)
         to.close()
         yield pa.RecordBatch.from_pydict({"file": [name], "first": pa.array([first], pa.int64()), "last": pa.array([last], pa.int64()), "n_docs": [to.entries], "n_tokens": [to.tokens], "n_bytes": [to.at]})
