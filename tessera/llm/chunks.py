@@ -4,11 +4,10 @@ A rolling hash over the last ``SPAN`` bytes picks, among the starts of white-spa
 runs, those where a chunk ends, so equal passages are cut alike wherever they
 stand. A chunk is encoded once by the library for as long as it stays in the
 bounded cache of the Python worker, and so is each word of a chunk not met before;
-its ids and decoded text are reused. At each join of two chunks the last word before and
-the first after are re-encoded together and compared with the ids of both chunks;
-on disagreement the window grows by a word on each side until the ids agree, and
-the window's ids take the place of the chunks' own; a text whose windows reach its
-ends is encoded whole.
+its ids and decoded text are reused. At each join of two chunks the last word before
+and the first after are encoded together and compared with their ids apart; on
+disagreement the two chunks become one, which is encoded anew, and its own joins
+are compared again, until all agree.
 
 Defined results: null or empty text: no ids, the hashes of the empty string; texts
 without white space are one chunk; repeated rows are encoded alike.
@@ -17,6 +16,7 @@ without white space are one chunk; repeated rows are encoded alike.
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,6 +31,7 @@ U = np.uint64
 SPAN, MASK = 8, 31
 WORDS, CHUNKS, JOINS = 300_000, 20_000, 400_000
 SPACE = ~kernels.NOT_SPACE
+TAIL, HEAD = re.compile(rb"\S*\s*\Z"), re.compile(rb"\s*\S*")
 
 
 def cuts(piece: kernels.Slice) -> np.ndarray:
@@ -88,17 +89,16 @@ class Codec:
 
     def text(self, chunks: list[bytes]) -> tuple[str, str]:
         """Ids and decoded text of a text given as its chunks."""
-        found = [self.chunk(c) for c in chunks]
-        for k in range(1, len(chunks)):
-            left, right = chunks[k - 1].rsplit(None, 1)[-1:], chunks[k].split(None, 1)[:1]
-            if left and right and not self.agree(left[0].decode(), " " + right[0].decode()):
-                return self.repaired(b"".join(chunks).decode())
-        found = [x for x in found if x[0]]
+        parts, k = list(chunks), 1
+        while k < len(parts):
+            if self.agree(TAIL.search(parts[k - 1])[0].decode(), HEAD.match(parts[k])[0].decode()):
+                k += 1
+            else:
+                parts[k - 1 : k + 1] = [parts[k - 1] + parts[k]]
+                k = max(1, k - 1)
+        found = [x for x in map(self.chunk, parts) if x[0]]
         return " ".join([x[0] for x in found]), " ".join([x[1] for x in found])
 
-    def repaired(self, text: str) -> tuple[str, str]:
-        return self.encoded([text])[0]
-
 
 _CODECS: dict[str, Codec] = {}
 

@@ -7,8 +7,8 @@ prefix of some window fixes where the window would lie (positional bound), the
 window must fit into the document (length bound), and then its words are
 compared one by one. Words are compared by 64-bit hash.
 
-The index of windows is broadcast in chunks of at most ``CHUNK_WINDOWS`` windows;
-a larger benchmark takes several chunks, of which a task holds one at a time.
+The index of windows is broadcast in chunks of about ``CHUNK_WINDOWS`` windows at
+most; a larger benchmark takes a pass over the documents for each chunk.
 
 Defined results: null or empty text, or text without words: 0 words, no hits;
 items without words never hit; a null item_id covers words but is not listed;
@@ -129,60 +129,71 @@ class Index:
         return start, w
 
 
+FINAL = "n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
+PARTIAL = "_ranges array<long>, _items array<string>"
+
+
+def scanned(rows: DataFrame, index: Index, keep: list[str], first: bool, last: bool) -> DataFrame:
+    """``rows`` against one index: the final columns if it is the last, else what it and those before have found.
+
+    ``_ranges`` are starts and ends of runs of hit words; ``_items`` the items.
+    """
+    shared = rows.sparkSession.sparkContext.broadcast(index)
+    carried = keep if last else list(dict.fromkeys([*keep, "text"]))
+    schema = ", ".join([*(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in carried), FINAL if last else PARTIAL])
+    names = [x.split()[0] for x in (FINAL if last else PARTIAL).split(", ")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = shared.value
+        for batch in batches:
+            for piece in kernels.slices(batch.column("text")):
+                h, owner, bounds = words(piece)
+                hit = np.zeros(len(h), dtype=bool)
+                items: list[set[str]] = [set() for _ in range(piece.rows)]
+                part = batch.slice(piece.first, piece.rows)
+                if not first:
+                    for i, (ranges, found) in enumerate(zip(part.column("_ranges").to_pylist(), part.column("_items").to_pylist())):
+                        items[i].update(found)
+                        for a, b in zip(ranges[::2], ranges[1::2]):
+                            hit[bounds[i] + a : bounds[i] + b] = True
+                start, w = own.occurrences(h, owner, bounds)
+                if len(start):
+                    hit |= kernels.covered(start, own.length[w], len(h))
+                    for pair in np.unique(owner[start] * (len(own.items) + 1) + own.item[w] + 1).tolist():
+                        text, item = divmod(pair, len(own.items) + 1)
+                        if item:
+                            items[text].add(own.items[item - 1])
+                listed = [sorted(x) for x in items]
+                if last:
+                    n_hit = np.bincount(owner[hit], minlength=piece.rows)
+                    new = [
+                        pa.array(np.diff(bounds), pa.int64()),
+                        pa.array(n_hit, pa.int64()),
+                        pa.array([len(x) for x in listed], pa.int64()),
+                        pa.array([hashlib.sha256(",".join(x).encode()).hexdigest() for x in listed], pa.string()),
+                        pa.array(n_hit > 0),
+                    ]
+                else:
+                    edges = [np.flatnonzero(np.diff(np.concatenate([[0], hit[a:b].astype(np.int8), [0]]))).tolist() for a, b in zip(bounds[:-1], bounds[1:])]
+                    new = [pa.array(edges, pa.list_(pa.int64())), pa.array(listed, pa.list_(pa.string()))]
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in carried), *new], [*carried, *names])
+
+    wanted = [*dict.fromkeys([*keep, "text"]), *([] if first else ["_ranges", "_items"])]
+    return rows.select(*wanted).mapInArrow(run, schema)
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, keep: list[str]) -> DataFrame:
     """The ``keep`` columns of every row with n_words, n_hit, n_items, items_sha256 and contaminated."""
-    sc = docs.sparkSession.sparkContext
     found = written(item_windows(benchmark), "windows")
-    n = found.count()
-    chunks = max(1, -(-n // CHUNK_WINDOWS))
-    shared = []
+    chunks = max(1, -(-found.count() // CHUNK_WINDOWS))
+    rows = docs
     for c in range(chunks):
         part = found if chunks == 1 else found.where(F.pmod(F.xxhash64("words"), F.lit(chunks)) == c)
         got = part.collect()  # at most about CHUNK_WINDOWS windows
         counts = word_counts(docs, np.array(sorted({x for r in got for x in r["words"]}), dtype=np.int64).view(U))
-        shared.append(sc.broadcast(Index([r["item"] for r in got], [r["words"] for r in got], counts)))
-    kept = [docs.schema[c] for c in keep]
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), "n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"])
-    extra = [c for c in ["text"] if c not in keep]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            n_words: list[np.ndarray] = []
-            n_hit: list[np.ndarray] = []
-            items: list[list[str]] = []
-            for piece in kernels.slices(batch.column("text")):
-                h, owner, bounds = words(piece)
-                hit = np.zeros(len(h), dtype=bool)
-                names: list[set[str]] = [set() for _ in range(piece.rows)]
-                for one in shared:
-                    index = one.value
-                    start, w = index.occurrences(h, owner, bounds)
-                    if len(start):
-                        hit |= kernels.covered(start, index.length[w], len(h))
-                        for pair in np.unique(owner[start] * (len(index.items) + 1) + index.item[w] + 1).tolist():
-                            text, item = divmod(pair, len(index.items) + 1)
-                            if item:
-                                names[text].add(index.items[item - 1])
-                    if len(shared) > 1:
-                        one.unpersist()
-                        del index
-                n_words.append(np.diff(bounds))
-                n_hit.append(np.bincount(owner[hit], minlength=piece.rows))
-                items += [sorted(x) for x in names]
-            hits = np.concatenate([*n_hit, np.zeros(0, np.int64)])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *(batch.column(c) for c in keep),
-                    pa.array(np.concatenate([*n_words, np.zeros(0, np.int64)]), pa.int64()),
-                    pa.array(hits, pa.int64()),
-                    pa.array([len(x) for x in items], pa.int64()),
-                    pa.array([hashlib.sha256(",".join(x).encode()).hexdigest() for x in items], pa.string()),
-                    pa.array(hits > 0),
-                ],
-                [*keep, "n_words", "n_hit", "n_items", "items_sha256", "contaminated"],
-            )
-
-    return docs.select(*keep, *extra).mapInArrow(run, schema)
+        index = Index([r["item"] for r in got], [r["words"] for r in got], counts)
+        rows = scanned(rows if c == 0 else written(rows, "scanned"), index, keep, c == 0, c == chunks - 1)
+    return rows
 
 
 def op4_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:

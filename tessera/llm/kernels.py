@@ -50,7 +50,7 @@ WORD_LIKE = byte_class(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]")[LOWER]
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if _POWERS["n"] < n:
+    if _POWERS["n"] < max(n, 1):
         size = max(n, SLICE_BYTES + 1)
         with np.errstate(over="ignore"):
             for key, base in (("up", _BASE), ("down", _INV)):

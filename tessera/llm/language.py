@@ -95,15 +95,16 @@ def compiled(samples: tuple[tuple[str, bytes], ...]) -> tuple[np.ndarray, np.nda
         parts, starts, base = [], [], 0
         for _, data in samples:
             moves = suffix_automaton(data)
-            part = np.full((len(moves), width), -1, dtype=np.int64)
-            rows = np.repeat(np.arange(len(moves)), [len(m) for m in moves])
+            dead = len(moves)  # stands for one byte that the sample lacks
+            part = np.full((dead + 1, width), -1, dtype=np.int64)
+            rows = np.repeat(np.arange(dead), [len(m) for m in moves])
             part[rows, symbol[np.fromiter((c for m in moves for c in m), np.int64, len(rows))]] = np.fromiter((s for m in moves for s in m.values()), np.int64, len(rows))
-            root = np.where(part[0] >= 0, part[0], 0)
-            part = np.where(part >= 0, (part + base) * width, ~((root + base) * width)[None, :])
-            part[:, pad] = (np.arange(len(moves)) + base) * width
+            part[0, part[0] < 0] = dead
+            part = np.where(part >= 0, (part + base) * width, ~((part[0] + base) * width)[None, :])
+            part[:, pad] = (np.arange(dead + 1) + base) * width
             parts.append(part.astype(np.int32).ravel())
             starts.append(base * width)
-            base += len(moves)
+            base += dead + 1
         _BUILT.clear()
         _BUILT[samples] = symbol, np.array(starts, dtype=np.int32), np.concatenate(parts), pad
     return _BUILT[samples]

@@ -198,7 +198,7 @@ def near_duplicates(docs: DataFrame, size: int = 3, percent: int = 85) -> DataFr
     """
     prints = written(fingerprints(docs, size), "prints")
     classes = written(
-        prints.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("f1", "f2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n"), F.first("half").alias("half")),
+        prints.where("n_shingles > 0").groupBy("f1", "f2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n"), F.first("half").alias("half")).where("rep IS NOT NULL"),
         "classes",
     )
     half = classes.select("rep", F.posexplode("half").alias("slot", "key"))

@@ -135,13 +135,18 @@ def fitted(rows: list[tuple[int, np.ndarray, np.ndarray]]) -> Model | None:
     margin = np.bincount(owner, weights[bucket] * value, minlength=len(rows)) + bias
     x, y = margin[apart], labels[apart]
     y = np.where(y > 0, (y.sum() + 1) / (y.sum() + 2), 1 / (len(y) - y.sum() + 2))  # Platt's targets
-    a, b = 1.0, 0.0
+    scale = max(float(np.abs(x).max()), 1e-9)
+    design = np.stack([x / scale, np.ones(len(x))])
+    loss = lambda c: np.logaddexp(0, c @ design).sum() - (y * (c @ design)).sum()
+    at = np.array([1.0, 0.0])
     for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(a * x + b, -30, 30)))
-        g = np.array([((p - y) * x).sum(), (p - y).sum()])
-        w = np.maximum(p * (1 - p), 1e-9)
-        h = np.array([[(w * x * x).sum(), (w * x).sum()], [(w * x).sum(), w.sum()]]) + 1e-6 * np.eye(2)
-        a, b = np.array([a, b]) - np.linalg.solve(h, g)
+        p = 1 / (1 + np.exp(-np.clip(at @ design, -30, 30)))
+        step = np.linalg.solve((design * np.maximum(p * (1 - p), 1e-9)) @ design.T + 1e-6 * np.eye(2), design @ (p - y))
+        size = 1.0
+        while size > 1e-6 and loss(at - size * step) > loss(at):
+            size /= 2
+        at = at - size * step
+    a, b = at[0] / scale, at[1]
     return Model((weights * 100).astype(np.float32), float(a), float(a * bias + b))
 
 
