@@ -119,21 +119,35 @@ def select_number(candidates: Column) -> Column:
     return let(ranked, best)
 
 
+STATE_NAMES = rf"(?U)\b(?:{'|'.join(sorted(C.UF_NAMES.values(), key=len, reverse=True))})\b"
+STATE_OF = {name: uf for uf, pattern in C.UF_NAMES.items() for name in ({"MINAS", "MINAS GERAIS"} if uf == "MG" else {pattern.replace(r"\s+", " ")})}
+STATE_RANK = {name: str(list(C.UF_NAMES).index(uf)) for name, uf in STATE_OF.items()}
+
+
+def lookup_rank(name: Column) -> Column:
+    return lookup(STATE_RANK, name).cast("int")
+
+
 def select_uf(text: Column, number: Column, klass: Column) -> Column:
     """The state nearest to the number; at equal scores the earlier, then the one first in the catalogue."""
-    order = {uf: i for i, uf in enumerate(C.UF_NAMES)}
     row = lambda uf, s, score, rank: F.struct((-score).alias("k"), s["start"].alias("start"), rank.alias("rank"), uf.alias("uf"))
     near = lambda s: distance(s["start"], s["end"], number["start"], number["end"])
     short = find_spans(text, rf"(?U)\b(?:{'|'.join(C.UFS)})\b")
     short = F.filter(short, lambda s: (near(s) <= 30) & ~F.coalesce(overlaps(s["start"], s["end"], klass["start"], klass["end"]), F.lit(False)))
     beside = lambda s: F.substr(text, F.greatest(s["start"] - 3, F.lit(0)) + 1, s["start"] - F.greatest(s["start"] - 3, F.lit(0))).rlike(r"(?U)[/\-\[(]\s*$")
     found = [F.transform(short, lambda s: row(s["text"], s, 50 - near(s) + F.when(beside(s), 20).otherwise(0), F.lit(-1)))]
-
-    def named(uf: str, name: str) -> Column:
-        spans = F.filter(find_spans(text, rf"(?U)\b{name}\b"), lambda s: near(s) <= 45)
-        return F.when(text.rlike(rf"(?U)\b{name}\b"), F.transform(spans, lambda s: row(F.lit(uf), s, 40 - near(s), F.lit(order[uf]))))
-
-    found += [named(uf, name) for uf, name in C.UF_NAMES.items()]
+    named = F.filter(find_spans(text, STATE_NAMES), lambda s: (near(s) <= 45) | s["text"].startswith("MATO"))
+    state = lambda uf, s: row(lookup(STATE_OF, uf), s, 40 - near(s), lookup_rank(uf))
+
+    def readings(s: Column) -> Column:
+        """A name, and the shorter one that it begins with."""
+        name = F.regexp_replace(s["text"], r"(?U)\s+", " ")
+        short = F.regexp_replace(s["text"], r"(?U)\s+DO\s+SUL$", "")
+        inner = F.struct(s["start"].alias("start"), (s["start"] + F.length(short)).alias("end"), short.alias("text"))
+        both = F.array(state(name, s), F.when(name == "MATO GROSSO DO SUL", state(F.lit("MATO GROSSO"), inner)))
+        return F.filter(F.array_compact(both), lambda x: x["k"] <= 5)
+
+    found.append(F.flatten(F.transform(named, readings)))
     return F.when(number.isNotNull(), F.array_min(F.flatten(F.array_compact(F.array(*found))))["uf"])
 
 
@@ -195,13 +209,19 @@ def extract_acordao(trecho: Column | str, person: Column | None = None) -> Colum
 
 def diplomas(text: Column) -> Column:
     """Spans of statutes: struct(start, end, text) with the statute as text."""
-    spans = lambda p, d: F.transform(find_spans(text, f"(?U){p}"), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.lit(d).alias("text")))
-    named = [F.when(text.rlike(f"(?U){p}"), spans(p, d)) for d, patterns in C.DIPLOMA_NAMES.items() for p in patterns]
+    def which(surface: Column) -> Column:
+        out = F.lit(None).cast("string")
+        for d, patterns in C.DIPLOMA_NAMES.items():
+            out = F.when(surface.rlike(f"(?U)^(?:{'|'.join(patterns)})$"), d).otherwise(out)
+        return out
+
+    every = "(?U)" + "|".join(p for patterns in C.DIPLOMA_NAMES.values() for p in patterns)
+    named = F.transform(find_spans(text, every), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), which(s["text"]).alias("text")))
     bare = lambda s, p, k: digits(ocr_digits(F.regexp_extract(s, p, k)))
     by_year = F.transform(find_spans(text, C.LAW_IDENTITY), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), lookup(C.LAW_TO_DIPLOMA, F.concat_ws("/", bare(s["text"], C.LAW_IDENTITY, 1), four_digit_year(bare(s["text"], C.LAW_IDENTITY, 2)))).alias("text")))
     numbers = {k.partition("/")[0]: d for k, d in C.LAW_TO_DIPLOMA.items()}
     by_number = F.transform(find_spans(text, C.NAMED_LAW), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), lookup(numbers, bare(s["text"], C.NAMED_LAW, 1)).alias("text")))
-    return F.filter(F.flatten(F.array_compact(F.array(*named, by_year, by_number))), lambda s: s["text"].isNotNull())
+    return F.filter(F.concat(named, by_year, by_number), lambda s: s["text"].isNotNull())
 
 
 def paragraphs(region: Column) -> Column:

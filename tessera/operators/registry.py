@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions import catalog as C
-from tessera.functions.spans import find_spans, first_span
+from tessera.functions.spans import find_spans, first_span, let
 from tessera.functions.text import class_key, digits, fold
 
 SCHEMA_VERSION, BUILDER_VERSION = "1", "1.0.0"
@@ -20,23 +20,26 @@ def header_slice(text: Column, tribunal: Column) -> Column:
     """struct(start, end, strategy) of the region that identifies a ruling."""
     n = F.length(text)
     row = lambda s, e, name: F.struct(F.greatest(s, F.lit(0)).cast("int").alias("start"), F.least(e, n).cast("int").alias("end"), name.alias("strategy"))
-    target, code, anywhere = (first_span(text, p) for p in (C.TST_TARGET_RAW, C.TST_CODE_RAW, C.TST_ANY_RAW))
-    tst = (
-        F.when(target.isNotNull(), row(target["start"] - 180, target["end"] + 220, F.lit("tst_recurso_numero")))
-        .when(code.isNotNull(), row(code["start"] - 260, code["end"] + 220, F.lit("tst_codigo_processo")))
-        .when(anywhere.isNotNull(), row(anywhere["start"] - 200, anywhere["end"] + 100, F.lit("tst_fallback")))
-        .otherwise(row(F.lit(0), F.lit(2000), F.lit("tst_limite_fallback")))
-    )
+    labour = lambda pattern: F.when(tribunal == "TST", first_span(text, pattern))
     opening = F.substring(text, 1, 3000)
-    marker = first_span(opening, C.EMENTA)
+    marker = F.when(~tribunal.isin("TST", *C.HEADER_MARKERS), first_span(opening, C.EMENTA))
     for court, pattern in C.HEADER_MARKERS.items():
         marker = F.when(tribunal == court, first_span(opening, pattern)).otherwise(marker)
-    tail = F.substr(text, marker["end"] + 1, F.lit(180))
-    stop = first_span(tail, C.HEADER_STOP)
-    to_relator = row(F.lit(0), marker["end"] + F.coalesce(stop["start"], F.least(F.length(tail), F.lit(120))), F.concat(F.lower(tribunal), F.lit("_ate_relator")))
-    summary = first_span(opening, C.EMENTA)
-    fallback = row(F.lit(0), F.coalesce(summary["start"], F.lit(1200)), F.concat(F.lower(tribunal), F.lit("_fallback")))
-    return F.when(tribunal == "TST", tst).when(marker.isNotNull(), to_relator).otherwise(fallback)
+
+    def chosen(x: Column) -> Column:
+        tst = (
+            F.when(x["target"].isNotNull(), row(x["target"]["start"] - 180, x["target"]["end"] + 220, F.lit("tst_recurso_numero")))
+            .when(x["code"].isNotNull(), row(x["code"]["start"] - 260, x["code"]["end"] + 220, F.lit("tst_codigo_processo")))
+            .when(x["anywhere"].isNotNull(), row(x["anywhere"]["start"] - 200, x["anywhere"]["end"] + 100, F.lit("tst_fallback")))
+            .otherwise(row(F.lit(0), F.lit(2000), F.lit("tst_limite_fallback")))
+        )
+        end = let(F.substr(text, x["marker"]["end"] + 1, F.lit(180)), lambda tail: x["marker"]["end"] + F.coalesce(first_span(tail, C.HEADER_STOP)["start"], F.least(F.length(tail), F.lit(120))))
+        to_relator = row(F.lit(0), end, F.concat(F.lower(tribunal), F.lit("_ate_relator")))
+        fallback = row(F.lit(0), F.coalesce(first_span(opening, C.EMENTA)["start"], F.lit(1200)), F.concat(F.lower(tribunal), F.lit("_fallback")))
+        return F.when(tribunal == "TST", tst).when(x["marker"].isNotNull(), to_relator).otherwise(fallback)
+
+    found = F.struct(labour(C.TST_TARGET_RAW).alias("target"), labour(C.TST_CODE_RAW).alias("code"), labour(C.TST_ANY_RAW).alias("anywhere"), marker.alias("marker"))
+    return let(found, chosen)
 
 
 def number_records(header: Column, tribunal: Column) -> Column:
@@ -47,19 +50,17 @@ def number_records(header: Column, tribunal: Column) -> Column:
     """
     one = lambda value, kind, primary: F.struct(digits(value).alias("d"), F.lit(kind).alias("kind"), primary.alias("primary"))
     group = lambda text, pattern: F.nullif(F.regexp_extract(text, pattern, 1), F.lit(""))
-    tst = F.coalesce(group(header, C.TST_TARGET_RAW), group(header, C.TST_CODE_RAW))
     labour = tribunal.isin("TST", "TSE", "STM")
+    tst = F.when(tribunal == "TST", F.coalesce(group(header, C.TST_TARGET_RAW), group(header, C.TST_CODE_RAW)))
     cnj = F.transform(F.regexp_extract_all(header, F.lit(C.CNJ_RAW), F.lit(0)), lambda x, i: one(x, "cnj", F.when(labour & (i == 0), "yes").otherwise("no")))
-    tails = F.transform(find_spans(header, C.NUMBER_MARKER_RAW), lambda s: F.regexp_extract(F.substr(header, s["end"] + 1, F.lit(75)), r"^\d(?:[\d.\-\s]*\d)", 0))
-    scanned = F.transform(F.filter(tails, lambda x: labour & (F.length(digits(x)) >= 14)), lambda x: one(x, "cnj", F.lit("first")))
+    tails = F.when(labour, F.transform(find_spans(header, C.NUMBER_MARKER_RAW), lambda s: F.regexp_extract(F.substr(header, s["end"] + 1, F.lit(75)), r"^\d(?:[\d.\-\s]*\d)", 0)))
+    scanned = F.coalesce(F.transform(F.filter(tails, lambda x: F.length(digits(x)) >= 14), lambda x: one(x, "cnj", F.lit("first"))), F.array().cast("array<struct<d:string,kind:string,primary:string>>"))
     labelled = F.transform(
         F.regexp_extract_all(header, F.lit(C.LABELLED_RAW), F.lit(0)),
         lambda x, i: one(F.regexp_extract(x, r"(\d{1,3}(?:\s*\.\s*\d{3})+|\d{2,8})$", 1), "traditional", F.when(i == 0, "first").otherwise("no")),
     )
     stf = F.when(tribunal == "STF", one(group(header, C.STF_NUMBER_RAW), "traditional", F.lit("alone")))
     state = F.when(tribunal == "STF", group(fold(header), C.STATE_NUMBER))
-    all_of = F.concat(F.array(F.when((tribunal == "TST") & tst.isNotNull(), one(tst, "cnj", F.lit("yes")))), cnj, scanned, labelled, F.array(stf), F.array(F.when(state.isNotNull(), one(state, "traditional", F.lit("yes")))))
-    kept = F.filter(F.array_compact(all_of), lambda x: F.length(x["d"]) >= 2)
 
     def add(acc: Column, x: Column) -> Column:
         empty = F.size(acc) == 0
@@ -67,10 +68,19 @@ def number_records(header: Column, tribunal: Column) -> Column:
         new = F.struct(x["d"].alias("number_digits"), x["kind"].alias("number_type"), ((x["primary"] == "yes") | (x["primary"].isin("first", "alone") & empty)).alias("is_primary"))
         return F.when(skip, acc).otherwise(F.array_append(acc, new))
 
-    records = F.aggregate(kept, F.array().cast(f"array<{RECORD}>"), add)
-    named = F.when(state.isNotNull() & (F.length(digits(state)) >= 2), digits(state))
-    marked = lambda f: F.transform(records, lambda x, i: F.struct(x["number_digits"].alias("number_digits"), x["number_type"].alias("number_type"), f(x, i).alias("is_primary")))
-    return F.when(named.isNotNull(), marked(lambda x, i: x["number_digits"] == named)).when(F.exists(records, lambda x: x["is_primary"]), records).otherwise(marked(lambda x, i: i == 0))
+    marked = lambda records, f: F.transform(records, lambda x, i: F.struct(x["number_digits"].alias("number_digits"), x["number_type"].alias("number_type"), f(x, i).alias("is_primary")))
+
+    def finished(x: Column, records: Column) -> Column:
+        by_state = marked(records, lambda r, i: r["number_digits"] == digits(x["state"]))
+        return F.when(F.length(digits(x["state"])) >= 2, by_state).when(F.exists(records, lambda r: r["is_primary"]), records).otherwise(marked(records, lambda r, i: i == 0))
+
+    def folded(x: Column) -> Column:
+        last = F.array(F.when(x["state"].isNotNull(), one(x["state"], "traditional", F.lit("yes"))))
+        every = F.concat(F.array(F.when(x["tst"].isNotNull(), one(x["tst"], "cnj", F.lit("yes")))), cnj, scanned, labelled, F.array(stf), last)
+        kept = F.filter(F.array_compact(every), lambda c: F.length(c["d"]) >= 2)
+        return let(F.aggregate(kept, F.array().cast(f"array<{RECORD}>"), add), lambda records: finished(x, records))
+
+    return let(F.struct(tst.alias("tst"), state.alias("state")), folded)
 
 
 def cnj_parts(number: Column, kind: Column) -> Column:
