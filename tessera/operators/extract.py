@@ -21,7 +21,8 @@ def strings(*values: str) -> Column:
 
 
 def lookup(table: dict[str, str], key: Column) -> Column:
-    return F.try_element_at(F.create_map(*(F.lit(x) for pair in table.items() for x in pair)), key)
+    pairs = ";".join(f"{k}={v}" for k, v in table.items())  # one foldable expression, whatever the table's size
+    return F.try_element_at(F.str_to_map(F.lit(pairs), F.lit(";"), F.lit("=")), key)
 
 
 def explicit_tribunals(text: Column, courts: list[str] | None = None) -> Column:

@@ -5,21 +5,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.functions.text import digits
 from tessera.operators.decide import decide, final_confidence
 from tessera.operators.enrich import enrich_acordao, enrich_dispositivo, enrich_sumula, supported
 from tessera.operators.extract import extract_acordao, extract_dispositivo, extract_sumula, nature
 from tessera.operators.retrieve import lookup_each, retrieve_acordao
-from tessera.functions.text import digits
+from tessera.sources.settle import settled
 
 
 def typed(mentions: DataFrame) -> DataFrame:
     """Mentions with tipo_citacao, natureza and the enriched fields of their nature; unsupported ones have ``discarded`` set."""
-    kind = nature(F.col("tipo"))
-    rows = mentions.withColumn("_k", kind).withColumn("natureza", F.col("_k.natureza")).withColumn("tipo_citacao", F.col("_k.tipo")).drop("_k")
-    rows = rows.withColumn("_a", F.when(F.col("natureza") == "acordao", extract_acordao("trecho"))).withColumn("_s", F.when(F.col("natureza") == "sumula", extract_sumula("trecho"))).withColumn("_d", F.when(F.col("natureza") == "dispositivo", extract_dispositivo("trecho")))
-    rows = rows.withColumn("_ea", F.when(F.col("_a").isNotNull(), enrich_acordao(F.col("trecho"), F.col("_a")))).withColumn("_es", F.when(F.col("_s").isNotNull(), enrich_sumula(F.col("trecho"), F.col("_s")))).withColumn("_ed", F.when(F.col("_d").isNotNull(), enrich_dispositivo(F.col("trecho"), F.col("_d"))))
-    rows = rows.withColumn("acordao", F.col("_ea.data")).withColumn("sumula", F.col("_es.data")).withColumn("dispositivo", F.col("_ed.data"))
-    rows = rows.withColumn("warnings", F.coalesce("_ea.warnings", "_es.warnings", "_ed.warnings")).drop("_a", "_s", "_d", "_ea", "_es", "_ed")
+    own = {"acordao": extract_acordao, "sumula": extract_sumula, "dispositivo": extract_dispositivo}
+    fill = {"acordao": enrich_acordao, "sumula": enrich_sumula, "dispositivo": enrich_dispositivo}
+    rows = mentions.withColumn("_k", nature(F.col("tipo")))
+    rows = rows.withColumns({f"_{n}": F.when(F.col("_k.natureza") == n, extract("trecho")) for n, extract in own.items()})
+    rows = rows.withColumns({f"_e_{n}": F.when(F.col("_k.natureza") == n, enrich(F.col("trecho"), F.col(f"_{n}"))) for n, enrich in fill.items()})
+    rows = rows.select(
+        *mentions.columns,
+        F.col("_k.tipo").alias("tipo_citacao"),
+        F.col("_k.natureza").alias("natureza"),
+        *(F.col(f"_e_{n}.data").alias(n) for n in own),
+        F.coalesce(*(F.col(f"_e_{n}.warnings") for n in own)).alias("warnings"),
+    )
     return rows.withColumn("discarded", ~F.coalesce(supported(F.col("natureza"), F.col("acordao"), F.col("sumula"), F.col("dispositivo")), F.lit(False)))
 
 
@@ -44,7 +51,7 @@ def retrieved(mentions: DataFrame, index: dict[str, DataFrame]) -> DataFrame:
 
 def verified(mentions: DataFrame, index: dict[str, DataFrame]) -> DataFrame:
     """Supported mentions with verdict, rule, id and final confidence. ``mentions``: documento_id, id, tipo, inicio, fim, trecho, confianca."""
-    rows = typed(mentions).where("NOT discarded").withColumn("mention_id", F.concat_ws("#", "documento_id", "id"))
+    rows = settled(typed(mentions).where("NOT discarded").withColumn("mention_id", F.concat_ws("#", "documento_id", "id")))
     decided = decide(retrieved(rows, index))
     out = rows.join(decided, "mention_id")
     return out.withColumn("confianca_final", final_confidence(F.col("confianca_decisao"), F.col("confianca")))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tessera.functions import catalog as C
 from tessera.functions.spans import find_spans, first_span, let
 from tessera.functions.text import class_key, digits, fold
+from tessera.sources.settle import settled
 
 SCHEMA_VERSION, BUILDER_VERSION = "1", "1.0.0"
 RECORD = "struct<number_digits:string,number_type:string,is_primary:boolean>"
@@ -134,20 +135,25 @@ def build_index(registry: DataFrame, entries: DataFrame) -> dict[str, DataFrame]
         F.struct(F.lit(0).alias("start"), F.least(F.length("texto"), F.lit(500)).alias("end"), F.lit("documento").alias("strategy"))
     )
     rows = registry.withColumn("_cut", cut).withColumn("header_raw", F.substr("texto", F.col("_cut.start") + 1, F.col("_cut.end") - F.col("_cut.start")))
+    rows = settled(rows)
     rulings = rows.where("natureza = 'acordao'").withColumn("r", number_records(F.col("header_raw"), F.coalesce("tribunal", F.lit(""))))
+    rulings = settled(rulings.select("id", "tribunal", "header_raw", "r", extract_acordao(F.col("header_raw")).alias("a")))
     exploded = rulings.select(F.col("id").alias("id_canonico"), "tribunal", "header_raw", F.explode("r").alias("r"))
     parts = exploded.withColumn("_p", cnj_parts(F.col("r.number_digits"), F.col("r.number_type")))
-    extracted = rulings.select(F.col("id").alias("id_canonico"), "tribunal", "header_raw", extract_acordao(F.col("header_raw")).alias("a"))
+    extracted = rulings.select(F.col("id").alias("id_canonico"), "tribunal", "header_raw", "a")
     own = extracted.select("id_canonico", F.explode(F.array_compact(F.concat(F.array("a.classe_processual_normalizada"), "a.classe_normalizada_candidatos"))).alias("classe_normalizada"))
     listed = dictionary_classes(extracted.select("id_canonico", class_key("header_raw").alias("header"), "tribunal"), entries).select("id_canonico", F.explode("classes").alias("classe_normalizada"))
-    statements = rows.where("natureza = 'sumula'").select(F.col("id").alias("id_canonico"), "tribunal", extract_sumula(F.col("header_raw")).alias("s"))
+    statements = settled(rows.where("natureza = 'sumula'").select(F.col("id").alias("id_canonico"), "tribunal", extract_sumula(F.col("header_raw")).alias("s")))
     first_line = F.regexp_extract("texto", r"^\s*([^\n]*)", 1)
     number = F.nullif(F.regexp_extract(fold(first_line), r"\bARTIGO\s+([0-9.]+(?:-[A-Z])?)", 1), F.lit(""))
     law64 = fold(first_line).rlike(r"LEI\s+COMPLEMENTAR.*\b64\b|\bLC\s*64\b")
-    provisions = rows.where("natureza = 'dispositivo'").select(
-        F.col("id").alias("id_canonico"),
-        F.when(law64, "LC64/90").otherwise(extract_dispositivo(first_line)["diploma"]).alias("diploma"),
-        F.coalesce(F.rtrim(F.regexp_replace(number, r"\.$", "")), F.try_element_at(extract_dispositivo(first_line)["artigo"], F.lit(1))).alias("artigo"),
+    provisions = rows.where("natureza = 'dispositivo'").select(F.col("id").alias("id_canonico"), law64.alias("law64"), number.alias("number"), extract_dispositivo(first_line).alias("d"))
+    provisions = settled(
+        provisions.select(
+            "id_canonico",
+            F.when(F.col("law64"), "LC64/90").otherwise(F.col("d.diploma")).alias("diploma"),
+            F.coalesce(F.regexp_replace("number", r"\.$", ""), F.try_element_at("d.artigo", F.lit(1))).alias("artigo"),
+        )
     )
     good_statement = (F.size("s.numero") == 1) & F.col("s.tribunal").isNotNull()
     good_provision = F.col("diploma").isNotNull() & F.col("artigo").isNotNull()
