@@ -132,7 +132,7 @@ def level_scores(counts: DataFrame) -> DataFrame:
         (F.sum("squared") / F.nullif(F.sum("judged"), F.lit(0.0))).alias("brier"),
         F.sum("support").alias("support"),
     )
-    bonus = F.coalesce(F.greatest(F.lit(0.0), F.least(F.lit(BONUS), BONUS * (1 - F.col("brier")))), F.lit(0.0))
+    bonus = F.when(F.col("brier").isNotNull(), F.greatest(F.lit(0.0), F.least(F.lit(BONUS), BONUS * (1 - F.col("brier"))))).otherwise(0.0)
     base = F.col("macro_f1") * (1 - SEVERE * F.col("severe_rate"))
     return out.where("support > 0").withColumn("bonus", bonus).withColumn("score", base * (1 + F.col("bonus")))
 
