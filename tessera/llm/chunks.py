@@ -24,14 +24,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.llm import kernels
-from tessera.llm.pieces import CUT, ODD, tokenizer
+from tessera.llm.pieces import BETWEEN, FINE, ODD, TOGETHER, tokenizer
 from tessera.llm.scratch import table
 
 U = np.uint64
-SPAN, MASK = 8, 31
-WORDS, CHUNKS, JOINS = 300_000, 20_000, 400_000
+SPAN, MASK, EDGE = 8, 63, 4096
+WORDS, CHUNKS, JOINS = 300_000, 20_000, 200_000
 SPACE = ~kernels.NOT_SPACE
-TAIL, HEAD = re.compile(rb"\S*\s*\Z"), re.compile(rb"\s*\S*")
+TAIL, HEAD = re.compile(rb"(?![\x80-\xbf])\S*\s*\Z"), re.compile(rb"\s*\S*")
 
 
 def cuts(piece: kernels.Slice) -> np.ndarray:
@@ -46,58 +46,90 @@ def cuts(piece: kernels.Slice) -> np.ndarray:
 
 
 class Codec:
-    """Ids of chunks as text, with their decoded text; the library does each distinct word once."""
+    """Ids of texts as decimal text, with their decoded text.
+
+    Words are kept in two generations of at most WORDS, chunks and agreeing joins
+    until there are too many. What is new in a batch of texts goes to the library
+    together, with a special token between, which the library splits at first.
+    """
 
     def __init__(self, path: str):
         self.library = tokenizer(path)
-        self.words: dict[str, tuple[str, str]] = {}
+        size = self.library.get_vocab_size()
+        self.between = self.library.token_to_id(BETWEEN)
+        self.tokens = [self.library.id_to_token(i) for i in range(size)]
+        self.numbers = [str(i) for i in range(size)]
+        self.young: dict[str, tuple[str, str]] = {}
+        self.old: dict[str, tuple[str, str]] = {}
         self.chunks: dict[bytes, tuple[str, str]] = {}
         self.joins: set[tuple[str, str]] = set()
 
+    def written(self, ids: list[int]) -> tuple[str, str]:
+        return " ".join([self.numbers[i] for i in ids]), " ".join([self.tokens[i] for i in ids])
+
     def encoded(self, texts: list[str]) -> list[tuple[str, str]]:
-        found = [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
-        return list(zip((" ".join(map(str, x)) for x in found), self.library.decode_batch(found, skip_special_tokens=False)))
-
-    def chunk(self, data: bytes) -> tuple[str, str]:
-        got = self.chunks.get(data)
-        if got is None:
-            if len(self.chunks) > CHUNKS:
-                self.chunks.clear()
-            text = data.decode()
-            words = CUT.findall(text) if not ODD.search(text) else [text]
-            missing = [w for w in dict.fromkeys(words) if w not in self.words]
-            if len(self.words) > WORDS:
-                self.words.clear()
-                missing = list(dict.fromkeys(words))
-            if missing:
-                self.words.update(zip(missing, self.encoded(missing)))
-            own = [x for x in map(self.words.__getitem__, words) if x[0]]
-            got = self.chunks[data] = " ".join([x[0] for x in own]), " ".join([x[1] for x in own])
-        return got
-
-    def agree(self, before: str, after: str) -> bool:
-        """Whether the words about a join have the same ids together as apart."""
-        if (before, after) in self.joins:
-            return True
-        (both, _), (a, _), (b, _) = self.encoded([before + after, before, after])
-        if both != f"{a} {b}".strip():
-            return False
+        """What the library makes of each text; the decoder of this file joins tokens by spaces."""
+        out: list[tuple[str, str]] = []
+        for k in range(0, len(texts), TOGETHER):
+            group = texts[k : k + TOGETHER]
+            if any(BETWEEN in x for x in group):
+                out += [self.written(e.ids) for e in self.library.encode_batch_fast(group, add_special_tokens=False)]
+                continue
+            ids = self.library.encode_batch_fast([BETWEEN.join(group)], add_special_tokens=False)[0].ids
+            at = -1
+            for _ in group[1:]:
+                end = ids.index(self.between, at + 1)
+                out.append(self.written(ids[at + 1 : end]))
+                at = end
+            out.append(self.written(ids[at + 1 :]))
+        return out
+
+    def learn(self, chunks: set[bytes]) -> None:
+        """Encode the chunks that are not known, by their words."""
+        if len(self.chunks) > CHUNKS:
+            self.chunks.clear()
+        if len(self.young) > WORDS:
+            self.old, self.young = self.young, {}
+        texts = {c: c.decode(errors="ignore") for c in chunks if c not in self.chunks}
+        words = {c: FINE.findall(x) if not ODD.search(x) else [x] for c, x in texts.items()}
+        missing = set().union(*words.values()).difference(self.young)
+        self.young.update({w: got for w in missing if (got := self.old.get(w)) is not None})
+        new = [w for w in missing if w not in self.young]
+        self.young.update(zip(new, self.encoded(new)))
+        for c, own in words.items():
+            found = [x for x in map(self.young.__getitem__, own) if x[0]]
+            self.chunks[c] = " ".join([x[0] for x in found]), " ".join([x[1] for x in found])
+
+    def check(self, joins: set[tuple[bytes, bytes]]) -> set[tuple[bytes, bytes]]:
+        """Joins whose two sides have other ids together than apart."""
         if len(self.joins) > JOINS:
             self.joins.clear()
-        self.joins.add((before, after))
-        return True
-
-    def text(self, chunks: list[bytes]) -> tuple[str, str]:
-        """Ids and decoded text of a text given as its chunks."""
-        parts, k = list(chunks), 1
-        while k < len(parts):
-            if self.agree(TAIL.search(parts[k - 1])[0].decode(), HEAD.match(parts[k])[0].decode()):
-                k += 1
-            else:
-                parts[k - 1 : k + 1] = [parts[k - 1] + parts[k]]
-                k = max(1, k - 1)
-        found = [x for x in map(self.chunk, parts) if x[0]]
-        return " ".join([x[0] for x in found]), " ".join([x[1] for x in found])
+        new = [j for j in joins if j not in self.joins]
+        self.learn({x for j in new for x in j})
+        apart = [f"{self.chunks[a][0]} {self.chunks[b][0]}".strip() for a, b in new]
+        bad = {j for j, x, (y, _) in zip(new, apart, self.encoded([(a + b).decode(errors="ignore") for a, b in new])) if x != y}
+        self.joins.update(j for j in new if j not in bad)
+        return bad
+
+    def encode(self, texts: list[list[bytes]]) -> list[tuple[str, str]]:
+        """Ids and decoded text of texts given as their chunks."""
+        edge = lambda a, b: (TAIL.search(a[-EDGE:])[0] or a, HEAD.match(b[:EDGE])[0] or b)
+        todo = list(range(len(texts)))
+        while todo:
+            joins = {k: [edge(a, b) for a, b in zip(texts[k], texts[k][1:])] for k in todo}
+            bad = self.check({j for own in joins.values() for j in own})
+            todo = [k for k in todo if bad.intersection(joins[k])]
+            for k in todo:
+                merged = texts[k][:1]
+                for j, chunk in zip(joins[k], texts[k][1:]):
+                    if j in bad:
+                        merged[-1] += chunk
+                    else:
+                        merged.append(chunk)
+                texts[k] = merged
+        self.learn({c for t in texts for c in t})
+        out = [[x for x in map(self.chunks.__getitem__, t) if x[0]] for t in texts]
+        return [(" ".join([x[0] for x in own]), " ".join([x[1] for x in own])) for own in out]
 
 
 _CODECS: dict[str, Codec] = {}
@@ -121,13 +153,13 @@ def encode(docs: DataFrame, tokenizer_path: str, keep: list[str]) -> DataFrame:
                 at = cuts(piece)
                 raw, off = piece.buf.tobytes(), piece.off.tolist()
                 among = np.searchsorted(at, piece.off)
-                n, ids, decoded = [], [], []
+                texts = []
                 for i in range(piece.rows):
                     edge = [off[i], *(x for x in at[among[i] : among[i + 1]].tolist() if off[i] < x < off[i + 1]), off[i + 1]]
-                    a, b = own.text([raw[x:y] for x, y in zip(edge[:-1], edge[1:]) if x < y])
-                    n.append(a.count(" ") + 1 if a else 0)
-                    ids.append(sha(a))
-                    decoded.append(sha(b))
+                    texts.append([raw[x:y] for x, y in zip(edge[:-1], edge[1:]) if x < y])
+                found = own.encode(texts)
+                n = [a.count(" ") + 1 if a else 0 for a, _ in found]
+                ids, decoded = [sha(a) for a, _ in found], [sha(b) for _, b in found]
                 yield pa.RecordBatch.from_arrays(
                     [*(batch.column(c).slice(piece.first, piece.rows) for c in keep), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())],
                     [*keep, "n_tokens", "ids_sha256", "decoded_sha256"],
