@@ -163,13 +163,14 @@ def held_out(doc_id: Column) -> Column:
 def learn(docs: DataFrame) -> tuple[tuple[str, bytes], ...]:
     """Labelled samples: for each language the whole texts of at most SAMPLE_DOCS rows, cut to SAMPLE_BYTES folded bytes.
 
-    Rows are picked by a hash of doc_id; only ids are ranked, and the rank limit is
-    applied before the shuffle. What reaches the driver is bounded by the number of
+    Rows are picked by a hash of doc_id; only ids are ranked, first in salted parts of
+    each language, then among what those leave. What reaches the driver is bounded by the number of
     languages.
     """
     rows = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    picked = rows.select("lang", "doc_id").distinct().withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= SAMPLE_DOCS)
+    ranked = lambda df, *by: df.withColumn("rank", F.row_number().over(Window.partitionBy(*by).orderBy(F.xxhash64("doc_id"), "doc_id"))).where(F.col("rank") <= SAMPLE_DOCS)
+    salted = rows.select("lang", "doc_id", F.pmod(F.xxhash64("doc_id"), F.lit(64)).alias("salt")).distinct()
+    picked = ranked(ranked(salted, "lang", "salt").drop("rank"), "lang").drop("salt")
     texts = rows.where(F.col("text").isNotNull()).select("lang", "doc_id", F.substring("text", 1, SAMPLE_BYTES).alias("text"))
     got = texts.join(F.broadcast(picked), ["lang", "doc_id"]).groupBy("lang", "rank").agg(F.min("text").alias("text")).orderBy("lang", "rank").collect()
     out: dict[str, bytes] = {}
