@@ -214,6 +214,17 @@ def test_line_templates(spark, docs, nothing):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def kept_lines(spark, *texts):
+    rows = spark.createDataFrame(list(enumerate(texts, 1)), "doc_id long, text string")
+    return [r["text"] for r in templates.drop_recurring(rows).orderBy("doc_id").collect()]
+
+
+def test_short_and_variable_lines_need_real_equality(spark):
+    first = "Anthnt that erndatou eawhing anstou, thou st.\none two three four five\n1 2 3 4 5 6"
+    second = "Anthnt that erndatou eawhing reaned inesre and.\none two three four six\n9 8 7 6 5 4"
+    assert kept_lines(spark, first, second, first) == [first, second, ""]
+
+
 def brute_groups(rows, size, percent):
     sets = {}
     for i, x in rows:
