@@ -225,6 +225,14 @@ def test_short_and_variable_lines_need_real_equality(spark):
     assert kept_lines(spark, first, second, first) == [first, second, ""]
 
 
+def test_long_lines_match_any_template_of_a_leaf_by_words(spark):
+    words = [f"{a}{b}" for a in "abcdefghij" for b in "klmnopqrst"][:60]
+    changed = lambda at, mark: " ".join(mark + w if i in at else w for i, w in enumerate(words))
+    other = " ".join([*words[:4], *(w[::-1] for w in words[4:])])
+    first, near, again = changed((), "x"), changed((5, 15, 25, 35, 45), "x"), other + "x"
+    assert kept_lines(spark, first, near, other, again) == [first, "", other, ""]
+
+
 def brute_groups(rows, size, percent):
     sets = {}
     for i, x in rows:
