@@ -3,13 +3,16 @@
 Markup is stripped into lines, one for each block. A line's weight is the length
 of its text; lines of boilerplate elements (menus, headers, footers, sidebars,
 notices, adverts, forms, scripts, reader comments) and lines made of links weigh
-nothing, and where the page marks its article, neither do lines outside it. Sums
-of weights over a sliding window of ``WINDOW`` lines surge where the main text
-begins and dive to nothing where it ends; the weighted lines between are kept.
+nothing. Where the page marks articles, a line of one weighs ``MARK`` more and a
+line outside a ``WINDOW``-th. Sums of weights over a sliding window of ``WINDOW``
+lines surge where main text begins and dive to nothing where it ends; the weighted
+lines between are kept, and all those of an article in which a sum surges. No sum
+reaches over the edge of an article.
 
 Defined results: null or empty html, or a page without text: empty text, 0 chars;
-a page whose sums never surge keeps all weighted lines; unclosed elements end
-with the page, but an unclosed boilerplate element hides only its own line.
+a page whose sums never surge keeps the weighted lines of its articles, or all if
+it has none; unclosed elements end with the page, but an unclosed boilerplate
+element hides only its own line.
 """
 
 from __future__ import annotations
@@ -24,6 +27,8 @@ from pyspark.sql import DataFrame, SparkSession
 from tessera.llm.scratch import table
 
 WINDOW, SURGE = 3, 80
+#: ``WINDOW`` lines of an article are a surge, however short.
+MARK = SURGE // WINDOW + 1
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)"
     r"|<(script|style|noscript|template|svg|math|iframe|object|select|textarea|canvas|audio|video|title)\b[^>]*>.*?(?:</\1\s*>|\Z)"
@@ -59,15 +64,14 @@ def is_boilerplate(tag: str, attributes: str, in_article: bool) -> bool:
     return False
 
 
-def lines(page: str) -> tuple[list[tuple[str, int]], int]:
-    """The blocks of a page in order, their text and weight, and the sum that is a surge: any text in a marked article."""
+def lines(page: str) -> list[tuple[str, int, int]]:
+    """The blocks of a page in order: text, weight, and the number of the article, 0 outside."""
     low = page.lower()
     out: list[tuple[str, int, int]] = []  # text, weight, article number
     parts: list[str] = []
     linked = link = 0
     skip_tag, skip_depth = "", 0
     articles = article = depth = 0
-    size: dict[int, int] = {}
     marks = "main" if "<article" not in low else "article"
 
     def end() -> None:
@@ -78,7 +82,6 @@ def lines(page: str) -> tuple[list[tuple[str, int]], int]:
         linked = 0
         if text or (skip_tag and out and out[-1][1]):
             out.append((text, weight, article))
-            size[article] = size.get(article, 0) + weight
 
     at = 0
     for m in TOKEN.finditer(page):
@@ -133,29 +136,31 @@ def lines(page: str) -> tuple[list[tuple[str, int]], int]:
     if at < len(page) and not skip_tag:
         parts.append(page[at:])
     end()
-    named = {k: v for k, v in size.items() if k and v}
-    if named:
-        best = max(named, key=lambda k: (named[k], -k))
-        return [(t, len(t) if a == best else 0) for t, _, a in out], 0
-    return [(t, w) for t, w, _ in out], SURGE
+    if any(w and a for _, w, a in out):
+        return [(t, w and (w + MARK if a else max(1, w // WINDOW)), a) for t, w, a in out]
+    return out
 
 
 def main_text(page: str | None) -> str:
     if not page:
         return ""
-    found, surge = lines(page)
-    weights = [w for _, w in found]
-    sums = [sum(weights[i : i + WINDOW]) for i in range(len(weights))]
+    found = lines(page)
+    weights = [w for _, w, _ in found]
     keep, inside = [False] * len(found), False
-    for i, total in enumerate(sums):
-        if not inside and weights[i] and total > surge:
+    for i, (_, weight, a) in enumerate(found):
+        if i and found[i - 1][2] != a:
+            inside = False
+        total = sum(w for _, w, b in found[i : i + WINDOW] if b == a)
+        if not inside and weight and total > SURGE:
             inside = True
         elif inside and not total:
             inside = False
-        keep[i] = inside and weights[i] > 0
+        keep[i] = inside and weight > 0
+    whole = {a for (_, _, a), k in zip(found, keep) if a and k} or (set() if any(keep) else {a for _, w, a in found if a and w})
+    keep = [k or (w > 0 and a in whole) for (_, w, a), k in zip(found, keep)]
     if not any(keep):
         keep = [w > 0 for w in weights]
-    return " ".join(t for (t, _), k in zip(found, keep) if k)
+    return " ".join(t for (t, _, _), k in zip(found, keep) if k)
 
 
 def extract(pages: DataFrame, keep: list[str]) -> DataFrame:

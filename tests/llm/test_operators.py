@@ -311,6 +311,15 @@ def test_main_text(spark):
     assert html.main_text("<div>" * 20_000 + "x" + "</div>" * 20_000) == "x"
 
 
+def test_window_sums_decide_beside_article_marks():
+    long = lambda w: " ".join([w] * 60)
+    several = f"<article><p>{long('one')}</p></article><p>Between.</p><article><h2>Two</h2><p>{long('two')}</p><ul><li><a href='/'>a</a><li><a href='/'>b</a><li><a href='/'>c</a></ul><p>End.</p></article>"
+    assert html.main_text(several) == f"{long('one')} Two {long('two')} End."
+    outside = f"<article><p>Note.</p></article><p>{'<a href=x>more</a></p><p>' * 4}</p><div><p>{long('text')}</p></div>"
+    assert html.main_text(outside) == long("text")
+    assert html.main_text("<article><p>Note.</p></article><p>Short rest</p>") == "Note."
+
+
 def test_chunked_bpe(docs, nothing):
     library = chunks.tokenizer(WORD)
     sha = lambda x: hashlib.sha256(x.encode()).hexdigest()
