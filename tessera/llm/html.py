@@ -20,6 +20,7 @@ from __future__ import annotations
 import html as entities
 import re
 from collections.abc import Iterator
+from itertools import takewhile
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -38,11 +39,17 @@ TOKEN = re.compile(
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q ruby rt rp s samp small span strike strong sub sup time tt u var wbr img".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BOILERPLATE = frozenset("nav footer aside form head button menu dialog fieldset".split())
+#: Of those, what often is a layout around the whole page.
+SPARED = frozenset("form fieldset".split())
 NAMED = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|advertising|adsense|banners?|sponsor(?:ed)?|promo(?:tion)?s?|cookies?|consent|gdpr|notices?|alerts?|popups?|modal|overlay|comments?|respond|replies|disqus|sidebars?|"
-    r"menus?|nav(?:bar|igation)?|breadcrumbs?|footer|header|masthead|topbar|toolbar|share|sharing|social|related|recommend(?:ed|ations)?|newsletter|subscribe|signup|login|search|widgets?|pagination|pager|copyright|legal|disclaimer|skip)(?=$|[\s_-])",
+    r"(?:ads?|adverts?|advertisements?|advertising|adsense|banners?|sponsor(?:ed)?|promo(?:tion)?s?|cookies?|consent|gdpr|notices?|alerts?|popups?|modal|overlay|comments?|respond|replies|disqus|sidebars?|"
+    r"menus?|nav(?:bar|igation)?|breadcrumbs?|footer|header|masthead|topbar|toolbar|share|sharing|social|related|recommend(?:ed|ations)?|newsletter|subscribe|signup|login|search|widgets?|pagination|pager|copyright|legal|disclaimer|skip)",
     re.IGNORECASE,
 )
+#: What may stand beside such a word in a name of boilerplate.
+BESIDE = re.compile(r"[0-9]*|site|page|main|global|primary|secondary|top|bottom|left|right|post|article|entry|user|reader|the|and|list|items?|links?|icons?|buttons?|title|form|text|box|bar|block|area|section|slot|unit|inner|outer|container|wrap(?:per)?", re.IGNORECASE)
+PART = re.compile(r"[-_]+")
+READERS = re.compile(r"(?:^|[\s_-])(?:comments?|respond|replies|disqus)(?=$|[\s_-])", re.IGNORECASE)
 ATTRIBUTE = re.compile(r"\b(?:class|id|role|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert".split())
 HIDDEN = re.compile(r"\bhidden\b(?!\s*=\s*[\"']?false)|display\s*:\s*none", re.IGNORECASE)
@@ -50,6 +57,15 @@ HIDDEN = re.compile(r"\bhidden\b(?!\s*=\s*[\"']?false)|display\s*:\s*none", re.I
 ENDS_P = frozenset("address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split())
 
 
+def is_named(value: str) -> bool:
+    """Whether one of the names is that of boilerplate as a whole: ``site-footer``, but not ``has-sidebar``."""
+    for name in value.split():
+        parts = PART.split(name)
+        if any(NAMED.fullmatch(x) for x in parts) and all(NAMED.fullmatch(x) or BESIDE.fullmatch(x) for x in parts):
+            return True
+    return False
+
+
 def is_boilerplate(tag: str, attributes: str, in_article: bool) -> bool:
     if tag in BOILERPLATE or (tag == "header" and not in_article):
         return True
@@ -59,11 +75,58 @@ def is_boilerplate(tag: str, attributes: str, in_article: bool) -> bool:
         return True
     for m in ATTRIBUTE.finditer(attributes):
         value = m[1] or m[2] or m[3] or ""
-        if NAMED.search(value) or value.lower() in ROLES:
+        if is_named(value) or value.lower() in ROLES:
             return True
     return False
 
 
+class Extents:
+    """Of each element of a page, by where its start tag begins, how much of the page's main text it may hold."""
+
+    def __init__(self, page: str, marks: str):
+        self.held: dict[int, tuple[int, int, int]] = {}  # texts of marks, of all, number of marks
+        text = marked = count = at = 0
+        hides: list[str] = []
+        within: list[str] = []
+        opened: dict[str, list[tuple[int, int, int, int]]] = {}
+        for m in TOKEN.finditer(page):
+            n = 0 if hides else len(page[at : m.start()].strip())
+            text, marked, at = text + n, marked + (n if within else 0), m.end()
+            if m[3] is None:
+                continue
+            tag = m[3].lower()
+            if tag in VOID:
+                continue
+            hiding = tag == "a" or (tag in BOILERPLATE and tag not in SPARED) or (tag == "article" and (not m[2] and "comment" in m[4].lower() or m[2] and "article" in hides))
+            if not m[2]:
+                opened.setdefault(tag, []).append((m.start(), marked, text, count))
+                if hiding:
+                    hides.append(tag)
+                elif tag == marks and not hides:
+                    within.append(tag)
+                    count += 1
+            elif opened.get(tag):
+                start, *before = opened[tag].pop()
+                self.held[start] = marked - before[0], text - before[1], count - before[2]
+                if hiding and tag in hides:
+                    del hides[len(hides) - 1 - hides[::-1].index(tag) :]
+                elif tag == marks and within:
+                    within.pop()
+        n = len(page[at:].strip())
+        self.all = marked + (n if within else 0), text + (0 if hides else n), count
+
+    def most(self, start: int) -> bool:
+        """Whether the element holds half of the text in marks or more, or, without marks on the page, of all text."""
+        held = self.held.get(start, (0, 0, 0))
+        k = 0 if self.all[0] else 1
+        return held[k] > 0 and 2 * held[k] >= self.all[k]
+
+
+def is_spared(tag: str, attributes: str, marked: bool) -> bool:
+    """Whether a boilerplate element may be a mere layout around the main text: not one by its tag, nor what readers wrote."""
+    return (tag in SPARED or tag not in BOILERPLATE | {"header", "article"}) and (marked or not any(READERS.search(m[1] or m[2] or m[3] or "") for m in ATTRIBUTE.finditer(attributes)))
+
+
 def lines(page: str) -> list[tuple[str, int, int]]:
     """The blocks of a page in order: text, weight, and the number of the article, 0 outside."""
     low = page.lower()
@@ -74,6 +137,17 @@ def lines(page: str) -> list[tuple[str, int, int]]:
     articles = article = depth = 0
     marks = "main" if "<article" not in low else "article"
 
+    extents = None
+
+    def skips(tag: str, attributes: str, start: int) -> bool:
+        nonlocal extents
+        if not is_boilerplate(tag, attributes, article > 0):
+            return False
+        if tag in BOILERPLATE - SPARED or tag in ("header", "article", "p"):
+            return True
+        extents = extents or Extents(page, marks)
+        return not (is_spared(tag, attributes, extents.all[0] > 0) and extents.most(start))
+
     def end() -> None:
         nonlocal linked
         text = " ".join(entities.unescape("".join(parts)).split())
@@ -111,7 +185,7 @@ def lines(page: str) -> list[tuple[str, int, int]]:
                 continue
         if tag == "a":
             link = 0 if closing else 1
-        if tag in INLINE and tag in ("a", "span", "label") and not closing and is_boilerplate(tag, attributes, article > 0) and low.find(f"</{tag}", at) >= 0:
+        if tag in INLINE and tag in ("a", "span", "label") and not closing and skips(tag, attributes, m.start()) and low.find(f"</{tag}", at) >= 0:
             end()
             skip_tag, skip_depth = tag, 1
             continue
@@ -125,7 +199,7 @@ def lines(page: str) -> list[tuple[str, int, int]]:
                 if not depth:
                     article = 0
             continue
-        if tag not in VOID and is_boilerplate(tag, attributes, article > 0) and (tag == "p" or low.find(f"</{tag}", at) >= 0):
+        if tag not in VOID and skips(tag, attributes, m.start()) and (tag == "p" or low.find(f"</{tag}", at) >= 0):
             skip_tag, skip_depth = tag, 1
             continue
         if tag == marks:
@@ -150,7 +224,7 @@ def main_text(page: str | None) -> str:
     for i, (_, weight, a) in enumerate(found):
         if i and found[i - 1][2] != a:
             inside = False
-        total = sum(w for _, w, b in found[i : i + WINDOW] if b == a)
+        total = sum(w for _, w, _ in takewhile(lambda x: x[2] == a, found[i : i + WINDOW]))
         if not inside and weight and total > SURGE:
             inside = True
         elif inside and not total:

@@ -320,6 +320,17 @@ def test_window_sums_decide_beside_article_marks():
     assert html.main_text("<article><p>Note.</p></article><p>Short rest</p>") == "Note."
 
 
+def test_layout_around_the_main_text_is_no_boilerplate():
+    text = " ".join(["text"] * 60)
+    body = f"<p>{text}</p><div class='sidebar'><p>Side words</p></div><div class='site-footer'>Foot</div>"
+    for name in ("content-sidebar-wrap", "page has-sidebar", "layout no-sidebar", "sidebar-right", "overflow-hidden", "header"):
+        for inner in (f"<article>{body}</article>", f"<main>{body}</main>", body):
+            assert html.main_text(f"<div class='{name}'>{inner}</div><p>Out</p>") == text + " Out" * (inner == body), (name, inner)
+    assert html.main_text(f"<form id='aspnet'><article>{body}</article></form>") == text
+    cards = f"<article><p>{text}</p></article><div class='related'><article><p>Card {text[:200]}</p></article></div><div id='comments'><p>{text} {text}</p></div>"
+    assert html.main_text(cards) == text
+
+
 def test_chunked_bpe(docs, nothing):
     library = chunks.tokenizer(WORD)
     sha = lambda x: hashlib.sha256(x.encode()).hexdigest()
