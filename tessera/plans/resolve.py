@@ -76,7 +76,7 @@ def lookup_multi_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lookup_no_anchor(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Brands of parts asked for without a qualifier, by single values."""
+    """Brands of parts asked for without a qualifier, by single values; the SQL fixes the registry to one part a brand of size 2 or less."""
     parts = load(spark, sf_dir, "part")
     asked = parts.select(F.col("p_partkey").alias("mention_id"), F.array("p_brand").alias("artigos"), F.lit(None).cast("string").alias("diploma"))
     held = parts.where("p_size <= 2").select(F.col("p_brand").alias("artigo"), F.col("p_type").alias("diploma"), F.col("p_partkey").alias("id_canonico"))
@@ -85,11 +85,21 @@ def lookup_no_anchor(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("mention_id", F.size("candidates").cast("long").alias("n_candidates"), F.try_element_at("candidates", F.lit(1)).cast("string").alias("first_id"), "sufficient")
 
 
+def lookup_no_anchor_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All parts asked for without a qualifier, by brand and hundred of their number, so that matches stay few at every size."""
+    parts = load(spark, sf_dir, "part").withColumn("artigo", F.concat_ws("|", "p_brand", F.floor(F.col("p_partkey") / 100).cast("string")))
+    asked = parts.select(F.col("p_partkey").alias("mention_id"), F.array("artigo").alias("artigos"), F.lit(None).cast("string").alias("diploma"))
+    held = parts.select("artigo", F.col("p_type").alias("diploma"), F.col("p_partkey").alias("id_canonico"))
+    out = lookup_each(asked, "artigos", "diploma", held, "artigo", "diploma")
+    return out.select("mention_id", F.size("candidates").cast("long").alias("n_candidates"), F.try_element_at("candidates", F.lit(1)).cast("string").alias("first_id"), "sufficient")
+
+
 QUERIES = {
     "resolve_cascade": resolve_cascade,
     "resolve_decide": resolve_decide,
     "lookup_multi_key": lookup_multi_key,
     "lookup_no_anchor": lookup_no_anchor,
+    "lookup_no_anchor_all": lookup_no_anchor_all,
 }
 
 _PLANS = """
@@ -151,4 +161,7 @@ FROM b LEFT JOIN part ON v = p_partkey GROUP BY mention_id""",
 WITH k AS (SELECT p_brand, min(p_partkey) AS id FROM part WHERE p_size <= 2 GROUP BY p_brand)
 SELECT part.p_partkey AS mention_id, CAST(CASE WHEN id IS NULL THEN 0 ELSE 1 END AS BIGINT) AS n_candidates, CAST(id AS VARCHAR) AS first_id, false AS sufficient
 FROM part LEFT JOIN k USING (p_brand)""",
+    "lookup_no_anchor_all": """
+SELECT p_partkey AS mention_id, count(*) OVER lot AS n_candidates, CAST(min(p_partkey) OVER lot AS VARCHAR) AS first_id, false AS sufficient
+FROM part WINDOW lot AS (PARTITION BY p_brand, p_partkey // 100)""",
 }
