@@ -2,8 +2,8 @@
 
 1. language: documents without letters (``und``), or unlike every learnt language
    (more than ``MAX_PHRASE_RATE`` phrases a byte), go.
-2. lines: lines of templates that an earlier document holds go; documents of which
-   nothing is left go.
+2. lines: lines of templates that an earlier document holds go; documents that lose
+   lines and have only blank ones left go.
 3. near_duplicates: the smallest doc_id of each component stays; rows of one
    doc_id stay together.
 4. benchmark: documents that contain a benchmark window go.
@@ -33,7 +33,7 @@ def by_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    kept = templates.drop_recurring(docs).where("n_dropped = 0 OR n_dropped < n_lines")
+    kept = templates.drop_recurring(docs).where(F.expr("n_dropped = 0") | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     if "n_chars" in docs.columns:
         kept = kept.withColumn("n_chars", F.when(F.col("n_dropped") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
     return kept.select(*docs.columns)

@@ -233,6 +233,15 @@ def test_long_lines_match_any_template_of_a_leaf_by_words(spark):
     assert kept_lines(spark, first, near, other, again) == [first, "", other, ""]
 
 
+def test_short_lines_recur_and_blank_rests_go(spark):
+    first = "All rights reserved.\nPage 3\n7 8\nan own line of the first document"
+    assert kept_lines(spark, first, "All rights reserved.\nPage 4\n9 8\n\n7 8") == [first, "9 8\n"]
+    import corpus_pipeline
+
+    rows = spark.createDataFrame([(1, first), (2, "All rights reserved.\n\n  \nPage 5"), (3, " \n"), (4, None)], "doc_id long, text string")
+    assert {r["doc_id"] for r in corpus_pipeline.without_repeated_lines(spark, rows, "").collect()} == {1, 3, 4}
+
+
 def brute_groups(rows, size, percent):
     sets = {}
     for i, x in rows:
