@@ -2,36 +2,38 @@
 
 A rolling hash over the last ``SPAN`` bytes picks, among the starts of white-space
 runs, those where a chunk ends, so equal passages are cut alike wherever they
-stand. A chunk is encoded once by the library for as long as it stays in the
-bounded cache of the Python worker, and so is each word of a chunk not met before;
-its ids and decoded text are reused. At each join of two chunks the last word before
-and the first after are encoded together and compared with their ids apart; on
-disagreement the two chunks become one, which is encoded anew, and its own joins
-are compared again, until all agree.
-
-Defined results: null or empty text: no ids, the hashes of the empty string; texts
-without white space are one chunk; repeated rows are encoded alike.
+stand. A chunk is encoded by the library as one text, once for as long as it stays
+in the byte-bounded cache of the Python worker; wherever it stands again its ids are
+reused. At each join of two chunks the last word before and the first after are
+encoded together and compared with their ids apart; on disagreement the two chunks
+become one, which is encoded anew, and its own joins are compared again, until all
+agree.
+
+Defined results: null or empty text: no ids, empty decoded text; a text without
+white space is one chunk; repeated rows are encoded alike; columns of ``keep``
+that are named like a new one are replaced by it; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
-import hashlib
-import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tessera.llm import kernels
-from tessera.llm.pieces import BETWEEN, FINE, ODD, TOGETHER, tokenizer
-from tessera.llm.scratch import table
+from tessera.llm.pieces import Cache, tokenizer
+from tessera.llm.scratch import kept_schema, table
 
 U = np.uint64
-SPAN, MASK, EDGE = 8, 63, 4096
-WORDS, CHUNKS, JOINS = 300_000, 20_000, 200_000
+SPAN, MASK = 8, 63
+#: Bytes of each generation of the caches of chunks and of joins, and of what goes to the library in one call.
+CHUNK_BYTES, JOIN_BYTES, CALL_BYTES = 12 << 20, 6 << 20, 1 << 18
 SPACE = ~kernels.NOT_SPACE
-TAIL, HEAD = re.compile(rb"(?![\x80-\xbf])\S*\s*\Z"), re.compile(rb"\s*\S*")
+NEW = {"ids": "array<int>", "decoded": "string"}
 
 
 def cuts(piece: kernels.Slice) -> np.ndarray:
@@ -46,90 +48,66 @@ def cuts(piece: kernels.Slice) -> np.ndarray:
 
 
 class Codec:
-    """Ids of texts as decimal text, with their decoded text.
-
-    Words are kept in two generations of at most WORDS, chunks and agreeing joins
-    until there are too many. What is new in a batch of texts goes to the library
-    together, with a special token between, which the library splits at first.
-    """
+    """Ids of texts given as chunks, as little-endian unsigned 32-bit integers."""
 
     def __init__(self, path: str):
         self.library = tokenizer(path)
-        size = self.library.get_vocab_size()
-        self.between = self.library.token_to_id(BETWEEN)
-        self.tokens = [self.library.id_to_token(i) for i in range(size)]
-        self.numbers = [str(i) for i in range(size)]
-        self.young: dict[str, tuple[str, str]] = {}
-        self.old: dict[str, tuple[str, str]] = {}
-        self.chunks: dict[bytes, tuple[str, str]] = {}
-        self.joins: set[tuple[str, str]] = set()
-
-    def written(self, ids: list[int]) -> tuple[str, str]:
-        return " ".join([self.numbers[i] for i in ids]), " ".join([self.tokens[i] for i in ids])
-
-    def encoded(self, texts: list[str]) -> list[tuple[str, str]]:
-        """What the library makes of each text; the decoder of this file joins tokens by spaces."""
-        out: list[tuple[str, str]] = []
-        for k in range(0, len(texts), TOGETHER):
-            group = texts[k : k + TOGETHER]
-            if any(BETWEEN in x for x in group):
-                out += [self.written(e.ids) for e in self.library.encode_batch_fast(group, add_special_tokens=False)]
-                continue
-            ids = self.library.encode_batch_fast([BETWEEN.join(group)], add_special_tokens=False)[0].ids
-            at = -1
-            for _ in group[1:]:
-                end = ids.index(self.between, at + 1)
-                out.append(self.written(ids[at + 1 : end]))
-                at = end
-            out.append(self.written(ids[at + 1 :]))
+        self.tokens = [self.library.id_to_token(i) for i in range(self.library.get_vocab_size())]
+        self.chunks, self.joins = Cache(CHUNK_BYTES), Cache(JOIN_BYTES)
+        self.bytes_given = self.bytes_encoded = 0
+
+    def encoded(self, chunks: list[bytes]) -> list[bytes]:
+        """What the library makes of each chunk."""
+        out: list[bytes] = []
+        at = 0
+        while at < len(chunks):
+            to, size = at, 0
+            while to < len(chunks) and (to == at or size + len(chunks[to]) <= CALL_BYTES):
+                size += len(chunks[to])
+                to += 1
+            found = self.library.encode_batch_fast([c.decode() for c in chunks[at:to]], add_special_tokens=False)
+            out += [array("I", e.ids).tobytes() for e in found]
+            self.bytes_encoded += size
+            at = to
         return out
 
-    def learn(self, chunks: set[bytes]) -> None:
-        """Encode the chunks that are not known, by their words."""
-        if len(self.chunks) > CHUNKS:
-            self.chunks.clear()
-        if len(self.young) > WORDS:
-            self.old, self.young = self.young, {}
-        texts = {c: c.decode(errors="ignore") for c in chunks if c not in self.chunks}
-        words = {c: FINE.findall(x) if not ODD.search(x) else [x] for c, x in texts.items()}
-        missing = set().union(*words.values()).difference(self.young)
-        self.young.update({w: got for w in missing if (got := self.old.get(w)) is not None})
-        new = [w for w in missing if w not in self.young]
-        self.young.update(zip(new, self.encoded(new)))
-        for c, own in words.items():
-            found = [x for x in map(self.young.__getitem__, own) if x[0]]
-            self.chunks[c] = " ".join([x[0] for x in found]), " ".join([x[1] for x in found])
-
-    def check(self, joins: set[tuple[bytes, bytes]]) -> set[tuple[bytes, bytes]]:
-        """Joins whose two sides have other ids together than apart."""
-        if len(self.joins) > JOINS:
-            self.joins.clear()
-        new = [j for j in joins if j not in self.joins]
-        self.learn({x for j in new for x in j})
-        apart = [f"{self.chunks[a][0]} {self.chunks[b][0]}".strip() for a, b in new]
-        bad = {j for j, x, (y, _) in zip(new, apart, self.encoded([(a + b).decode(errors="ignore") for a, b in new])) if x != y}
-        self.joins.update(j for j in new if j not in bad)
-        return bad
-
-    def encode(self, texts: list[list[bytes]]) -> list[tuple[str, str]]:
-        """Ids and decoded text of texts given as their chunks."""
-        edge = lambda a, b: (TAIL.search(a[-EDGE:])[0] or a, HEAD.match(b[:EDGE])[0] or b)
+    def agree(self, joins: list[bytes]) -> list[bytes]:
+        """Of each join (its sides with a byte 0xFF between), b"1" if both sides have the same ids together as apart, else b"0"."""
+        sides = [j.split(b"\xff") for j in joins]
+        found = self.encoded([x for a, b in sides for x in (a + b, a, b)])
+        return [b"1" if whole == a + b else b"0" for whole, a, b in zip(found[::3], found[1::3], found[2::3])]
+
+    def encode(self, texts: list[list[bytes]]) -> list[bytes]:
+        self.bytes_given += sum(len(c) for t in texts for c in t)
         todo = list(range(len(texts)))
         while todo:
-            joins = {k: [edge(a, b) for a, b in zip(texts[k], texts[k][1:])] for k in todo}
-            bad = self.check({j for own in joins.values() for j in own})
-            todo = [k for k in todo if bad.intersection(joins[k])]
+            joins = {k: [join(a, b) for a, b in zip(texts[k], texts[k][1:])] for k in todo}
+            agree = self.joins.bring({j for own in joins.values() for j in own}, self.agree)
+            todo = [k for k in todo if any(agree[j] == b"0" for j in joins[k])]
             for k in todo:
                 merged = texts[k][:1]
                 for j, chunk in zip(joins[k], texts[k][1:]):
-                    if j in bad:
+                    if agree[j] == b"0":
                         merged[-1] += chunk
                     else:
                         merged.append(chunk)
                 texts[k] = merged
-        self.learn({c for t in texts for c in t})
-        out = [[x for x in map(self.chunks.__getitem__, t) if x[0]] for t in texts]
-        return [(" ".join([x[0] for x in own]), " ".join([x[1] for x in own])) for own in out]
+        found = self.chunks.bring({c for t in texts for c in t}, self.encoded)
+        return [b"".join(map(found.__getitem__, t)) for t in texts]
+
+    def decode(self, ids: bytes) -> str:
+        """The decoder of a file that names none: its tokens, joined by spaces."""
+        return " ".join(map(self.tokens.__getitem__, array("I", ids)))
+
+
+def join(a: bytes, b: bytes) -> bytes:
+    """The last word of one chunk and the first of the next, with a byte between that UTF-8 never has."""
+    last, first = a.split()[-1:] if len(a) < 64 else a[-64:].split()[-1:], b.split(None, 1)[:1]
+    if last and len(last[0]) >= 63:
+        last = a.rsplit(None, 1)[-1:]
+    tail = last[0] if last else a
+    head = b[: b.index(first[0]) + len(first[0])] if first else b
+    return tail + b"\xff" + head
 
 
 _CODECS: dict[str, Codec] = {}
@@ -142,14 +120,13 @@ def codec(path: str) -> Codec:
 
 
 def encode(docs: DataFrame, tokenizer_path: str, keep: list[str]) -> DataFrame:
-    """The ``keep`` columns of every row with ``ids`` (decimal, joined by spaces) hashed, counted and decoded."""
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in (docs.schema[c] for c in keep)), "n_tokens long, ids_sha256 string, decoded_sha256 string"])
+    """The ``keep`` columns of every row with ``ids`` of the whole text and the text ``decoded`` from them; ``docs`` needs ``text``."""
+    keep = [c for c in keep if c not in NEW]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(tokenizer_path)
-        sha = lambda x: hashlib.sha256(x.encode()).hexdigest()
         for batch in batches:
-            for piece in kernels.slices(batch.column("text"), 1 << 20):
+            for piece in kernels.slices(batch.column("text")):
                 at = cuts(piece)
                 raw, off = piece.buf.tobytes(), piece.off.tolist()
                 among = np.searchsorted(at, piece.off)
@@ -158,17 +135,24 @@ def encode(docs: DataFrame, tokenizer_path: str, keep: list[str]) -> DataFrame:
                     edge = [off[i], *(x for x in at[among[i] : among[i + 1]].tolist() if off[i] < x < off[i + 1]), off[i + 1]]
                     texts.append([raw[x:y] for x, y in zip(edge[:-1], edge[1:]) if x < y])
                 found = own.encode(texts)
-                n = [a.count(" ") + 1 if a else 0 for a, _ in found]
-                ids, decoded = [sha(a) for a, _ in found], [sha(b) for _, b in found]
-                yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(c).slice(piece.first, piece.rows) for c in keep), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())],
-                    [*keep, "n_tokens", "ids_sha256", "decoded_sha256"],
-                )
+                ends = np.cumsum([0, *(len(x) // 4 for x in found)]).astype(np.int32)
+                ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(found), np.int32)))
+                yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(piece.first, piece.rows) for c in keep), ids, pa.array(map(own.decode, found), pa.string())], [*keep, *NEW])
+
+    return docs.select(*dict.fromkeys([*keep, "text"])).mapInArrow(run, kept_schema(docs, keep, NEW))
+
 
-    return docs.select(*dict.fromkeys([*keep, "text"])).mapInArrow(run, schema)
+def digests(encoded: DataFrame) -> DataFrame:
+    """``ids`` and ``decoded`` as their number and SHA-256 sums, ids in decimal, joined by spaces."""
+    return (
+        encoded.withColumn("n_tokens", F.size("ids").cast("long"))
+        .withColumn("ids_sha256", F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256))
+        .withColumn("decoded_sha256", F.sha2("decoded", 256))
+        .drop("ids", "decoded")
+    )
 
 
 def op9_chunked_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    return encode(table(spark, sf_dir, "documents").select("doc_id", "text"), public_tokenizers.path("word_bpe_49k.json"), ["doc_id"])
+    return digests(encode(table(spark, sf_dir, "documents").select("doc_id", "text"), public_tokenizers.path("word_bpe_49k.json"), ["doc_id"]))

@@ -15,10 +15,12 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 U = np.uint64
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 _BASE = 0x9E3779B97F4A7C15 | 1
-_INV = pow(_BASE, -1, 1 << 64)
-_POWERS = {"n": 0}
+#: Range hashes are two polynomials modulo the prime 2**31 - 1, which, unlike a power of two, has no texts that collide for every base.
+_PRIME, _BITS = U((1 << 31) - 1), U(31)
+_BASES = (1_103_515_245, 2_023_406_815)
+_POWERS: list[tuple[np.ndarray, np.ndarray]] = []
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -31,7 +33,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-BYTE_VALUE = mix(np.arange(1, 257, dtype=U) * U(0xD6E8FEB86659FD93))
+BYTE_VALUE = mix(np.arange(1, 257, dtype=U) * U(0xD6E8FEB86659FD93)) >> U(33)
 
 
 def byte_class(pattern: str) -> np.ndarray:
@@ -49,16 +51,34 @@ LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], dtype=np.
 WORD_LIKE = byte_class(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]")[LOWER]
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if _POWERS["n"] < max(n, 1):
-        size = max(n, SLICE_BYTES + 1)
-        with np.errstate(over="ignore"):
-            for key, base in (("up", _BASE), ("down", _INV)):
-                steps = np.full(size, base, dtype=U)
-                steps[0] = 1
-                _POWERS[key] = np.cumprod(steps, dtype=U)
-        _POWERS["n"] = size
-    return _POWERS["up"][:n], _POWERS["down"][:n]
+def _folded(x: np.ndarray) -> np.ndarray:
+    """A smaller number that is equal modulo the prime."""
+    return (x & _PRIME) + (x >> _BITS)
+
+
+def _power_table(n: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    out = []
+    for base in _BASES:
+        pair = []
+        for step in (base, pow(base, -1, int(_PRIME))):
+            table = np.ones(max(n, 1), dtype=np.uint32)
+            done = 1
+            while done < n:
+                part = _folded(_folded(table[: min(done, n - done)].astype(U) * U(pow(step, done, int(_PRIME)))))
+                table[done : done + len(part)] = np.where(part >= _PRIME, part - _PRIME, part)
+                done *= 2
+            pair.append(table)
+        out.append((pair[0], pair[1]))
+    return out
+
+
+def _powers(n: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Powers of the bases and of their inverses; only those for a slice are kept, those of a longer text go with it."""
+    if n > SLICE_BYTES + 1:
+        return _power_table(n)
+    if not _POWERS:
+        _POWERS.extend(_power_table(SLICE_BYTES + 1))
+    return _POWERS
 
 
 class Slice:
@@ -90,18 +110,25 @@ class Slice:
         s = np.flatnonzero(start)
         return s, np.flatnonzero(end) + 1, np.searchsorted(s, self.off)
 
-    def prefix(self, lower: bool) -> np.ndarray:
-        buf = LOWER[self.buf] if lower else self.buf
-        up, _ = _powers(len(buf))
-        total = np.zeros(len(buf) + 1, dtype=U)
-        np.cumsum(BYTE_VALUE[buf] * up, out=total[1:])
-        return total
+    def prefix(self, lower: bool) -> list[np.ndarray]:
+        """Running sums for ``hashes``."""
+        value = BYTE_VALUE[LOWER[self.buf] if lower else self.buf]
+        out = []
+        for up, _ in _powers(len(value)):
+            total = np.zeros(len(value) + 1, dtype=U)
+            np.cumsum(_folded(value * up[: len(value)]), out=total[1:])
+            out.append(total)
+        return out
 
     @staticmethod
-    def hashes(prefix: np.ndarray, s: np.ndarray, e: np.ndarray) -> np.ndarray:
+    def hashes(prefix: list[np.ndarray], s: np.ndarray, e: np.ndarray) -> np.ndarray:
         """64-bit hashes of the byte ranges s:e, equal for equal bytes wherever they stand."""
-        _, down = _powers(len(prefix))
-        return mix((prefix[e] - prefix[s]) * down[s] + (e - s).astype(U))
+        out = (e - s).astype(U)
+        for total, (_, down) in zip(prefix, _powers(len(prefix[0]))):
+            x = _folded(_folded(total[e] - total[s])) * down[s]
+            x = _folded(_folded(x))
+            out = mix(out ^ np.where(x >= _PRIME, x - _PRIME, x)) * U(_BASE)
+        return mix(out)
 
 
 def slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[Slice]:

@@ -6,11 +6,13 @@ language whose sample needs the fewest phrases per folded byte wins.
 
 Texts are folded to bytes (ASCII and Latin-1 letters lower-cased, runs of other
 ASCII one space, bytes of other characters kept) and parsed in lanes of ``LANE`` bytes, all
-lanes and languages in step, so that numpy does each step for thousands of lanes.
+lanes and languages in step, so that numpy does each step for thousands of lanes. A lane starts
+a phrase of its own, so a text counts at most one phrase more for each lane, alike for all languages.
 
 Defined results: null text, or text without a letter: ``und`` with score 0; no
 labelled text at all: ``und``; equal counts: the language first in code-point
-order; repeated rows are judged alike; other columns never matter.
+order; repeated rows are judged alike; other columns never matter; columns of
+``keep`` that are named like a new one are replaced by it; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -25,13 +27,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tessera.llm import kernels
-from tessera.llm.scratch import table
+from tessera.llm.scratch import kept_schema, table
 
 LANE = 256
 SAMPLE_DOCS, SAMPLE_BYTES = 40, 24_000  # bound of the labelled sample, for each language
 LETTER = re.compile(r"[^\W\d_]")
 FOLD = np.array([b if 97 <= b <= 122 or b >= 128 else b + 32 if 65 <= b <= 90 else 32 for b in range(256)], dtype=np.uint8)
-_BUILT: dict[tuple, tuple] = {}
+NEW = {"lang_pred": "string", "score": "double", "phrase_rate": "double"}
 
 
 def folded(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -78,48 +80,50 @@ def suffix_automaton(data: bytes) -> list[dict[int, int]]:
     return moves
 
 
-def compiled(samples: tuple[tuple[str, bytes], ...]) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+Built = tuple[np.ndarray, np.ndarray, np.ndarray, int]
+
+
+def compiled(samples: tuple[tuple[str, bytes], ...]) -> Built:
     """Symbol of each byte, the start of each language, and one flat transition table.
 
     An entry is the offset of the next state's row; the complement of an entry
     says that the phrase ended before this symbol and where the next one stands.
     The last symbol pads lanes and changes nothing; the one before is any byte
-    that no sample has. Kept for the life of the Python worker.
+    that no sample has. Built once for each task and gone with it.
     """
-    if samples not in _BUILT:
-        seen = sorted(set().union(*(set(data) for _, data in samples)))
-        other, pad = len(seen), len(seen) + 1
-        symbol = np.full(256, other, dtype=np.int32)
-        symbol[seen] = np.arange(len(seen))
-        width = pad + 1
-        parts, starts, base = [], [], 0
-        for _, data in samples:
-            moves = suffix_automaton(data)
-            dead = len(moves)  # stands for one byte that the sample lacks
-            part = np.full((dead + 1, width), -1, dtype=np.int64)
-            rows = np.repeat(np.arange(dead), [len(m) for m in moves])
-            part[rows, symbol[np.fromiter((c for m in moves for c in m), np.int64, len(rows))]] = np.fromiter((s for m in moves for s in m.values()), np.int64, len(rows))
-            part[0, part[0] < 0] = dead
-            part = np.where(part >= 0, (part + base) * width, ~((part[0] + base) * width)[None, :])
-            part[:, pad] = (np.arange(dead + 1) + base) * width
-            parts.append(part.astype(np.int32).ravel())
-            starts.append(base * width)
-            base += dead + 1
-        _BUILT.clear()
-        _BUILT[samples] = symbol, np.array(starts, dtype=np.int32), np.concatenate(parts), pad
-    return _BUILT[samples]
-
-
-def phrases(samples: tuple[tuple[str, bytes], ...], piece: kernels.Slice) -> tuple[np.ndarray, np.ndarray]:
+    seen = sorted(set().union(*(set(data) for _, data in samples)))
+    other, pad = len(seen), len(seen) + 1
+    symbol = np.full(256, other, dtype=np.int32)
+    symbol[seen] = np.arange(len(seen))
+    width = pad + 1
+    parts, starts, base = [], [], 0
+    for _, data in samples:
+        moves = suffix_automaton(data)
+        dead = len(moves)  # stands for one byte that the sample lacks
+        part = np.full((dead + 1, width), -1, dtype=np.int32)
+        rows = np.repeat(np.arange(dead, dtype=np.int32), [len(m) for m in moves])
+        part[rows, symbol[np.fromiter((c for m in moves for c in m), np.uint8, len(rows))]] = np.fromiter((s for m in moves for s in m.values()), np.int32, len(rows))
+        del moves, rows
+        part[0, part[0] < 0] = dead
+        ended = ~((part[0] + base) * width)
+        part = np.where(part >= 0, (part + base) * width, ended[None, :])
+        part[:, pad] = (np.arange(dead + 1) + base) * width
+        parts.append(part.ravel())
+        starts.append(base * width)
+        base += dead + 1
+    return symbol, np.array(starts, dtype=np.int32), np.concatenate(parts), pad
+
+
+def phrases(built: Built, piece: kernels.Slice) -> tuple[np.ndarray, np.ndarray]:
     """Phrases of each text (rows) by each language (columns), and folded bytes of each text."""
-    symbol, starts, moves, pad = compiled(samples)
+    symbol, starts, moves, pad = built
     data, off = folded(piece.buf, piece.off)
     size = np.diff(off)
     lanes = -(-size // LANE)
     row, k = kernels.expand(lanes)
     begin = off[:-1][row] + k * LANE
     left = np.minimum(off[1:][row] - begin, LANE)
-    out = np.zeros((piece.rows, len(samples)), dtype=np.int64)
+    out = np.zeros((piece.rows, len(starts)), dtype=np.int64)
     if len(row):
         padded = np.concatenate([symbol[data], np.full(LANE, pad, dtype=np.int32)])
         state = np.repeat(starts[:, None], len(row), axis=1)
@@ -134,14 +138,13 @@ def phrases(samples: tuple[tuple[str, bytes], ...], piece: kernels.Slice) -> tup
     return out, size
 
 
-def judged(samples: tuple[tuple[str, bytes], ...], texts: pa.Array) -> Iterator[tuple[list[str], list[float], list[float]]]:
+def judged(names: list[str], built: Built | None, texts: pa.Array) -> Iterator[tuple[list[str], list[float], list[float]]]:
     """Language, score and phrases per folded byte, slice by slice."""
-    names = [name for name, _ in samples]
-    for piece in kernels.slices(texts, 1 << 20):
-        if not samples:
+    for piece in kernels.slices(texts):
+        if built is None:
             yield ["und"] * piece.rows, [0.0] * piece.rows, [1.0] * piece.rows
             continue
-        count, size = phrases(samples, piece)
+        count, size = phrases(built, piece)
         best = count.argmin(axis=1)
         low = count[np.arange(piece.rows), best]
         rest = np.sort(count, axis=1)[:, min(1, len(names) - 1)]
@@ -183,21 +186,23 @@ def learn(docs: DataFrame) -> tuple[tuple[str, bytes], ...]:
 
 def identify(docs: DataFrame, samples: tuple[tuple[str, bytes], ...], keep: list[str]) -> DataFrame:
     """The ``keep`` columns of every row with ``lang_pred``, ``score`` and ``phrase_rate``; ``docs`` needs ``text``."""
+    keep = [c for c in keep if c not in NEW]
     shared = docs.sparkSession.sparkContext.broadcast(samples)
-    kept = [docs.schema[c] for c in keep]
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), "lang_pred string, score double, phrase_rate double"])
-    extra = [c for c in ["text"] if c not in keep]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        built = None
+        names = [name for name, _ in shared.value]
         for batch in batches:
+            if built is None and names:
+                built = compiled(shared.value)
             lang, score, rate = [], [], []
-            for a, b, c in judged(shared.value, batch.column("text")):
+            for a, b, c in judged(names, built, batch.column("text")):
                 lang += a
                 score += b
                 rate += c
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(rate, pa.float64())], [*keep, "lang_pred", "score", "phrase_rate"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(rate, pa.float64())], [*keep, *NEW])
 
-    return docs.select(*keep, *extra).mapInArrow(run, schema)
+    return docs.select(*dict.fromkeys([*keep, "text"])).mapInArrow(run, kept_schema(docs, keep, NEW))
 
 
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:

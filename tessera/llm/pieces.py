@@ -11,18 +11,49 @@ from __future__ import annotations
 
 import os
 import re
+from collections.abc import Callable, Iterator
 
 import numpy as np
 
-CUT = re.compile(r"\s*\S+|\s+")
-#: The same, and also after a run of Latin letters that white space or ASCII punctuation but the apostrophe follows.
-FINE = re.compile(r"\s*[A-Za-zÀ-ÖØ-öø-ɏ]+(?=[\s!-&(-/:-@\[-`{-~]|\Z)|\s*\S+|\s+")
+#: A piece ends in front of white space, or behind a run of letters that white space or ASCII punctuation but the apostrophe follows.
+FINE = re.compile(r"\s*[A-Za-zÀ-ÖØ-öø-ÿ]+(?=[\s!-&(-/:-@\[-`{-~]|\Z)|\s*\S+|\s+")
 ODD = re.compile("[\x1c-\x1f\x85\u180e]")
-LIMIT = 400_000
+#: Bytes of each generation of a cache of pieces, and characters that are cut and encoded together.
+PIECE_BYTES, TOGETHER_CHARS = 40 << 20, 1 << 20
+NEXT = re.compile(r"(?<=\S)\s")
 BETWEEN, TOGETHER = "<|endoftext|>", 2000
 _LOADED: dict[str, object] = {}
 
 
+class Cache:
+    """Values by key in two generations of about ``budget`` bytes each.
+
+    When the young generation is full it becomes the old one, and what is met again
+    moves back. Keys longer than ``LONGEST`` are never kept.
+    """
+
+    LONGEST, ENTRY = 4096, 200  # ENTRY: what an entry costs beside its bytes
+
+    def __init__(self, budget: int):
+        self.budget, self.size = budget, 0
+        self.young: dict = {}
+        self.old: dict = {}
+
+    def bring(self, keys: set, make: Callable[[list], list]) -> dict:
+        """The values of all keys; those not held are made together."""
+        if self.size > self.budget:
+            self.old, self.young, self.size = self.young, {}, 0
+        held = {k: v for k in keys if (v := self.young.get(k)) is not None}
+        again = {k: v for k in keys.difference(held) if (v := self.old.get(k)) is not None}
+        new = [k for k in keys.difference(held) if k not in again]
+        made = dict(zip(new, make(new)))
+        for found in (again, made):
+            fit = {k: v for k, v in found.items() if len(k) <= self.LONGEST}
+            self.young.update(fit)
+            self.size += sum(map(len, fit)) + sum(map(len, fit.values())) + self.ENTRY * len(fit)
+        return held | again | made
+
+
 def tokenizer(path: str):
     """The tokenizer of a file, loaded once by each worker, without truncation or padding."""
     if path not in _LOADED:
@@ -39,24 +70,21 @@ def tokenizer(path: str):
 class Encoder:
     """Ids of texts as little-endian unsigned 32-bit integers.
 
-    The cache has two generations of at most LIMIT pieces: when the young one is
-    full it becomes the old one, and pieces met again move back. Pieces to encode
-    go to the library together, with a special token between them, which the
-    library splits at before anything else.
+    Pieces to encode go to the library together, with a special token between them,
+    which the library splits at before anything else.
     """
 
     def __init__(self, path: str):
         self.library = tokenizer(path)
         self.between = self.library.token_to_id(BETWEEN)
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.cache = Cache(PIECE_BYTES)
 
-    def ids(self, pieces: list[str]) -> list[bytes]:
+    def together(self, pieces: list[str]) -> list[bytes]:
         """Ids of pieces, none of which holds the special token."""
         groups = [pieces[k : k + TOGETHER] for k in range(0, len(pieces), TOGETHER)]
         out: list[bytes] = []
-        for group, found in zip(groups, self.library.encode_batch_fast([BETWEEN.join(g) for g in groups], add_special_tokens=False)):
-            ids = np.array(found.ids, dtype="<u4")
+        for group in groups:
+            ids = np.array(self.library.encode_batch_fast([BETWEEN.join(group)], add_special_tokens=False)[0].ids, dtype="<u4")
             edge = [-1, *np.flatnonzero(ids == self.between).tolist(), len(ids)]
             if len(edge) != len(group) + 1:
                 raise ValueError("pieces were not kept apart")
@@ -64,26 +92,44 @@ class Encoder:
             out += [raw[4 * a + 4 : 4 * b] for a, b in zip(edge[:-1], edge[1:])]
         return out
 
-    def learn(self, pieces: set[str]) -> None:
-        """Bring pieces into the young generation."""
-        known = {k: v for k in pieces if (v := self.old.get(k)) is not None}
-        self.young.update(known)
-        new = [k for k in pieces if k not in known]
-        plain = [k for k in new if BETWEEN not in k]
-        self.young.update(zip(plain, self.ids(plain)))
-        for k in new:
-            if BETWEEN in k:
-                self.young[k] = np.array(self.library.encode(k, add_special_tokens=False).ids, dtype="<u4").tobytes()
+    def ids(self, pieces: list[str]) -> list[bytes]:
+        plain = [k for k in pieces if BETWEEN not in k]
+        found = dict(zip(plain, self.together(plain)))
+        return [found[k] if k in found else np.array(self.library.encode(k, add_special_tokens=False).ids, dtype="<u4").tobytes() for k in pieces]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        if len(self.young) > LIMIT:
-            self.old, self.young = self.young, {}
-        cut = [FINE.findall(x) if not ODD.search(x) else [x] for x in ((t or "") for t in texts)]
-        missing = set().union(*cut).difference(self.young)
-        if missing:
-            self.learn(missing)
-        get = self.young.__getitem__
-        return [b"".join(map(get, pieces)) for pieces in cut]
+        out: list[bytes] = [b""] * len(texts)
+        group: list[tuple[int, list[str]]] = []
+        size = 0
+
+        def flush() -> None:
+            nonlocal size
+            found = self.cache.bring(set().union(*(x for _, x in group)), self.ids)
+            for i, x in group:
+                out[i] += b"".join(map(found.__getitem__, x))
+            group.clear()
+            size = 0
+
+        for i, text in enumerate(texts):
+            for part in parts(text or ""):
+                group.append((i, FINE.findall(part) if not ODD.search(part) else [part]))
+                size += len(part)
+                if size > TOGETHER_CHARS:
+                    flush()
+        flush()
+        return out
+
+
+def parts(text: str) -> Iterator[str]:
+    """A text in parts of about TOGETHER_CHARS, which begin with white space; one with odd separators stays whole."""
+    at = 0
+    while len(text) - at > TOGETHER_CHARS and not ODD.search(text):
+        cut = NEXT.search(text, at + TOGETHER_CHARS)
+        if cut is None:
+            break
+        yield text[at : cut.start()]
+        at = cut.start()
+    yield text[at:] if at else text
 
 
 _ENCODERS: dict[str, Encoder] = {}

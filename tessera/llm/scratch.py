@@ -30,3 +30,8 @@ def written(df: DataFrame, what: str) -> DataFrame:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def kept_schema(df: DataFrame, keep: list[str], new: dict[str, str]) -> str:
+    """Schema of the ``keep`` columns of ``df`` followed by the new ones."""
+    return ", ".join(f"`{c}` {t}" for c, t in [*((c, df.schema[c].dataType.simpleString()) for c in keep), *new.items()])

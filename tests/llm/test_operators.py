@@ -14,7 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from tessera.llm import cascade, chunks, contamination, html, kernels, language, neardup, quality, registry, rollup, sstable, templates
+from tessera.llm import cascade, chunks, contamination, html, kernels, language, neardup, pieces, quality, registry, rollup, sstable, templates
 from tessera.llm.pieces import Encoder
 
 BYTE, WORD = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
@@ -340,22 +340,90 @@ def test_layout_around_the_main_text_is_no_boilerplate():
     assert html.main_text(cards) == text
 
 
-def test_chunked_bpe(docs, nothing):
-    library = chunks.tokenizer(WORD)
+def digest(ids, decoded):
     sha = lambda x: hashlib.sha256(x.encode()).hexdigest()
-    for r in chunks.encode(docs, WORD, ["text"]).collect():
+    return len(ids), sha(" ".join(map(str, ids))), sha(decoded)
+
+
+def test_chunked_bpe(spark, docs, nothing, tmp_path):
+    library = chunks.tokenizer(WORD)
+    for r in chunks.digests(chunks.encode(docs.withColumn("ids", F.lit(1)), WORD, ["text", "ids"])).collect():
         ids = library.encode(r["text"] or "", add_special_tokens=False).ids
-        assert (r["n_tokens"], r["ids_sha256"], r["decoded_sha256"]) == (len(ids), sha(" ".join(map(str, ids))), sha(library.decode(ids, skip_special_tokens=False)))
+        assert (r["n_tokens"], r["ids_sha256"], r["decoded_sha256"]) == digest(ids, library.decode(ids, skip_special_tokens=False))
     assert chunks.encode(nothing, WORD, ["doc_id"]).count() == 0
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    got = registry.QUERIES["op9_chunked_bpe"](spark, str(tmp_path)).collect()
+    whole = {x: digest(i := library.encode(x or "", add_special_tokens=False).ids, library.decode(i, skip_special_tokens=False)) for _, x in TEXTS}
+    assert sorted(tuple(r) for r in got) == sorted((i, *whole[x]) for i, x in TEXTS)
+
+
+def odd_texts(seed, n=4000):
+    """Texts of letters, marks, white space and signs from all of Unicode."""
+    r = random.Random(seed)
+    kinds = ["abcdeéñİISTZßïœ", " \t\n\r\x0b\x0c   ", ".,;:!?'\"()[]-_*&%$#@/\\|`~^<>{}0123456789", "\u0307\u0301\u200b\u3000\u2003\xa0\x85\x1c\x1f\u2028\u180eÀ'", ["<|endoftext|>", "<|startoftext|>", "'s", "'RE"]]
+
+    def char():
+        k = r.randrange(8)
+        if k < 5:
+            return r.choice(kinds[k])
+        c = r.randrange(0x20, 0x3000 if k < 7 else 0x110000)
+        return "x" if 0xD800 <= c < 0xE000 else chr(c)
+
+    return ["".join(char() for _ in range(r.randrange(60))) for _ in range(n)] + ["HEPSİ.", "GELDİ, GİTTİ!", "İ,", "İ"]
+
+
+def test_ids_equal_the_library_over_all_of_unicode(monkeypatch):
+    texts = odd_texts(7)
+    monkeypatch.setattr(chunks, "MASK", 3)
+    monkeypatch.setattr(chunks, "CHUNK_BYTES", 20_000)  # generations turn over
+    codec, encoder = chunks.Codec(WORD), Encoder(BYTE)
+    for piece in kernels.slices(pa.array(texts), 5000):
+        cut, raw = [0, *chunks.cuts(piece).tolist(), len(piece.buf)], piece.buf.tobytes()
+        own = [sorted({*(x for x in cut if a < x < b), a, b}) for a, b in zip(piece.off[:-1].tolist(), piece.off[1:].tolist())]
+        got = codec.encode([[raw[a:b] for a, b in zip(e[:-1], e[1:])] for e in own])
+        for x, ids in zip(texts[piece.first :], got):
+            want = codec.library.encode(x, add_special_tokens=False).ids
+            assert ids == b"".join(i.to_bytes(4, "little") for i in want) and codec.decode(ids) == codec.library.decode(want, skip_special_tokens=False), x
+    for x, ids in zip(texts, encoder.encode(texts)):
+        assert ids == b"".join(i.to_bytes(4, "little") for i in encoder.library.encode(x, add_special_tokens=False).ids), x
+
+
+def test_long_texts_are_encoded_in_parts(monkeypatch):
+    monkeypatch.setattr(pieces, "TOGETHER_CHARS", 100)
+    text = " ".join(odd_texts(3, 200)).replace("\x1c", "").replace("\x1f", "").replace("\x85", "").replace("\u180e", "")
+    encoder = Encoder(BYTE)
+    assert len(list(pieces.parts(text))) > 5 and "".join(pieces.parts(text)) == text
+    assert encoder.encode(["a", text, None, "b"])[1] == b"".join(i.to_bytes(4, "little") for i in encoder.library.encode(text, add_special_tokens=False).ids)
+
+
+def test_cache_keeps_to_its_bytes():
+    cache = pieces.Cache(10_000)
+    for k in range(400):
+        keys = {f"{k}-{j}" for j in range(10)} | {"always", "x" * 5000 + str(k)}
+        assert cache.bring(keys, lambda ks: [x.encode() for x in ks]) == {x: x.encode() for x in keys}
+        assert len(cache.young) + len(cache.old) < 120 and cache.size < 20_000
+    assert "always" in cache.young and not any(len(x) > 4096 for x in cache.young)
 
 
 def test_disagreeing_joins_are_repaired():
     codec = chunks.Codec(WORD)
-    library = codec.library
     text = "alpha beta gamma"
     for parts in ([b"alpha be", b"ta gamma"], [b"alp", b"ha beta gam", b"ma"], [b"alpha", b" beta", b" gamma"]):
-        ids = library.encode(text, add_special_tokens=False).ids
-        assert codec.encode([parts])[0] == (" ".join(map(str, ids)), library.decode(ids, skip_special_tokens=False))
+        ids = codec.library.encode(text, add_special_tokens=False).ids
+        assert codec.encode([list(parts)])[0] == b"".join(i.to_bytes(4, "little") for i in ids)
+        assert codec.decode(codec.encode([list(parts)])[0]) == codec.library.decode(ids, skip_special_tokens=False)
+
+
+def test_range_hashes_tell_apart_what_collides_modulo_powers_of_two():
+    bits = lambda n, k: "".join("ab"[(i.bit_count() + k) & 1] for i in range(n))
+    lines = [bits(4096, 0), bits(4096, 1)]
+    piece = next(kernels.slices(pa.array(lines)))
+    h = piece.hashes(piece.prefix(False), piece.off[:-1], piece.off[1:])
+    assert h[0] != h[1]
+    long = next(kernels.slices(pa.array(["x" * (kernels.SLICE_BYTES + 9) + "word", "word"]), 1 << 40))
+    n = kernels.SLICE_BYTES + 9
+    a, b = long.hashes(long.prefix(False), long.off[1:] - 4, long.off[1:])
+    assert a == b and n and len(kernels._POWERS[0][0]) == kernels.SLICE_BYTES + 1
 
 
 def test_cuts_are_content_defined():
@@ -407,7 +475,7 @@ def test_automaton_finds_longest_matches():
         while at + k < len(text) and text[at : at + k + 1] in data:
             k += 1
         count, at = count + 1, at + k
-    assert language.phrases((("x", data),), piece)[0].tolist() == [[count]]
+    assert language.phrases(language.compiled((("x", data),)), piece)[0].tolist() == [[count]]
 
 
 def test_registry_names_every_operator():
