@@ -11,7 +11,14 @@
 
 A stage's result is written as Parquet in the shared folder and read again as the
 next one's documents. The last stage's hashes cannot be written in SQL, so there is
-no ORACLE_SQL; the tests hold the rows against a brute-force version.
+no ORACLE_SQL; tests/llm/test_pipeline.py holds the rows against a brute-force version.
+
+Defined results: null and empty texts, and texts without letters, go in the first
+stage; a null lang, source or doc_id changes nothing else (a null doc_id counts as
+the first document in the lines stage, and goes as a near duplicate only beside
+an equal text with an id); of equal texts the smallest doc_id stays; rows of one
+doc_id stay or go together in the near-duplicate stage; very long texts are judged
+whole; further columns pass through, whatever their names; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -27,9 +34,14 @@ MAX_PHRASE_RATE = 0.6
 ORACLE_SQL = None
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """``text`` and the whole row in one column, so that no name clashes with an operator's."""
+    return docs.select("text", F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"))
+
+
 def by_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    judged = language.identify(docs, language.learn(docs), docs.columns)
-    return judged.where((F.col("lang_pred") != "und") & (F.col("phrase_rate") <= MAX_PHRASE_RATE)).select(*docs.columns)
+    judged = language.identify(packed(docs), language.learn(docs), ["_row"])
+    return judged.where((F.col("lang_pred") != "und") & (F.col("phrase_rate") <= MAX_PHRASE_RATE)).select("_row.*")
 
 
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,12 +57,12 @@ def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    judged = contamination.contamination(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"), docs.columns)
-    return judged.where("NOT contaminated").select(*docs.columns)
+    judged = contamination.contamination(packed(docs), table(spark, sf_dir, "benchmark").select("item_id", "text"), ["_row"])
+    return judged.where("NOT contaminated").select("_row.*")
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return chunks.encode(docs, public_tokenizers.path("word_bpe_49k.json"), ["doc_id"])
+    return chunks.digests(chunks.encode(docs, public_tokenizers.path("word_bpe_49k.json"), ["doc_id"]))
 
 
 STAGES = [
