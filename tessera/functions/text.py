@@ -13,6 +13,7 @@ from decimal import Decimal
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+#: Words that are no part of a name.
 PARTICLES = ["DE", "DA", "DO", "DAS", "DOS", "E", "MIN", "MINISTRO", "MINISTRA"]
 
 
@@ -138,8 +139,8 @@ def norm_id(c: Column | str) -> Column:
 
 
 def level_of(c: Column | str) -> Column:
-    """The level in a document name such as ``x_n1_7``, or null."""
-    return F.nullif(F.regexp_extract(column(c), r"(?:^|_)n([12])(?:_|$)", 1), F.lit("")).cast("int")
+    """The level in a document name such as ``x_n1_7``, in either case, or null."""
+    return F.nullif(F.regexp_extract(column(c), r"(?i)(?:^|_)n([12])(?:_|$)", 1), F.lit("")).cast("int")
 
 
 def contains_word(text: Column, word: Column) -> Column:

@@ -2,68 +2,101 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.text import digits
+from tessera.functions.text import digits, level_of
 from tessera.operators.decide import decide, final_confidence
 from tessera.operators.enrich import enrich_acordao, enrich_dispositivo, enrich_sumula, supported
-from tessera.operators.extract import extract_acordao, extract_dispositivo, extract_sumula, nature
-from tessera.operators.retrieve import lookup_each, retrieve_acordao
+from tessera.operators.extract import LABELS, extract_acordao, extract_dispositivo, extract_sumula, resolve_class
+from tessera.operators.retrieve import lookup_each, payload, retrieve_acordao
 from tessera.sources.settle import settled
 
+EXTRACTORS = {"acordao": (extract_acordao, enrich_acordao), "sumula": (extract_sumula, enrich_sumula), "dispositivo": (extract_dispositivo, enrich_dispositivo)}
+#: What a mention with an unknown label counts as, and its confidence.
+UNKNOWN, UNKNOWN_CONFIDENCE = ("jurisprudencia", "acordao"), 0.2
+
 
 def typed(mentions: DataFrame) -> DataFrame:
-    """Mentions with tipo_citacao, natureza and the enriched fields of their nature; unsupported ones have ``discarded`` set."""
-    own = {"acordao": extract_acordao, "sumula": extract_sumula, "dispositivo": extract_dispositivo}
-    fill = {"acordao": enrich_acordao, "sumula": enrich_sumula, "dispositivo": enrich_dispositivo}
-    rows = mentions.withColumn("_k", nature(F.col("tipo")))
-    rows = rows.withColumns({f"_{n}": F.when(F.col("_k.natureza") == n, extract("trecho")) for n, extract in own.items()})
-    rows = rows.withColumns({f"_e_{n}": F.when(F.col("_k.natureza") == n, enrich(F.col("trecho"), F.col(f"_{n}"))) for n, enrich in fill.items()})
-    rows = rows.select(
-        *mentions.columns,
-        F.col("_k.tipo").alias("tipo_citacao"),
-        F.col("_k.natureza").alias("natureza"),
-        *(F.col(f"_e_{n}.data").alias(n) for n in own),
-        F.coalesce(*(F.col(f"_e_{n}.warnings") for n in own)).alias("warnings"),
-    )
-    return rows.withColumn("discarded", ~F.coalesce(supported(F.col("natureza"), F.col("acordao"), F.col("sumula"), F.col("dispositivo")), F.lit(False)))
+    """Mentions with tipo_citacao, natureza and the enriched fields of their nature.
+
+    Those that say too little have ``discarded`` set; one with an unknown label has an
+    ``error`` and stops nothing else. Each nature is extracted, settled, enriched and
+    settled on its own, so that no plan holds more than one extractor.
+    """
+    held = settled(mentions)
+    parts = []
+    for label, (kind, natureza) in LABELS.items():
+        extract, enrich = EXTRACTORS[natureza]
+        own = settled(held.where(F.col("tipo") == label).withColumn("_x", extract("trecho")))
+        own = settled(own.withColumn("_e", enrich(F.col("trecho"), F.col("_x"))))
+        parts.append(own.select(*mentions.columns, F.lit(kind).alias("tipo_citacao"), F.lit(natureza).alias("natureza"), F.col("_e.data").alias(natureza), F.col("_e.warnings").alias("warnings")))
+    unknown = held.where(~F.coalesce(F.col("tipo").isin(*LABELS), F.lit(False)))
+    parts.append(unknown.select(*mentions.columns, F.lit(UNKNOWN[0]).alias("tipo_citacao"), F.lit(UNKNOWN[1]).alias("natureza"), F.array().cast("array<string>").alias("warnings"), F.lit("CITATION_PIPELINE_ERROR").alias("error")))
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return rows.withColumn("discarded", F.col("error").isNull() & ~F.coalesce(supported(F.col("natureza"), F.col("acordao"), F.col("sumula"), F.col("dispositivo")), F.lit(False)))
 
 
 def retrieved(mentions: DataFrame, index: dict[str, DataFrame]) -> DataFrame:
-    """mention_id, attempts, candidates, sufficient and searched of typed mentions, by nature."""
+    """mention_id, attempts, candidates, sufficient, searched, log and confirmed of typed mentions, by nature.
+
+    A class without a normal form is resolved again with the court that enrichment
+    found; a binding statement without a court is one of the STF.
+    """
+    raw = F.nullif("acordao.classe_processual", F.lit(""))
+    again = F.when(raw.isNotNull(), resolve_class(raw, F.col("acordao.tribunal"))["normalized"])
     rulings = mentions.where("natureza = 'acordao'").select(
         "mention_id",
         F.nullif(digits("acordao.numero"), F.lit("")).alias("numero"),
         "acordao.tribunal",
-        F.coalesce("acordao.classe_processual_normalizada", "acordao.classe_processual").alias("classe"),
+        F.coalesce("acordao.classe_processual_normalizada", again, raw).alias("classe"),
         "acordao.uf",
         "acordao.ano",
         "acordao.relator",
     )
-    statements = mentions.where("natureza = 'sumula'").select("mention_id", "sumula.numero", "sumula.tribunal")
-    provisions = mentions.where("natureza = 'dispositivo'").select("mention_id", "dispositivo.artigo", "dispositivo.diploma")
-    columns = ["mention_id", "attempts", "candidates", "sufficient", "searched"]
+    court = F.coalesce(F.nullif("sumula.tribunal", F.lit("")), F.when(F.col("sumula.vinculante"), "STF"))
+    statements = mentions.where("natureza = 'sumula'").select("mention_id", "sumula.numero", court.alias("tribunal"))
+    provisions = mentions.where("natureza = 'dispositivo'").select("mention_id", "dispositivo.artigo", F.upper("dispositivo.diploma").alias("diploma"))
+    columns = ["mention_id", "attempts", "candidates", "sufficient", "searched", "log", "confirmed"]
     found = retrieve_acordao(rulings, index["acordao_key"], index["canonical_document"], index["acordao_class"]).select(*columns)
-    found = found.unionByName(lookup_each(statements, "numero", "tribunal", index["sumula_key"], "numero", "tribunal").select(*columns))
-    return found.unionByName(lookup_each(provisions, "artigo", "diploma", index["dispositivo_key"], "artigo", "diploma").select(*columns))
+    found = found.unionByName(lookup_each(statements, "numero", "tribunal", index["sumula_key"], "numero", "tribunal", "sumula").select(*columns))
+    return found.unionByName(lookup_each(provisions, "artigo", "diploma", index["dispositivo_key"], "artigo", "diploma", "dispositivo").select(*columns))
+
+
+def judged(rows: DataFrame, index: dict[str, DataFrame]) -> DataFrame:
+    """Typed mentions with verdict, rule, id, evidence of the candidates and final confidence; a failed one is undecided by ``ERRO_TECNICO``."""
+    rows = settled(rows.where("NOT discarded").withColumn("mention_id", F.concat_ws("#", "documento_id", "id")))
+    found = settled(retrieved(rows.where("error IS NULL"), index))
+    found = found.join(payload(found, index["canonical_document"]), "mention_id", "left")
+    out = rows.withColumnRenamed("error", "_error").join(found, "mention_id", "left").withColumn("error", F.col("_error").isNotNull())
+    out = out.withColumns({"attempts": F.coalesce("attempts", F.lit(0)), "candidates": F.coalesce("candidates", F.array().cast("array<long>")), "sufficient": F.coalesce("sufficient", F.lit(False)), "searched": F.coalesce("searched", F.lit(False))})
+    out = decide(out)
+    final = F.when(F.col("error"), UNKNOWN_CONFIDENCE).otherwise(final_confidence(F.col("confianca_decisao"), F.col("confianca")))
+    return out.withColumn("confianca_final", final).drop("error").withColumnRenamed("_error", "error")
 
 
 def verified(mentions: DataFrame, index: dict[str, DataFrame]) -> DataFrame:
-    """Supported mentions with verdict, rule, id and final confidence. ``mentions``: documento_id, id, tipo, inicio, fim, trecho, confianca."""
-    rows = settled(typed(mentions).where("NOT discarded").withColumn("mention_id", F.concat_ws("#", "documento_id", "id")))
-    decided = decide(retrieved(rows, index))
-    out = rows.join(decided, "mention_id")
-    return out.withColumn("confianca_final", final_confidence(F.col("confianca_decisao"), F.col("confianca")))
-
-
-def document_json(citations: DataFrame, documents: DataFrame) -> DataFrame:
-    """One row per document with its citations as JSON, also where there are none, and the counters of the run."""
-    fields = ["id", "inicio", "fim", "trecho", "tipo_citacao", "natureza", "acordao", "sumula", "dispositivo", "classificacao", "regra", "id_canonico", "attempts", "candidates", "warnings", "confianca_final"]
-    grouped = citations.groupBy("documento_id").agg(F.array_sort(F.collect_list(F.struct("inicio", "fim", F.struct(*fields).alias("c")))).alias("x"))
-    out = documents.select("documento_id", F.sha2("text", 256).alias("sha256")).join(grouped, "documento_id", "left")
-    listed = F.transform(F.coalesce("x", F.array().cast(grouped.schema["x"].dataType)), lambda x: x["c"])
-    return out.select("documento_id", F.size(listed).alias("n_citacoes"), F.to_json(F.struct("documento_id", "sha256", listed.alias("citacoes"))).alias("json"))
+    """Supported mentions judged. ``mentions``: documento_id, id, tipo, inicio, fim, trecho, confianca."""
+    return judged(typed(mentions), index)
+
+
+def document_json(citations: DataFrame, documents: DataFrame, discarded: DataFrame | None = None) -> DataFrame:
+    """One row per document with its citations as JSON, also where there are none: level, text hash, citations, diagnostics.
+
+    ``discarded``: the mentions (documento_id) that said too little.
+    """
+    fields = ["id", "inicio", "fim", "trecho", "tipo_citacao", "natureza", "acordao", "sumula", "dispositivo", "classificacao", "regra", "id_canonico", "log", "candidatos", "warnings", "confianca_final", "error"]
+    grouped = citations.groupBy("documento_id").agg(F.array_sort(F.collect_list(F.struct("inicio", "fim", "id", F.to_json(F.struct(*fields)).alias("c")))).alias("x"), F.count("error").alias("citacoes_com_erro"))
+    out = documents.select("documento_id", F.sha2("text", 256).alias("sha256"), F.length("text").alias("texto_len")).join(grouped, "documento_id", "left")
+    gone = (citations.select("documento_id").where("false") if discarded is None else discarded.select("documento_id")).groupBy("documento_id").agg(F.count("*").alias("_gone"))
+    out = out.join(gone, "documento_id", "left")
+    listed = F.coalesce(F.transform("x", lambda x: x["c"]), F.array().cast("array<string>"))
+    counts = F.struct(F.size(listed).alias("total_citacoes"), F.coalesce("_gone", F.lit(0)).alias("entidades_descartadas"), F.coalesce("citacoes_com_erro", F.lit(0)).alias("citacoes_com_erro"))
+    head = F.to_json(F.struct(F.lit("1.0").alias("schema_version"), "documento_id", level_of("documento_id").alias("nivel"), F.struct("texto_len", "sha256").alias("fonte"), counts.alias("diagnostico")))
+    whole = F.concat(F.substring(head, 1, F.length(head) - 1), F.lit(',"citacoes":['), F.array_join(listed, ","), F.lit("]}"))
+    return out.select("documento_id", F.size(listed).alias("n_citacoes"), whole.alias("json"))
 
 
 def submission(citations: DataFrame, documents: DataFrame) -> DataFrame:

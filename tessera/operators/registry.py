@@ -85,7 +85,10 @@ def number_records(header: Column, tribunal: Column) -> Column:
 
 
 def cnj_parts(number: Column, kind: Column) -> Column:
-    """struct(cnj_ano, cnj_segmento, cnj_regiao), null unless the number has 20 digits or more."""
+    """struct(cnj_ano, cnj_segmento, cnj_regiao), null unless the number has 20 digits or more.
+
+    Their places, counted from the end, are fixed values of the index format.
+    """
     full = (kind == "cnj") & (F.length(number) >= 20)
     return F.struct(
         F.when(full, F.substring(number, -13, 4).try_cast("int")).alias("cnj_ano"),

@@ -27,24 +27,42 @@ def first_pass(present: dict[str, Column], matches: dict[str, Column], court_ok:
     return F.when(F.coalesce(court_ok, F.lit(False)), worst).otherwise(NEVER)
 
 
-def resolved(pairs: DataFrame, mention: str, candidate: str, plans: Column) -> DataFrame:
+def resolved(pairs: DataFrame, mention: str, candidate: str, plans: Column, given: Column | None = None, kept: Column | None = None) -> DataFrame:
     """One row per mention: attempts made and accepted candidates in order.
 
     ``pairs`` has ``first_pass`` (null where a mention has no pair); ``plans`` is
-    the number of fields of the mention that can be dropped.
+    the number of fields of the mention that can be dropped. With ``given``, the
+    names of those fields in the order of dropping, and ``kept``, the names of the fields that every
+    plan uses, also ``log`` (each plan's name, fields and ids) and ``confirmed`` (the fields of the last plan).
     """
     grouped = pairs.groupBy(mention).agg(
         F.min("first_pass").alias("_chosen"),
         F.first(plans).alias("_plans"),
+        *([] if given is None else [F.first(given).alias("_given"), F.first(kept).alias("_kept")]),
         F.array_sort(F.collect_list(F.when(F.col("first_pass") < NEVER, F.struct(F.col(candidate).alias("id"), F.col("first_pass").alias("first_pass"))))).alias("_all"),
     )
     found = F.col("_chosen") < NEVER
-    return grouped.select(
+    last = F.when(found, F.col("_chosen")).otherwise(F.col("_plans")).cast("int")
+    accepted = lambda k: F.transform(F.filter("_all", lambda x: x["first_pass"] <= k), lambda x: x["id"])
+    out = [
         mention,
-        F.when(found, F.col("_chosen") + 1).otherwise(F.col("_plans") + 1).cast("int").alias("attempts"),
-        F.when(found, F.transform(F.filter("_all", lambda x: x["first_pass"] <= F.col("_chosen")), lambda x: x["id"])).otherwise(F.array().cast("array<long>")).alias("candidates"),
-        F.transform(F.sequence(F.lit(0), F.when(found, F.col("_chosen")).otherwise(F.col("_plans")).cast("int")), lambda k: F.size(F.filter("_all", lambda x: x["first_pass"] <= k))).alias("counts"),
-    )
+        (last + 1).cast("int").alias("attempts"),
+        F.when(found, accepted(F.col("_chosen"))).otherwise(F.array().cast("array<long>")).alias("candidates"),
+        F.transform(F.sequence(F.lit(0), last), lambda k: F.size(accepted(k))).alias("counts"),
+    ]
+    if given is not None:
+        fields = lambda k: F.concat("_kept", F.reverse(F.slice("_given", k + 1, F.size("_given"))))
+        name = lambda k: F.when(k == 0, "acordao_completo").otherwise(F.concat(F.lit("acordao_sem_"), F.try_element_at("_given", k)))
+        out.append(F.transform(F.sequence(F.lit(0), last), lambda k: F.struct(name(k).alias("plano"), fields(k).alias("campos"), accepted(k).alias("ids"))).alias("log"))
+        out.append(fields(last).alias("confirmed"))
+    return grouped.select(*out)
+
+
+def payload(found: DataFrame, documents: DataFrame) -> DataFrame:
+    """mention_id and ``candidatos``: what the registry says of each candidate (found: mention_id, candidates, confirmed)."""
+    each = found.select("mention_id", "confirmed", F.explode("candidates").alias("id_canonico")).join(documents.select("id_canonico", "documento_id", "natureza", "tribunal", "ano", "header_strategy"), "id_canonico")
+    row = F.struct("id_canonico", F.col("documento_id").alias("documento_id_base"), "natureza", "tribunal", "ano", F.col("confirmed").alias("campos_confirmados"), F.struct(F.lit("cabecalho").alias("origem"), F.col("header_strategy").alias("estrategia")).alias("evidencia"))
+    return each.groupBy("mention_id").agg(F.array_sort(F.collect_list(row)).alias("candidatos"))
 
 
 def retrieve_acordao(mentions: DataFrame, keys: DataFrame, documents: DataFrame, classes: DataFrame) -> DataFrame:
@@ -69,8 +87,10 @@ def retrieve_acordao(mentions: DataFrame, keys: DataFrame, documents: DataFrame,
     }
     court = ~present["tribunal"] | (fold("tribunal") == fold("_tribunal"))
     pairs = pairs.withColumn("first_pass", F.when(F.col("id_canonico").isNotNull(), first_pass(present, matches, court)))
-    best = pairs.groupBy("mention_id", "id_canonico").agg(F.min("first_pass").alias("first_pass"), F.first(sum((present[f].cast("int") for f in RELAXED), F.lit(0))).alias("_plans"), F.first("numero").alias("numero"), F.first(F.struct("tribunal", "classe", "uf")).alias("_m"))
-    out = resolved(best, "mention_id", "id_canonico", F.col("_plans"))
+    given = F.array_compact(F.array(*(F.when(present[f], f) for f in RELAXED)))
+    kept = F.array_compact(F.array(F.lit("numero"), F.when(present["tribunal"], "tribunal")))
+    best = pairs.groupBy("mention_id", "id_canonico").agg(F.min("first_pass").alias("first_pass"), F.first(sum((present[f].cast("int") for f in RELAXED), F.lit(0))).alias("_plans"), F.first("numero").alias("numero"), F.first(F.struct("tribunal", "classe", "uf")).alias("_m"), F.first(given).alias("_given"), F.first(kept).alias("_kept"))
+    out = resolved(best, "mention_id", "id_canonico", F.col("_plans"), F.col("_given"), F.col("_kept"))
     sufficient = best.groupBy("mention_id").agg(
         F.first((F.length("numero") == 20) | (F.coalesce("_m.tribunal", F.lit("")) != "") | (F.coalesce("_m.classe", F.lit("")) != "") | (F.coalesce("_m.uf", F.lit("")) != "")).alias("sufficient"),
         F.first(F.coalesce("numero", F.lit("")) != "").alias("searched"),
@@ -78,18 +98,25 @@ def retrieve_acordao(mentions: DataFrame, keys: DataFrame, documents: DataFrame,
     return out.join(sufficient, "mention_id").withColumn("sufficient", F.col("searched") & F.coalesce("sufficient", F.lit(False)))
 
 
-def lookup_each(mentions: DataFrame, values: str, qualifier: str, keys: DataFrame, key: str, key_qualifier: str) -> DataFrame:
+def lookup_each(mentions: DataFrame, values: str, qualifier: str, keys: DataFrame, key: str, key_qualifier: str, kind: str = "consulta") -> DataFrame:
     """Statements of precedent and provisions: each value of a mention is looked up, with the qualifier if it is given, and the ids united.
 
-    One row per mention: attempts (one for each value), candidates in order, and
-    whether the identity is sufficient (a qualifier and exactly one value).
+    One row per mention: attempts (one for each value), candidates in order, whether
+    the identity is sufficient (a qualifier and exactly one value), ``log`` with the ids of
+    each value in order, and the fields ``confirmed``.
     """
-    asked = mentions.select("mention_id", F.col(qualifier).alias("_q"), F.size(F.coalesce(values, F.array().cast(mentions.schema[values].dataType))).alias("_n"), F.explode_outer(values).alias("_v"))
+    asked = mentions.select("mention_id", F.nullif(qualifier, F.lit("")).alias("_q"), F.size(F.coalesce(values, F.array().cast(mentions.schema[values].dataType))).alias("_n"), F.posexplode_outer(values).alias("_at", "_v"))
     held = keys.select(F.col(key).alias("_v"), F.col(key_qualifier).alias("_kq"), "id_canonico")
-    found = asked.join(held, "_v", "left").withColumn("_id", F.when(F.coalesce("_q", F.lit("")).eqNullSafe("") | (F.col("_q") == F.col("_kq")), F.col("id_canonico")))
-    return found.groupBy("mention_id").agg(
+    found = asked.join(held, "_v", "left").withColumn("_id", F.when(F.col("_q").isNull() | (F.col("_q") == F.col("_kq")), F.col("id_canonico")))
+    each = found.groupBy("mention_id", "_at").agg(F.first("_q").alias("_q"), F.first("_n").alias("_n"), F.first(F.col("_v").cast("string")).alias("_v"), F.array_sort(F.collect_set("_id")).alias("_ids"))
+    plan = F.when(F.col("_q").isNotNull(), f"{kind}_{qualifier}_{key}").otherwise(f"{kind}_{key}")
+    attempt = F.struct("_at", plan.alias("plano"), F.col("_v").alias("valor"), F.col("_ids").alias("ids"))
+    fields = F.array_compact(F.array(F.lit(key), F.when(F.col("_q").isNotNull(), qualifier)))
+    return each.groupBy("mention_id").agg(
         F.first("_n").cast("int").alias("attempts"),
-        F.array_sort(F.collect_set("_id")).alias("candidates"),
-        F.first((F.coalesce("_q", F.lit("")) != "") & (F.col("_n") == 1)).alias("sufficient"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("_ids")))).alias("candidates"),
+        F.first(F.col("_q").isNotNull() & (F.col("_n") == 1)).alias("sufficient"),
         F.first(F.col("_n") > 0).alias("searched"),
+        F.transform(F.array_sort(F.collect_list(F.when(F.col("_n") > 0, attempt))), lambda x: F.struct(x["plano"].alias("plano"), F.array(x["valor"]).alias("campos"), x["ids"].alias("ids"))).alias("log"),
+        F.first(fields).alias("confirmed"),
     )

@@ -74,12 +74,17 @@ def stable_ids(spans: DataFrame, doc: str) -> DataFrame:
 def hash_split(items: DataFrame, group: str, seed: str, fraction: float) -> DataFrame:
     """Whole groups by order of ``sha256(seed|group)`` into validation until it holds the wanted count.
 
-    The order is over groups, of which there are few; their sizes are counted first.
+    The order runs over 4,096 ranges of the hash: sums of the ranges are few, so they
+    are added up together and broadcast; groups are ordered within their range alone.
     """
     sizes = items.groupBy(group).agg(F.count("*").alias("n")).withColumn("h", F.sha2(F.concat(F.lit(f"{seed}|"), F.col(group)), 256))
-    before = Window.orderBy("h").rowsBetween(Window.unboundedPreceding, -1)
-    everything = Window.partitionBy()
-    return sizes.withColumn("validation", F.coalesce(F.sum("n").over(before), F.lit(0)) < F.bround(F.sum("n").over(everything) * F.lit(fraction), 0)).select(group, "n", "h", "validation")
+    sizes = sizes.withColumn("_range", F.coalesce(F.substring("h", 1, 3), F.lit("")))
+    order = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = sizes.groupBy("_range").agg(F.sum("n").alias("_n"))  # at most 4,097 rows
+    ranges = ranges.select("_range", F.coalesce(F.sum("_n").over(order), F.lit(0)).alias("_before"), F.sum("_n").over(Window.partitionBy()).alias("_all"))
+    within = Window.partitionBy("_range").orderBy("h").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.col("_before") + F.coalesce(F.sum("n").over(within), F.lit(0))
+    return sizes.join(F.broadcast(ranges), "_range").withColumn("validation", before < F.bround(F.col("_all") * F.lit(fraction), 0)).select(group, "n", "h", "validation")
 
 
 def token_windows(lengths: Column, size: int = 510, overlap: int = 96) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tessera.operators import evaluate as E
 from tessera.operators.contract import sets_differ, violations
 from tessera.plans.resolve import load
+from tessera.sources.settle import settled
 
 KINDS = ["real", "inventada", "incompleta"]
 
@@ -36,33 +37,56 @@ def predicted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first.unionByName(second)
 
 
-def matches(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    g, p = gold(spark, sf_dir), predicted(spark, sf_dir)
-    return g, p, E.matched(g.drop("nivel"), p.drop("nivel"), "doc")
-
-
 def span_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return matches(spark, sf_dir)[2].select("doc", "gi", "pi", F.round("iou", 6).alias("iou"))
+    found = E.matched(gold(spark, sf_dir), predicted(spark, sf_dir), "doc")
+    return found.select("doc", "gi", "pi", F.round("iou", 6).alias("iou"))
 
 
 def extra_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    g, p, m = matches(spark, sf_dir)
-    return E.contained(p, g, m, "doc").select("doc", "pi")
+    return E.contained(gold(spark, sf_dir), predicted(spark, sf_dir), "doc")
+
+
+def counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return E.confusion(E.outcomes(E.by_document(gold(spark, sf_dir), predicted(spark, sf_dir), "doc")))
 
 
 def metric_confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
-    g, p, m = matches(spark, sf_dir)
-    out = E.confusion(E.outcomes(g, p, m, "doc"))
-    return out.select("nivel", "classe", *(F.col(c).cast("long").alias(c) for c in E.MEASURES if c != "squared"), F.round("squared", 6).alias("squared"))
+    return counts(spark, sf_dir).select("nivel", "classe", *(F.col(c).cast("long").alias(c) for c in E.MEASURES if c != "squared"), F.round("squared", 6).alias("squared"))
 
 
 def metric_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    g, p, m = matches(spark, sf_dir)
-    levels = E.level_scores(E.confusion(E.outcomes(g, p, m, "doc")))
+    """Score of each level, and of all as level 0; the levels are one row for each, kept while the total is taken."""
+    levels = settled(E.level_scores(counts(spark, sf_dir)))
     whole = E.weighted_score(levels).select(F.lit(0).alias("nivel"), "score")
     return levels.select("nivel", "score").unionByName(whole).select("nivel", F.round("score", 6).alias("score"))
 
 
+def cells(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Cells of gold and predicted spans: every seventh class in capitals, some confidences empty."""
+    g = gold(spark, sf_dir).groupBy("doc", "nivel").agg(F.array_sort(F.collect_list(F.struct("gi", "g"))).alias("x"))
+    shout = lambda c, k: F.when(k % 7 == 0, F.upper(c)).otherwise(c)
+    g = g.select(F.col("doc").cast("string").alias("documento_id"), "nivel", F.array_join(F.transform("x", lambda x: F.concat_ws(",", x["g"]["inicio"].cast("string"), x["g"]["fim"].cast("string"), shout(x["g"]["classe"], x["gi"]), F.array_join(x["g"]["ids"], ":"))), "|").alias("citacoes"))
+    p = predicted(spark, sf_dir).groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("pi", "p"))).alias("x"))
+    said = lambda x: F.concat_ws(",", x["p"]["inicio"].cast("string"), x["p"]["fim"].cast("string"), shout(x["p"]["classe"], x["pi"]), F.coalesce(x["p"]["id"], F.lit("-")), F.coalesce(x["p"]["confianca"].cast("string"), F.lit("")))
+    p = p.select(F.col("doc").cast("string").alias("documento_id"), F.array_join(F.transform("x", said), "|").alias("citacoes"), F.lit(1).alias("n"))
+    return g, g.select("documento_id", F.lit("-").alias("citacoes"), F.lit(2).alias("n")).unionByName(p)
+
+
+def cell_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The metric from cells; a second row of a document does not count."""
+    return E.score(*cells(spark, sf_dir), "n").select(F.round("score", 6).alias("score"))
+
+
+def cell_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cells spoilt by the document's number: why each cannot be scored."""
+    g, p = cells(spark, sf_dir)
+    k = F.col("documento_id").cast("long")
+    first = lambda c: F.substring_index(c, "|", 1)
+    spoilt = F.when(k % 9 == 1, F.concat_ws("|", first("citacoes"), first("citacoes"))).when(k % 9 == 2, "5,3,real,1,-").when(k % 9 == 3, "1,3,real,x,-").when(k % 9 == 4, "1,3,real,7,1.5").when(k % 9 == 5, "1,3,Inventada,x,").otherwise(F.lit("-"))
+    gold_cell = F.when(k % 9 == 6, F.concat_ws("|", first("citacoes"), first("citacoes"))).when(k % 9 == 7, "1,3,real,-:").otherwise(F.col("citacoes"))
+    return E.cell_errors(g.withColumn("citacoes", gold_cell), p.where(k % 9 != 8).withColumn("citacoes", spoilt), "n")
+
+
 def stale_and_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders without small lines, and lines of orders with a low number."""
     orders, lines = load(spark, sf_dir, "orders"), load(spark, sf_dir, "lineitem")
@@ -100,6 +124,8 @@ QUERIES = {
     "extra_containment": extra_containment,
     "metric_confusion": metric_confusion,
     "metric_score": metric_score,
+    "cell_score": cell_score,
+    "cell_errors": cell_errors,
     "stale_and_missing": stale_and_missing,
     "contract_violations": contract_violations,
     "encode_cell": encode_cell,
@@ -157,6 +183,15 @@ f AS (SELECT nivel, avg(CASE WHEN support > 0 THEN CASE WHEN 2 * tp + fp + fn >
 s AS (SELECT nivel, macro * (1 - 0.5 * tau) * (1 + greatest(0, least(0.1, 0.1 * (1 - brier)))) AS score FROM f)
 SELECT nivel, round(CAST(score AS DOUBLE), 6) AS score FROM s
 UNION ALL SELECT 0, round(CAST(sum(score * nivel) / sum(nivel) AS DOUBLE), 6) FROM s""",
+    "cell_score": f"""WITH {_EVENTS},
+f AS (SELECT nivel, avg(CASE WHEN support > 0 THEN CASE WHEN 2 * tp + fp + fn > 0 THEN 2.0 * tp / (2 * tp + fp + fn) ELSE 0 END END) AS macro,
+             CAST(sum(severe) AS DOUBLE) / sum(invented) AS tau, sum(squared) / sum(judged) AS brier FROM cf GROUP BY nivel),
+s AS (SELECT nivel, macro * (1 - 0.5 * tau) * (1 + greatest(0, least(0.1, 0.1 * (1 - brier)))) AS score FROM f)
+SELECT round(CAST(sum(score * nivel) / sum(nivel) AS DOUBLE), 6) AS score FROM s""",
+    "cell_errors": """
+WITH d AS (SELECT DISTINCT l_orderkey AS k FROM lineitem)
+SELECT CAST(k AS VARCHAR) AS documento_id, CASE k % 9 WHEN 8 THEN 'document not sent' WHEN 6 THEN 'malformed solution' WHEN 7 THEN 'malformed solution' ELSE 'malformed citation' END AS problem
+FROM d WHERE k % 9 NOT IN (0, 5)""",
     "stale_and_missing": """
 SELECT id, 'missing' AS problem FROM (SELECT o_orderkey AS id FROM orders WHERE o_orderkey % 3 <> 0 EXCEPT SELECT l_orderkey FROM lineitem WHERE l_quantity < 30)
 UNION ALL SELECT id, 'stale' FROM (SELECT l_orderkey AS id FROM lineitem WHERE l_quantity < 30 EXCEPT SELECT o_orderkey FROM orders WHERE o_orderkey % 3 <> 0)""",

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.functions.text import class_key, fold
 from tessera.operators.decide import decide, final_confidence
-from tessera.operators.retrieve import RELAXED, first_pass, lookup_each, resolved
+from tessera.operators.retrieve import RELAXED, first_pass, lookup_each, payload, resolved, retrieve_acordao
+from tessera.sources.settle import settled
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -65,6 +67,43 @@ def resolve_decide(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("mention_id", "classificacao", "regra", F.col("id_canonico").cast("string").alias("id_canonico"), final_confidence(F.col("confianca_decisao"), F.lit(1.0)).alias("confianca"))
 
 
+def retrieve_rulings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rulings by number, names, header states and class sets: the last plan, its fields and its candidates with their evidence."""
+    orders, customers = load(spark, sf_dir, "orders"), load(spark, sf_dir, "customer")
+    k = F.col("o_orderkey")
+    rows = orders.join(customers, F.col("o_custkey") == F.col("c_custkey")).select(
+        k.alias("id_canonico"),
+        (k - k % 4).cast("string").alias("numero"),
+        F.element_at(F.array(*map(F.lit, ["STF", "STJ", "TST"])), (k % 3 + 1).cast("int")).alias("tribunal"),
+        F.year("o_orderdate").alias("ano"),
+        F.concat(F.lit("Min. "), F.col("c_mktsegment"), F.lit(" da "), F.col("o_orderstatus"), F.lit("x")).alias("relator"),
+        F.element_at(F.array(*map(F.lit, ["SP", "RJ", "MG"])), (F.col("c_nationkey") % 3 + 1).cast("int")).alias("estado"),
+        F.col("o_orderpriority").alias("classe"),
+        F.concat(F.col("o_orderstatus"), F.lit("x "), F.col("c_mktsegment")).alias("turned"),
+        F.concat(F.col("c_mktsegment"), F.lit(" "), F.col("o_orderstatus"), F.lit("x")).alias("named"),
+    )
+    rows = settled(rows)
+    i = F.col("id_canonico")
+    keys = rows.select("id_canonico", F.col("numero").alias("numero_digitos"), F.when(i % 2 == 0, F.col("estado")).alias("uf"), F.when(i % 5 == 0, F.col("ano") + 1).alias("cnj_ano"))
+    header = F.when(i % 2 == 1, F.concat(F.lit("RECURSO "), F.col("numero"), F.lit(" - "), F.col("estado"), F.lit(" RELATOR"))).otherwise("RECURSO SPX RJA")
+    held = rows.select("id_canonico", F.concat(F.lit("o"), i.cast("string")).alias("documento_id"), F.lit("acordao").alias("natureza"), "tribunal", "ano", fold("relator").alias("relator_normalizado"), header.alias("header_normalized"), F.lit("x").alias("header_strategy"))
+    classes = rows.select("id_canonico", class_key("classe").alias("classe_normalizada")).unionByName(rows.where("id_canonico % 3 = 0").select("id_canonico", F.lit("HC").alias("classe_normalizada")))
+    asked = rows.select(
+        i.alias("mention_id"),
+        "numero",
+        F.when(i % 5 != 0, F.when(i % 11 == 0, "X").otherwise(F.lower("tribunal"))).alias("tribunal"),
+        F.when(i % 3 == 1, F.lower("named")).when(i % 3 == 2, F.col("turned")).alias("relator"),
+        F.when(i % 7 != 0, F.col("ano") + (i % 13 == 0).cast("int")).alias("ano"),
+        F.when(i % 6 == 1, "hc").when(i % 2 == 1, F.lower("classe")).alias("classe"),
+        F.when(i % 4 != 1, F.lower("estado")).alias("uf"),
+    )
+    found = retrieve_acordao(asked, keys, held, classes)
+    found = found.join(payload(found, held), "mention_id", "left")
+    last = F.element_at("log", -1)
+    courts = F.array_join(F.transform("candidatos", lambda c: F.concat_ws(":", c["documento_id_base"], c["tribunal"])), ",")
+    return found.select("mention_id", "attempts", last["plano"].alias("plano"), F.array_join(last["campos"], ",").alias("campos"), F.size("log").alias("n_log"), F.coalesce(courts, F.lit("")).alias("candidatos"), "sufficient")
+
+
 def lookup_multi_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parts asked for by order, with the order's first supplier as qualifier where the order number is even."""
     lines = load(spark, sf_dir, "lineitem")
@@ -95,6 +134,7 @@ def lookup_no_anchor_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "retrieve_rulings": retrieve_rulings,
     "resolve_cascade": resolve_cascade,
     "resolve_decide": resolve_decide,
     "lookup_multi_key": lookup_multi_key,
@@ -137,7 +177,35 @@ res AS (
   FROM stop s JOIN tried ON tried.mention_id = s.mention_id AND k <= last GROUP BY ALL)
 """
 
+_RULINGS = """
+reg AS (
+  SELECT o_orderkey AS id, CAST(o_orderkey - o_orderkey % 4 AS VARCHAR) AS numero, ['STF', 'STJ', 'TST'][o_orderkey % 3 + 1] AS tribunal, CAST(year(o_orderdate) AS INT) AS ano,
+         CASE WHEN o_orderkey % 5 = 0 THEN CAST(year(o_orderdate) AS INT) + 1 END AS cnj, ['SP', 'RJ', 'MG'][c_nationkey % 3 + 1] AS uf, o_orderpriority AS classe, c_mktsegment || o_orderstatus AS nome
+  FROM orders JOIN customer ON o_custkey = c_custkey),
+men AS (
+  SELECT id AS mention_id, numero,
+         CASE WHEN id % 5 <> 0 THEN CASE WHEN id % 11 = 0 THEN 'X' ELSE tribunal END END AS t,
+         CASE WHEN id % 3 = 1 THEN nome WHEN id % 3 = 2 THEN 'turned' END AS r,
+         CASE WHEN id % 7 <> 0 THEN ano + CAST(id % 13 = 0 AS INT) END AS a,
+         CASE WHEN id % 6 = 1 THEN 'hc' WHEN id % 2 = 1 THEN classe END AS c,
+         CASE WHEN id % 4 <> 1 THEN uf END AS u
+  FROM reg),
+given AS (SELECT *, list_filter([CASE WHEN r IS NOT NULL THEN 'relator' END, CASE WHEN a IS NOT NULL THEN 'ano' END, CASE WHEN c IS NOT NULL THEN 'classe' END, CASE WHEN u IS NOT NULL THEN 'uf' END], lambda x: x IS NOT NULL) AS g FROM men),
+plans AS (SELECT *, list_slice(g, k + 1, len(g)) AS used FROM given, (SELECT unnest(range(0, 5)) AS k) WHERE k <= len(g)),
+tried AS (
+  SELECT mention_id, k, used, g, t, c, u, count(reg.id) AS n, coalesce(string_agg('o' || reg.id || ':' || reg.tribunal, ',' ORDER BY reg.id), '') AS ids
+  FROM plans LEFT JOIN reg ON reg.numero = plans.numero AND (t IS NULL OR t = reg.tribunal) AND (NOT list_contains(used, 'relator') OR r = nome)
+       AND (NOT list_contains(used, 'ano') OR a = reg.ano OR coalesce(a = cnj, false)) AND (NOT list_contains(used, 'classe') OR c = reg.classe OR (c = 'hc' AND reg.id % 3 = 0)) AND (NOT list_contains(used, 'uf') OR u = reg.uf)
+  GROUP BY ALL),
+stop AS (SELECT mention_id, coalesce(min(CASE WHEN n > 0 THEN k END), max(k)) AS last FROM tried GROUP BY mention_id)
+"""
+
 ORACLES = {
+    "retrieve_rulings": f"""WITH {_RULINGS}
+SELECT mention_id, CAST(last + 1 AS INT) AS attempts, CASE WHEN last = 0 THEN 'acordao_completo' ELSE 'acordao_sem_' || g[last] END AS plano,
+       array_to_string(['numero'] || CASE WHEN t IS NULL THEN [] ELSE ['tribunal'] END || list_reverse(used), ',') AS campos, CAST(last + 1 AS INT) AS n_log, ids AS candidatos,
+       t IS NOT NULL OR c IS NOT NULL OR u IS NOT NULL AS sufficient
+FROM tried JOIN stop USING (mention_id) WHERE k = last""",
     "resolve_cascade": f"WITH {_PLANS} SELECT mention_id, attempts, candidate_ids, counts FROM res",
     "resolve_decide": f"""WITH {_PLANS},
 dec AS (

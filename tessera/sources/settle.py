@@ -10,9 +10,12 @@ from pyspark.sql import DataFrame
 def settled(df: DataFrame) -> DataFrame:
     """``df`` computed once and kept in the checkpoint folder that all executors share; plans after it start there.
 
-    A local folder is set only where the session names none.
+    A local folder is set only where the session names none and runs on one machine.
     """
     context = df.sparkSession.sparkContext
     if not context.getCheckpointDir():
-        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="tessera-"))
+        named = df.sparkSession.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
+        if not named and not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="tessera-"))
     return df.checkpoint()

@@ -28,8 +28,13 @@ def refuse_same_path(source: str, target: str) -> None:
 
 
 def write_index(index: dict[str, DataFrame], path: str, source_sha256: str) -> DataFrame:
-    """Tables of an index below ``path``, checked for unique keys; the metadata comes last, so a broken write is never taken for an index."""
+    """Tables of an index below ``path``, checked for unique keys.
+
+    The metadata of an index before it are voided first and the new ones come last, so a
+    broken write is never taken for an index, neither for the new nor for the old one.
+    """
     spark = index["canonical_document"].sparkSession
+    spark.createDataFrame([("schema_version", "incomplete")], "key string, value string").coalesce(1).write.mode("overwrite").parquet(f"{path}/index_metadata")
     written = {}
     for name, df in index.items():
         df.write.mode("overwrite").parquet(f"{path}/{name}")
@@ -59,8 +64,8 @@ def read_index(spark: SparkSession, path: str) -> dict[str, DataFrame]:
 
 
 def write_documents(rows: DataFrame, path: str) -> None:
-    """``json`` of each row (documento_id, json), one folder for each document; Spark's committer makes the output appear at once."""
-    rows.select("documento_id", F.col("json").alias("value")).repartition("documento_id").write.mode("overwrite").partitionBy("documento_id").text(path)
+    """``json`` of each row (documento_id, json) as JSON lines in the order of the ids, in as many files as their bytes need; Spark's committer makes the output appear at once."""
+    rows.select("documento_id", F.col("json").alias("value")).repartitionByRange("documento_id").sortWithinPartitions("documento_id").select("value").write.mode("overwrite").text(path)
 
 
 def write_submission(rows: DataFrame, expected: DataFrame, path: str) -> None:
