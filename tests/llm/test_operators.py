@@ -242,6 +242,20 @@ def test_short_lines_recur_and_blank_rests_go(spark):
     assert {r["doc_id"] for r in corpus_pipeline.without_repeated_lines(spark, rows, "").collect()} == {1, 3, 4}
 
 
+def test_a_leaf_holds_several_templates_and_ties_go_to_the_first(spark):
+    lead = "connection of user with "
+    first = lead + "an entirely different rest of the line that nobody else writes here"
+    log = lambda k: lead + f"name{'x' * k} was closed by the remote side after {k} seconds of silence"
+    texts = [first, *(log(k) for k in range(6)), "Share this on Facebook"]
+    assert [len(x.split()) for x in texts[:7]] == [len(texts[0].split())] * 7
+    assert kept_lines(spark, *texts, texts[-1], texts[-1]) == [first, log(0), "", "", "", "", "", "Share this on Facebook", "", ""]
+    twice = spark.createDataFrame([(1, "a b c d e f"), (1, "a b c d e f"), (None, "a b c d e f"), (2, "a b c d e f\n\nown")], "doc_id long, text string")
+    got = sorted((str(r["doc_id"]), r["text"]) for r in templates.drop_recurring(twice).collect())
+    assert got == [("1", ""), ("1", ""), ("2", "\nown"), ("None", "a b c d e f")]
+    clash = twice.withColumn("n_lines", F.lit("x"))
+    assert {r["n_lines"] for r in templates.drop_recurring(clash).collect()} == {1, 3}
+
+
 def brute_groups(rows, size, percent):
     sets = {}
     for i, x in rows:
