@@ -4,13 +4,17 @@ A document's set is its distinct 3-word shingles. Two collections of ``SLOTS``
 half-keys (``ROWS`` minhashes each) are computed; every pair of one half-key from
 each collection is the key of a table, so SLOTS**2 tables of 2*ROWS minhashes cost
 2*SLOTS*ROWS minhash functions in place of 2*SLOTS**2*ROWS. A link of similarity
-s is missed with probability 1 - (1 - (1 - s**ROWS)**SLOTS)**2, 2e-5 at 0.85.
+s is missed with probability 1 - (1 - (1 - s**ROWS)**SLOTS)**2, 2e-5 at 0.85 and
+7e-4 at 0.8; of pairs at 0.5, 22 % meet in some table, at 0.3, 2 in a thousand.
 
 1. Documents with equal sets are one class (128-bit fingerprint), represented by
    the smallest doc_id; everything below handles representatives only.
 2. Half-keys held by one representative drop out before pairs are formed.
-3. Each table key links its members to its smallest one: candidate clusters.
-4. Every pair of a cluster is compared on full sets, ``BLOCK`` x ``BLOCK`` at a
+3. Each table key makes its members candidates of its smallest one: a star. Members
+   are compared with the centre on full sets, a star of many in parts of ``STAR``, in
+   one stream that holds two sets at a time.
+4. Stars that share members are a cluster. Most are then connected by confirmed links and done.
+   Of the others every pair not yet connected is compared on full sets, ``BLOCK`` x ``BLOCK`` at a
    time, so no task or row ever holds a whole cluster; a task passes on only the
    links that join something new (a spanning forest).
 5. Connected components by contraction, each round written to the shared folder.
@@ -30,10 +34,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import kernels
-from tessera.llm.scratch import table, written
+from tessera.llm.scratch import kept_schema, table, written
 
 U = np.uint64
-SLOTS, ROWS, BLOCK = 12, 3, 64
+SLOTS, ROWS, BLOCK, STAR = 20, 5, 64, 2048
 COLUMNS = 1 << 14
 ODD = kernels.mix(np.arange(1, 2 * SLOTS * ROWS + 1, dtype=U) * U(0xA24BAED4963EE407)) | U(1)
 
@@ -125,17 +129,19 @@ def overlaps(sets: list[np.ndarray]) -> np.ndarray:
     return np.diag([float(len(s)) for s in sets]) + out * (1 - np.eye(len(sets)))
 
 
-def forest(ids: list[int], sets: list[np.ndarray], block: list[bool], percent: int) -> list[tuple[int, int]]:
-    """Links that join components, among pairs of the two blocks (all pairs if there is one)."""
+def forest(ids: list[int], sets: list[np.ndarray], block: list[bool], label: list[int], percent: int) -> list[tuple[int, int]]:
+    """Links that join components, among pairs of other labels of the two blocks (all such pairs if there is one)."""
     shared = overlaps(sets)
     n = np.array([len(s) for s in sets], dtype=np.float64)
     linked = np.triu(100 * shared >= percent * (n[:, None] + n[None, :] - shared), 1)
-    side = np.array(block)
+    side, known = np.array(block), np.array(label)
+    linked &= known[:, None] != known[None, :]
     if side.any() and not side.all():
         linked &= side[:, None] != side[None, :]
     parent = list(range(len(ids)))
     out = []
     for x, y in np.argwhere(linked).tolist():
+        i, j = ids[x], ids[y]
         while parent[x] != x:
             parent[x] = parent[parent[x]]
             x = parent[x]
@@ -144,25 +150,66 @@ def forest(ids: list[int], sets: list[np.ndarray], block: list[bool], percent: i
             y = parent[y]
         if x != y:
             parent[max(x, y)] = min(x, y)
-            out.append((ids[x], ids[y]))
+            out.append((i, j))
     return out
 
 
-def links(docs: DataFrame, clusters: DataFrame, size: int, percent: int) -> DataFrame:
-    """Edges (a, b) that connect what is linked within each cluster (node, component)."""
-    sizes = written(clusters.groupBy("component").agg(F.count("*").alias("g")), "sizes")
-    parts = F.ceil(F.col("g") / BLOCK).cast("int")
-    placed = clusters.join(sizes, "component").select("node", "component", parts.alias("parts"), F.pmod(F.xxhash64("node"), parts).cast("int").alias("own"))
-    # A merge join at every size: the candidates grow with the documents, so they are never broadcast.
-    texts = docs.select(F.col("doc_id").alias("node"), "text").join(written(placed, "placed").hint("merge"), "node")
+def edges_of(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([x for x, _ in pairs], pa.int64()), pa.array([y for _, y in pairs], pa.int64())], ["a", "b"])
+
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def sets_of(docs: DataFrame, seats: DataFrame, size: int) -> DataFrame:
+    """``seats`` (node and more) with the shingle set of the node's text, as bytes.
+
+    A merge join at every size: candidates grow with the documents, so they are never broadcast.
+    """
+    texts = docs.select(F.col("doc_id").alias("node"), "text").join(seats.hint("merge"), "node")
+    carried = seats.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in kernels.slices(batch.column("text")):
                 h, bounds = shingles(piece, size)
                 raw = h.tobytes()
                 data = [raw[8 * a : 8 * b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
-                yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(piece.first, piece.rows) for c in ("node", "component", "parts", "own")), pa.array(data, pa.binary())], ["node", "component", "parts", "own", "set"])
+                yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(piece.first, piece.rows) for c in carried), pa.array(data, pa.binary())], [*carried, "set"])
+
+    return texts.mapInArrow(run, kept_schema(seats, carried, {"set": "binary"}))
+
+
+def star_links(docs: DataFrame, candidates: DataFrame, size: int, percent: int) -> DataFrame:
+    """Of the candidates (a, b), a the centre of a star, those that are links."""
+    parts = F.ceil(F.col("g") / STAR).cast("int")
+    stars = written(candidates.groupBy("a").agg(F.count("*").alias("g")).select("a", parts.alias("parts")), "stars")
+    arms = candidates.join(stars, "a").select(F.col("b").alias("node"), "a", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("salt"), F.lit(1).alias("arm"))
+    heads = stars.select(F.col("a").alias("node"), "a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("salt"), F.lit(0).alias("arm"))
+    seats = written(arms.unionByName(heads).groupBy("node").agg(F.collect_list(F.struct("a", "salt", "arm")).alias("seats")), "seats")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, centre, out = None, None, []
+        for batch in batches:
+            columns = [batch.column(c).to_pylist() for c in ("a", "salt", "arm", "node")]
+            for a, salt, arm, node, data in zip(*columns, batch.column("set")):
+                own = np.frombuffer(data.as_buffer(), dtype=U)
+                if not arm:
+                    key, centre = (a, salt), own.copy()
+                elif (a, salt) == key and 100 * min(len(own), len(centre)) >= percent * max(len(own), len(centre)):
+                    at = np.minimum(np.searchsorted(centre, own), len(centre) - 1)
+                    both = int((centre[at] == own).sum())
+                    if 100 * both >= percent * (len(own) + len(centre) - both):
+                        out.append((a, node))
+            yield edges_of(out)
+            out.clear()
+
+    dealt = sets_of(docs, seats, size).select("node", "set", F.explode("seats").alias("s")).select("node", "set", "s.a", "s.salt", "s.arm")
+    return dealt.repartition("a", "salt").sortWithinPartitions("a", "salt", "arm").mapInArrow(compare, "a long, b long")
+
+
+def cluster_links(docs: DataFrame, clusters: DataFrame, size: int, percent: int) -> DataFrame:
+    """Edges (a, b) that connect what is linked but not of one label within each cluster (node, component, label)."""
+    sizes = written(clusters.groupBy("component").agg(F.count("*").alias("g")), "sizes")
+    parts = F.ceil(F.col("g") / BLOCK).cast("int")
+    placed = clusters.join(sizes, "component").select("node", "component", "label", parts.alias("parts"), F.pmod(F.xxhash64("node"), parts).cast("int").alias("own"))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, members, out = None, {}, []
@@ -170,27 +217,37 @@ def links(docs: DataFrame, clusters: DataFrame, size: int, percent: int) -> Data
         def flush() -> None:
             if len(members) > 1:
                 own = list(members.values())
-                out.extend(forest(list(members), [s for s, _ in own], [b for _, b in own], percent))
+                out.extend(forest(list(members), [s for s, _, _ in own], [b for _, b, _ in own], [k for _, _, k in own], percent))
 
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("component", "p", "q", "node", "own")]
-            for component, p, q, node, own, data in zip(*columns, batch.column("set")):
+            columns = [batch.column(c).to_pylist() for c in ("component", "p", "q", "node", "own", "label")]
+            for component, p, q, node, own, label, data in zip(*columns, batch.column("set")):
                 if (component, p, q) != key:
                     flush()
                     key, members = (component, p, q), {}
-                members[node] = np.frombuffer(data.as_buffer(), dtype=U), own == q
+                members[node] = np.frombuffer(data.as_buffer(), dtype=U), own == q, label
             if len(out) > 10_000:
-                yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.int64()), pa.array([y for _, y in out], pa.int64())], ["a", "b"])
+                yield edges_of(out)
                 out.clear()
         flush()
-        yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.int64()), pa.array([y for _, y in out], pa.int64())], ["a", "b"])
+        yield edges_of(out)
 
     other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")
-    dealt = texts.mapInArrow(sets, "node long, component long, parts int, own int, set binary").select("node", "component", "own", "set", other)
-    dealt = dealt.select("node", "component", "own", "set", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"))
+    dealt = sets_of(docs, written(placed, "placed"), size).select("node", "component", "label", "own", "set", other)
+    dealt = dealt.select("node", "component", "label", "own", "set", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"))
     return dealt.repartition("component", "p", "q").sortWithinPartitions("component", "p", "q").mapInArrow(compare, "a long, b long")
 
 
+def links(docs: DataFrame, candidates: DataFrame, size: int, percent: int) -> DataFrame:
+    """Edges (a, b) with the components of all links among the documents of each cluster of candidates."""
+    confirmed = written(star_links(docs, candidates, size, percent), "confirmed")
+    label = components(confirmed).toDF("node", "label")
+    clusters = components(candidates).join(label, "node", "left").select("node", "component", F.coalesce("label", "node").alias("label"))
+    clusters = written(clusters, "clusters")
+    mixed = written(clusters.groupBy("component").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("component"), "mixed")
+    return confirmed.unionByName(cluster_links(docs, clusters.join(mixed, "component"), size, percent))
+
+
 def near_duplicates(docs: DataFrame, size: int = 3, percent: int = 85) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for every row; ``docs`` needs doc_id and text.
 
@@ -209,7 +266,7 @@ def near_duplicates(docs: DataFrame, size: int = 3, percent: int = 85) -> DataFr
     keys = written(pairs.select("rep", F.explode(F.flatten(F.transform("x", lambda a: F.transform("y", lambda b: F.xxhash64(a["slot"], b["slot"], a["key"], b["key"]))))).alias("key")), "keys")
     lowest = written(keys.groupBy("key").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo < hi").select("key", "lo"), "tables")
     candidates = keys.join(lowest, "key").where("rep != lo").select(F.col("rep").alias("b"), F.col("lo").alias("a")).distinct()
-    found = components(links(docs, components(candidates), size, percent))
+    found = components(links(docs, written(candidates, "candidates"), size, percent))
     moved = classes.select("f1", "f2", "rep", "n").join(found.toDF("rep", "component"), "rep", "left").where("n > 1 OR component != rep")
     moved = written(moved.select("f1", "f2", F.coalesce("component", "rep").alias("component_id")), "moved")
     out = prints.select("doc_id", "n_shingles", "f1", "f2").join(moved, ["f1", "f2"], "left")
