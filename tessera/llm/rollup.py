@@ -5,20 +5,27 @@ count under a tokenizer version) is compared with the entries before it and beco
 signed rows: minus what was counted, plus what is. Their sums by source, language
 and tokenizer version are the batch's delta; totals are the sums of all deltas.
 
-A batch writes its entries and its delta, replacing what a broken attempt left, and
-last its commit row; only committed batches are read, and a committed batch is
-never applied again. The delta is summed in each task before the shuffle, so a
-source with a third of all documents is a few rows for each task.
+A batch writes its entries and its delta under a name of its own attempt, and last its
+commit, a file of the next sequence number that only one writer can create. What a lost attempt
+left is in no commit and never read; a committed batch is never applied again; a
+writer that finds its number taken compares its changes anew with what the other
+one committed. The delta is summed in each task before the shuffle, so a source with a third of all
+documents is a few rows for each task. Of the entries before, only those of the documents at hand
+are grouped; ``compact`` replaces all by the last of each document, so that a batch reads one
+such table and the batches after it, not the whole history.
 
 Defined results: of several changes of one document in a batch the last by
 ``change`` counts (ties: the greatest row); rows of one doc_id are one document;
 a null doc_id is the document ``null``; a revision of an unknown document inserts
 it, a deletion of one does nothing; null source or language is a group of its own;
-groups without documents vanish from the totals.
+groups without documents vanish from the totals; further columns of the changes are not
+read; an empty batch commits and changes nothing.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,50 +39,85 @@ from tessera.llm.scratch import folder, table, written
 
 ENTRY = "doc string, tokenizer string, source string, lang string, n_tokens long, live boolean, seq long"
 DELTA = "source string, lang string, tokenizer string, n_docs long, n_tokens long"
+COMMIT = "seq long, batch string, attempt string, base boolean"
 GROUP = ["source", "lang", "tokenizer"]
 
 
 class Ledger:
     def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path
+        self.spark, self.path = spark, path.rstrip("/")
 
-    def committed(self) -> dict[str, int]:
-        """Sequence number of each committed batch."""
+    def commits(self) -> list:
+        """Commits in order; a folder that is not there has none, anything else unreadable is an error."""
         try:
-            rows = self.spark.read.schema("batch string, seq long").parquet(f"{self.path}/commits/*").collect()
-        except AnalysisException:
-            return {}
-        return {r["batch"]: r["seq"] for r in rows}
+            rows = self.spark.read.schema(COMMIT).option("mode", "FAILFAST").json(f"{self.path}/commits").orderBy("seq").collect()
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return []
+        if any(r["seq"] is None for r in rows):
+            raise RuntimeError(f"a commit of {self.path} is not complete")
+        return rows
+
+    def create(self, name: str, line: str) -> bool:
+        """Create a file of one line; False if it is there already."""
+        jvm = self.spark._jvm
+        path = jvm.org.apache.hadoop.fs.Path(f"{self.path}/commits/{name}.json")
+        files = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        try:
+            out = files.create(path, False)
+        except Exception:
+            if files.exists(path):
+                return False
+            raise
+        out.write(bytearray(line.encode() + b"\n"))
+        out.close()
+        return True
 
-    def read(self, kind: str, schema: str) -> DataFrame:
-        paths = [f"{self.path}/{kind}/{seq}" for seq in sorted(self.committed().values())]
+    def record(self, seq: int, batch: str | None, attempt: str, base: bool) -> bool:
+        return self.create(f"{seq:012d}", json.dumps({"seq": seq, "batch": batch, "attempt": attempt, "base": base}))
+
+    def read(self, kind: str, schema: str, commits: list) -> DataFrame:
+        """Rows of a kind: of the last compaction and the batches after it."""
+        start = max((i for i, r in enumerate(commits) if r["base"]), default=0)
+        paths = [f"{self.path}/{kind}/{r['attempt']}" for r in commits[start:]]
         return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
 
-    def entries(self) -> DataFrame:
+    def last(self, entries: DataFrame) -> DataFrame:
         """The last entry of each document and tokenizer version."""
-        last = self.read("entries", ENTRY).groupBy("doc", "tokenizer").agg(F.max_by(F.struct("source", "lang", "n_tokens", "live"), "seq").alias("e"))
-        return last.select("doc", "tokenizer", "e.*")
+        kept = entries.groupBy("doc", "tokenizer").agg(F.max_by(F.struct("source", "lang", "n_tokens", "live", "seq"), "seq").alias("e"))
+        return kept.select("doc", "tokenizer", "e.*")
 
     def commit(self, batch: str, changes: DataFrame) -> bool:
         """Apply ``changes`` (doc_id, tokenizer, source, lang, n_tokens, op, change); False if the batch was applied before."""
-        done = self.committed()
-        if batch in done:
-            return False
-        seq = max(done.values(), default=0) + 1
         doc = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
         new = changes.select(doc.alias("doc"), "tokenizer", F.struct("change", "source", "lang", "n_tokens", (F.col("op") != "delete").alias("live")).alias("e"))
         new = new.groupBy("doc", "tokenizer").agg(F.max("e").alias("e")).select("doc", "tokenizer", "e.source", "e.lang", F.when(F.col("e.live"), F.col("e.n_tokens")).otherwise(0).alias("n_tokens"), "e.live")
-        new.withColumn("seq", F.lit(seq).cast("long")).write.mode("overwrite").parquet(f"{self.path}/entries/{seq}")
-        new = self.spark.read.schema(ENTRY).parquet(f"{self.path}/entries/{seq}")
-        old = self.entries().join(new.select("doc", "tokenizer"), ["doc", "tokenizer"], "left_semi")
-        signed = old.withColumn("sign", F.lit(-1)).unionByName(new.drop("seq").withColumn("sign", F.lit(1))).where("live")
-        delta = signed.groupBy(*GROUP).agg(F.sum("sign").alias("n_docs"), F.sum(F.col("sign") * F.col("n_tokens")).alias("n_tokens"))
-        delta.write.mode("overwrite").parquet(f"{self.path}/deltas/{seq}")
-        self.spark.createDataFrame([(batch, seq)], "batch string, seq long").coalesce(1).write.mode("overwrite").parquet(f"{self.path}/commits/{seq}")
-        return True
+        while True:
+            commits = self.commits()
+            if any(r["batch"] == batch for r in commits):
+                return False
+            seq = max((r["seq"] for r in commits), default=0) + 1
+            attempt = uuid.uuid4().hex
+            new.withColumn("seq", F.lit(seq).cast("long")).write.parquet(f"{self.path}/entries/{attempt}")
+            held = self.spark.read.schema(ENTRY).parquet(f"{self.path}/entries/{attempt}")
+            old = self.last(self.read("entries", ENTRY, commits).join(held.select("doc", "tokenizer"), ["doc", "tokenizer"], "left_semi"))
+            signed = old.withColumn("sign", F.lit(-1)).unionByName(held.withColumn("sign", F.lit(1))).where("live")
+            delta = signed.groupBy(*GROUP).agg(F.sum("sign").alias("n_docs"), F.sum(F.col("sign") * F.col("n_tokens")).alias("n_tokens"))
+            delta.write.parquet(f"{self.path}/deltas/{attempt}")
+            if self.record(seq, batch, attempt, False):
+                return True
+
+    def compact(self) -> bool:
+        """Replace all entries and deltas by the last entries of live documents and the totals; False if another writer came first."""
+        commits = self.commits()
+        attempt = uuid.uuid4().hex
+        self.last(self.read("entries", ENTRY, commits)).where("live").write.parquet(f"{self.path}/entries/{attempt}")
+        self.totals().write.parquet(f"{self.path}/deltas/{attempt}")
+        return self.record(max((r["seq"] for r in commits), default=0) + 1, None, attempt, True)
 
     def totals(self) -> DataFrame:
-        return self.read("deltas", DELTA).groupBy(*GROUP).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens")).where("n_docs != 0")
+        return self.read("deltas", DELTA, self.commits()).groupBy(*GROUP).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens")).where("n_docs != 0")
 
 
 def counted(docs: DataFrame, tokenizer: str) -> DataFrame:
@@ -93,7 +135,8 @@ def counted(docs: DataFrame, tokenizer: str) -> DataFrame:
 
 
 def op7_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Totals over ``documents`` after inserts with a draft count, revisions to the exact one, deletions of documents without tokens, and a repeated batch."""
+    """Totals over ``documents`` after inserts with a draft count, revisions to the exact one, a second version
+    with the end id, of which German documents are deleted again, a compaction, deletions of documents without tokens, and a repeated batch."""
     import public_tokenizers
 
     counts = written(counted(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")), "counts")
@@ -102,6 +145,8 @@ def op7_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     ledger.commit("draft", row("insert", F.lit(1).cast("long")))
     ledger.commit("exact", row("revise", F.col("n_tokens")))
     ledger.commit("with end", row("insert", F.col("n_tokens") + 1, "byte_bpe_50k+end"))
+    ledger.compact()
+    ledger.commit("no German", row("delete", F.col("n_tokens"), "byte_bpe_50k+end").where("lang = 'de'"))
     ledger.commit("empty", row("delete", F.col("n_tokens")).where("n_tokens = 0"))
     ledger.commit("exact", row("revise", F.col("n_tokens")))
     return ledger.totals()

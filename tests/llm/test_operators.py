@@ -308,6 +308,50 @@ def test_rollup(spark, tmp_path):
     assert {tuple(r) for r in ledger.totals().collect()} == got
 
 
+def test_ledger_is_safe_against_others_and_compacts(spark, tmp_path, monkeypatch):
+    path = f"file://{tmp_path}/ledger"
+    ledger, other = rollup.Ledger(spark, path), rollup.Ledger(spark, path)
+    change = lambda *rows: spark.createDataFrame(list(rows), "doc_id long, tokenizer string, source string, lang string, n_tokens long, op string, change int")
+    assert ledger.commit("a", change((1, "v", "s", "en", 10, "insert", 0), (2, "v", "s", "en", 5, "insert", 0)))
+    honest, met = ledger.commits, []
+
+    def late():
+        seen = honest()
+        if not met:  # another writer commits between what this one reads and what it writes
+            met.append(other.commit("b", change((1, "v", "s", "en", 70, "revise", 0))))
+        return seen
+
+    monkeypatch.setattr(ledger, "commits", late)
+    assert ledger.commit("c", change((1, "v", "s", "en", 3, "revise", 0))) and met == [True]
+    monkeypatch.undo()
+    assert [r["batch"] for r in ledger.commits()] == ["a", "b", "c"] and {tuple(r) for r in ledger.totals().collect()} == {("s", "en", "v", 2, 8)}
+    assert ledger.compact() and {tuple(r) for r in ledger.totals().collect()} == {("s", "en", "v", 2, 8)}
+    assert not ledger.commit("b", change((1, "v", "s", "en", 70, "revise", 0)))
+    assert ledger.commit("d", change((2, "v", "s", "en", 0, "delete", 0))) and {tuple(r) for r in ledger.totals().collect()} == {("s", "en", "v", 1, 3)}
+    (tmp_path / "ledger" / "commits" / "000000000099.json").write_text("{broken")
+    with pytest.raises(Exception, match="(?i)malformed|complete"):
+        ledger.totals().count()
+
+
+def test_token_rollup_query_equals_brute_force(spark, docs, tmp_path):
+    docs.withColumn("lang", F.when(F.col("doc_id") % 3 == 0, "de").otherwise(F.col("lang"))).write.parquet(f"{tmp_path}/documents.parquet")
+    library, want = Encoder(BYTE).library, Counter()
+    rows = {r["doc_id"]: r for r in spark.read.parquet(f"{tmp_path}/documents.parquet").collect()}
+    for r in rows.values():
+        n = len(library.encode(r["text"] or "", add_special_tokens=False).ids)
+        if n:
+            want[r["source"], r["lang"], "byte_bpe_50k", "n"] += 1
+            want[r["source"], r["lang"], "byte_bpe_50k", "t"] += n
+        if r["lang"] != "de":
+            want[r["source"], r["lang"], "byte_bpe_50k+end", "n"] += 1
+            want[r["source"], r["lang"], "byte_bpe_50k+end", "t"] += n + 1
+    got = Counter()
+    for r in registry.QUERIES["op7_token_rollup"](spark, str(tmp_path)).collect():
+        got[r["source"], r["lang"], r["tokenizer"], "n"] += r["n_docs"]
+        got[r["source"], r["lang"], r["tokenizer"], "t"] += r["n_tokens"]
+    assert got == want
+
+
 def test_counted(docs):
     library = Encoder(BYTE).library
     for r, (_, x) in zip(sorted(rollup.counted(docs, BYTE).collect(), key=lambda r: r["doc_id"]), sorted(TEXTS, key=lambda r: r[0])):
