@@ -7,15 +7,17 @@ CRC. A look-up asks the Bloom filter, searches the index by halves and reads one
 block; a scan reads block after block. Both need the index and one block in
 memory, whatever the size of the shard.
 
-Documents are dealt by ranges of doc_id, so shards do not overlap and their order
-is that of their first keys. A task writes under a name of its own and reports it
-in the manifest, one row for each shard; files of lost or repeated attempts are in
-no manifest. Files are reached through ``pyarrow.fs``, by the address of the shared
-folder.
+Documents are dealt by ranges of (doc_id, hash of the text) into as many shards as their
+bytes need, so shards follow each other in key order and a doc_id with very many rows is spread over
+several. A task writes under a name of its own and reports it with its place in the
+manifest, one row for each shard; files of lost or repeated attempts are in no
+manifest, and ``sweep`` deletes them. Files are reached through ``pyarrow.fs``, by the address
+of the shared folder.
 
 Defined results: null or empty text: the end id alone; a null doc_id sorts first;
-rows of one doc_id follow each other in the order of their texts, null first; an
-empty table has no shards.
+rows of one doc_id follow each other in the order of a hash of their texts and are numbered
+within each shard; ids that do not fit into ``width`` bytes are an error; an empty table has no shards;
+further columns are not read.
 """
 
 from __future__ import annotations
@@ -23,23 +25,28 @@ from __future__ import annotations
 import struct
 import uuid
 import zlib
+from array import array
 from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
+import xxhash
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tessera.llm import kernels
+from tessera.llm.kernels import mix
 from tessera.llm.pieces import encoder
 from tessera.llm.scratch import folder, table, written
 
 U = np.uint64
-BLOCK_BYTES, BITS_PER_KEY, PROBES = 1 << 16, 10, 7
+#: Bytes of text in a shard, and the least for which a shard of its own is worth it; bytes of a block.
+SHARD_BYTES, LEAST_BYTES, BLOCK_BYTES = 64 << 20, 1 << 20, 1 << 16
+BITS_PER_KEY, PROBES = 10, 7
 MAGIC = b"TSST0001"
 FOOTER = struct.Struct("<QQQQQQ8s")  # offsets of index, filter, footer; entries; tokens; bytes of an id; magic
 END_ID = 2
@@ -72,13 +79,12 @@ def read_varint(data: bytes, at: int) -> tuple[int, int]:
     return n | data[at] << shift, at + 1
 
 
-def key_hash(keys: list[bytes]) -> np.ndarray:
-    piece = next(kernels.slices(pa.array(keys, pa.binary()).cast(pa.large_binary()).view(pa.large_string()), 1 << 62))
-    return kernels.Slice.hashes(piece.prefix(lower=False), piece.off[:-1], piece.off[1:])
+def key_hash(key: bytes) -> int:
+    return xxhash.xxh3_64_intdigest(key)
 
 
 def probes(h: np.ndarray, bits: int) -> np.ndarray:
-    step = kernels.mix(h) | U(1)
+    step = mix(h) | U(1)
     return np.stack([(h + U(k) * step) % U(bits) for k in range(PROBES)])
 
 
@@ -88,7 +94,7 @@ class Writer:
         self.at = self.entries = self.tokens = 0
         self.block, self.size, self.first, self.last = [], 0, b"", b""
         self.index: list[bytes] = []
-        self.keys: list[bytes] = []
+        self.keys = array("Q")  # their hashes
         self.pack = zstandard.ZstdCompressor(level=1)
 
     def put(self, data: bytes) -> None:
@@ -106,6 +112,8 @@ class Writer:
         same = 0
         while same < min(len(key), len(self.last)) and key[same] == self.last[same]:
             same += 1
+        if len(ids) and int(ids.max()) >> (8 * self.width):
+            raise ValueError(f"id {ids.max()} does not fit into {self.width} bytes")
         value = ids.astype(f"<u{self.width}").tobytes()
         if not self.block:
             self.first, same = key, 0
@@ -113,7 +121,7 @@ class Writer:
         self.block.append(entry)
         self.size += len(entry)
         self.last = key
-        self.keys.append(key)
+        self.keys.append(key_hash(key))
         self.entries += 1
         self.tokens += len(ids)
         if self.size >= BLOCK_BYTES:
@@ -127,7 +135,9 @@ class Writer:
         bits = max(64, 8 * -(-len(self.keys) * BITS_PER_KEY // 8))
         filled = np.zeros(bits, dtype=bool)
         if self.keys:
-            filled[probes(key_hash(self.keys), bits).ravel().astype(np.int64)] = True
+            hashes = np.frombuffer(self.keys, dtype=U)
+            for k in range(0, len(hashes), 1 << 16):
+                filled[probes(hashes[k : k + (1 << 16)], bits).ravel().astype(np.int64)] = True
         self.put(np.packbits(filled, bitorder="little").tobytes())
         self.put(FOOTER.pack(index_at, filter_at, self.at, self.entries, self.tokens, self.width, MAGIC))
         self.sink.close()
@@ -177,15 +187,20 @@ class Reader:
 
     def get(self, doc_id: int | None, repeat: int = 0) -> np.ndarray | None:
         key = key_of(doc_id, repeat)
-        at = probes(key_hash([key]), 8 * len(self.filter)).ravel().astype(np.int64)
+        at = probes(np.array([key_hash(key)], dtype=U), 8 * len(self.filter)).ravel().astype(np.int64)
         if not (self.filter[at >> 3] >> (at & 7) & 1).all():
             return None
         i = bisect_right(self.first, key) - 1
         return next((ids for k, ids in (self.block(i) if i >= 0 else ()) if k == key), None)
 
 
-def write(docs: DataFrame, path: str, tokenizer: str, width: int = 2, end_id: int = END_ID) -> DataFrame:
-    """Shards of ``docs`` (doc_id, text) below ``path``; the manifest, a row for each shard: file, first, last, n_docs, n_tokens, n_bytes."""
+MANIFEST = "file string, part int, first long, last long, n_docs long, n_tokens long, n_bytes long"
+
+
+def write(docs: DataFrame, path: str, tokenizer: str, width: int = 2, end_id: int = END_ID, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+    """Shards of ``docs`` (doc_id, text) below ``path``; the manifest, a row for each shard: file, part (its place), first, last, n_docs, n_tokens, n_bytes."""
+    size = docs.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
+    shards = max(-(-size // shard_bytes), min(docs.sparkSession.sparkContext.defaultParallelism, size // LEAST_BYTES), 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(tokenizer)
@@ -205,16 +220,26 @@ def write(docs: DataFrame, path: str, tokenizer: str, width: int = 2, end_id: in
             to.add(key_of(last, repeat), np.append(np.frombuffer(got[1], "<u4"), np.uint32(end_id)))
             got = next(rows, None)
         to.close()
-        yield pa.RecordBatch.from_pydict({"file": [name], "first": pa.array([first], pa.int64()), "last": pa.array([last], pa.int64()), "n_docs": [to.entries], "n_tokens": [to.tokens], "n_bytes": [to.at]})
+        yield pa.RecordBatch.from_pydict({"file": [name], "part": pa.array([TaskContext.get().partitionId()], pa.int32()), "first": pa.array([first], pa.int64()), "last": pa.array([last], pa.int64()), "n_docs": [to.entries], "n_tokens": [to.tokens], "n_bytes": [to.at]})
+
+    dealt = docs.select("doc_id", "text", F.xxhash64("text").alias("h")).repartitionByRange(shards, "doc_id", "h").sortWithinPartitions("doc_id", "h")
+    return written(dealt.mapInArrow(run, MANIFEST), "manifest")
+
 
-    dealt = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    return written(dealt.mapInArrow(run, "file string, first long, last long, n_docs long, n_tokens long, n_bytes long"), "manifest")
+def sweep(manifest: DataFrame, path: str) -> int:
+    """Delete the files below ``path`` that are in no manifest, once no writer is at work; their number."""
+    fs, top = pafs.FileSystem.from_uri(path)
+    known = {r["file"] for r in manifest.select("file").collect()}
+    gone = [f.path for f in fs.get_file_info(pafs.FileSelector(top, allow_not_found=True)) if f.base_name not in known]
+    for name in gone:
+        fs.delete_file(name)
+    return len(gone)
 
 
 def read(manifest: DataFrame, path: str) -> DataFrame:
     """doc_id, start, n_tokens and ids_crc32 of every document, from the shards. ``start`` adds up the shards before, by their manifest rows."""
-    before = Window.orderBy(F.col("first").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
-    starts = manifest.select("file", "first", F.coalesce(F.sum("n_tokens").over(before), F.lit(0).cast("long")).alias("start"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row for each shard, not for each document
+    starts = manifest.select("file", "part", F.coalesce(F.sum("n_tokens").over(before), F.lit(0).cast("long")).alias("start"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, top = pafs.FileSystem.from_uri(path)
@@ -234,7 +259,7 @@ def read(manifest: DataFrame, path: str) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.int64()) for k in range(4)], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
     n = max(1, manifest.count())
-    return starts.repartitionByRange(n, "first").mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return starts.repartitionByRange(n, "part").mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def op1_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:

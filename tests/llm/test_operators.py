@@ -96,12 +96,44 @@ def test_token_shards(spark, docs, tmp_path):
         want.append((i, start, len(ids), zlib.crc32(b"".join(k.to_bytes(4, "little") for k in ids))))
         start += len(ids)
     assert got == sorted(want)
-    first = manifest.orderBy("first").first()
-    reader = sstable.Reader(open(f"{tmp_path}/shards/{first['file']}", "rb"))
-    assert reader.get(first["first"]) is not None and reader.get(987654321) is None
+    by_id = {i: [*own.library.encode(x or "", add_special_tokens=False).ids, 2] for i, x in TEXTS}
+    for shard in manifest.collect():
+        reader = sstable.Reader(open(f"{tmp_path}/shards/{shard['file']}", "rb"))
+        for i, ids in by_id.items():
+            found = reader.get(i)
+            assert (found is not None) == (shard["first"] <= i <= shard["last"]) and (found is None or found.tolist() == ids)
+        assert reader.get(987654321) is None and reader.get(None) is None
+    (tmp_path / "shards" / "lost.sst").write_bytes(b"x")
+    assert sstable.sweep(manifest, path) == 1 and sstable.read(manifest, path).count() == len(TEXTS)
     assert sstable.read(sstable.write(docs.where("false"), path, BYTE), path).count() == 0
 
 
+def test_shards_follow_bytes_and_spread_one_id(spark, tmp_path):
+    path = f"file://{tmp_path}/many"
+    rows = spark.createDataFrame([(7, text_of(k, 30)) for k in range(400)] + [(k, "x") for k in (1, 9)], "doc_id long, text string")
+    manifest = sstable.write(rows, path, BYTE, shard_bytes=20_000)
+    got = sstable.read(manifest, path).orderBy("start").collect()
+    assert manifest.count() > 3 and [r["doc_id"] for r in got] == [1] + [7] * 400 + [9]
+    assert all(a["start"] + a["n_tokens"] == b["start"] for a, b in itertools.pairwise(got))
+    with pytest.raises(Exception, match="does not fit"):
+        sstable.write(rows, path, BYTE, width=1).count()
+
+
+def test_bloom_filter_and_blocks(tmp_path, monkeypatch):
+    monkeypatch.setattr(sstable, "BLOCK_BYTES", 500)
+    import numpy as np
+
+    writer = sstable.Writer(open(tmp_path / "s", "wb"), 4)
+    for k in range(0, 4000, 2):
+        writer.add(sstable.key_of(k, 0), np.arange(k % 7, dtype=np.uint32))
+    writer.close()
+    reader = sstable.Reader(open(tmp_path / "s", "rb"))
+    assert len(reader.first) > 50 and reader.entries == 2000
+    assert all(reader.get(k).tolist() == list(range(k % 7)) for k in range(0, 4000, 20))
+    passed = sum((reader.filter[(at := sstable.probes(np.array([sstable.key_hash(sstable.key_of(k, 0))], dtype=np.uint64), 8 * len(reader.filter)).ravel().astype(np.int64)) >> 3] >> (at & 7) & 1).all() for k in range(1, 4000, 2))
+    assert passed < 100 and all(reader.get(k) is None for k in range(1, 4000, 40))
+
+
 def test_null_key_sorts_first(spark, tmp_path):
     path = f"file://{tmp_path}/nulls"
     rows = spark.createDataFrame([(None, "a"), (-5, "b"), (None, "c"), (3, None)], "doc_id long, text string")
