@@ -5,31 +5,36 @@ Containment 1 needs every word of the window, so its necessary prefix is one
 word: the rarest, by counts over all documents. A document word that is the
 prefix of some window fixes where the window would lie (positional bound), the
 window must fit into the document (length bound), and then its words are
-compared one by one. Words are compared by 64-bit hash.
+compared one by one. Words are compared by a 64-bit hash taken modulo a prime.
 
-The index of windows is broadcast in chunks of about ``CHUNK_WINDOWS`` windows at
-most; a larger benchmark takes a pass over the documents for each chunk.
+Counts of words and prefixes of windows are relations: each task sends one count for each
+word that it met, and windows meet the counts in a join. The windows are then broadcast as
+flat arrays, ``CHUNK_WINDOWS`` (about 100 bytes each) at a time; a larger benchmark takes one more
+reading of the documents for each chunk, which writes only the documents that it hits.
 
 Defined results: null or empty text, or text without words: 0 words, no hits;
 items without words never hit; a null item_id covers words but is not listed;
-repeated document rows are judged each; repeated items count once by item_id.
+repeated document rows are judged each; repeated items count once by item_id; columns
+of ``keep`` that are named like a new one are replaced by it; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import kernels
-from tessera.llm.scratch import table, written
+from tessera.llm.scratch import kept_schema, table, written
 
 WINDOW = 10
-CHUNK_WINDOWS = 200_000
+CHUNK_WINDOWS, SIFT = 400_000, 20
 U = np.uint64
 
 
@@ -70,43 +75,58 @@ def item_windows(benchmark: DataFrame) -> DataFrame:
                     own = h[bounds[i] : bounds[i + 1]].view(np.int64)
                     for k in range(max(min(len(own), 1), len(own) - WINDOW + 1)):
                         items.append(ids[piece.first + i])
-                        rows.append(own[k : k + WINDOW].tolist())
+                        rows.append(own[k : k + WINDOW])
                 yield pa.RecordBatch.from_arrays([pa.array(items, pa.string()), pa.array(rows, pa.list_(pa.int64()))], ["item", "words"])
 
     return benchmark.select(F.col("item_id").cast("string").alias("item"), "text").mapInArrow(run, "item string, words array<long>").distinct()
 
 
-def word_counts(docs: DataFrame, vocabulary: np.ndarray) -> dict[int, int]:
-    """Occurrences over all documents of each benchmark word. A task sends one row for each word it met."""
-    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+def word_counts(docs: DataFrame, vocabulary: DataFrame) -> DataFrame:
+    """Occurrences over all documents of each word of the vocabulary.
+
+    A task sends one row for each word of a slice, which are summed before and after the
+    shuffle. Words are sifted by ``SIFT`` bits of their hash first: at most 2**SIFT values
+    reach the driver, and a large vocabulary only makes the sieve coarser.
+    """
+    bits = np.zeros(1 << SIFT, dtype=bool)
+    bits[np.asarray(vocabulary.select(F.col("word").bitwiseAND(F.lit((1 << SIFT) - 1)).alias("b")).distinct().toArrow().column("b"))] = True
+    shared = docs.sparkSession.sparkContext.broadcast(bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sieve = Sieve(shared.value)
-        total = np.zeros(len(sieve.keys), dtype=np.int64)
         for batch in batches:
             for piece in kernels.slices(batch.column("text")):
-                total += np.bincount(sieve.find(words(piece)[0])[1], minlength=len(total))
-        met = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(sieve.keys[met].view(np.int64)), pa.array(total[met])], ["word", "n"])
+                h = words(piece)[0]
+                word, n = np.unique(h[shared.value[(h & U((1 << SIFT) - 1)).astype(np.int64)]], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(n.astype(np.int64))], ["word", "n"])
+
+    counts = docs.select("text").mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return counts.join(vocabulary, "word", "left_semi")
+
 
-    rows = docs.select("text").mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).collect()
-    return {r["word"]: r["n"] for r in rows}
+def anchored(windows: DataFrame, docs: DataFrame) -> DataFrame:
+    """Windows (item, words) with ``offset``, the place of the rarest word; of equally rare ones the first."""
+    each = windows.select("item", "words", F.posexplode("words").alias("at", "word"))
+    vocabulary = windows.select(F.explode("words").alias("word")).distinct()
+    rare = each.join(word_counts(docs, written(vocabulary, "vocabulary")), "word", "left").groupBy("item", "words").agg(F.min(F.struct(F.coalesce("n", F.lit(0)), "at")).alias("best"))
+    return rare.select("item", "words", F.col("best.at").alias("offset"))
 
 
 class Index:
     """Windows by their rarest word."""
 
-    def __init__(self, items: list[str | None], rows: list[list[int]], counts: dict[int, int]):
-        self.items = sorted({x for x in items if x is not None})
-        number = {x: i for i, x in enumerate(self.items)}
-        self.item = np.array([number.get(x, -1) for x in items], dtype=np.int64)
-        self.length = np.array([len(r) for r in rows], dtype=np.int64)
-        self.words = np.zeros((len(rows), WINDOW), dtype=np.int64)
-        self.offset = np.zeros(len(rows), dtype=np.int64)
-        for i, r in enumerate(rows):
-            self.words[i, : len(r)] = r
-            self.offset[i] = min(range(len(r)), key=lambda k: (counts.get(r[k], 0), k))
-        anchor = self.words[np.arange(len(rows)), self.offset].view(U)
+    def __init__(self, windows: pa.Table):
+        """windows: item, words, offset."""
+        names = windows.column("item").combine_chunks()
+        names = names.cast(pa.string())
+        self.items = sorted(x for x in names.unique().to_pylist() if x is not None)
+        self.item = np.asarray(pa.compute.fill_null(pa.compute.index_in(names, pa.array(self.items, pa.string())), -1), dtype=np.int64)
+        lists = windows.column("words").combine_chunks()
+        self.length = np.asarray(lists.value_lengths(), dtype=np.int64)
+        self.offset = np.asarray(windows.column("offset").combine_chunks(), dtype=np.int64)
+        self.words = np.zeros((len(lists), WINDOW), dtype=np.int64)
+        row, k = kernels.expand(self.length)
+        self.words[row, k] = np.asarray(lists.flatten())
+        anchor = self.words[np.arange(len(lists)), self.offset].view(U)
         self.sieve = Sieve(anchor)
         group = np.searchsorted(self.sieve.keys, anchor)
         self.order = np.argsort(group, kind="stable")
@@ -129,71 +149,82 @@ class Index:
         return start, w
 
 
-FINAL = "n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
-PARTIAL = "_ranges array<long>, _items array<string>"
+NEW = {"n_words": "long", "n_hit": "long", "n_items": "long", "items_sha256": "string", "contaminated": "boolean"}
 
 
-def scanned(rows: DataFrame, index: Index, keep: list[str], first: bool, last: bool) -> DataFrame:
-    """``rows`` against one index: the final columns if it is the last, else what it and those before have found.
+def found_in(index: Index, piece: kernels.Slice, before: list[tuple] | None) -> tuple[np.ndarray, np.ndarray, list[set[str]]]:
+    """Of the texts of a slice: bounds of their words, which words are hit, and the items. ``before``: ranges and items of each text found earlier."""
+    h, owner, bounds = words(piece)
+    hit = np.zeros(len(h), dtype=bool)
+    items: list[set[str]] = [set() for _ in range(piece.rows)]
+    for i, (ranges, named) in enumerate(before or ()):
+        items[i].update(named or ())
+        for a, b in zip((ranges or ())[::2], (ranges or ())[1::2]):
+            hit[bounds[i] + a : bounds[i] + b] = True
+    start, w = index.occurrences(h, owner, bounds)
+    if len(start):
+        hit |= kernels.covered(start, index.length[w], len(h))
+        for pair in np.unique(owner[start] * (len(index.items) + 1) + index.item[w] + 1).tolist():
+            text, item = divmod(pair, len(index.items) + 1)
+            if item:
+                items[text].add(index.items[item - 1])
+    return bounds, hit, items
 
-    ``_ranges`` are starts and ends of runs of hit words; ``_items`` the items.
-    """
+
+def hits(docs: DataFrame, index: Index) -> DataFrame:
+    """(doc_key, ranges, items) of the documents (doc_key, text) in which a window of the index occurs; ranges are starts and ends of runs of hit words."""
+    shared = docs.sparkSession.sparkContext.broadcast(index)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in kernels.slices(batch.column("text")):
+                bounds, hit, items = found_in(shared.value, piece, None)
+                some = [i for i in range(piece.rows) if hit[bounds[i] : bounds[i + 1]].any()]
+                edges = [np.flatnonzero(np.diff(np.concatenate([[0], hit[bounds[i] : bounds[i + 1]].astype(np.int8), [0]]))) for i in some]
+                keys = batch.column("doc_key").take(pa.array([piece.first + i for i in some], pa.int64()))
+                yield pa.RecordBatch.from_arrays([keys, pa.array(edges, pa.list_(pa.int64())), pa.array([sorted(items[i]) for i in some], pa.list_(pa.string()))], ["doc_key", "ranges", "items"])
+
+    return docs.select("doc_key", "text").mapInArrow(run, "doc_key binary, ranges array<long>, items array<string>")
+
+
+def judged(rows: DataFrame, index: Index, keep: list[str]) -> DataFrame:
+    """``keep`` and NEW of ``rows`` (text; ranges and items where earlier chunks have been searched)."""
     shared = rows.sparkSession.sparkContext.broadcast(index)
-    carried = keep if last else list(dict.fromkeys([*keep, "text"]))
-    schema = ", ".join([*(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in carried), FINAL if last else PARTIAL])
-    names = [x.split()[0] for x in (FINAL if last else PARTIAL).split(", ")]
+    earlier = [c for c in ("_ranges", "_items") if c in rows.columns]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = shared.value
         for batch in batches:
             for piece in kernels.slices(batch.column("text")):
-                h, owner, bounds = words(piece)
-                hit = np.zeros(len(h), dtype=bool)
-                items: list[set[str]] = [set() for _ in range(piece.rows)]
                 part = batch.slice(piece.first, piece.rows)
-                if not first:
-                    for i, (ranges, found) in enumerate(zip(part.column("_ranges").to_pylist(), part.column("_items").to_pylist())):
-                        items[i].update(found)
-                        for a, b in zip(ranges[::2], ranges[1::2]):
-                            hit[bounds[i] + a : bounds[i] + b] = True
-                start, w = own.occurrences(h, owner, bounds)
-                if len(start):
-                    hit |= kernels.covered(start, own.length[w], len(h))
-                    for pair in np.unique(owner[start] * (len(own.items) + 1) + own.item[w] + 1).tolist():
-                        text, item = divmod(pair, len(own.items) + 1)
-                        if item:
-                            items[text].add(own.items[item - 1])
+                before = list(zip(*(part.column(c).to_pylist() for c in earlier))) if earlier else None
+                bounds, hit, items = found_in(shared.value, piece, before)
+                n_hit = np.bincount(kernels.owners(bounds)[hit], minlength=piece.rows)
                 listed = [sorted(x) for x in items]
-                if last:
-                    n_hit = np.bincount(owner[hit], minlength=piece.rows)
-                    new = [
-                        pa.array(np.diff(bounds), pa.int64()),
-                        pa.array(n_hit, pa.int64()),
-                        pa.array([len(x) for x in listed], pa.int64()),
-                        pa.array([hashlib.sha256(",".join(x).encode()).hexdigest() for x in listed], pa.string()),
-                        pa.array(n_hit > 0),
-                    ]
-                else:
-                    edges = [np.flatnonzero(np.diff(np.concatenate([[0], hit[a:b].astype(np.int8), [0]]))).tolist() for a, b in zip(bounds[:-1], bounds[1:])]
-                    new = [pa.array(edges, pa.list_(pa.int64())), pa.array(listed, pa.list_(pa.string()))]
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in carried), *new], [*carried, *names])
-
-    wanted = [*dict.fromkeys([*keep, "text"]), *([] if first else ["_ranges", "_items"])]
-    return rows.select(*wanted).mapInArrow(run, schema)
+                new = [
+                    pa.array(np.diff(bounds), pa.int64()),
+                    pa.array(n_hit, pa.int64()),
+                    pa.array([len(x) for x in listed], pa.int64()),
+                    pa.array([hashlib.sha256(",".join(x).encode()).hexdigest() for x in listed], pa.string()),
+                    pa.array(n_hit > 0),
+                ]
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), *new], [*keep, *NEW])
+
+    return rows.select(*dict.fromkeys([*keep, "text", *earlier])).mapInArrow(run, kept_schema(rows, keep, NEW))
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, keep: list[str]) -> DataFrame:
     """The ``keep`` columns of every row with n_words, n_hit, n_items, items_sha256 and contaminated."""
-    found = written(item_windows(benchmark), "windows")
-    chunks = max(1, -(-found.count() // CHUNK_WINDOWS))
-    rows = docs
-    for c in range(chunks):
-        part = found if chunks == 1 else found.where(F.pmod(F.xxhash64("words"), F.lit(chunks)) == c)
-        got = part.collect()  # at most about CHUNK_WINDOWS windows
-        counts = word_counts(docs, np.array(sorted({x for r in got for x in r["words"]}), dtype=np.int64).view(U))
-        index = Index([r["item"] for r in got], [r["words"] for r in got], counts)
-        rows = scanned(rows if c == 0 else written(rows, "scanned"), index, keep, c == 0, c == chunks - 1)
-    return rows
+    keep = [c for c in keep if c not in NEW]
+    windows = written(anchored(written(item_windows(benchmark), "windows"), docs), "anchored")
+    chunks = max(1, -(-windows.count() // CHUNK_WINDOWS))
+    chunk = lambda c: Index((windows if chunks == 1 else windows.where(F.pmod(F.xxhash64("words"), F.lit(chunks)) == c)).toArrow())
+    if chunks == 1:
+        return judged(docs, chunk(0), keep)
+    # Equal texts have equal hits, so a text's digest brings its hits back to each of its rows.
+    keyed = docs.withColumn("doc_key", F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256)))
+    parts = [written(hits(keyed, chunk(c)), "hits") for c in range(chunks - 1)]
+    merged = reduce(DataFrame.unionByName, parts).groupBy("doc_key").agg(F.flatten(F.collect_list("ranges")).alias("_ranges"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("_items"))
+    return judged(keyed.join(merged, "doc_key", "left"), chunk(chunks - 1), keep)
 
 
 def op4_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
