@@ -25,7 +25,7 @@ from itertools import takewhile
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm.scratch import table
+from tessera.llm.scratch import kept_schema, table
 
 WINDOW, SURGE = 3, 80
 #: ``WINDOW`` lines of an article are a surge, however short.
@@ -138,6 +138,13 @@ def lines(page: str) -> list[tuple[str, int, int]]:
     marks = "main" if "<article" not in low else "article"
 
     extents = None
+    closed: dict[str, int] = {}
+
+    def ends_after(tag: str, at: int) -> bool:
+        """Whether an end tag of this name follows."""
+        if tag not in closed:
+            closed[tag] = low.rfind(f"</{tag}")
+        return closed[tag] >= at
 
     def skips(tag: str, attributes: str, start: int) -> bool:
         nonlocal extents
@@ -185,7 +192,7 @@ def lines(page: str) -> list[tuple[str, int, int]]:
                 continue
         if tag == "a":
             link = 0 if closing else 1
-        if tag in INLINE and tag in ("a", "span", "label") and not closing and skips(tag, attributes, m.start()) and low.find(f"</{tag}", at) >= 0:
+        if tag in INLINE and tag in ("a", "span", "label") and not closing and skips(tag, attributes, m.start()) and ends_after(tag, at):
             end()
             skip_tag, skip_depth = tag, 1
             continue
@@ -199,7 +206,7 @@ def lines(page: str) -> list[tuple[str, int, int]]:
                 if not depth:
                     article = 0
             continue
-        if tag not in VOID and skips(tag, attributes, m.start()) and (tag == "p" or low.find(f"</{tag}", at) >= 0):
+        if tag not in VOID and skips(tag, attributes, m.start()) and (tag == "p" or ends_after(tag, at)):
             skip_tag, skip_depth = tag, 1
             continue
         if tag == marks:
@@ -215,11 +222,11 @@ def lines(page: str) -> list[tuple[str, int, int]]:
     return out
 
 
-def main_text(page: str | None) -> str:
-    if not page:
-        return ""
-    found = lines(page)
-    weights = [w for _, w, _ in found]
+def blocks(found: list[tuple[str, int, int]]) -> list[bool]:
+    """Of lines (text, weight, article), which stand between a surge and the dive after it.
+
+    At a surge a sum over ``WINDOW`` lines from a line with weight exceeds ``SURGE``; at a dive it is nothing.
+    """
     keep, inside = [False] * len(found), False
     for i, (_, weight, a) in enumerate(found):
         if i and found[i - 1][2] != a:
@@ -230,25 +237,36 @@ def main_text(page: str | None) -> str:
         elif inside and not total:
             inside = False
         keep[i] = inside and weight > 0
+    return keep
+
+
+def main_text(page: str | None) -> str:
+    if not page:
+        return ""
+    found = lines(page)
+    keep = blocks(found)
     whole = {a for (_, _, a), k in zip(found, keep) if a and k} or (set() if any(keep) else {a for _, w, a in found if a and w})
     keep = [k or (w > 0 and a in whole) for (_, w, a), k in zip(found, keep)]
     if not any(keep):
-        keep = [w > 0 for w in weights]
+        keep = [w > 0 for _, w, _ in found]
     return " ".join(t for (t, _, _), k in zip(found, keep) if k)
 
 
+NEW = {"text": "string", "n_chars": "long"}
+
+
 def extract(pages: DataFrame, keep: list[str]) -> DataFrame:
-    """The ``keep`` columns of every row with ``text`` and ``n_chars``; ``pages`` needs ``html``."""
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in (pages.schema[c] for c in keep)), "text string, n_chars long"])
+    """The ``keep`` columns of every row with ``text`` and ``n_chars``; ``pages`` needs ``html``. Columns of ``keep`` that are named like a new one are replaced by it."""
+    keep = [c for c in keep if c not in NEW]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
                 texts = [main_text(x) for x in part.column("html").to_pylist()]
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), pa.array(texts, pa.string()), pa.array([len(x) for x in texts], pa.int64())], [*keep, "text", "n_chars"])
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), pa.array(texts, pa.string()), pa.array([len(x) for x in texts], pa.int64())], [*keep, *NEW])
 
-    return pages.select(*dict.fromkeys([*keep, "html"])).mapInArrow(run, schema)
+    return pages.select(*dict.fromkeys([*keep, "html"])).mapInArrow(run, kept_schema(pages, keep, NEW))
 
 
 def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import kernels
-from tessera.llm.scratch import table
+from tessera.llm.scratch import kept_schema, table
 
 U = np.uint64
 BUCKETS, SAMPLE, KEEP = 1 << 15, 2000, 0.5
@@ -31,6 +31,7 @@ SYMBOL = kernels.byte_class(r"[#*$%&|<>]")
 CONTINUES = (np.arange(256) & 0xC0) == 0x80
 GRAM = 4
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+NEW = {c: "long" for c in COUNTS} | {"base_failed": "boolean", "p_good": "double", "kept": "boolean"}
 
 
 class Words:
@@ -166,9 +167,9 @@ def train(docs: DataFrame, labels: DataFrame) -> Model | None:
 
 
 def judge(docs: DataFrame, model: Model | None, keep: list[str]) -> DataFrame:
-    """The ``keep`` columns of every row with the base counts, base_failed, p_good and kept."""
+    """The ``keep`` columns of every row with the base counts, base_failed, p_good and kept. Columns of ``keep`` that are named like a new one are replaced by it."""
+    keep = [c for c in keep if c not in NEW]
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in (docs.schema[c] for c in keep)), *(f"{c} long" for c in COUNTS), "base_failed boolean, p_good double, kept boolean"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -178,9 +179,9 @@ def judge(docs: DataFrame, model: Model | None, keep: list[str]) -> DataFrame:
                 failed = (counts[0] < MIN_WORDS) | (100 * counts[4] > MAX_REPEATED * counts[0])
                 good = np.ones(piece.rows) if shared.value is None else shared.value.probability(shared.value.margins(piece, words))
                 own = [batch.column(c).slice(piece.first, piece.rows) for c in keep]
-                yield pa.RecordBatch.from_arrays([*own, *(pa.array(c.astype(np.int64)) for c in counts), pa.array(failed), pa.array(good), pa.array(~failed & (good >= KEEP))], [*keep, *COUNTS, "base_failed", "p_good", "kept"])
+                yield pa.RecordBatch.from_arrays([*own, *(pa.array(c.astype(np.int64)) for c in counts), pa.array(failed), pa.array(good), pa.array(~failed & (good >= KEEP))], [*keep, *NEW])
 
-    return docs.select(*dict.fromkeys([*keep, "text"])).mapInArrow(run, schema)
+    return docs.select(*dict.fromkeys([*keep, "text"])).mapInArrow(run, kept_schema(docs, keep, NEW))
 
 
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,7 +1,7 @@
 """Shared scratch space: the folder that driver and executors both see.
 
 Intermediate tables go to the folder named by ``spark.checkpoint.dir``; a local
-one is made only when the session names none (tests, a single machine).
+one is made only where the session names none and runs on one machine (tests).
 """
 
 from __future__ import annotations
@@ -16,6 +16,8 @@ def folder(spark: SparkSession, what: str) -> str:
     """A new, unused path below the shared folder."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         base = "file://" + tempfile.mkdtemp(prefix="tessera-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/tessera/{what}-{uuid.uuid4().hex}"

@@ -161,6 +161,12 @@ def test_quality(spark, docs, nothing):
     assert quality.judge(nothing, None, ["doc_id"]).count() == 0
 
 
+def test_equal_hashes_of_powers_of_two_are_no_repeats(spark):
+    bits = lambda k: "".join("ab"[(i.bit_count() + k) & 1] for i in range(4096))
+    rows = spark.createDataFrame([(1, bits(0) + "\n" + bits(1) + "\n" + bits(0), "clash")], "doc_id long, text string, kept string")
+    assert quality.judge(rows, None, ["doc_id", "kept"]).first()["n_dup_lines"] == 1
+
+
 def test_quality_model_tells_held_out_rows(spark):
     good = [(i, text_of(i), 1) for i in range(300)]
     bad = [(1000 + i, text_of(i).upper().replace(" ", "!! "), 0) for i in range(100)]
@@ -419,6 +425,32 @@ def test_window_sums_decide_beside_article_marks():
     assert html.main_text("<article><p>Note.</p></article><p>Short rest</p>") == "Note."
 
 
+def brute_blocks(weights):
+    """Kept lines by the definition: a line with weight, and since the last surge at or before it no dive up to it."""
+    total = [sum(weights[i : i + html.WINDOW]) for i in range(len(weights))]
+    surge = [w > 0 and t > html.SURGE for w, t in zip(weights, total)]
+    return [w > 0 and any(surge[s] and all(total[s + 1 : i + 1]) for s in range(i + 1)) for i, w in enumerate(weights)]
+
+
+def test_block_distribution_equals_brute_force():
+    r = random.Random(11)
+    for _ in range(300):
+        sizes = [r.choice([0, 0, 0, 2, 10, 30, 60, 120]) for _ in range(r.randrange(1, 25))]
+        assert html.blocks([("x", n, 0) for n in sizes]) == brute_blocks(sizes)
+        page = "".join(f"<p>{('w%d' % i + 'x' * 200)[:n]}</p>" if n else "<p><a href='/'>link</a></p>" for i, n in enumerate(sizes))
+        keep = brute_blocks(sizes)
+        want = [("w%d" % i + "x" * 200)[:n] for i, n in enumerate(sizes) if n and (keep[i] or not any(keep))]
+        assert html.main_text(page) == " ".join(want)
+
+
+def test_many_unclosed_elements_take_linear_time():
+    import time
+
+    began = time.time()
+    assert html.main_text("<nav>" * 50_000 + "x" * 10) == "x" * 10
+    assert time.time() - began < 20
+
+
 def test_layout_around_the_main_text_is_no_boilerplate():
     text = " ".join(["text"] * 60)
     body = f"<p>{text}</p><div class='sidebar'><p>Side words</p></div><div class='site-footer'>Foot</div>"
