@@ -53,7 +53,7 @@ class Codec:
     def __init__(self, path: str):
         self.library = tokenizer(path)
         self.tokens = [self.library.id_to_token(i) for i in range(self.library.get_vocab_size())]
-        self.chunks, self.joins = Cache(CHUNK_BYTES), Cache(JOIN_BYTES)
+        self.chunks, self.joins, self.words = Cache(CHUNK_BYTES), Cache(JOIN_BYTES), Cache(JOIN_BYTES)
         self.bytes_given = self.bytes_encoded = 0
 
     def encoded(self, chunks: list[bytes]) -> list[bytes]:
@@ -74,8 +74,8 @@ class Codec:
     def agree(self, joins: list[bytes]) -> list[bytes]:
         """Of each join (its sides with a byte 0xFF between), b"1" if both sides have the same ids together as apart, else b"0"."""
         sides = [j.split(b"\xff") for j in joins]
-        found = self.encoded([x for a, b in sides for x in (a + b, a, b)])
-        return [b"1" if whole == a + b else b"0" for whole, a, b in zip(found[::3], found[1::3], found[2::3])]
+        apart = self.words.bring({x for pair in sides for x in pair}, self.encoded)
+        return [b"1" if whole == apart[a] + apart[b] else b"0" for whole, (a, b) in zip(self.encoded([a + b for a, b in sides]), sides)]
 
     def encode(self, texts: list[list[bytes]]) -> list[bytes]:
         self.bytes_given += sum(len(c) for t in texts for c in t)
