@@ -45,10 +45,13 @@ def by_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    kept = templates.drop_recurring(docs).where(F.expr("n_dropped = 0") | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    rows = docs.select("doc_id", "text", F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"))
+    kept = templates.drop_recurring(rows).where(F.expr("n_dropped = 0") | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    row = F.col("_row").withField("text", F.col("text"))
     if "n_chars" in docs.columns:
-        kept = kept.withColumn("n_chars", F.when(F.col("n_dropped") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return kept.select(*docs.columns)
+        counted = F.length("text").cast(docs.schema["n_chars"].dataType)
+        row = row.withField("n_chars", F.when(F.col("n_dropped") > 0, counted).otherwise(F.col("_row.n_chars")))
+    return kept.select(row.alias("_row")).select("_row.*")
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
