@@ -16,6 +16,8 @@ that are named like a new one are replaced by it; an empty table gives no rows.
 
 from __future__ import annotations
 
+import json
+import re
 from array import array
 from collections.abc import Iterator
 
@@ -34,6 +36,10 @@ SPAN, MASK = 8, 63
 CHUNK_BYTES, JOIN_BYTES, CALL_BYTES = 12 << 20, 6 << 20, 1 << 18
 SPACE = ~kernels.NOT_SPACE
 NEW = {"ids": "array<int>", "decoded": "string"}
+#: The normalizer that texts of ``PLAIN`` characters pass as if only lower-cased: they have no marks to compose,
+#: no character whose lower case is two, no white space but ASCII, and no beginning of a special token.
+NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+PLAIN = re.compile("[\t-\r -;=-~\u00a1-\u00ac\u00ae-\u012f\u0131-\u024f]*")
 
 
 def cuts(piece: kernels.Slice) -> np.ndarray:
@@ -53,22 +59,29 @@ class Codec:
     def __init__(self, path: str):
         self.library = tokenizer(path)
         self.tokens = [self.library.id_to_token(i) for i in range(self.library.get_vocab_size())]
+        self.normalizer = self.library.normalizer
+        with open(path, encoding="utf-8") as file:
+            self.lowers = json.load(file).get("normalizer") == NORMALIZER
         self.chunks, self.joins, self.words = Cache(CHUNK_BYTES), Cache(JOIN_BYTES), Cache(JOIN_BYTES)
         self.bytes_given = self.bytes_encoded = 0
 
     def encoded(self, chunks: list[bytes]) -> list[bytes]:
-        """What the library makes of each chunk."""
-        out: list[bytes] = []
-        at = 0
-        while at < len(chunks):
-            to, size = at, 0
-            while to < len(chunks) and (to == at or size + len(chunks[to]) <= CALL_BYTES):
-                size += len(chunks[to])
-                to += 1
-            found = self.library.encode_batch_fast([c.decode() for c in chunks[at:to]], add_special_tokens=False)
-            out += [array("I", e.ids).tobytes() for e in found]
-            self.bytes_encoded += size
-            at = to
+        """What the library makes of each chunk; plain ones reach it in lower case, past its normalizer."""
+        texts = [c.decode() for c in chunks]
+        plain = [self.lowers and PLAIN.fullmatch(x) is not None for x in texts]
+        out: list[bytes] = [b""] * len(texts)
+        self.bytes_encoded += sum(map(len, chunks))
+        for kind in (True, False):
+            own = [i for i, p in enumerate(plain) if p == kind]
+            if kind:
+                self.library.normalizer = None
+            try:
+                for group in groups(own, texts):
+                    found = self.library.encode_batch_fast([texts[i].lower() if kind else texts[i] for i in group], add_special_tokens=False)
+                    for i, e in zip(group, found):
+                        out[i] = array("I", e.ids).tobytes()
+            finally:
+                self.library.normalizer = self.normalizer
         return out
 
     def agree(self, joins: list[bytes]) -> list[bytes]:
@@ -100,6 +113,19 @@ class Codec:
         return " ".join(map(self.tokens.__getitem__, array("I", ids)))
 
 
+def groups(own: list[int], texts: list[str]) -> Iterator[list[int]]:
+    """Numbers of texts in runs of about CALL_BYTES characters."""
+    group, size = [], 0
+    for i in own:
+        if group and size + len(texts[i]) > CALL_BYTES:
+            yield group
+            group, size = [], 0
+        group.append(i)
+        size += len(texts[i])
+    if group:
+        yield group
+
+
 def join(a: bytes, b: bytes) -> bytes:
     """The last word of one chunk and the first of the next, with a byte between that UTF-8 never has."""
     last, first = a.split()[-1:] if len(a) < 64 else a[-64:].split()[-1:], b.split(None, 1)[:1]
