@@ -199,9 +199,9 @@ def weighted_score(levels: DataFrame) -> DataFrame:
     return total.select(F.when(F.col("w") > 0, F.col("s") / F.col("w")).otherwise(F.raise_error(F.lit("no level has a citation"))).alias("score"))
 
 
-def first_rows(submission: DataFrame, key: str, order: str) -> DataFrame:
+def first_rows(rows: DataFrame, key: str | list[str], order: str | list[str]) -> DataFrame:
     """Of repeated rows the first, by an explicit input order."""
-    return submission.withColumn("_n", F.row_number().over(Window.partitionBy(key).orderBy(order))).where("_n = 1").drop("_n")
+    return rows.withColumn("_n", F.row_number().over(Window.partitionBy(key).orderBy(order))).where("_n = 1").drop("_n")
 
 
 def missing(solution: DataFrame, submission: DataFrame, key: str) -> DataFrame:

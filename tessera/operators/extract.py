@@ -6,6 +6,10 @@ first; positions refer to the folded text and surfaces are cut from the original
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable
+
+from pyspark import SparkContext
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -13,6 +17,22 @@ from tessera.functions import catalog as C
 from tessera.functions.spans import find_spans, first_span, hits_any, let, only, shifted, stable_unique
 from tessera.functions.text import clean_article, compact_number, compact_space, digits, distance, four_digit_year, normalize_for_matching, normalize_value, ocr_digits, original_slice, output_form, overlaps, roman_values
 
+def once(build: Callable[..., Column]) -> Callable[..., Column]:
+    """The expression of a column given by name, built once for each JVM: building one takes seconds of round trips."""
+    held: dict[tuple[str, int], Column] = {}
+
+    @functools.wraps(build)
+    def expression(trecho: Column | str, *more) -> Column:
+        if not isinstance(trecho, str) or more:
+            return build(F.col(trecho) if isinstance(trecho, str) else trecho, *more)
+        key = trecho, id(SparkContext._gateway)
+        if key not in held:
+            held[key] = build(F.col(trecho))
+        return held[key]
+
+    return expression
+
+
 NUMBER = "struct<value:string,start:int,end:int,score:int>"
 
 
@@ -173,10 +193,9 @@ def extract_relator(norm: Column) -> Column:
     return let(first_span(text, C.RELATOR_MARKER), name)
 
 
+@once
 def extract_acordao(trecho: Column | str, person: Column | None = None) -> Column:
     """A ruling: class, number, court, state, year, rapporteur. ``person`` is the only name a recogniser found, if there is one."""
-    trecho = F.col(trecho) if isinstance(trecho, str) else trecho
-
     def fields(norm: Column, klass: Column, dates: Column, number: Column) -> Column:
         text = norm["text"]
         surface = F.regexp_replace(compact_space(original_slice(norm, klass["start"], klass["end"])), r"^[ ,;.\-–—]+|[ ,;.\-–—]+$", "")
@@ -288,6 +307,7 @@ def bare_articles(text: Column, statutes: Column) -> Column:
     return F.array_compact(F.transform(statutes, before_statute))
 
 
+@once
 def extract_dispositivo(trecho: Column | str) -> Column:
     """A provision: statute, articles, and the items, paragraphs and letters of their regions."""
     def found(text: Column, statutes: Column, statute: Column) -> Column:
@@ -317,6 +337,7 @@ def extract_dispositivo(trecho: Column | str) -> Column:
     return let(normalize_value(trecho), lambda text: let(diplomas(text), lambda statutes: let(one(statutes), lambda statute: found(text, statutes, statute))))
 
 
+@once
 def extract_sumula(trecho: Column | str) -> Column:
     """Statements of precedent: court, numbers below 1800, and whether binding (then of the STF too)."""
     def fields(text: Column) -> Column:

@@ -140,17 +140,17 @@ def build_index(registry: DataFrame, entries: DataFrame) -> dict[str, DataFrame]
     rows = registry.withColumn("_cut", cut).withColumn("header_raw", F.substr("texto", F.col("_cut.start") + 1, F.col("_cut.end") - F.col("_cut.start")))
     rows = settled(rows)
     rulings = rows.where("natureza = 'acordao'").withColumn("r", number_records(F.col("header_raw"), F.coalesce("tribunal", F.lit(""))))
-    rulings = settled(rulings.select("id", "tribunal", "header_raw", "r", extract_acordao(F.col("header_raw")).alias("a")))
+    rulings = settled(rulings.withColumn("trecho", F.col("header_raw")).select("id", "tribunal", "header_raw", "r", extract_acordao("trecho").alias("a")))
     exploded = rulings.select(F.col("id").alias("id_canonico"), "tribunal", "header_raw", F.explode("r").alias("r"))
     parts = exploded.withColumn("_p", cnj_parts(F.col("r.number_digits"), F.col("r.number_type")))
     extracted = rulings.select(F.col("id").alias("id_canonico"), "tribunal", "header_raw", "a")
     own = extracted.select("id_canonico", F.explode(F.array_compact(F.concat(F.array("a.classe_processual_normalizada"), "a.classe_normalizada_candidatos"))).alias("classe_normalizada"))
     listed = dictionary_classes(extracted.select("id_canonico", class_key("header_raw").alias("header"), "tribunal"), entries).select("id_canonico", F.explode("classes").alias("classe_normalizada"))
-    statements = settled(rows.where("natureza = 'sumula'").select(F.col("id").alias("id_canonico"), "tribunal", extract_sumula(F.col("header_raw")).alias("s")))
+    statements = settled(rows.where("natureza = 'sumula'").withColumn("trecho", F.col("header_raw")).select(F.col("id").alias("id_canonico"), "tribunal", extract_sumula("trecho").alias("s")))
     first_line = F.regexp_extract("texto", r"^\s*([^\n]*)", 1)
     number = F.nullif(F.regexp_extract(fold(first_line), r"\bARTIGO\s+([0-9.]+(?:-[A-Z])?)", 1), F.lit(""))
     law64 = fold(first_line).rlike(r"LEI\s+COMPLEMENTAR.*\b64\b|\bLC\s*64\b")
-    provisions = rows.where("natureza = 'dispositivo'").select(F.col("id").alias("id_canonico"), law64.alias("law64"), number.alias("number"), extract_dispositivo(first_line).alias("d"))
+    provisions = rows.where("natureza = 'dispositivo'").withColumn("trecho", first_line).select(F.col("id").alias("id_canonico"), law64.alias("law64"), number.alias("number"), extract_dispositivo("trecho").alias("d"))
     provisions = settled(
         provisions.select(
             "id_canonico",

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.operators.enrich import typed_number
 from tessera.operators.extract import extract_acordao, extract_dispositivo, extract_sumula
 from tessera.operators.identify import identify
-from tessera.operators.pipeline import submission, typed, verified
+from tessera.operators.pipeline import document_json, run_summary, submission, typed, verified
 from tessera.operators.registry import build_index
 from tessera.plans.resolve import load
 
@@ -43,6 +44,70 @@ def extract_sumula_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("p_partkey", "s.tribunal", F.array_join(F.transform("s.numero", lambda x: x.cast("string")), ",").alias("numero"), "s.vinculante")
 
 
+def one_of(k: Column, *texts: Column | str) -> Column:
+    """The text whose place is ``k`` modulo their number."""
+    return F.element_at(F.array(*(F.lit(t) if isinstance(t, str) else t for t in texts)), (k % len(texts) + 1).cast("int"))
+
+
+def acordao_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rulings of orders in six forms: courts named, by class, by long number, or two of them; misread digits; two numbers; a state's name."""
+    orders = load(spark, sf_dir, "orders")
+    k, year = F.col("o_orderkey"), F.year("o_orderdate").cast("string")
+    n = dotted(k + 100000)
+    text = one_of(
+        k,
+        F.concat(F.lit("HC "), n, F.lit(", STF, julgado em 08/11/"), year),
+        F.concat(F.lit("RR nº "), F.lpad(k.cast("string"), 7, "0"), F.lit("-22.2017.5.04.0009")),
+        F.concat(F.lit("STF e STJ, MS "), n),
+        F.concat(F.lit("Rcl "), n, F.lit(" MATO GROSSO DO SUL, "), year),
+        F.concat(F.lit("Rec. Esp. No "), F.translate(n, "0", "O"), F.lit(" - GO, STJ")),
+        F.concat(F.lit("HC "), n, F.lit(" e HC "), dotted(k + 100001), F.lit(", STF")),
+    )
+    rows = orders.select("o_orderkey", extract_acordao(text).alias("a"))
+    return rows.select("o_orderkey", "a.tribunal", "a.classe_processual_normalizada", "a.numero", "a.uf", "a.ano")
+
+
+def dispositivo_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Provisions of parts in five forms: items, plural signs, a sole paragraph and a letter, bare numbers, points in a number."""
+    parts = load(spark, sf_dir, "part")
+    k, a = F.col("p_partkey"), (F.col("p_size") % 7 + 1).cast("int")
+    t = lambda c: c.cast("string")
+    text = one_of(
+        k,
+        F.concat(F.lit("arts. "), t(a), F.lit("º, "), one_of(k, "II", "IV", "XI"), F.lit("; "), t(a + 2), F.lit("º e "), t(a + 20), F.lit(", XII, da Lei 9.784/99")),
+        F.concat(F.lit("artigos "), t(a + 300), F.lit(", §§ "), t(a), F.lit("º e "), t(a + 1), F.lit("º, "), t(a + 400), F.lit(" e "), t(a + 500), F.lit(", do CPC")),
+        F.concat(F.lit("art. "), t(a + 30), F.lit(', XXI, alínea "b", parágrafo único, da Constituição Federal')),
+        F.concat(t(a + 180), F.lit(", "), t(a + 190), F.lit(" e "), t(a + 200), F.lit(" do Código Civil")),
+        F.concat(F.lit("1.01"), t(a), F.lit(", parágrafo "), t(a), F.lit("º, do CPC")),
+    )
+    rows = parts.select("p_partkey", extract_dispositivo(text).alias("d"))
+    return rows.select("p_partkey", "d.diploma", *(F.array_join(f"d.{c}", ",").alias(c) for c in ("artigo", "inciso", "paragrafo", "alinea")))
+
+
+def sumula_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statements of parts in four forms: binding, misread, number before the court, none."""
+    parts = load(spark, sf_dir, "part")
+    n = F.col("p_size").cast("string")
+    text = one_of(F.col("p_partkey"), F.concat(F.lit("Súmula Vinculante "), n), F.concat(F.lit("5úmu1a "), n, F.lit(" do STJ")), F.concat(n, F.lit("/TST")), "Súmula de 2014")
+    rows = parts.select("p_partkey", extract_sumula(text).alias("s"))
+    return rows.select("p_partkey", "s.tribunal", F.array_join(F.transform("s.numero", lambda x: x.cast("string")), ",").alias("numero"), "s.vinculante")
+
+
+def typed_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The number that enrichment reads from a text, in its four forms and where there is none."""
+    orders = load(spark, sf_dir, "orders")
+    k = F.col("o_orderkey")
+    text = one_of(
+        k,
+        F.concat(F.lit("processo "), F.lpad(k.cast("string"), 7, "0"), F.lit("-56.2020.5.01.0001 fim")),
+        F.concat(F.lit("a decisão "), F.translate(dotted(k + 100000), "0", "O"), F.lit(" fim")),
+        F.concat(F.lit("feito N. "), (k % 1000 + 10).cast("string"), F.lit(" fim")),
+        F.concat(F.lit("RESP "), (k % 1000 + 10).cast("string"), F.lit(" fim")),
+        "sem número algum",
+    )
+    return orders.select("o_orderkey", typed_number(text).alias("numero"))
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each customer's text: a claim by number, with the state for some, and an article."""
     customers = load(spark, sf_dir, "customer")
@@ -138,7 +203,48 @@ def discarded_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.groupBy("natureza").agg(F.count("*").alias("n"), F.count_if("discarded").alias("n_discarded"), F.sum(F.size("warnings")).alias("n_warnings"))
 
 
+def citation_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items as judged citations of their order."""
+    lines = load(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.min("l_partkey").alias("p"))
+    n, p = F.col("l_linenumber"), F.col("p")
+    void = lambda kind: F.lit(None).cast(kind)
+    return lines.select(
+        F.concat(F.lit("d_N"), (F.col("l_orderkey") % 3).cast("string"), F.lit("_"), F.col("l_orderkey").cast("string")).alias("documento_id"),
+        F.concat(F.lit("c"), n.cast("string")).alias("id"), (n * 10).alias("inicio"), (n * 10 + 5).alias("fim"), F.lit("x").alias("trecho"), F.lit("lei").alias("tipo_citacao"), F.lit("dispositivo").alias("natureza"),
+        void("string").alias("acordao"), void("string").alias("sumula"), F.struct(p.alias("artigo")).alias("dispositivo"),
+        one_of(p, "real", "inventada", "incompleta").alias("classificacao"), F.lit("R").alias("regra"), p.alias("id_canonico"), void("string").alias("log"), void("string").alias("candidatos"), void("string").alias("warnings"),
+        F.lit(0.5).alias("confianca_final"), F.when(p % 10 == 0, "CITATION_PIPELINE_ERROR").alias("error"),
+    )
+
+
+def order_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = load(spark, sf_dir, "orders")
+    name = F.concat(F.lit("d_N"), (F.col("o_orderkey") % 3).cast("string"), F.lit("_"), F.col("o_orderkey").cast("string"))
+    return orders.select(name.alias("documento_id"), F.col("o_orderpriority").alias("text"))
+
+
+def document_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of orders as documents, read back: level, hash and length of the text, counters, citations in text order."""
+    docs, cites = order_documents(spark, sf_dir), citation_rows(spark, sf_dir)
+    out = document_json(cites.where("id != 'c7'"), docs, cites.where("id = 'c7'"))
+    get = lambda path, kind="string": F.get_json_object("json", path).cast(kind)
+    ids = F.array_join(F.from_json(F.get_json_object("json", "$.citacoes[*].id"), "array<string>"), ",")
+    one = F.get_json_object("json", "$.citacoes[0].id")
+    return out.select("documento_id", F.col("n_citacoes").cast("long").alias("n_citacoes"), get("$.nivel", "int").alias("nivel"), get("$.fonte.sha256").alias("sha256"), get("$.fonte.texto_len", "long").alias("texto_len"), get("$.diagnostico.entidades_descartadas", "long").alias("n_gone"), get("$.diagnostico.citacoes_com_erro", "long").alias("n_error"), F.coalesce(F.when(F.col("n_citacoes") > 1, ids).otherwise(one), F.lit("")).alias("ids"))
+
+
+def run_summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cites = citation_rows(spark, sf_dir)
+    return run_summary(cites.where("id != 'c7'"), order_documents(spark, sf_dir), cites.where("id = 'c7'"))
+
+
 QUERIES = {
+    "extract_acordao_forms": acordao_forms,
+    "extract_dispositivo_forms": dispositivo_forms,
+    "extract_sumula_forms": sumula_forms,
+    "typed_numbers": typed_numbers,
+    "document_records": document_records,
+    "run_summary": run_summaries,
     "extract_acordao": extract_acordao_query,
     "extract_dispositivo": extract_dispositivo_query,
     "extract_sumula": extract_sumula_query,
@@ -167,7 +273,38 @@ v AS (
          CASE WHEN n % 40 < 30 THEN 'real' ELSE 'inventada' END, CASE WHEN n % 40 < 30 THEN 'UNICO_CONSISTENTE_EM_CONSULTA_COMPLETA' ELSE 'IDENTIDADE_SUFICIENTE_SEM_CANDIDATO' END,
          CASE WHEN n % 40 < 30 THEN CAST(n % 40 + 1 AS VARCHAR) END, CASE WHEN n % 40 < 30 THEN 0.9738e0 ELSE 0.9313e0 END FROM t)
 """
+_CITES = """
+l AS (SELECT l_orderkey AS k, l_linenumber AS n, min(l_partkey) AS p FROM lineitem GROUP BY ALL)
+"""
 ORACLES = {
+    "extract_acordao_forms": f"""
+WITH o AS (SELECT o_orderkey AS k, CAST(year(o_orderdate) AS INT) AS y, {_DOTTED.format("o_orderkey + 100000")} AS d FROM orders)
+SELECT k AS o_orderkey, ['STF', 'TST', NULL, NULL, 'STJ', 'STF'][k % 6 + 1] AS tribunal,
+       ['HABEAS CORPUS', 'RECURSO DE REVISTA', 'MANDADO DE SEGURANCA', 'RECLAMACAO', 'RECURSO ESPECIAL', 'HABEAS CORPUS'][k % 6 + 1] AS classe_processual_normalizada,
+       CASE WHEN k % 6 = 1 THEN lpad(CAST(k AS VARCHAR), 7, '0') || '-22.2017.5.04.0009' ELSE d END AS numero,
+       CASE k % 6 WHEN 3 THEN 'MT' WHEN 4 THEN 'GO' END AS uf, CASE WHEN k % 6 IN (0, 3) THEN y END AS ano FROM o""",
+    "extract_dispositivo_forms": """
+WITH q AS (SELECT p_partkey AS k, p_size % 7 + 1 AS a FROM part)
+SELECT k AS p_partkey, [NULL, 'CPC', 'CF/88', 'CC', 'CPC'][k % 5 + 1] AS diploma,
+       CASE k % 5 WHEN 0 THEN a || ',' || (a + 2) || ',' || (a + 20) WHEN 1 THEN (a + 300) || ',' || (a + 400) || ',' || (a + 500) WHEN 2 THEN CAST(a + 30 AS VARCHAR)
+                  WHEN 3 THEN (a + 180) || ',' || (a + 190) || ',' || (a + 200) ELSE '1.01' || a END AS artigo,
+       CASE k % 5 WHEN 0 THEN ['II', 'IV', 'XI'][k % 3 + 1] || ',XII' WHEN 2 THEN 'XXI' ELSE '' END AS inciso,
+       CASE k % 5 WHEN 1 THEN a || ',' || (a + 1) WHEN 2 THEN 'UNICO' WHEN 4 THEN CAST(a AS VARCHAR) ELSE '' END AS paragrafo, CASE k % 5 WHEN 2 THEN 'B' ELSE '' END AS alinea FROM q""",
+    "extract_sumula_forms": """
+SELECT p_partkey, ['STF', 'STJ', 'TST', NULL][p_partkey % 4 + 1] AS tribunal, CASE WHEN p_partkey % 4 = 3 THEN '' ELSE CAST(p_size AS VARCHAR) END AS numero, p_partkey % 4 = 0 AS vinculante FROM part""",
+    "typed_numbers": """
+SELECT o_orderkey, CASE o_orderkey % 5 WHEN 0 THEN lpad(CAST(o_orderkey AS VARCHAR), 7, '0') || '5620205010001' WHEN 1 THEN CAST(o_orderkey + 100000 AS VARCHAR)
+       WHEN 4 THEN NULL ELSE CAST(o_orderkey % 1000 + 10 AS VARCHAR) END AS numero FROM orders""",
+    "document_records": f"""
+WITH {_CITES},
+c AS (SELECT k, count(*) FILTER (n <> 7) AS m, count(*) FILTER (n = 7) AS gone, count(*) FILTER (n <> 7 AND p % 10 = 0) AS err, string_agg('c' || n, ',' ORDER BY n) FILTER (n <> 7) AS ids FROM l GROUP BY k)
+SELECT 'd_N' || o_orderkey % 3 || '_' || o_orderkey AS documento_id, coalesce(m, 0) AS n_citacoes, CASE WHEN o_orderkey % 3 > 0 THEN CAST(o_orderkey % 3 AS INT) END AS nivel,
+       sha256(o_orderpriority) AS sha256, CAST(length(o_orderpriority) AS BIGINT) AS texto_len, coalesce(gone, 0) AS n_gone, coalesce(err, 0) AS n_error, coalesce(ids, '') AS ids
+FROM orders LEFT JOIN c ON k = o_orderkey""",
+    "run_summary": f"""
+WITH {_CITES}
+SELECT count(*) FILTER (n <> 7) AS citacoes, count(*) FILTER (n <> 7 AND p % 3 = 0) AS "real", count(*) FILTER (n <> 7 AND p % 3 = 1) AS inventada, count(*) FILTER (n <> 7 AND p % 3 = 2) AS incompleta,
+       (SELECT count(*) FROM orders) AS documentos, count(*) FILTER (n = 7) AS descartadas FROM l""",
     "extract_acordao": f"""
 SELECT o_orderkey, 'STJ' AS tribunal, 'AgInt no REsp' AS classe_processual, 'AGRAVO INTERNO NO RECURSO ESPECIAL' AS classe_processual_normalizada,
        {_DOTTED.format("o_orderkey + 100000")} AS numero, ['SP', 'RJ', 'MG', 'RS'][o_orderkey % 4 + 1] AS uf, CAST(year(o_orderdate) AS INT) AS ano, 'João da Silva' AS relator

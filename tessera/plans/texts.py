@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from tessera.functions import spans, text
+from tessera.operators.evaluate import first_rows
+from tessera.operators.extract import select_number
 from tessera.operators.registry import dictionary_classes, header_slice
 from tessera.plans.resolve import load
+from tessera.sources.readers import bio_tokens, metadata_index
 
 
 def fold_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,10 +43,8 @@ def digit_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 def typed_number_pick(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The best number of each document by length, then place; none if another of the same length differs from it."""
     docs = load(spark, sf_dir, "documents")
-    ranked = F.array_sort(F.transform(spans.find_spans(F.col("text"), "[0-9]+"), lambda s: F.struct((-F.length(s["text"])).alias("k"), s["start"].alias("start"), s["text"].alias("text"))))
-    best, second = F.try_element_at(ranked, F.lit(1)), F.try_element_at(ranked, F.lit(2))
-    tie = F.coalesce((best["k"] == second["k"]) & (best["text"] != second["text"]), F.lit(False))
-    return docs.select("doc_id", F.when(~tie, best["text"]).alias("numero"))
+    scored = F.transform(spans.find_spans(F.col("text"), "[0-9]+"), lambda s: F.struct(s["text"].alias("value"), s["start"].alias("start"), s["end"].alias("end"), F.length(s["text"]).alias("score")))
+    return docs.select("doc_id", select_number(scored)["value"].alias("numero"))
 
 
 def unique_or_null(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -113,11 +113,28 @@ def scalar_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
 def first_of_group(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first event of each user and type by time."""
     events = load(spark, sf_dir, "events")
-    order = Window.partitionBy("user_id", "event_type").orderBy("ts", "event_id")
-    return events.withColumn("n", F.row_number().over(order)).where("n = 1").select("user_id", "event_type", "event_id")
+    return first_rows(events, ["user_id", "event_type"], ["ts", "event_id"]).select("user_id", "event_type", "event_id")
+
+
+def metadata_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of each user's events the greatest, by columns in order."""
+    events = load(spark, sf_dir, "events").select("user_id", "event_type", "event_id", "value")
+    return metadata_index(events, "user_id")
+
+
+def bio_token_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of label records made of events: each user's events as one record, every fifth token skipped."""
+    events = load(spark, sf_dir, "events")
+    k = F.col("event_id")
+    token = F.struct(k, F.when(k % 5 == 0, -100).otherwise((k % 3).cast("int")).alias("label"), F.array((k % 50).cast("int"), (k % 50 + 2).cast("int")).alias("offset"))
+    records = events.groupBy(F.col("user_id").cast("string").alias("id")).agg(F.array_sort(F.collect_list(token)).alias("t"))
+    records = records.select("id", F.transform("t", lambda t: t["label"]).alias("labels"), F.transform("t", lambda t: t["offset"]).alias("offset_mapping"))
+    return bio_tokens(records, {0: "O", 1: "B-X", 2: "I-X"}).select("doc_id", F.col("pos").cast("long").alias("pos"), F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end_"), "label")
 
 
 QUERIES = {
+    "metadata_index": metadata_rows,
+    "bio_tokens": bio_token_rows,
     "fold_text": fold_text,
     "class_key_tokens": class_key_tokens,
     "digit_spans": digit_spans,
@@ -143,6 +160,10 @@ _KEY = "trim(regexp_replace(upper(strip_accents({})), '[^A-Z0-9]+', ' ', 'g'))"
 _NAME = "(p_name || ' de ' || p_type)"
 
 ORACLES = {
+    "metadata_index": "SELECT user_id, max(event_type) AS event_type, arg_max(event_id, (event_type, event_id)) AS event_id, arg_max(value, (event_type, event_id)) AS value FROM events GROUP BY user_id",
+    "bio_tokens": """
+SELECT CAST(user_id AS VARCHAR) AS doc_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS pos, event_id % 50 AS start, event_id % 50 + 2 AS end_,
+       CASE WHEN event_id % 5 = 0 THEN NULL ELSE ['O', 'B-X', 'I-X'][event_id % 3 + 1] END AS label FROM events""",
     "fold_text": f"SELECT doc_id, sha256(trim(regexp_replace({_FOLD}, '\\s+', ' ', 'g'))) AS folded_sha256, CAST(length({_FOLD}) AS BIGINT) AS n_matching FROM documents",
     "class_key_tokens": f"""
 WITH t AS (
