@@ -64,7 +64,7 @@ def acordao_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("HC "), n, F.lit(" e HC "), dotted(k + 100001), F.lit(", STF")),
     )
     rows = orders.select("o_orderkey", extract_acordao(text).alias("a"))
-    return rows.select("o_orderkey", "a.tribunal", "a.classe_processual_normalizada", "a.numero", "a.uf", "a.ano")
+    return rows.select("o_orderkey", "a.tribunal", "a.classe_processual_normalizada", "a.numero", "a.uf", F.col("a.ano").cast("string").alias("ano"))
 
 
 def dispositivo_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -230,7 +230,7 @@ def document_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     get = lambda path, kind="string": F.get_json_object("json", path).cast(kind)
     ids = F.array_join(F.from_json(F.get_json_object("json", "$.citacoes[*].id"), "array<string>"), ",")
     one = F.get_json_object("json", "$.citacoes[0].id")
-    return out.select("documento_id", F.col("n_citacoes").cast("long").alias("n_citacoes"), get("$.nivel", "int").alias("nivel"), get("$.fonte.sha256").alias("sha256"), get("$.fonte.texto_len", "long").alias("texto_len"), get("$.diagnostico.entidades_descartadas", "long").alias("n_gone"), get("$.diagnostico.citacoes_com_erro", "long").alias("n_error"), F.coalesce(F.when(F.col("n_citacoes") > 1, ids).otherwise(one), F.lit("")).alias("ids"))
+    return out.select("documento_id", F.col("n_citacoes").cast("long").alias("n_citacoes"), get("$.nivel").alias("nivel"), get("$.fonte.sha256").alias("sha256"), get("$.fonte.texto_len", "long").alias("texto_len"), get("$.diagnostico.entidades_descartadas", "long").alias("n_gone"), get("$.diagnostico.citacoes_com_erro", "long").alias("n_error"), F.coalesce(F.when(F.col("n_citacoes") > 1, ids).otherwise(one), F.lit("")).alias("ids"))
 
 
 def run_summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -282,7 +282,7 @@ WITH o AS (SELECT o_orderkey AS k, CAST(year(o_orderdate) AS INT) AS y, {_DOTTED
 SELECT k AS o_orderkey, ['STF', 'TST', NULL, NULL, 'STJ', 'STF'][k % 6 + 1] AS tribunal,
        ['HABEAS CORPUS', 'RECURSO DE REVISTA', 'MANDADO DE SEGURANCA', 'RECLAMACAO', 'RECURSO ESPECIAL', 'HABEAS CORPUS'][k % 6 + 1] AS classe_processual_normalizada,
        CASE WHEN k % 6 = 1 THEN lpad(CAST(k AS VARCHAR), 7, '0') || '-22.2017.5.04.0009' ELSE d END AS numero,
-       CASE k % 6 WHEN 3 THEN 'MT' WHEN 4 THEN 'GO' END AS uf, CASE WHEN k % 6 IN (0, 3) THEN y END AS ano FROM o""",
+       CASE k % 6 WHEN 3 THEN 'MT' WHEN 4 THEN 'GO' END AS uf, CASE WHEN k % 6 IN (0, 3) THEN CAST(y AS VARCHAR) END AS ano FROM o""",
     "extract_dispositivo_forms": """
 WITH q AS (SELECT p_partkey AS k, p_size % 7 + 1 AS a FROM part)
 SELECT k AS p_partkey, [NULL, 'CPC', 'CF/88', 'CC', 'CPC'][k % 5 + 1] AS diploma,
@@ -298,7 +298,7 @@ SELECT o_orderkey, CASE o_orderkey % 5 WHEN 0 THEN lpad(CAST(o_orderkey AS VARCH
     "document_records": f"""
 WITH {_CITES},
 c AS (SELECT k, count(*) FILTER (n <> 7) AS m, count(*) FILTER (n = 7) AS gone, count(*) FILTER (n <> 7 AND p % 10 = 0) AS err, string_agg('c' || n, ',' ORDER BY n) FILTER (n <> 7) AS ids FROM l GROUP BY k)
-SELECT 'd_N' || o_orderkey % 3 || '_' || o_orderkey AS documento_id, coalesce(m, 0) AS n_citacoes, CASE WHEN o_orderkey % 3 > 0 THEN CAST(o_orderkey % 3 AS INT) END AS nivel,
+SELECT 'd_N' || o_orderkey % 3 || '_' || o_orderkey AS documento_id, coalesce(m, 0) AS n_citacoes, CASE WHEN o_orderkey % 3 > 0 THEN CAST(o_orderkey % 3 AS VARCHAR) END AS nivel,
        sha256(o_orderpriority) AS sha256, CAST(length(o_orderpriority) AS BIGINT) AS texto_len, coalesce(gone, 0) AS n_gone, coalesce(err, 0) AS n_error, coalesce(ids, '') AS ids
 FROM orders LEFT JOIN c ON k = o_orderkey""",
     "run_summary": f"""
