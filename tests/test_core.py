@@ -68,7 +68,7 @@ def test_metric(spark):
     assert score(spark, gold, [("a", "0,10,real,8,-|20,30,inventada,-,-"), ("b", "0,10,incompleta,-,-"), ("c", "-")]) == 1.0
     assert score(spark, gold, [("a", "0,10,real,8,1|20,30,inventada,-,1"), ("b", "0,10,incompleta,-,1"), ("c", "-"), ("a", "-")]) == pytest.approx(1.1)
     assert score(spark, gold, [("a", "0,10,inventada,-,-|20,30,real,7,-"), ("b", "-"), ("c", "-")]) == 0.0
-    assert score(spark, gold, [("a", "0,10,real,7,-|12,14,real,7,-|1,9,inventada,-,-|20,30,inventada,-,-"), ("b", "0,10,incompleta,-,-"), ("c", "-")]) == pytest.approx((2 / 3 / 2 + 1 / 2 + 2) / 3)
+    assert score(spark, gold, [("a", "0,10,real,7,-|12,14,real,7,-|1,5,inventada,-,-|20,30,inventada,-,-"), ("b", "0,10,incompleta,-,-"), ("c", "-")]) == pytest.approx((2 / 3 / 2 + 1 / 2 + 2) / 3)
     with pytest.raises(Exception, match="not sent"):
         score(spark, gold, [("a", "-")])
     with pytest.raises(Exception, match="malformed"):
