@@ -128,7 +128,7 @@ def test_pipeline_equals_brute_force(spark, tmp_path):
         (322, "   \n\n "),
     ]
     rows = [(i, x) for i, x in {**dict(TEXTS), **dict(more)}.items()]
-    frame = spark.createDataFrame([(i, x, "en" if i % 2 else "xx", "s", 0, "clash") for i, x in rows], "doc_id long, text string, lang string, source string, n_chars long, n_dropped string")
+    frame = spark.createDataFrame([(i, x, None if i == 321 else "en" if i % 2 else "xx", "s", 0, "clash") for i, x in rows], "doc_id long, text string, lang string, source string, n_chars long, n_dropped string")
     frame.write.parquet(f"{tmp_path}/documents.parquet")
     items = [(1, " ".join(text_of(2).split()[18:36])), (2, None), (3, "five words of an item"), (3, "five words of an item")]
     spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
