@@ -19,17 +19,16 @@ import numpy as np
 FINE = re.compile(r"\s*[A-Za-zÀ-ÖØ-öø-ÿ]+(?=[\s!-&(-/:-@\[-`{-~]|\Z)|\s*\S+|\s+")
 ODD = re.compile("[\x1c-\x1f\x85\u180e]")
 #: Bytes of each generation of a cache of pieces, and characters that are cut and encoded together.
-PIECE_BYTES, TOGETHER_CHARS = 40 << 20, 1 << 20
+PIECE_BYTES, TOGETHER_CHARS = 64 << 20, 1 << 20
 NEXT = re.compile(r"(?<=\S)\s")
 BETWEEN, TOGETHER = "<|endoftext|>", 2000
-_LOADED: dict[str, object] = {}
 
 
 class Cache:
     """Values by key in two generations of about ``budget`` bytes each.
 
     When the young generation is full it becomes the old one, and what is met again
-    moves back. Keys longer than ``LONGEST`` are never kept.
+    moves back. Keys longer than ``LONGEST`` are held until the next call only.
     """
 
     LONGEST, ENTRY = 4096, 200  # ENTRY: what an entry costs beside its bytes
@@ -38,20 +37,29 @@ class Cache:
         self.budget, self.size = budget, 0
         self.young: dict = {}
         self.old: dict = {}
+        self.long: list = []
 
     def bring(self, keys: set, make: Callable[[list], list]) -> dict:
-        """The values of all keys; those not held are made together."""
+        """A dictionary with the values of all keys; those not held are made together."""
+        for k in self.long:
+            del self.young[k]
+        self.long.clear()
         if self.size > self.budget:
             self.old, self.young, self.size = self.young, {}, 0
-        held = {k: v for k in keys if (v := self.young.get(k)) is not None}
-        again = {k: v for k in keys.difference(held) if (v := self.old.get(k)) is not None}
-        new = [k for k in keys.difference(held) if k not in again]
-        made = dict(zip(new, make(new)))
-        for found in (again, made):
-            fit = {k: v for k, v in found.items() if len(k) <= self.LONGEST}
-            self.young.update(fit)
-            self.size += sum(map(len, fit)) + sum(map(len, fit.values())) + self.ENTRY * len(fit)
-        return held | again | made
+        missing = keys.difference(self.young)
+        if missing:
+            again = {k: v for k in missing if (v := self.old.get(k)) is not None}
+            new = list(missing.difference(again))
+            made = dict(zip(new, make(new)))
+            for found in (again, made):
+                self.young.update(found)
+                self.size += sum(map(len, found)) + sum(map(len, found.values())) + self.ENTRY * len(found)
+            self.long += [k for k in new if len(k) > self.LONGEST]
+            self.size -= sum(len(k) + len(made[k]) + self.ENTRY for k in self.long)
+        return self.young
+
+
+_LOADED: dict[str, object] = {}
 
 
 def tokenizer(path: str):

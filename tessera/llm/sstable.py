@@ -45,7 +45,7 @@ from tessera.llm.scratch import folder, table, written
 
 U = np.uint64
 #: Bytes of text in a shard, and the least for which a shard of its own is worth it; bytes of a block.
-SHARD_BYTES, LEAST_BYTES, BLOCK_BYTES = 64 << 20, 1 << 20, 1 << 16
+SHARD_BYTES, LEAST_BYTES, BLOCK_BYTES = 32 << 20, 1 << 20, 1 << 16
 BITS_PER_KEY, PROBES = 10, 7
 MAGIC = b"TSST0001"
 FOOTER = struct.Struct("<QQQQQQ8s")  # offsets of index, filter, footer; entries; tokens; bytes of an id; magic
