@@ -23,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,14 +44,13 @@ PLAIN = re.compile("[\t-\r -;=-~\u00a1-\u00ac\u00ae-\u012f\u0131-\u024f]*")
 
 
 def cuts(piece: kernels.Slice) -> np.ndarray:
-    """Positions at which chunks begin inside texts."""
+    """Positions at which chunks begin inside texts: starts of white space where a hash of the SPAN bytes before says so."""
     buf = piece.buf
-    if len(buf) < 2:
+    if len(buf) <= SPAN:
         return np.zeros(0, dtype=np.int64)
-    at = np.flatnonzero(SPACE[buf[1:]] & ~SPACE[buf[:-1]]) + 1
-    at = at[at >= SPAN]
-    h = piece.hashes(piece.prefix(lower=False), at - SPAN, at)
-    return at[(h & U(MASK)) == 0]
+    at = np.flatnonzero(SPACE[buf[SPAN:]] & ~SPACE[buf[SPAN - 1 : -1]]) + SPAN
+    before = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(buf, SPAN)[at - SPAN]).view(U).ravel()
+    return at[(kernels.mix(before) & U(MASK)) == 0]
 
 
 class Codec:
@@ -58,7 +58,7 @@ class Codec:
 
     def __init__(self, path: str):
         self.library = tokenizer(path)
-        self.tokens = [self.library.id_to_token(i) for i in range(self.library.get_vocab_size())]
+        self.tokens = pa.array([self.library.id_to_token(i) for i in range(self.library.get_vocab_size())], pa.string())
         self.normalizer = self.library.normalizer
         with open(path, encoding="utf-8") as file:
             self.lowers = json.load(file).get("normalizer") == NORMALIZER
@@ -108,9 +108,9 @@ class Codec:
         found = self.chunks.bring({c for t in texts for c in t}, self.encoded)
         return [b"".join(map(found.__getitem__, t)) for t in texts]
 
-    def decode(self, ids: bytes) -> str:
+    def decode(self, ids: pa.ListArray) -> pa.Array:
         """The decoder of a file that names none: its tokens, joined by spaces."""
-        return " ".join(map(self.tokens.__getitem__, array("I", ids)))
+        return pa.compute.binary_join(pa.ListArray.from_arrays(ids.offsets, self.tokens.take(ids.values)), " ")
 
 
 def groups(own: list[int], texts: list[str]) -> Iterator[list[int]]:
@@ -163,7 +163,7 @@ def encode(docs: DataFrame, tokenizer_path: str, keep: list[str]) -> DataFrame:
                 found = own.encode(texts)
                 ends = np.cumsum([0, *(len(x) // 4 for x in found)]).astype(np.int32)
                 ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(found), np.int32)))
-                yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(piece.first, piece.rows) for c in keep), ids, pa.array(map(own.decode, found), pa.string())], [*keep, *NEW])
+                yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(piece.first, piece.rows) for c in keep), ids, own.decode(ids)], [*keep, *NEW])
 
     return docs.select(*dict.fromkeys([*keep, "text"])).mapInArrow(run, kept_schema(docs, keep, NEW))
 

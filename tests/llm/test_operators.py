@@ -479,6 +479,10 @@ def test_chunked_bpe(spark, docs, nothing, tmp_path):
     assert sorted(tuple(r) for r in got) == sorted((i, *whole[x]) for i, x in TEXTS)
 
 
+def decoded(codec, ids):
+    return codec.decode(pa.array([[int.from_bytes(ids[k : k + 4], "little") for k in range(0, len(ids), 4)]], pa.list_(pa.int32())))[0].as_py()
+
+
 def odd_texts(seed, n=4000):
     """Texts of letters, marks, white space and signs from all of Unicode."""
     r = random.Random(seed)
@@ -505,7 +509,7 @@ def test_ids_equal_the_library_over_all_of_unicode(monkeypatch):
         got = codec.encode([[raw[a:b] for a, b in zip(e[:-1], e[1:])] for e in own])
         for x, ids in zip(texts[piece.first :], got):
             want = codec.library.encode(x, add_special_tokens=False).ids
-            assert ids == b"".join(i.to_bytes(4, "little") for i in want) and codec.decode(ids) == codec.library.decode(want, skip_special_tokens=False), x
+            assert ids == b"".join(i.to_bytes(4, "little") for i in want) and decoded(codec, ids) == codec.library.decode(want, skip_special_tokens=False), x
     for x, ids in zip(texts, encoder.encode(texts)):
         assert ids == b"".join(i.to_bytes(4, "little") for i in encoder.library.encode(x, add_special_tokens=False).ids), x
 
@@ -535,7 +539,7 @@ def test_disagreeing_joins_are_repaired():
     for parts in ([b"alpha be", b"ta gamma"], [b"alp", b"ha beta gam", b"ma"], [b"alpha", b" beta", b" gamma"]):
         ids = codec.library.encode(text, add_special_tokens=False).ids
         assert codec.encode([list(parts)])[0] == b"".join(i.to_bytes(4, "little") for i in ids)
-        assert codec.decode(codec.encode([list(parts)])[0]) == codec.library.decode(ids, skip_special_tokens=False)
+        assert decoded(codec, codec.encode([list(parts)])[0]) == codec.library.decode(ids, skip_special_tokens=False)
 
 
 def test_range_hashes_tell_apart_what_collides_modulo_powers_of_two():
