@@ -160,19 +160,25 @@ def marked(rows: DataFrame, lists: dict[str, list[Level]], shard: int, shards: i
     return rows.mapInArrow(run, schema)
 
 
-def judge(pages: DataFrame, block: list[str], allow: list[str], labels: list[str]) -> DataFrame:
-    """All columns of ``pages`` with host, path, rule and verdict."""
+def judge(pages: DataFrame, block: list[str], allow: list[str], labels: list[str] | DataFrame) -> DataFrame:
+    """All columns of ``pages`` with host, path, rule and verdict.
+
+    ``labels``: the host labels that block where no rule fits, as a list or as a table of any size with a column ``label``.
+    """
     spark = pages.sparkSession
+    listed = labels if isinstance(labels, DataFrame) else spark.createDataFrame([(x,) for x in labels], "label string")
+    listed = written(listed.where("label IS NOT NULL").select(F.concat("label", F.lit(":")).alias("key")).distinct(), "labels")
+    rules = lambda x: spark.createDataFrame([(k,) for k in x], "key string")
     names = [F.col(c).alias(f"_{c}") for c in pages.columns]
     rows = keyed(pages.select(F.struct(*names).alias("_row"), "url"), block + allow)
     hashed = lambda c: F.transform(c, lambda k: F.xxhash64(k)).alias(f"{c}_h")
     rows = rows.select("_row", "host", "path", "candidates", hashed("candidates"), hashed("labels"))
     universe = written(rows.select(F.explode(F.array_distinct(F.concat("candidates_h", "labels_h"))).alias("h")).distinct(), "universe")
-    lists = {"blocked": block + [f"{x}:" for x in labels], "allowed": allow}
-    shards = max(1, -(-32 * sum(map(len, lists.values())) // MAX_BITS))
+    lists = {"blocked": rules(block).unionByName(listed), "allowed": rules(allow)}
+    shards = max(1, -(-32 * (len(block) + len(allow) + listed.count()) // MAX_BITS))
     for shard in range(shards):
         own = (F.shiftrightunsigned("h", 1) % shards * 2 + F.col("h").bitwiseAND(F.lit(1))) % shards == shard if shards > 1 else F.lit(True)
-        keys = lambda x: spark.createDataFrame([(k,) for k in x], "key string").select(F.xxhash64("key").alias("h"))
+        keys = lambda x: x.select(F.xxhash64("key").alias("h"))
         rows = marked(rows if not shard else written(rows, "marked"), {name: build(universe.where(own), keys(x).where(own)) for name, x in lists.items()}, shard, shards)
     zipped = F.arrays_zip("candidates", "candidates_blocked", "candidates_allowed")
     fit = F.try_element_at(F.filter(zipped, lambda x: x["candidates_blocked"] | x["candidates_allowed"]), F.lit(1))

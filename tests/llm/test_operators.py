@@ -209,6 +209,10 @@ def test_url_shards_agree(spark, monkeypatch):
     pages = spark.createDataFrame([(i, f"http://h{i % 9}.example.net/{'en/' if i % 2 else ''}{i}") for i in range(60)], "page_id long, url string")
     args = (cascade.BLOCK_RULES, cascade.ALLOW_RULES, cascade.BLOCKED_LABELS)
     whole = sorted(map(tuple, cascade.judge(pages, *args).collect()))
+    listed = spark.createDataFrame([("h3",), ("h3",), (None,), ("nobody",)], "label string")
+    tabled = {r["url"]: r["verdict"] for r in cascade.judge(pages, [], [], listed).collect()}
+    assert all((v == "block") == ("//h3." in u) for u, v in tabled.items()) and "block" in tabled.values()
+    assert cascade.judge(pages.where("false"), *args).count() == 0
     monkeypatch.setattr(cascade, "MAX_BITS", 128)
     assert sorted(map(tuple, cascade.judge(pages, *args).collect())) == whole
 
