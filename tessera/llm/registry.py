@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import cascade, chunks, contamination, html, language, neardup, quality, rollup, sstable, templates
+from tessera.llm import cascade, chunks, codes, compression, contamination, html, language, neardup, quality, rollup, sstable, templates, variants
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_shards": sstable.op1_token_shards,
@@ -19,6 +19,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_main_text": html.op8_main_text,
     "op9_chunked_bpe": chunks.op9_chunked_bpe,
     "op10_language": language.op10_language,
+    "op11_spelling_variants": variants.op11_spelling_variants,
+    "op12_vector_codes": codes.op12_vector_codes,
+    "op13_compression_quality": compression.op13_compression_quality,
 }
 
 ORACLES: dict[str, str] = {
@@ -26,4 +29,6 @@ ORACLES: dict[str, str] = {
     "op4_contamination": contamination.ORACLE,
     "op5_line_templates": templates.ORACLE,
     "op6_near_duplicates": neardup.ORACLE,
+    "op11_spelling_variants": variants.ORACLE,
+    "op12_vector_codes": codes.ORACLE,
 }
