@@ -1,7 +1,9 @@
 """Spans of pattern matches as arrays, without a UDF.
 
-Spark extracts all matches but not their places. Running lengths of the matches
-and of the text between them give every start and end, in characters. Patterns must not match the empty string.
+Spark extracts all matches but not their places. One pass puts a mark before and behind
+each match; the pieces between marks are gap, match, gap and so on, and running sums of their lengths
+give every start and end, in characters. Patterns must not match the empty string; a mark
+in the text itself (U+0000) reads as U+0001.
 """
 
 from __future__ import annotations
@@ -22,22 +24,43 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), lambda x: body(x)), 1)
 
 
-def find_spans(text: Column, pattern: str) -> Column:
-    """All matches in order: struct(start, end, text), 0-based, end exclusive."""
+def find_spans(text: Column, pattern: str, long: bool = False) -> Column:
+    """All matches in order: struct(start, end, text), 0-based, end exclusive. ``long`` is for texts with many matches."""
 
-    def placed(matches: Column) -> Column:
-        # Splitting at a plain character costs no compilation; the pattern marks where.
-        gaps = F.split(F.regexp_replace(F.translate(text, MARK, "\x01"), pattern, MARK), MARK, -1)
-        pairs = F.zip_with(matches, F.slice(gaps, 1, F.size(matches)), lambda m, g: F.struct(m.alias("m"), F.length(g).alias("g")))
-        start = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("out"))
-        return F.when(F.size(matches) > 0, F.aggregate(pairs, start, step, lambda acc: acc["out"])).otherwise(F.array().cast(SPAN))
+    def placed(pieces: Column) -> Column:
+        places = F.sequence(F.lit(1), F.floor(F.size(pieces) / 2).cast("int"))
+        match = lambda i: F.element_at(pieces, 2 * i)
+        gap = lambda i: F.length(F.element_at(pieces, 2 * i - 1))
+        if long:
+            spans = let(F.transform(places, lambda i: F.struct(match(i).alias("m"), gap(i).alias("g"))), by_blocks)
+        else:
+            spans = running(places, F.lit(0), gap, match)
+        return F.when(F.size(pieces) > 1, spans).otherwise(F.array().cast(SPAN))
 
-    def step(acc: Column, p: Column) -> Column:
-        begin = acc["at"] + p["g"]
-        end = begin + F.length(p["m"])
-        return F.struct(end.alias("at"), F.array_append(acc["out"], F.struct(begin.alias("start"), end.alias("end"), p["m"].alias("text"))).alias("out"))
+    return let(F.split(F.regexp_replace(F.replace(text, F.lit(MARK), F.lit("\x01")), pattern, f"{MARK}$0{MARK}"), MARK, -1), placed)
 
-    return let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), placed)
+
+def running(items: Column, at: Column, gap: Callable[[Column], Column], match: Callable[[Column], Column]) -> Column:
+    """Spans of the items' matches behind their gaps, the first gap beginning at ``at``: one fold, which copies what it has at each step."""
+
+    def step(acc: Column, x: Column) -> Column:
+        begin = acc["at"] + gap(x)
+        end = begin + F.length(match(x))
+        return F.struct(end.alias("at"), F.array_append(acc["out"], F.struct(begin.alias("start"), end.alias("end"), match(x).alias("text"))).alias("out"))
+
+    return F.aggregate(items, F.struct(at.alias("at"), F.array().cast(SPAN).alias("out")), step, lambda acc: acc["out"])
+
+
+def by_blocks(pairs: Column) -> Column:
+    """``running`` over blocks of the square root of their number, each from the sum of those before it, so that n matches cost the power 1.5 of n and not its square."""
+    size = F.ceil(F.sqrt(F.size(pairs))).cast("int")
+    blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(pairs) - 1) / size).cast("int")), lambda k: F.slice(pairs, k * size + 1, size))
+
+    def begun(cut: Column) -> Column:
+        width = F.transform(cut, lambda b: F.aggregate(b, F.lit(0), lambda n, p: n + p["g"] + F.length(p["m"])))
+        return F.aggregate(width, F.array(F.lit(0)), lambda acc, w: F.array_append(acc, F.element_at(acc, -1) + w))
+
+    return let(blocks, lambda cut: F.flatten(F.zip_with(cut, let(begun(cut), lambda at: F.slice(at, F.lit(1), F.size(cut))), lambda block, at: running(block, at, lambda p: p["g"], lambda p: p["m"]))))
 
 
 def first_span(text: Column, pattern: str) -> Column:

@@ -14,6 +14,8 @@ from tessera.functions.text import norm_id
 CLASSES = ["real", "inventada", "incompleta"]
 WEIGHTS = {1: 1.0, 2: 2.0}
 BONUS, SEVERE = 0.10, 0.5
+#: A confidence as text; a cast alone would also take suffixes such as 0.5f.
+DECIMAL = r"^[+-]?(?:[0-9]+(?:\.[0-9]*)?|\.[0-9]+)(?:[eE][+-]?[0-9]+)?$"
 
 
 def encode_cell(spans: Column) -> Column:
@@ -54,7 +56,7 @@ def parse_prediction(cell: Column) -> Column:
 
     def row(f: Column) -> Column:
         start, end, classe = item(f, 1).try_cast("int"), item(f, 2).try_cast("int"), F.lower(item(f, 3))
-        conf = F.when(~absent(item(f, 5)), item(f, 5).try_cast("double"))
+        conf = F.when(item(f, 5).rlike(DECIMAL), item(f, 5).try_cast("double"))
         bad = (F.size(f) != 5) | start.isNull() | end.isNull() | (start < 0) | (end <= start) | ~classe.isin(CLASSES)
         bad = bad | ((classe == "real") & ~F.coalesce(item(f, 4).rlike("^[0-9]+$"), F.lit(False)))
         bad = bad | (~absent(item(f, 5)) & (conf.isNull() | ~conf.between(0, 1)))

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from tessera.functions import catalog as C
 from tessera.functions.spans import find_spans
 from tessera.functions.text import overlaps
-from tessera.operators.sequences import merge_adjacent
 
 ENTITY = "struct<tipo:string,inicio:int,fim:int,confianca:double>"
 RULE_CONFIDENCE = 0.995
@@ -20,7 +19,7 @@ def rule_spans(text: Column, entities: Column) -> Column:
     Patterns apply one after another, so a later one takes the place of an earlier
     one's spans; within a document this is one fold over few spans.
     """
-    found = F.concat(*(labelled(find_spans(text, pattern), label) for pattern, label in C.RULE_SPANS))
+    found = F.concat(*(labelled(find_spans(text, pattern, long=True), label) for pattern, label in C.RULE_SPANS))
 
     def replace(acc: Column, s: Column) -> Column:
         hit = lambda e: overlaps(e["inicio"], e["fim"], s["inicio"], s["fim"])
@@ -44,27 +43,37 @@ def relabelled(tipo: Column, trecho: Column) -> Column:
     return out
 
 
+def joined_neighbours(text: Column, entities: Column) -> Column:
+    """Rulings (in text order) three characters apart or less, with nothing but numbers and capitals between, as one, in chains."""
+
+    def step(acc: Column, e: Column) -> Column:
+        last = F.try_element_at(acc, F.lit(-1))
+        gap = e["inicio"] - last["fim"]
+        between = F.substr(text, last["fim"] + 1, F.greatest(e["fim"] - last["fim"], F.lit(0)))
+        goes_on = F.coalesce((e["tipo"] == "ACOR") & (last["tipo"] == "ACOR") & gap.between(0, 3) & between.rlike(r"(?iU)^[A-Z\d.\-\s/]+$"), F.lit(False))
+        whole = F.struct(last["tipo"].alias("tipo"), last["inicio"].alias("inicio"), e["fim"].alias("fim"), F.greatest(last["confianca"], e["confianca"]).alias("confianca"))
+        return F.when(goes_on, F.array_append(F.slice(acc, F.lit(1), F.size(acc) - 1), whole)).otherwise(F.array_append(acc, e))
+
+    return F.aggregate(entities, F.array().cast(f"array<{ENTITY}>"), step)
+
+
 def identify(documents: DataFrame, entities: DataFrame | None = None, least: int = 4) -> DataFrame:
-    """Mentions (documento_id, id, tipo, inicio, fim, trecho, confianca, and the text) of documents (documento_id, text).
+    """Mentions (documento_id, id, inicio, fim, tipo, confianca, trecho) of documents (documento_id, text).
 
-    ``entities`` (documento_id, tipo, inicio, fim, confianca) are a model's spans;
-    neighbouring rulings three characters apart or less, with numbers between, are
-    one. Surfaces of fewer than ``least`` characters are dropped.
+    ``entities`` (documento_id, tipo, inicio, fim, confianca) are a model's spans.
+    Surfaces of fewer than ``least`` characters are dropped. Entities meet their document as one array, and surfaces are cut
+    before mentions become rows, so a text is read once and travels with none of them.
     """
+    texts = documents.select("documento_id", "text")
+    entity = lambda e: F.struct(e["tipo"].alias("tipo"), e["inicio"].alias("inicio"), e["fim"].alias("fim"), e["confianca"].alias("confianca"))
     if entities is not None:
-        texts = entities.join(documents, "documento_id")
-        between = F.substr("text", F.col("_before.fim") + 1, F.greatest(F.col("fim") - F.col("_before.fim"), F.lit(0)))
-        merged = merge_adjacent(texts, "documento_id", (F.col("tipo") == "ACOR") & between.rlike(r"(?iU)^[A-Z\d.\-\s/]+$"))
-        own = merged.groupBy("documento_id").agg(F.array_sort(F.collect_list(F.struct("inicio", "fim", "tipo", "confianca"))).alias("_e"))
-        rows = documents.join(own, "documento_id", "left")
-        held = F.transform(F.coalesce("_e", F.array().cast("array<struct<inicio:int,fim:int,tipo:string,confianca:double>>")), lambda e: F.struct(e["tipo"].alias("tipo"), e["inicio"].alias("inicio"), e["fim"].alias("fim"), e["confianca"].alias("confianca")))
+        own = entities.groupBy("documento_id").agg(F.array_sort(F.collect_list(F.struct(*(F.col(c).cast(t).alias(c) for c, t in (("inicio", "int"), ("fim", "int"), ("tipo", "string"), ("confianca", "double")))))).alias("_e"))
+        rows = texts.join(own, "documento_id", "left")
+        held = joined_neighbours(F.col("text"), F.transform(F.coalesce("_e", F.array().cast("array<struct<inicio:int,fim:int,tipo:string,confianca:double>>")), entity))
     else:
-        rows, held = documents, F.array().cast(f"array<{ENTITY}>")
-    spans = rows.withColumn("_s", rule_spans(F.col("text"), held))
-    surface = lambda e: F.substr("text", e["inicio"] + 1, e["fim"] - e["inicio"])
-    kept = F.filter("_s", lambda e: F.length(F.regexp_replace(surface(e), r"(?U)^\s+|\s+$", "")) >= least)
-    ordered = F.array_sort(F.transform(kept, lambda e: F.struct(e["inicio"].alias("inicio"), e["fim"].alias("fim"), e["tipo"].alias("tipo"), e["confianca"].alias("confianca"))))
-    out = spans.withColumn("_s", ordered).select("documento_id", "text", F.posexplode("_s").alias("_n", "e"))
-    out = out.select("documento_id", "text", F.concat(F.lit("c"), (F.col("_n") + 1).cast("string")).alias("id"), "e.inicio", "e.fim", "e.tipo", "e.confianca")
-    out = out.withColumn("trecho", F.substr("text", F.col("inicio") + 1, F.col("fim") - F.col("inicio")))
-    return out.withColumn("tipo", relabelled(F.col("tipo"), F.col("trecho")))
+        rows, held = texts, F.array().cast(f"array<{ENTITY}>")
+    cut = lambda e: F.substr("text", e["inicio"] + 1, e["fim"] - e["inicio"])
+    row = lambda e: F.struct(*(e[c].alias(c) for c in ("inicio", "fim", "tipo", "confianca")), cut(e).alias("trecho"))
+    kept = F.filter(F.transform(rule_spans(F.col("text"), held), row), lambda e: F.length(F.regexp_replace(e["trecho"], r"(?U)^\s+|\s+$", "")) >= least)
+    out = rows.select("documento_id", F.array_sort(kept).alias("_s")).select("documento_id", F.posexplode("_s").alias("_n", "e"))
+    return out.select("documento_id", F.concat(F.lit("c"), (F.col("_n") + 1).cast("string")).alias("id"), "e.inicio", "e.fim", relabelled(F.col("e.tipo"), F.col("e.trecho")).alias("tipo"), "e.confianca", "e.trecho")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tessera.functions import catalog as C
 from tessera.functions.spans import find_spans, first_span, let
 from tessera.functions.text import class_key, digits, fold
-from tessera.sources.settle import settled
+from tessera.sources.settle import dealt, settled
 
 SCHEMA_VERSION, BUILDER_VERSION = "1", "1.0.0"
 RECORD = "struct<number_digits:string,number_type:string,is_primary:boolean>"
@@ -127,44 +127,52 @@ def class_entries(dictionary: DataFrame) -> DataFrame:
     return rows.select("surface_key", "e.tribunal", class_key("e.classe_normalizada").alias("classe")).where("surface_key != '' AND classe != ''").distinct()
 
 
-def build_index(registry: DataFrame, entries: DataFrame) -> dict[str, DataFrame]:
-    """The tables of the index.
+def headers(registry: DataFrame) -> DataFrame:
+    """Registry rows with the places and the text of their header (``trecho``) instead of their body.
 
-    registry: id, documento_id, tribunal, ano, relator, natureza, tipo, texto.
+    Of a statement the first 500 characters count; of a provision its first line does as well.
     """
+    ruling = F.col("natureza") == "acordao"
+    whole = F.struct(F.lit(0).alias("start"), F.least(F.length("texto"), F.lit(500)).alias("end"), F.lit("documento").alias("strategy"))
+    rows = registry.withColumn("_cut", F.when(ruling, header_slice(F.col("texto"), F.coalesce("tribunal", F.lit("")))).otherwise(whole))
+    first_line = F.when(F.col("natureza") == "dispositivo", F.regexp_extract("texto", r"^\s*([^\n]*)", 1))
+    cut = F.substr("texto", F.col("_cut.start") + 1, F.col("_cut.end") - F.col("_cut.start"))
+    return rows.select(F.col("id").alias("id_canonico"), "documento_id", "natureza", "tribunal", "ano", "relator", "_cut", cut.alias("header_raw"), first_line.alias("first_line"))
+
+
+def fields_of(rows: DataFrame) -> DataFrame:
+    """What the headers say, all natures in one job: ``r`` and ``a`` of rulings, ``s`` of statements, ``diploma`` and ``artigo`` of provisions."""
     from tessera.operators.extract import extract_acordao, extract_dispositivo, extract_sumula
 
-    cut = F.when(F.col("natureza") == "acordao", header_slice(F.col("texto"), F.coalesce("tribunal", F.lit("")))).otherwise(
-        F.struct(F.lit(0).alias("start"), F.least(F.length("texto"), F.lit(500)).alias("end"), F.lit("documento").alias("strategy"))
-    )
-    rows = registry.withColumn("_cut", cut).withColumn("header_raw", F.substr("texto", F.col("_cut.start") + 1, F.col("_cut.end") - F.col("_cut.start")))
-    rows = settled(rows)
-    rulings = rows.where("natureza = 'acordao'").withColumn("r", number_records(F.col("header_raw"), F.coalesce("tribunal", F.lit(""))))
-    rulings = settled(rulings.withColumn("trecho", F.col("header_raw")).select("id", "tribunal", "header_raw", "r", extract_acordao("trecho").alias("a")))
-    exploded = rulings.select(F.col("id").alias("id_canonico"), "tribunal", "header_raw", F.explode("r").alias("r"))
+    own = lambda natureza, trecho: rows.where(F.col("natureza") == natureza).select("id_canonico", "natureza", "tribunal", "header_raw", F.col(trecho).alias("trecho"))
+    rulings = own("acordao", "header_raw").withColumn("r", number_records(F.col("header_raw"), F.coalesce("tribunal", F.lit("")))).withColumn("a", extract_acordao("trecho"))
+    statements = own("sumula", "header_raw").withColumn("s", extract_sumula("trecho"))
+    folded = fold("trecho")
+    number = F.nullif(F.regexp_extract(folded, r"\bARTIGO\s+([0-9.]+(?:-[A-Z])?)", 1), F.lit(""))
+    law64 = folded.rlike(r"LEI\s+COMPLEMENTAR.*\b64\b|\bLC\s*64\b")
+    provisions = own("dispositivo", "first_line").select("*", law64.alias("law64"), number.alias("number"), extract_dispositivo("trecho").alias("d"))
+    provisions = provisions.withColumn("diploma", F.when(F.col("law64"), "LC64/90").otherwise(F.col("d.diploma"))).withColumn("artigo", F.coalesce(F.regexp_replace("number", r"\.$", ""), F.try_element_at("d.artigo", F.lit(1)))).drop("law64", "number", "d")
+    return rulings.unionByName(statements, allowMissingColumns=True).unionByName(provisions, allowMissingColumns=True).drop("trecho")
+
+
+def build_index(registry: DataFrame, entries: DataFrame) -> dict[str, DataFrame]:
+    """The tables of the index.
+
+    registry: id, documento_id, tribunal, ano, relator, natureza, tipo, texto. Bodies are read once, for the headers; all else starts from those.
+    """
+    rows = settled(dealt(headers(registry)), "headers")
+    fields = settled(fields_of(rows), "fields")
+    rulings, statements, provisions = (fields.where(F.col("natureza") == n) for n in ("acordao", "sumula", "dispositivo"))
+    exploded = rulings.select("id_canonico", "tribunal", "header_raw", F.explode("r").alias("r"))
     parts = exploded.withColumn("_p", cnj_parts(F.col("r.number_digits"), F.col("r.number_type")))
-    extracted = rulings.select(F.col("id").alias("id_canonico"), "tribunal", "header_raw", "a")
-    own = extracted.select("id_canonico", F.explode(F.array_compact(F.concat(F.array("a.classe_processual_normalizada"), "a.classe_normalizada_candidatos"))).alias("classe_normalizada"))
-    listed = dictionary_classes(extracted.select("id_canonico", class_key("header_raw").alias("header"), "tribunal"), entries).select("id_canonico", F.explode("classes").alias("classe_normalizada"))
-    statements = settled(rows.where("natureza = 'sumula'").withColumn("trecho", F.col("header_raw")).select(F.col("id").alias("id_canonico"), "tribunal", extract_sumula("trecho").alias("s")))
-    first_line = F.regexp_extract("texto", r"^\s*([^\n]*)", 1)
-    number = F.nullif(F.regexp_extract(fold(first_line), r"\bARTIGO\s+([0-9.]+(?:-[A-Z])?)", 1), F.lit(""))
-    law64 = fold(first_line).rlike(r"LEI\s+COMPLEMENTAR.*\b64\b|\bLC\s*64\b")
-    provisions = rows.where("natureza = 'dispositivo'").withColumn("trecho", first_line).select(F.col("id").alias("id_canonico"), law64.alias("law64"), number.alias("number"), extract_dispositivo("trecho").alias("d"))
-    provisions = settled(
-        provisions.select(
-            "id_canonico",
-            F.when(F.col("law64"), "LC64/90").otherwise(F.col("d.diploma")).alias("diploma"),
-            F.coalesce(F.regexp_replace("number", r"\.$", ""), F.try_element_at("d.artigo", F.lit(1))).alias("artigo"),
-        )
-    )
+    own = rulings.select("id_canonico", F.explode(F.array_compact(F.concat(F.array("a.classe_processual_normalizada"), "a.classe_normalizada_candidatos"))).alias("classe_normalizada"))
+    listed = dictionary_classes(rulings.select("id_canonico", class_key("header_raw").alias("header"), "tribunal"), entries).select("id_canonico", F.explode("classes").alias("classe_normalizada"))
     good_statement = (F.size("s.numero") == 1) & F.col("s.tribunal").isNotNull()
     good_provision = F.col("diploma").isNotNull() & F.col("artigo").isNotNull()
     warn = lambda df, code: df.select("id_canonico", F.lit(code).alias("codigo"), F.lit(None).cast("string").alias("detalhes"))
-    unnumbered = rulings.where(F.size("r") == 0).select(F.col("id").alias("id_canonico"))
     return {
         "canonical_document": rows.select(
-            F.col("id").alias("id_canonico"),
+            "id_canonico",
             "documento_id",
             "natureza",
             "tribunal",
@@ -188,8 +196,8 @@ def build_index(registry: DataFrame, entries: DataFrame) -> dict[str, DataFrame]
         ),
         "acordao_class": own.unionByName(listed).select("id_canonico", class_key("classe_normalizada").alias("classe_normalizada")).distinct(),
         "sumula_key": statements.where(good_statement).select("id_canonico", "s.tribunal", F.element_at("s.numero", 1).alias("numero"), "s.vinculante"),
-        "dispositivo_key": provisions.where(good_provision),
-        "index_warning": warn(unnumbered, "NO_CASE_NUMBER").unionByName(warn(statements.where(~good_statement), "SUMULA_PARSE_FAILED")).unionByName(warn(provisions.where(~good_provision), "DISPOSITIVO_PARSE_FAILED")),
+        "dispositivo_key": provisions.where(good_provision).select("id_canonico", "diploma", "artigo"),
+        "index_warning": warn(rulings.where(F.size("r") == 0), "NO_CASE_NUMBER").unionByName(warn(statements.where(~F.coalesce(good_statement, F.lit(False))), "SUMULA_PARSE_FAILED")).unionByName(warn(provisions.where(~good_provision), "DISPOSITIVO_PARSE_FAILED")),
     }
 
 

@@ -10,7 +10,7 @@ from tessera.functions.spans import greedy
 from tessera.functions.text import overlaps
 
 
-def label_islands(tokens: DataFrame, doc: str = "doc_id") -> DataFrame:
+def label_islands(tokens: DataFrame, doc: str | list[str] = "doc_id") -> DataFrame:
     """Spans of token labels.
 
     tokens: doc, pos, start, end, label (``B-X``, ``I-X`` or ``O``; null is skipped,
@@ -18,13 +18,14 @@ def label_islands(tokens: DataFrame, doc: str = "doc_id") -> DataFrame:
     only; elsewhere it opens one, which counts as a repair. One row per span with
     type, start, end, mean prob, and whether it was repaired.
     """
-    order = Window.partitionBy(doc).orderBy("pos")
+    keys = [doc] if isinstance(doc, str) else doc
+    order = Window.partitionBy(*keys).orderBy("pos")
     rows = tokens.where("label IS NOT NULL AND start < end")
     kind = F.when(F.col("label") != "O", F.substring("label", 3, 1 << 20))
     rows = rows.withColumn("tipo", kind).withColumn("_before", F.lag("tipo").over(order))
     opens = F.col("tipo").isNotNull() & ~(F.col("label").startswith("I-") & F.col("tipo").eqNullSafe(F.col("_before")))
     rows = rows.withColumn("_opens", opens).withColumn("_island", F.sum(F.col("_opens").cast("int")).over(order))
-    return rows.where("tipo IS NOT NULL").groupBy(doc, F.col("_island").alias("island")).agg(
+    return rows.where("tipo IS NOT NULL").groupBy(*keys, F.col("_island").alias("island")).agg(
         F.first("tipo").alias("tipo"),
         F.min("start").alias("inicio"),
         F.max("end").alias("fim"),

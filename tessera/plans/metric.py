@@ -96,10 +96,16 @@ def stale_and_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def contract_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rule breaks of predicted spans as citations of documents a thousand long."""
-    p = predicted(spark, sf_dir)
-    rows = p.select("doc", F.col("pi").alias("citation"), "p.inicio", "p.fim", F.col("p.classe").alias("classificacao"), F.when(F.col("p.id").cast("int") % 9 != 0, F.col("p.id")).alias("id_canonico"), F.col("p.confianca").alias("confianca"))
-    return violations(rows.withColumn("length", F.lit(700)), "doc").select("doc", "citation", "rule")
+    """Rule breaks of predicted spans as citations of documents seven hundred long: some of unknown kind or class, with a wrong slice."""
+    p, k = predicted(spark, sf_dir), F.col("pi")
+    text = F.repeat(F.lit("0123456789"), F.lit(70))
+    cut = F.substr(text, F.col("p.inicio") + 1, F.col("p.fim") - F.col("p.inicio"))
+    rows = p.select(
+        F.col("doc").cast("string").alias("doc"), k.alias("citation"), "p.inicio", "p.fim",
+        F.when(k % 12 == 5, "outra").otherwise(F.col("p.classe")).alias("classificacao"), F.when(F.col("p.id").cast("int") % 9 != 0, F.col("p.id")).alias("id_canonico"), (F.col("p.confianca") * 1.1).alias("confianca"),
+        text.alias("text"), F.when(k % 6 == 1, F.concat(cut, F.lit("x"))).otherwise(cut).alias("trecho"), F.when(k % 10 == 3, "outro").otherwise("lei").alias("tipo"), F.when(k % 10 == 8, F.lit(None)).otherwise("dispositivo").alias("natureza"), F.lit(700).alias("length"),
+    )
+    return violations(rows, "doc").select("doc", "citation", "rule")
 
 
 def encode_cell(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -196,11 +202,14 @@ FROM d WHERE k % 9 NOT IN (0, 5)""",
 SELECT id, 'missing' AS problem FROM (SELECT o_orderkey AS id FROM orders WHERE o_orderkey % 3 <> 0 EXCEPT SELECT l_orderkey FROM lineitem WHERE l_quantity < 30)
 UNION ALL SELECT id, 'stale' FROM (SELECT l_orderkey AS id FROM lineitem WHERE l_quantity < 30 EXCEPT SELECT o_orderkey FROM orders WHERE o_orderkey % 3 <> 0)""",
     "contract_violations": f"""WITH {_SPANS},
-q AS (SELECT doc, pi AS citation, ps, pe, pc, CASE WHEN CAST(id AS INT) % 9 <> 0 THEN id END AS id, conf FROM p)
+q AS (SELECT CAST(doc AS VARCHAR) AS doc, pi AS citation, ps, pe, CASE WHEN pi % 12 = 5 THEN 'outra' ELSE pc END AS pc, CASE WHEN CAST(id AS INT) % 9 <> 0 THEN id END AS id, conf * 1.1 AS conf FROM p)
 SELECT doc, citation, 'span_out_of_bounds' AS rule FROM q WHERE ps < 0 OR pe > 700 OR pe <= ps
+UNION ALL SELECT doc, citation, 'slice_differs' FROM q WHERE citation % 6 = 1
+UNION ALL SELECT doc, citation, 'unknown_kind' FROM q WHERE citation % 10 IN (3, 8)
+UNION ALL SELECT doc, citation, 'unknown_class' FROM q WHERE citation % 12 = 5
 UNION ALL SELECT doc, citation, 'real_without_id' FROM q WHERE pc = 'real' AND id IS NULL
 UNION ALL SELECT doc, citation, 'id_without_real' FROM q WHERE pc <> 'real' AND id IS NOT NULL
-UNION ALL SELECT doc, citation, 'confidence_out_of_range' FROM q WHERE conf IS NULL
+UNION ALL SELECT doc, citation, 'confidence_out_of_range' FROM q WHERE conf > 1
 UNION ALL SELECT a.doc, a.citation, 'duplicate_span' FROM q a JOIN q b ON a.doc = b.doc AND a.citation > b.citation
   WHERE CAST(greatest(least(a.pe, b.pe) - greatest(a.ps, b.ps), 0) AS DOUBLE) / ((a.pe - a.ps) + (b.pe - b.ps) - greatest(least(a.pe, b.pe) - greatest(a.ps, b.ps), 0)) >= 0.5""",
     "encode_cell": f"WITH {_CELLS} SELECT o_orderkey AS doc, coalesce(cell, '-') AS citacoes FROM orders LEFT JOIN cells ON doc = o_orderkey",

@@ -44,17 +44,16 @@ def mentions(registry: DataFrame) -> DataFrame:
 
 
 def cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
-    held = registry(spark, sf_dir)
-    pairs = mentions(held).join(held, "numero")
+    held = settled(registry(spark, sf_dir), "registry")
+    asked = mentions(held)
+    pairs = asked.join(held, "numero")
     present = {f: F.col(f"m_{f}").isNotNull() for f in RELAXED}
     matches = {f: F.col(f"m_{f}") == F.col(f) for f in RELAXED}
     court = F.col("m_tribunal").isNull() | (F.col("m_tribunal") == F.col("tribunal"))
     pairs = pairs.withColumn("first_pass", first_pass(present, matches, court))
-    identity = F.col("m_tribunal").isNotNull() | present["classe"] | present["uf"]
     plans = sum((present[f].cast("int") for f in RELAXED), F.lit(0))
-    pairs = pairs.withColumn("_plans", plans).withColumn("_sufficient", identity)
-    sufficient = mentions(held).select("mention_id", (F.col("m_tribunal").isNotNull() | F.col("m_classe").isNotNull() | F.col("m_uf").isNotNull()).alias("sufficient"))
-    return resolved(pairs, "mention_id", "id", F.col("_plans")).join(sufficient, "mention_id")
+    sufficient = asked.select("mention_id", (F.col("m_tribunal").isNotNull() | F.col("m_classe").isNotNull() | F.col("m_uf").isNotNull()).alias("sufficient"))
+    return resolved(pairs, "mention_id", "id", plans).join(sufficient, "mention_id")
 
 
 def resolve_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -115,20 +114,10 @@ def lookup_multi_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lookup_no_anchor(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Brands of parts asked for without a qualifier, by single values; the SQL fixes the registry to one part a brand of size 2 or less."""
-    parts = load(spark, sf_dir, "part")
-    asked = parts.select(F.col("p_partkey").alias("mention_id"), F.array("p_brand").alias("artigos"), F.lit(None).cast("string").alias("diploma"))
-    held = parts.where("p_size <= 2").select(F.col("p_brand").alias("artigo"), F.col("p_type").alias("diploma"), F.col("p_partkey").alias("id_canonico"))
-    counts = held.groupBy("artigo").agg(F.min("id_canonico").alias("id_canonico"), F.min("diploma").alias("diploma"))
-    out = lookup_each(asked, "artigos", "diploma", counts, "artigo", "diploma")
-    return out.select("mention_id", F.size("candidates").cast("long").alias("n_candidates"), F.try_element_at("candidates", F.lit(1)).cast("string").alias("first_id"), "sufficient")
-
-
-def lookup_no_anchor_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All parts asked for without a qualifier, by brand and hundred of their number, so that matches stay few at every size."""
-    parts = load(spark, sf_dir, "part").withColumn("artigo", F.concat_ws("|", "p_brand", F.floor(F.col("p_partkey") / 100).cast("string")))
-    asked = parts.select(F.col("p_partkey").alias("mention_id"), F.array("artigo").alias("artigos"), F.lit(None).cast("string").alias("diploma"))
-    held = parts.select("artigo", F.col("p_type").alias("diploma"), F.col("p_partkey").alias("id_canonico"))
+    """All documents asked for without a qualifier, by language and twenty of their number, so that matches stay few at every size."""
+    docs = load(spark, sf_dir, "documents").select("doc_id", "source", F.concat_ws("|", "lang", F.floor(F.col("doc_id") / 20).cast("string")).alias("artigo"))
+    asked = docs.select(F.col("doc_id").alias("mention_id"), F.array("artigo").alias("artigos"), F.lit(None).cast("string").alias("diploma"))
+    held = docs.select("artigo", F.col("source").alias("diploma"), F.col("doc_id").alias("id_canonico"))
     out = lookup_each(asked, "artigos", "diploma", held, "artigo", "diploma")
     return out.select("mention_id", F.size("candidates").cast("long").alias("n_candidates"), F.try_element_at("candidates", F.lit(1)).cast("string").alias("first_id"), "sufficient")
 
@@ -139,7 +128,6 @@ QUERIES = {
     "resolve_decide": resolve_decide,
     "lookup_multi_key": lookup_multi_key,
     "lookup_no_anchor": lookup_no_anchor,
-    "lookup_no_anchor_all": lookup_no_anchor_all,
 }
 
 _PLANS = """
@@ -226,10 +214,7 @@ SELECT mention_id, CAST(count(*) AS INT) AS attempts,
        max(q) IS NOT NULL AND count(*) = 1 AS sufficient
 FROM b LEFT JOIN part ON v = p_partkey GROUP BY mention_id""",
     "lookup_no_anchor": """
-WITH k AS (SELECT p_brand, min(p_partkey) AS id FROM part WHERE p_size <= 2 GROUP BY p_brand)
-SELECT part.p_partkey AS mention_id, CAST(CASE WHEN id IS NULL THEN 0 ELSE 1 END AS BIGINT) AS n_candidates, CAST(id AS VARCHAR) AS first_id, false AS sufficient
-FROM part LEFT JOIN k USING (p_brand)""",
-    "lookup_no_anchor_all": """
-SELECT p_partkey AS mention_id, count(*) OVER lot AS n_candidates, CAST(min(p_partkey) OVER lot AS VARCHAR) AS first_id, false AS sufficient
-FROM part WINDOW lot AS (PARTITION BY p_brand, p_partkey // 100)""",
+WITH d AS (SELECT doc_id, concat_ws('|', lang, CAST(doc_id // 20 AS VARCHAR)) AS a FROM documents)
+SELECT doc_id AS mention_id, count(*) OVER lot AS n_candidates, CAST(min(doc_id) OVER lot AS VARCHAR) AS first_id, false AS sufficient
+FROM d WINDOW lot AS (PARTITION BY a)""",
 }

@@ -10,6 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from tessera.operators.errors import raised
+from tessera.sources.files import kind_of, names, streamed_sha256
+
 REGISTRY = "id long, documento_id string, tribunal string, ano int, relator string, natureza string, tipo string, texto string"
 BIO = "id string, text string, input_ids array<int>, attention_mask array<int>, labels array<int>, offset_mapping array<array<int>>, spans string, _corrupt_record string"
 ENTRIES = "map<string,array<struct<tribunal:string,classe_normalizada:string>>>"
@@ -23,6 +26,51 @@ def read_texts(spark: SparkSession, path: str) -> DataFrame:
     return files.select(F.regexp_replace(F.col("_metadata.file_name"), r"\.txt$", "").alias("documento_id"), F.regexp_replace("value", "\r\n?", "\n").alias("text"))
 
 
+def read_documents(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """``*.txt`` of a folder, each decoded on its own: documents (documento_id, arquivo, text; null where the bytes are no UTF-8), and an error row for each of those.
+
+    One broken file stops no other. An empty folder is an error.
+    """
+    files = spark.read.text(path, wholetext=True, pathGlobFilter="*.txt")
+    if files.isEmpty():
+        raise ValueError(f"no .txt in {path}")
+    name = F.col("_metadata.file_name")
+    rows = files.select(F.regexp_replace(name, r"\.txt$", "").alias("documento_id"), name.alias("arquivo"), F.is_valid_utf8("value").alias("_good"), "value")
+    docs = rows.select("documento_id", "arquivo", F.when(F.col("_good"), F.regexp_replace("value", "\r\n?", "\n")).alias("text"))
+    return docs, raised(rows.where("NOT _good"), "DOCUMENT_READ_ERROR", F.concat(F.lit("UnicodeDecodeError: "), F.col("arquivo"), F.lit(" is not UTF-8")))
+
+
+#: The files that a model's folder must have.
+MODEL_FILES = ("config.json", "model.safetensors", "tokenizer.json")
+
+
+def input_faults(spark: SparkSession, database: str, input_dir: str, model: str | None = None, weights_sha256: str | None = None) -> list[tuple[str, str]]:
+    """All that is wrong with the inputs of a run, as (path, fault), before any job starts; empty if nothing is.
+
+    The weights are digested as a stream, only if everything else about the model is right.
+    """
+    out = []
+    if kind_of(spark, database) is None or (database.endswith((".db", ".sqlite")) and kind_of(spark, database) != "file"):
+        out.append((database, "registry not found"))
+    if kind_of(spark, input_dir) != "folder":
+        out.append((input_dir, "input folder not found"))
+    elif not any(n.endswith(".txt") for n in names(spark, input_dir)):
+        out.append((input_dir, "no .txt in the input folder"))
+    if model is not None:
+        missing = [n for n in MODEL_FILES if kind_of(spark, f"{model}/{n}") != "file"]
+        out += [(f"{model}/{n}", "model file not found") for n in missing]
+        if not missing and (not weights_sha256 or streamed_sha256(spark, f"{model}/{MODEL_FILES[1]}") != weights_sha256):
+            out.append((f"{model}/{MODEL_FILES[1]}", "weights are not those of the approved digest"))
+    return out
+
+
+def check_inputs(spark: SparkSession, database: str, input_dir: str, model: str | None = None, weights_sha256: str | None = None) -> None:
+    """Raise one error that lists every fault of the inputs."""
+    found = input_faults(spark, database, input_dir, model, weights_sha256)
+    if found:
+        raise ValueError("; ".join(f"{fault}: {path}" for path, fault in found))
+
+
 def read_csv(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
     """CSV with a header; quotes are doubled inside quoted fields, which may span lines; a byte order mark is skipped."""
     reader = spark.read.option("header", True).option("multiLine", True).option("escape", '"').option("encoding", "UTF-8")

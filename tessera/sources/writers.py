@@ -2,65 +2,60 @@
 
 from __future__ import annotations
 
-import posixpath
-
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.operators.contract import sets_differ
 from tessera.operators.registry import SCHEMA_VERSION, index_metadata
+from tessera.sources import snapshots
 
 UNIQUE = {"canonical_document": [["id_canonico"], ["documento_id"]], "acordao_key": [["id_canonico", "numero_digitos"]], "acordao_class": [["id_canonico", "classe_normalizada"]], "sumula_key": [["id_canonico"]], "dispositivo_key": [["id_canonico"]]}
 
 
-def file_sha256(spark: SparkSession, path: str) -> str:
-    """SHA-256 of one file's bytes, or of its files' digests in order for a folder."""
-    files = spark.read.format("binaryFile").load(path).select("path", F.sha2("content", 256).alias("h"))
-    parts = files.agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("path", "h"))), lambda x: x["h"]), "").alias("all"), F.count("*").alias("n"))
-    row = parts.select(F.when(F.col("n") == 1, F.col("all")).otherwise(F.sha2("all", 256)).alias("h")).first()
-    return row["h"]
-
-
-def refuse_same_path(source: str, target: str) -> None:
-    if posixpath.normpath(source) == posixpath.normpath(target):
-        raise ValueError(f"the output would overwrite the input {source}")
-
+def write_index(index: dict[str, DataFrame], path: str, source_sha256: str) -> str:
+    """A new snapshot of an index below ``path``: written, checked for unique keys, and only then published.
 
-def write_index(index: dict[str, DataFrame], path: str, source_sha256: str) -> DataFrame:
-    """Tables of an index below ``path``, checked for unique keys.
-
-    The metadata of an index before it are voided first and the new ones come last, so a
-    broken write is never taken for an index, neither for the new nor for the old one.
+    Until then, and for good if the write breaks, the index before it answers. Returns the snapshot's folder.
     """
     spark = index["canonical_document"].sparkSession
-    spark.createDataFrame([("schema_version", "incomplete")], "key string, value string").coalesce(1).write.mode("overwrite").parquet(f"{path}/index_metadata")
+    name, folder = snapshots.new(path)
     written = {}
-    for name, df in index.items():
-        df.write.mode("overwrite").parquet(f"{path}/{name}")
-        written[name] = spark.read.schema(df.schema).parquet(f"{path}/{name}")
-        for key in UNIQUE.get(name, []):
-            if not written[name].groupBy(*key).count().where("count > 1").isEmpty():
-                raise ValueError(f"{name}: repeated {key}")
-    index_metadata(written, source_sha256).coalesce(1).write.mode("overwrite").parquet(f"{path}/index_metadata")
-    return read_metadata(spark, path)
+    for table, df in index.items():
+        df.write.parquet(f"{folder}/{table}")
+        written[table] = spark.read.schema(df.schema).parquet(f"{folder}/{table}")
+        for key in UNIQUE.get(table, []):
+            if not written[table].groupBy(*key).count().where("count > 1").isEmpty():
+                raise ValueError(f"{table}: repeated {key}")
+    index_metadata(written, source_sha256).coalesce(1).write.parquet(f"{folder}/index_metadata")
+    snapshots.publish(spark, path, name)
+    return folder
+
+
+def snapshot_of(spark: SparkSession, path: str) -> str:
+    """The folder of the index that counts now."""
+    folder = snapshots.current(spark, path)
+    if folder is None:
+        raise FileNotFoundError(f"no index at {path}")
+    return folder
 
 
 def read_metadata(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema("key string, value string").parquet(f"{path}/index_metadata")
+    return spark.read.schema("key string, value string").parquet(f"{snapshot_of(spark, path)}/index_metadata")
 
 
 def index_is_fresh(spark: SparkSession, path: str, source_sha256: str) -> bool:
-    """Whether an index is of this schema version and source; anything unreadable is not."""
+    """Whether an index is of this schema version and source; anything missing or unreadable is not."""
     try:
         found = {r["key"]: r["value"] for r in read_metadata(spark, path).collect()}
-    except AnalysisException:
+    except Exception:  # whatever is wrong with it, it is to be built again
         return False
     return found.get("schema_version") == SCHEMA_VERSION and found.get("source_sha256") == source_sha256
 
 
 def read_index(spark: SparkSession, path: str) -> dict[str, DataFrame]:
-    return {name: spark.read.parquet(f"{path}/{name}") for name in [*UNIQUE, "index_warning"]}
+    """The tables of one snapshot: those that are read later are of the same build, whatever is published meanwhile."""
+    folder = snapshot_of(spark, path)
+    return {name: spark.read.parquet(f"{folder}/{name}") for name in [*UNIQUE, "index_warning"]}
 
 
 def write_documents(rows: DataFrame, path: str) -> None:
@@ -76,5 +71,8 @@ def write_submission(rows: DataFrame, expected: DataFrame, path: str) -> None:
     rows.select("documento_id", "citacoes").repartitionByRange("documento_id").sortWithinPartitions("documento_id").write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
 
-def write_summary(summary: DataFrame, path: str) -> None:
-    summary.coalesce(1).write.mode("overwrite").json(path)
+def write_summary(summary: DataFrame, path: str, by_document: DataFrame | None = None) -> None:
+    """The summary's one row as JSON below ``path/run``, and the row of each document (documento_id, citacoes, erros) as JSON lines in the order of the ids below ``path/documents``."""
+    summary.coalesce(1).write.mode("overwrite").json(f"{path}/run")
+    if by_document is not None:
+        by_document.repartitionByRange("documento_id").sortWithinPartitions("documento_id").write.mode("overwrite").json(f"{path}/documents")

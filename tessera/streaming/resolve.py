@@ -15,9 +15,13 @@ from tessera.sources.writers import read_index
 
 
 def follow(spark: SparkSession, documents: DataFrame, index_path: str, out: str, checkpoint: str) -> StreamingQuery:
-    """Start verifying a stream of (documento_id, text) into ``out/batch=<n>``."""
+    """Start verifying a stream of (documento_id, text) into ``out/batch=<n>``.
+
+    The index is one snapshot for the whole query: its tables are listed once, and an index published meanwhile counts from the next start.
+    """
+    index = read_index(spark, index_path)
 
     def one(batch: DataFrame, number: int) -> None:
-        verified(identify(batch.select("documento_id", "text")), read_index(spark, index_path)).write.mode("overwrite").parquet(f"{out}/batch={number}")
+        verified(identify(batch.select("documento_id", "text")), index).write.mode("overwrite").parquet(f"{out}/batch={number}")
 
     return documents.writeStream.option("checkpointLocation", checkpoint).foreachBatch(one).trigger(availableNow=True).start()

@@ -4,15 +4,17 @@ from __future__ import annotations
 
 import json
 import os
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.operators import pipeline
+from tessera.operators import pipeline, registry, retrieve
 from tessera.operators.decide import DECISIONS
+from tessera.operators.errors import of_citations
 from tessera.operators.identify import identify
 from tessera.operators.registry import build_index
-from tessera.sources import readers, writers
+from tessera.sources import readers, settle, snapshots, writers
 from tessera.streaming import resolve as streaming
 
 REGISTRY = [
@@ -75,28 +77,86 @@ def test_document_records_and_summary(spark, citations, tmp_path):
     docs = spark.createDataFrame([("a_n1_1", "texto"), ("b", "outro"), ("vazio", "")], "documento_id string, text string")
     found = {r["documento_id"]: json.loads(r["json"]) for r in pipeline.document_json(citations[0], docs, citations[1]).collect()}
     assert found["a_n1_1"]["nivel"] == 1 and "nivel" not in found["b"]
-    assert found["a_n1_1"]["diagnostico"] == {"total_citacoes": 4, "entidades_descartadas": 1, "citacoes_com_erro": 1}
+    assert found["a_n1_1"]["diagnostico"] == {"total_citacoes": 4, "reparos_bio": 0, "entidades_descartadas": 1, "citacoes_com_erro": 1}
     assert [c["id"] for c in found["a_n1_1"]["citacoes"]] == ["c1", "c2", "c3", "c4"] and found["vazio"]["citacoes"] == []
     writers.write_documents(pipeline.document_json(citations[0], docs, citations[1]), str(tmp_path / "json"))
     assert sorted(r[0] for r in spark.read.json(str(tmp_path / "json")).select("documento_id").collect()) == ["a_n1_1", "b", "vazio"]
     summary = pipeline.run_summary(citations[0], docs, citations[1])
     row = summary.first()
     assert (row["citacoes"], row["documentos"], row["descartadas"], row["real"], row["inventada"], row["incompleta"]) == (6, 3, 1, 3, 1, 2)
-    writers.write_summary(summary, str(tmp_path / "summary"))
-    assert spark.read.json(str(tmp_path / "summary")).count() == 1
+    assert row["erros"] == 1
+    errors = of_citations(citations[0])
+    assert [tuple(r) for r in errors.collect()] == [("a_n1_1", "c4", "citacao", "CITATION_PIPELINE_ERROR", "unknown label: XYZ", True)]
+    assert [e["citacao_id"] for e in found["a_n1_1"]["erros"]] == ["c4"] and found["a_n1_1"]["citacoes"][3]["erros"][0]["mensagem"] == "unknown label: XYZ"
+    first = found["a_n1_1"]["citacoes"][0]
+    assert first["extracao"]["dados"]["numero"] == "12.345" and first["recuperacao"]["status"] == "candidato_unico" and first["resolucao"] == {"id_canonico": 1}
+    writers.write_summary(summary, str(tmp_path / "summary"), pipeline.document_counts(citations[0], docs, errors))
+    assert spark.read.json(str(tmp_path / "summary" / "run")).count() == 1
+    assert sorted(map(tuple, spark.read.json(str(tmp_path / "summary" / "documents")).select("documento_id", "citacoes", "erros").collect())) == [("a_n1_1", 4, 1), ("b", 2, 0), ("vazio", 0, 0)]
     cells = {r["documento_id"]: r["citacoes"] for r in pipeline.submission(citations[0], docs).collect()}
     assert cells["vazio"] == "-" and cells["a_n1_1"].startswith("0,10,real,1,")
 
 
-def test_a_broken_index_write_is_never_fresh(spark, index, tmp_path):
+def test_a_broken_index_write_leaves_the_index_before_it(spark, index, tmp_path):
     path = str(tmp_path / "index")
-    writers.write_index(index, path, "h1")
+    assert not writers.index_is_fresh(spark, path, "h1")
+    with pytest.raises(FileNotFoundError, match="no index"):
+        writers.read_index(spark, path)
+    first = writers.write_index(index, path, "h1")
+    reader = writers.read_index(spark, path)
     assert writers.index_is_fresh(spark, path, "h1") and not writers.index_is_fresh(spark, path, "h2")
-    assert writers.read_index(spark, path)["sumula_key"].count() == 2
     broken = index | {"sumula_key": index["sumula_key"].unionByName(index["sumula_key"])}
-    with pytest.raises(ValueError, match="sumula_key"):
-        writers.write_index(broken, path, "h1")
-    assert not writers.index_is_fresh(spark, path, "h1")
+    with ThreadPoolExecutor(2) as pool:
+        writer = pool.submit(writers.write_index, broken, path, "h2")
+        while not writer.done():
+            assert reader["sumula_key"].count() == 2
+        with pytest.raises(ValueError, match="sumula_key"):
+            writer.result()
+    assert writers.index_is_fresh(spark, path, "h1") and not writers.index_is_fresh(spark, path, "h2") and writers.snapshot_of(spark, path) == first
+    smaller = index | {"sumula_key": index["sumula_key"].where("vinculante")}
+    assert writers.write_index(smaller, path, "h3") != first and writers.index_is_fresh(spark, path, "h3")
+    assert reader["sumula_key"].count() == 2 and writers.read_index(spark, path)["sumula_key"].count() == 1
+
+
+def test_snapshots_are_numbered_and_swept(spark, tmp_path):
+    path = str(tmp_path / "s")
+    folders = []
+    for k in range(3):
+        name, folder = snapshots.new(path)
+        spark.range(k).write.parquet(f"{folder}/t")
+        folders.append(folder)
+        assert snapshots.publish(spark, path, name) == k + 1
+    with ThreadPoolExecutor(4) as pool:  # many at once: each has a number of its own
+        assert sorted(pool.map(lambda k: snapshots.publish(spark, path, f"n{k}"), range(4))) == [4, 5, 6, 7]
+    assert snapshots.current(spark, path).endswith(snapshots.pointers(spark, path)[-1][1])
+    snapshots.sweep(spark, path, keep=5)
+    assert [n for n, _ in snapshots.pointers(spark, path)] == [3, 4, 5, 6, 7] and not os.path.exists(folders[0]) and os.path.exists(folders[2])
+
+
+def test_one_broken_document_stops_no_other(spark, index, tmp_path):
+    (tmp_path / "in").mkdir()
+    for k in range(30):
+        (tmp_path / "in" / f"d{k:02}_n1.txt").write_text(f"Ver Rcl 12.345 e art. 186 do Código Civil. {k}\r\n")
+    (tmp_path / "in" / "d07_n1.txt").write_bytes(b"Ver Rcl 12.345 \xff\xfe")
+    docs, errors = readers.read_documents(spark, str(tmp_path / "in"))
+    assert docs.count() == 30 and [tuple(r)[:4] for r in errors.collect()] == [("d07_n1", None, "leitura", "DOCUMENT_READ_ERROR")]
+    done = pipeline.verified(identify(docs), index)
+    records = {r["documento_id"]: json.loads(r["json"]) for r in pipeline.document_json(done, docs, errors=errors.unionByName(of_citations(done))).collect()}
+    bad, good = records["d07_n1"], records["d08_n1"]
+    assert bad["citacoes"] == [] and "fonte" not in bad and bad["erros"][0]["recuperavel"] is False and bad["diagnostico"] == {"total_citacoes": 0, "reparos_bio": 0}
+    assert good["diagnostico"] == {"total_citacoes": 2, "reparos_bio": 0, "entidades_descartadas": 0, "citacoes_com_erro": 0} and good["erros"] == [] and good["fonte"]["texto_len"] == len("Ver Rcl 12.345 e art. 186 do Código Civil. 8\n")
+    assert sum(len(r["citacoes"]) for r in records.values()) == 58
+
+
+def test_nothing_that_is_settled_holds_a_text(spark, index, monkeypatch):
+    """Mentions travel without the text of their document, and index tables without the bodies of rulings."""
+    seen = []
+    for module in (pipeline, registry, retrieve):
+        monkeypatch.setattr(module, "settled", lambda df, what="rows": seen.append((what, set(df.columns))) or settle.settled(df, what))
+    docs = spark.createDataFrame([("d", "Ver Rcl 12.345.")], "documento_id string, text string")
+    pipeline.verified(identify(docs), index).collect()
+    build_index(spark.createDataFrame([(*r[:6], "x", r[6]) for r in REGISTRY], "id long, documento_id string, tribunal string, ano int, relator string, natureza string, tipo string, texto string"), spark.createDataFrame([], "surface_key string, tribunal string, classe string"))
+    assert {w for w, _ in seen} >= {"mentions", "typed", "headers", "fields"} and not any(c & {"text", "texto"} for _, c in seen)
 
 
 def test_stream_of_documents(spark, index, tmp_path):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import os
 import random
@@ -13,10 +14,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessera.functions import spans, text
-from tessera.operators import evaluate, identify, sequences
-from tessera.operators.contract import violations
+from tessera.operators import envelope, evaluate, identify, inference, recognise, sequences
+from tessera.operators.contract import duplicates, violations
 from tessera.operators.decide import decide, final_confidence
-from tessera.sources import readers, writers
+from tessera.sources import files, readers, writers
 
 
 def fold(s):
@@ -85,7 +86,7 @@ def test_cells_are_read_in_either_case_and_with_gaps(spark):
     gold = [("a", 1, "0,10,Real,-:7:|20,30,inventada,-")]
     assert score(spark, gold, [("a", "0,10,REAL,007,|20,30,inventada,123,-|")]) == 1.0
     assert score(spark, gold, [("a", None)]) == 0.0 and score(spark, gold, [("a", " - ")]) == 0.0
-    for cell in ("0,10,real,7,-|0,10,real,7,-", "0,10,real,7,-|1,10,inventada,-,-", "-|0,10,real,7,-", "0,10,real,7", "0,10,real,,1", "0,10,fim,-,1", "x,10,real,7,1", "0,10,real,7,nan"):
+    for cell in ("0,10,real,7,-|0,10,real,7,-", "0,10,real,7,-|1,10,inventada,-,-", "-|0,10,real,7,-", "0,10,real,7", "0,10,real,,1", "0,10,fim,-,1", "x,10,real,7,1", "0,10,real,7,nan", "0,10,real,7,0.5f", "0,10,real,7,0.5d"):
         with pytest.raises(Exception, match="malformed citation"):
             score(spark, gold, [("a", cell)])
     for cell in ("0,10,real,7|5,15,inventada,-", "0,10,real,-", "0,10,real,:-", "0,10,outra,-", "0,x,real,7"):
@@ -144,9 +145,97 @@ def test_readers_and_writers(spark, tmp_path):
     with pytest.raises(ValueError, match="missing document"):
         writers.write_submission(rows.where("documento_id = 'a'"), docs, str(tmp_path / "out2"))
     with pytest.raises(ValueError, match="overwrite"):
-        writers.refuse_same_path("/x/a", "/x/../x/a")
+        files.refuse_same_path("/x/a", "/x/../x/a")
     assert not writers.index_is_fresh(spark, str(tmp_path / "no"), "h")
-    assert len(writers.file_sha256(spark, str(tmp_path / "dict.json"))) == 64
+    assert files.file_sha256(spark, str(tmp_path / "dict.json")) == hashlib.sha256((tmp_path / "dict.json").read_bytes()).hexdigest()
+
+
+def test_long_texts_give_the_same_spans(spark):
+    texts = ["", "x", "a1b22c333" * 40, "7", *("".join(random.Random(k).choice("a1 ") for _ in range(k * 50)) for k in range(8))]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", spans.find_spans(F.col("t"), "[0-9]+", long=True).alias("s")).collect()
+    for r in rows:
+        assert [(s["start"], s["end"], s["text"]) for s in r["s"]] == [(*m.span(), m.group()) for m in re.finditer("[0-9]+", r["t"])]
+
+
+def test_duplicate_spans_equal_all_pairs(spark):
+    rng = random.Random(4)
+    rows = [(f"d{i % 3}", i, a := rng.randrange(0, 400), a + rng.choice([1, 2, 3, 7, 20, 90, 300])) for i in range(300)] + [("d0", 900, 5, 5), ("d0", 901, None, 5)]
+    got = sorted(map(tuple, duplicates(spark.createDataFrame(rows, "doc string, citation int, inicio int, fim int"), "doc").collect()))
+    iou = lambda a, b: (n := max(0, min(a[3], b[3]) - max(a[2], b[2]))) / (a[3] - a[2] + b[3] - b[2] - n)
+    real = [r for r in rows if r[2] is not None and r[3] > r[2]]
+    assert got == sorted((a[0], a[1], b[1]) for a in real for b in real if a[0] == b[0] and a[1] > b[1] and iou(a, b) >= 0.5) and len(got) > 50
+
+
+def test_entities_inside_mentions_equal_all_pairs(spark):
+    rng = random.Random(9)
+    mentions = [("d", f"c{i}", a := rng.randrange(0, 5000), a + rng.choice([3, 40, 600, 3000])) for i in range(60)] + [("e", "c0", 0, 0), ("e", "c1", None, 4)]
+    found = [("d", "PER", a := rng.randrange(0, 6000), a + rng.choice([1, 5, 30]), f"t{i}") for i in range(200)] + [("e", "PER", 0, 0, "z")]
+    m = spark.createDataFrame(mentions, "documento_id string, id string, inicio int, fim int")
+    got = sorted((r["id"], r["texto"]) for r in recognise.inside(m, spark.createDataFrame(found, "documento_id string, rotulo string, inicio int, fim int, texto string")).collect())
+    assert got == sorted((x[1], e[4]) for x in mentions for e in found if x[0] == e[0] and x[2] is not None and x[2] <= e[2] and e[3] <= x[3])
+
+
+def test_envelopes_name_the_place_of_an_error(spark):
+    schema = "documento_id string, text string, citacoes array<struct<tipo:string,trecho:string,id:string>>"
+    frame = lambda *rows: spark.createDataFrame(list(rows), schema)
+    good = envelope.extract_document(frame(("a", "t", [("SUM", "Súmula 7 do STJ", None), ("SUM", "Súmula 9 do TST", "q")]), ("b", "t", [])))
+    assert sorted((r["id"], r["sumula"]["numero"]) for r in good.collect()) == [("c1", [7]), ("q", [9])]
+    with pytest.raises(ValueError, match="missing field of the document: text"):
+        envelope.extract_document(frame().drop("text"))
+    for row, why in (((None, "t", [("SUM", "x", None)]), "documento_id"), (("a", None, [("SUM", "x", None)]), "missing field of document a: text"), (("a", "t", [("SUM", "x", None), (None, "x", None)]), "missing field of citation 2 of a: tipo"), (("a", "t", [("SUM", None, None)]), "citation 1 of a: trecho"), (("a", "t", [("ABC", "x", None)]), "unknown label of citation 1 of a: ABC")):
+        with pytest.raises(Exception, match=why):
+            envelope.extract_document(frame(row)).collect()
+
+
+def test_windows_of_a_scorer_are_one_text(spark):
+    tokens = spark.createDataFrame([("d", [1, 2, 3, 4, 5, 6, 7], [[i * 2, i * 2 + 2] for i in range(7)]), ("none", [], [])], "doc_id string, input_ids array<int>, offset_mapping array<array<int>>")
+    rows = inference.windows(tokens, size=4, overlap=2)
+    assert [(r["window"], r["input_ids"]) for r in rows.orderBy("window").collect()] == [(0, [1, 2, 3, 4]), (1, [3, 4, 5, 6]), (2, [5, 6, 7])]
+
+    def make():
+        def predict(ids, mask):
+            import numpy as np
+
+            out = np.zeros((*ids.shape, 3), dtype=np.float32)
+            out[..., 0] = 0.2
+            out[..., 2] = np.where((ids == 3) | (ids == 4), np.where(np.arange(ids.shape[1]) < 2, 0.5, 0.75), 0)  # surer at the end of a window
+            return (out * mask[..., None]).reshape(len(ids), -1)
+
+        return predict
+
+    found, repairs = inference.entities(inference.scored(rows, make, ["O", "B-X", "I-X"], size=4))
+    assert [tuple(r) for r in found.collect()] == [("d", 4, 8, "X", 0.75)] and [tuple(r) for r in repairs.collect()] == [("d", 2)]
+    with pytest.raises(ValueError, match="overlap"):
+        inference.windows(tokens, size=4, overlap=4)
+
+
+def test_faults_of_inputs_are_listed_together(spark, tmp_path):
+    path = lambda *p: str(tmp_path.joinpath(*p))
+    assert readers.input_faults(spark, path("r.db"), path("in"), path("model")) == [(path("r.db"), "registry not found"), (path("in"), "input folder not found"), *((path("model", n), "model file not found") for n in readers.MODEL_FILES)]
+    for folder in ("in", "model"):
+        (tmp_path / folder).mkdir()
+    (tmp_path / "r.db").write_bytes(b"x")
+    for n in readers.MODEL_FILES:
+        (tmp_path / "model" / n).write_bytes(b"w")
+    assert readers.input_faults(spark, path("r.db"), path("in"), path("model"), "0") == [(path("in"), "no .txt in the input folder"), (path("model", "model.safetensors"), "weights are not those of the approved digest")]
+    (tmp_path / "in" / "a.txt").write_text("a")
+    readers.check_inputs(spark, path("r.db"), path("in"), path("model"), hashlib.sha256(b"w").hexdigest())
+    with pytest.raises(ValueError, match="registry not found.*no .txt"):
+        readers.check_inputs(spark, path("x.db"), path("model"))
+
+
+def test_digest_of_a_file_beyond_two_gigabytes(spark, tmp_path):
+    """A sparse file: the digest streams through one buffer."""
+    with open(tmp_path / "large.bin", "wb") as to:
+        to.truncate((1 << 31) + 5)
+        to.seek(1 << 31)
+        to.write(b"end")
+    with open(tmp_path / "large.bin", "rb") as of:
+        assert files.file_sha256(spark, str(tmp_path / "large.bin")) == hashlib.file_digest(of, "sha256").hexdigest()
+    (tmp_path / "small.bin").write_bytes(b"s")
+    got = {r["path"].rsplit("/", 1)[1]: r["sha256"] for r in files.digests(spark, str(tmp_path)).collect()}
+    assert got["small.bin"] == hashlib.sha256(b"s").hexdigest() and set(got) == {"small.bin", "large.bin"}
+    assert len(files.file_sha256(spark, str(tmp_path))) == 64
 
 
 def test_entry_names_every_query(spark):

@@ -9,40 +9,56 @@ from tessera.operators.extract import extract_acordao, extract_dispositivo, extr
 from pyspark.sql import functions as F
 
 ACORDAOS = {
-    "EDcl no REsp nº 2.104.377/BA, STJ": {"tribunal": "STJ", "numero": "2.104.377", "uf": "BA", "classe_processual": "EDcl no REsp"},
-    "STF, Agravo Regimental na Rcl 41.208, da responsabilidade de Rosa Weber 2021": {"tribunal": "STF", "numero": "41.208", "ano": 2021, "relator": "Rosa Weber"},
-    "APL nº 7000123-45.2022.7.00.0000/CE": {"tribunal": "STM", "uf": "CE"},
-    "Rec. Esp. No 1.4O2.7l8 - GO, STJ": {"numero": "1.402.718", "uf": "GO"},
-    "REFERENDO NOS EMB.DECL. NA AÇÃO PENAL 1.044 (STF, Min. Edson Fachin 2023)": {"numero": "1.044", "classe_processual": "EMB.DECL. NA AÇÃO PENAL"},
-    "ACÓRDÃO ELEITORAL No 20417.2018.6.26.0101, TSE, 2018": {"numero": "20417.2018.6.26.0101"},
-    "AP 1.044, STF, 2023": {"uf": None, "classe_processual_normalizada": "ACAO PENAL"},
-    "RECURSO ESPECIAL Nº 1.310.905 - SC (2012/0099412-7), STJ, 2015": {"ano": 2015},
-    "STF, em março de 2019, AgRg na Rcl 30.117, Rel. Barroso, 2020": {"ano": 2020, "relator": "Barroso"},
-    "QO na cautelar inominada criminal nº 93 - AM, STJ, 2022": {"numero": "93"},
-    "TSE, Recurso Especial Eleitoral nº 407- 2016 6 13 0025, Rel. Mussi, 2019": {"numero": "407-20166130025", "ano": 2019},
-    "HC 98.765 MATO GROSSO DO SUL": {"uf": "MT"},
-    "TST e STM, MS 20.411": {"tribunal": None, "numero": "20.411"},
-    "RR nº 1000-22.2017.5.04.0009, julgado em 08/11/2019": {"tribunal": "TST", "ano": 2019},
-    "HC 11.111 e HC 22.222, STF": {"numero": "11.111"},
+    # court named, class, number, state in brackets
+    "No julgamento dos embargos, o STJ manteve o REsp 318.204 (PR)": {"tribunal": "STJ", "classe_processual": "REsp", "classe_processual_normalizada": "RECURSO ESPECIAL", "numero": "318.204", "uf": "PR"},
+    # court by the segment of a long number, a state's name
+    "apelação 7100456-88.2019.7.00.0000, da Bahia": {"tribunal": "STM", "uf": "BA", "numero": "7100456-88.2019.7.00.0000"},
+    # misread digits
+    "MS I2.3O4, vindo de SE": {"numero": "12.304", "uf": "SE"},
+    # a chain of classes, a rapporteur up to a stop, the only year
+    "agravo interno na petição 5.120, sob a relatoria de Nunes Marques; 2022": {"classe_processual": "agravo interno na petição", "classe_processual_normalizada": "AGRAVO INTERNO NA PETICAO", "ano": 2022, "relator": "Nunes Marques"},
+    # a date alone gives no year; an abbreviation with two readings has no normal form
+    "decisão plenária de 14/05/2016 no RE 640.905": {"ano": None, "classe_processual_normalizada": None, "classe_normalizada_candidatos": ["RECURSO EXTRAORDINARIO", "RECURSO ELEITORAL"]},
+    # without a known class no short number counts
+    "inquérito 4.781 do STF": {"tribunal": "STF", "numero": None},
+    # two courts are none
+    "TST e STJ divergem no conflito de competência 150.333": {"tribunal": None, "numero": "150.333"},
+    # the court's own prefix is no part of the class; a year after the ruling's word
+    "TST-AIRR 10222-31.2016.5.03.0044, acórdão de 2018": {"tribunal": "TST", "classe_processual": "AIRR", "ano": 2018},
+    # of two numbers the one nearer to the class
+    "MI 708 e MI 712, STF": {"numero": "708"},
+    # the shorter name at the same place comes first in the catalogue
+    "Rcl 33.905 MATO GROSSO DO SUL": {"uf": "MT"},
+    # a year of publication does not count beside one of judgment
+    "publicado no DJe de 2017, o HC 140.200 foi julgado em 2015": {"ano": 2015},
+    # nor does a month's year
+    "em outubro de 2013, MS 31.700, Rel. Min. Luiz Fux, 2012": {"ano": 2012, "relator": "Luiz Fux"},
+    "sem qualquer número": {"tribunal": None, "numero": None, "classe_processual": None, "relator": None},
     "": {"tribunal": None, "numero": None, "classe_processual": None, "relator": None},
 }
 DISPOSITIVOS = {
-    "Lei nº 8.078, de 11 de setembro de 1990, art. 39": {"diploma": "CDC", "artigo": ["39"]},
-    "art. 509 da Lei nº 13.105/2015": {"diploma": "CPC", "artigo": ["509"]},
-    "Código Civil": {"diploma": "CC", "artigo": []},
-    "arts. 7º, IV; 9º e 21, XII, da Lei 9.784/99": {"artigo": ["7", "9", "21"], "inciso": ["IV", "XII"]},
-    "186, 187, 402 e 927 do Código Civil": {"diploma": "CC", "artigo": ["186", "187", "402", "927"]},
-    "1.015, parágrafo 2º, do CPC": {"artigo": ["1.015"], "paragrafo": ["2"]},
-    "artigos 300, §§ 2º e 3º, 497 e 536, do CPC": {"artigo": ["300", "497", "536"], "paragrafo": ["2", "3"]},
-    'art. 37, XXI, alínea "b", parágrafo único, da Constituição Federal': {"diploma": "CF/88", "inciso": ["XXI"], "paragrafo": ["UNICO"], "alinea": ["B"]},
-    "art. 12 do CPC e art. 3º do Código Civil": {"diploma": None, "artigo": ["12", "3"]},
+    # statute by name, by number and year, and without articles
+    "o consumidor invoca o Código de Defesa do Consumidor, art. 6º": {"diploma": "CDC", "artigo": ["6"]},
+    "a Lei nº 13.105/2015 trata disso no art. 85": {"diploma": "CPC", "artigo": ["85"]},
+    "Código Penal apenas": {"artigo": []},
+    # items stand between articles
+    "ver arts. 3, III, 8 e 19, VI, todos da Lei 9.784/99": {"artigo": ["3", "8", "19"], "inciso": ["III", "VI"]},
+    # bare numbers before a statute
+    "são aplicáveis 389, 395 e 404 do Código Civil": {"diploma": "CC", "artigo": ["389", "395", "404"]},
+    # a point is part of a number
+    "pelo CPC, art. 1.022, parágrafo 1º": {"artigo": ["1.022"], "paragrafo": ["1"]},
+    # numbers after a plural sign are paragraphs up to what is too large for one
+    "do CPC os artigos 77, §§ 1º e 4º, 81 e 98": {"artigo": ["77", "81", "98"], "paragrafo": ["1", "4"]},
+    'art. 5º, parágrafo único, inciso LIV, alínea "a", da Constituição Federal': {"diploma": "CF/88", "inciso": ["LIV"], "paragrafo": ["UNICO"], "alinea": ["A"]},
+    # two statutes are none
+    "art. 9º do CPC combinado com art. 421 do Código Civil": {"diploma": None, "artigo": ["9", "421"]},
 }
 SUMULAS = {
-    "Súmulas 331 e 363 do TST": {"tribunal": "TST", "numero": [331, 363], "vinculante": False},
-    "Súmula Vinculante 25": {"tribunal": "STF", "numero": [25], "vinculante": True},
-    "5úmu1a 385 do STJ": {"tribunal": "STJ", "numero": [385]},
-    "279/STF": {"tribunal": "STF", "numero": [279]},
-    "Súmula de 2014": {"tribunal": None, "numero": []},
+    "o TST editou as súmulas 85 e 437": {"tribunal": "TST", "numero": [85, 437], "vinculante": False},
+    "Súmula Vinculante 10 foi afastada": {"tribunal": "STF", "numero": [10], "vinculante": True},
+    "a 5úmu1a 7 do STJ impede o exame": {"tribunal": "STJ", "numero": [7]},
+    "211/STJ": {"tribunal": "STJ", "numero": [211]},
+    "súmula aprovada em 2009": {"tribunal": None, "numero": []},
 }
 
 

@@ -42,6 +42,6 @@ def test_plan_is_native(spark, name):
 
 
 def test_lookup_without_anchor_meets_several_candidates(spark):
-    found = catalog.QUERIES["lookup_no_anchor_all"](spark, SF).toPandas()
-    assert len(found) == duckdb.sql(f"SELECT count(*) FROM '{SF}/part.parquet'").fetchall()[0][0]
+    found = catalog.QUERIES["lookup_no_anchor"](spark, SF).toPandas()
+    assert len(found) == duckdb.sql(f"SELECT count(*) FROM '{SF}/documents.parquet'").fetchall()[0][0]
     assert found["n_candidates"].min() >= 1 and found["n_candidates"].max() > 1
