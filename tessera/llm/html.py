@@ -1,33 +1,35 @@
 """Main text of web pages by line-block distribution.
 
-Markup is stripped into lines, one for each block. A line's weight is the length
-of its text; lines of boilerplate elements (menus, headers, footers, sidebars,
-notices, adverts, forms, scripts, reader comments) and lines made of links weigh
+Markup is stripped into lines, one for each block; no names of classes or ids are read.
+A line's weight is the length of its text; lines of the elements that HTML itself has for menus, headers,
+footers, sidebars and forms (but for a form around an article), of articles inside an article (which are comments on it), and lines made of links weigh
 nothing. Where the page marks articles, a line of one weighs ``MARK`` more and a
 line outside a ``WINDOW``-th. Sums of weights over a sliding window of ``WINDOW``
-lines surge where main text begins and dive to nothing where it ends; the weighted
-lines between are kept, and all those of an article in which a sum surges. No sum
-reaches over the edge of an article.
+lines surge where a block of text begins and dive to nothing where it ends; no sum reaches over the edge of an
+article, and an article in which a sum surges is one block, edge to edge. Blocks of
+less than a ``SHARE``-th of the heaviest one are boilerplate: adverts, notices, comments. The weighted lines of the others are the main text.
 
 Defined results: null or empty html, or a page without text: empty text, 0 chars;
 a page whose sums never surge keeps the weighted lines of its articles, or all if
 it has none; unclosed elements end with the page, but an unclosed boilerplate
-element hides only its own line.
+element hides only its own line; equal blocks are all kept; very long pages are read whole, in linear time; an empty table gives no rows;
+columns of ``keep`` that are named like a new one are replaced by it, other columns never matter.
 """
 
 from __future__ import annotations
 
 import html as entities
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
-from itertools import takewhile
+from itertools import groupby
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.llm.scratch import kept_schema, table
 
-WINDOW, SURGE = 3, 80
+WINDOW, SURGE, SHARE = 3, 80, 4
 #: ``WINDOW`` lines of an article are a surge, however short.
 MARK = SURGE // WINDOW + 1
 TOKEN = re.compile(
@@ -37,107 +39,20 @@ TOKEN = re.compile(
     re.DOTALL | re.IGNORECASE,
 )
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q ruby rt rp s samp small span strike strong sub sup time tt u var wbr img".split())
-VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-BOILERPLATE = frozenset("nav footer aside form head button menu dialog fieldset".split())
-#: Of those, what often is a layout around the whole page.
-SPARED = frozenset("form fieldset".split())
-NAMED = re.compile(
-    r"(?:ads?|adverts?|advertisements?|advertising|adsense|banners?|sponsor(?:ed)?|promo(?:tion)?s?|cookies?|consent|gdpr|notices?|alerts?|popups?|modal|overlay|comments?|respond|replies|disqus|sidebars?|"
-    r"menus?|nav(?:bar|igation)?|breadcrumbs?|footer|header|masthead|topbar|toolbar|share|sharing|social|related|recommend(?:ed|ations)?|newsletter|subscribe|signup|login|search|widgets?|pagination|pager|copyright|legal|disclaimer|skip)",
-    re.IGNORECASE,
-)
-#: What may stand beside such a word in a name of boilerplate.
-BESIDE = re.compile(r"[0-9]*|site|page|main|global|primary|secondary|top|bottom|left|right|post|article|entry|user|reader|the|and|list|items?|links?|icons?|buttons?|title|form|text|box|bar|block|area|section|slot|unit|inner|outer|container|wrap(?:per)?", re.IGNORECASE)
-PART = re.compile(r"[-_]+")
-READERS = re.compile(r"(?:^|[\s_-])(?:comments?|respond|replies|disqus)(?=$|[\s_-])", re.IGNORECASE)
-ATTRIBUTE = re.compile(r"\b(?:class|id|role|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
-ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert".split())
-HIDDEN = re.compile(r"\bhidden\b(?!\s*=\s*[\"']?false)|display\s*:\s*none", re.IGNORECASE)
-#: Elements that end an open paragraph.
-ENDS_P = frozenset("address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split())
-
-
-def is_named(value: str) -> bool:
-    """Whether one of the names is that of boilerplate as a whole: ``site-footer``, but not ``has-sidebar``."""
-    for name in value.split():
-        parts = PART.split(name)
-        if any(NAMED.fullmatch(x) for x in parts) and all(NAMED.fullmatch(x) or BESIDE.fullmatch(x) for x in parts):
-            return True
-    return False
-
-
-def is_boilerplate(tag: str, attributes: str, in_article: bool) -> bool:
-    if tag in BOILERPLATE or (tag == "header" and not in_article):
-        return True
-    if not attributes or tag in ("body", "html", "article", "main"):
-        return tag == "article" and "comment" in attributes.lower()
-    if HIDDEN.search(attributes):
-        return True
-    for m in ATTRIBUTE.finditer(attributes):
-        value = m[1] or m[2] or m[3] or ""
-        if is_named(value) or value.lower() in ROLES:
-            return True
-    return False
-
-
-class Extents:
-    """Of each element of a page, by where its start tag begins, how much of the page's main text it may hold."""
+BOILERPLATE = frozenset("nav footer aside form head button menu dialog".split())
 
-    def __init__(self, page: str, marks: str):
-        self.held: dict[int, tuple[int, int, int]] = {}  # texts of marks, of all, number of marks
-        text = marked = count = at = 0
-        hides: list[str] = []
-        within: list[str] = []
-        opened: dict[str, list[tuple[int, int, int, int]]] = {}
-        for m in TOKEN.finditer(page):
-            n = 0 if hides else len(page[at : m.start()].strip())
-            text, marked, at = text + n, marked + (n if within else 0), m.end()
-            if m[3] is None:
-                continue
-            tag = m[3].lower()
-            if tag in VOID:
-                continue
-            hiding = tag == "a" or (tag in BOILERPLATE and tag not in SPARED) or (tag == "article" and (not m[2] and "comment" in m[4].lower() or m[2] and "article" in hides))
-            if not m[2]:
-                opened.setdefault(tag, []).append((m.start(), marked, text, count))
-                if hiding:
-                    hides.append(tag)
-                elif tag == marks and not hides:
-                    within.append(tag)
-                    count += 1
-            elif opened.get(tag):
-                start, *before = opened[tag].pop()
-                self.held[start] = marked - before[0], text - before[1], count - before[2]
-                if hiding and tag in hides:
-                    del hides[len(hides) - 1 - hides[::-1].index(tag) :]
-                elif tag == marks and within:
-                    within.pop()
-        n = len(page[at:].strip())
-        self.all = marked + (n if within else 0), text + (0 if hides else n), count
+Line = tuple[str, int, int]
 
-    def most(self, start: int) -> bool:
-        """Whether the element holds half of the text in marks or more, or, without marks on the page, of all text."""
-        held = self.held.get(start, (0, 0, 0))
-        k = 0 if self.all[0] else 1
-        return held[k] > 0 and 2 * held[k] >= self.all[k]
 
-
-def is_spared(tag: str, attributes: str, marked: bool) -> bool:
-    """Whether a boilerplate element may be a mere layout around the main text: not one by its tag, nor what readers wrote."""
-    return (tag in SPARED or tag not in BOILERPLATE | {"header", "article"}) and (marked or not any(READERS.search(m[1] or m[2] or m[3] or "") for m in ATTRIBUTE.finditer(attributes)))
-
-
-def lines(page: str) -> list[tuple[str, int, int]]:
+def lines(page: str) -> list[Line]:
     """The blocks of a page in order: text, weight, and the number of the article, 0 outside."""
     low = page.lower()
-    out: list[tuple[str, int, int]] = []  # text, weight, article number
+    out: list[Line] = []
     parts: list[str] = []
     linked = link = 0
-    skip_tag, skip_depth = "", 0
-    articles = article = depth = 0
-    marks = "main" if "<article" not in low else "article"
-
-    extents = None
+    hides, hidden = "", 0  # a boilerplate element that is open, and how often its tag is
+    marks, articles, depth = "article" if "<article" in low else "main", 0, 0
+    mark_starts = [m.start() for m in re.finditer(f"<{marks}\\b", low)]
     closed: dict[str, int] = {}
 
     def ends_after(tag: str, at: int) -> bool:
@@ -146,75 +61,51 @@ def lines(page: str) -> list[tuple[str, int, int]]:
             closed[tag] = low.rfind(f"</{tag}")
         return closed[tag] >= at
 
-    def skips(tag: str, attributes: str, start: int) -> bool:
-        nonlocal extents
-        if not is_boilerplate(tag, attributes, article > 0):
-            return False
-        if tag in BOILERPLATE - SPARED or tag in ("header", "article", "p"):
-            return True
-        extents = extents or Extents(page, marks)
-        return not (is_spared(tag, attributes, extents.all[0] > 0) and extents.most(start))
+    def holds_mark(at: int) -> bool:
+        """Whether an article begins before the next form ends: such a form is a layout around the page."""
+        begin = bisect_left(mark_starts, at)
+        return begin < len(mark_starts) and mark_starts[begin] < low.find("</form", at)
 
     def end() -> None:
         nonlocal linked
         text = " ".join(entities.unescape("".join(parts)).split())
         parts.clear()
-        weight = 0 if skip_tag or 2 * linked > len(text) else len(text)
+        weight = 0 if hides or 2 * linked > len(text) else len(text)
         linked = 0
-        if text or (skip_tag and out and out[-1][1]):
-            out.append((text, weight, article))
+        if text or (hides and out and out[-1][1]):
+            out.append((text, weight, articles if depth else 0))
 
     at = 0
     for m in TOKEN.finditer(page):
-        if m.start() > at:
-            if not skip_tag:
-                parts.append(page[at : m.start()])
-                if link:
-                    linked += m.start() - at
+        if m.start() > at and not hides:
+            parts.append(page[at : m.start()])
+            if link:
+                linked += m.start() - at
         at = m.end()
-        tag = m[3]
-        if tag is None:
+        if m[3] is None:
             continue
-        tag, closing, attributes = tag.lower(), bool(m[2]), m[4]
-        if skip_tag:
-            if skip_tag == "p" and (tag in ENDS_P):
-                end()
-                skip_tag = ""
-                if closing and tag == "p":
-                    continue
-            elif tag == skip_tag:
-                skip_depth += -1 if closing else 0 if attributes.endswith("/") else 1
-                if skip_depth == 0:
+        tag, closing = m[3].lower(), bool(m[2])
+        if hides:
+            if tag == hides:
+                hidden += -1 if closing else 0 if m[4].endswith("/") else 1
+                if not hidden:
                     end()
-                    skip_tag = ""
-                continue
-            else:
-                continue
-        if tag == "a":
-            link = 0 if closing else 1
-        if tag in INLINE and tag in ("a", "span", "label") and not closing and skips(tag, attributes, m.start()) and ends_after(tag, at):
-            end()
-            skip_tag, skip_depth = tag, 1
+                    hides = ""
             continue
         if tag in INLINE:
+            if tag == "a":
+                link = 0 if closing else 1
             continue
         end()
         link = 0
         if closing:
-            if tag == marks and depth:
-                depth -= 1
-                if not depth:
-                    article = 0
-            continue
-        if tag not in VOID and skips(tag, attributes, m.start()) and (tag == "p" or ends_after(tag, at)):
-            skip_tag, skip_depth = tag, 1
-            continue
-        if tag == marks:
+            depth -= tag == marks and depth > 0
+        elif (tag in BOILERPLATE or (tag == "header" and not depth) or (tag == marks and depth)) and ends_after(tag, at) and not (tag == "form" and holds_mark(at)):
+            hides, hidden = tag, 1
+        elif tag == marks:
             depth += 1
-            if depth == 1:
-                articles += 1
-                article = articles
-    if at < len(page) and not skip_tag:
+            articles += depth == 1
+    if at < len(page) and not hides:
         parts.append(page[at:])
     end()
     if any(w and a for _, w, a in out):
@@ -222,34 +113,41 @@ def lines(page: str) -> list[tuple[str, int, int]]:
     return out
 
 
-def blocks(found: list[tuple[str, int, int]]) -> list[bool]:
-    """Of lines (text, weight, article), which stand between a surge and the dive after it.
+def blocks(found: list[Line]) -> list[tuple[int, int]]:
+    """Of lines (text, weight, article), the ranges between a surge and the dive after it.
 
-    At a surge a sum over ``WINDOW`` lines from a line with weight exceeds ``SURGE``; at a dive it is nothing.
+    At a surge a sum over ``WINDOW`` lines from a line with weight exceeds ``SURGE``; at a dive it is nothing. An article
+    in which a sum surges is one range.
     """
-    keep, inside = [False] * len(found), False
-    for i, (_, weight, a) in enumerate(found):
-        if i and found[i - 1][2] != a:
-            inside = False
-        total = sum(w for _, w, _ in takewhile(lambda x: x[2] == a, found[i : i + WINDOW]))
-        if not inside and weight and total > SURGE:
-            inside = True
-        elif inside and not total:
-            inside = False
-        keep[i] = inside and weight > 0
-    return keep
+    out: list[tuple[int, int]] = []
+    for article, own in groupby(range(len(found)), key=lambda i: found[i][2]):
+        at = list(own)
+        weights = [found[i][1] for i in at]
+        begin, ranges = -1, []
+        for k, weight in enumerate(weights):
+            total = sum(weights[k : k + WINDOW])
+            if begin < 0 and weight and total > SURGE:
+                begin = k
+            elif begin >= 0 and not total:
+                ranges.append((at[begin], at[k]))
+                begin = -1
+        if begin >= 0:
+            ranges.append((at[begin], at[-1] + 1))
+        out += [(at[0], at[-1] + 1)] if article and ranges else ranges
+    return out
 
 
 def main_text(page: str | None) -> str:
     if not page:
         return ""
     found = lines(page)
-    keep = blocks(found)
-    whole = {a for (_, _, a), k in zip(found, keep) if a and k} or (set() if any(keep) else {a for _, w, a in found if a and w})
-    keep = [k or (w > 0 and a in whole) for (_, w, a), k in zip(found, keep)]
-    if not any(keep):
-        keep = [w > 0 for _, w, _ in found]
-    return " ".join(t for (t, _, _), k in zip(found, keep) if k)
+    total = {r: sum(w for _, w, _ in found[slice(*r)]) for r in blocks(found)}
+    heaviest = max(total.values(), default=0)
+    kept = {i for r, n in total.items() if SHARE * n >= heaviest for i in range(*r)}
+    if not kept:
+        marked = {i for i, (_, w, a) in enumerate(found) if a and w}
+        kept = marked or set(range(len(found)))
+    return " ".join(t for i, (t, w, _) in enumerate(found) if w and i in kept)
 
 
 NEW = {"text": "string", "n_chars": "long"}

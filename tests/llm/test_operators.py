@@ -8,6 +8,7 @@ import random
 import re
 import zlib
 from collections import Counter
+from html.parser import HTMLParser
 
 import pyarrow as pa
 import pytest
@@ -405,7 +406,7 @@ PAGES = {
     "": "",
     None: "",
     "<script>var a='<p>no</p>'</script>": "",
-    "<div class='cookie-notice'>We use cookies</div><div><p>" + "Long text. " * 20 + "</p><p>End.</p></div><div id='comments'><p>I liked it</p></div>": ("Long text. " * 20).strip() + " End.",
+    "<div>We use cookies</div><article><p>" + "Long text. " * 20 + "</p><p>End.</p></article><div><p>I liked it</p></div>": ("Long text. " * 20).strip() + " End.",
     "<main><p>Short.</p></main><aside>Side</aside><form>Name</form><!-- <p>no</p> -->": "Short.",
     "just text": "just text",
     "<p>unclosed <nav>menu words": "unclosed menu words",
@@ -429,24 +430,109 @@ def test_window_sums_decide_beside_article_marks():
     assert html.main_text("<article><p>Note.</p></article><p>Short rest</p>") == "Note."
 
 
-def brute_blocks(weights):
-    """Kept lines by the definition: a line with weight, and since the last surge at or before it no dive up to it."""
+def brute_ranges(weights):
+    """Blocks by the definition: a line belongs to one if there is a surge at or before it and no dive since."""
     total = [sum(weights[i : i + html.WINDOW]) for i in range(len(weights))]
     surge = [w > 0 and t > html.SURGE for w, t in zip(weights, total)]
-    return [w > 0 and any(surge[s] and all(total[s + 1 : i + 1]) for s in range(i + 1)) for i, w in enumerate(weights)]
+    inside = [any(surge[s] and all(total[s + 1 : i + 1]) for s in range(i + 1)) for i in range(len(weights))]
+    starts = [i for i, x in enumerate(inside) if x and (not i or not inside[i - 1])]
+    return [(s, next((i for i in range(s, len(weights)) if not inside[i]), len(weights))) for s in starts]
+
+
+def brute_kept(weights):
+    ranges = brute_ranges(weights)
+    sums = [sum(weights[a:b]) for a, b in ranges]
+    kept = {i for (a, b), n in zip(ranges, sums) if html.SHARE * n >= max(sums) for i in range(a, b)}
+    return [w > 0 and (i in kept or not ranges) for i, w in enumerate(weights)]
 
 
 def test_block_distribution_equals_brute_force():
     r = random.Random(11)
     for _ in range(300):
-        sizes = [r.choice([0, 0, 0, 2, 10, 30, 60, 120]) for _ in range(r.randrange(1, 25))]
-        assert html.blocks([("x", n, 0) for n in sizes]) == brute_blocks(sizes)
-        page = "".join(f"<p>{('w%d' % i + 'x' * 200)[:n]}</p>" if n else "<p><a href='/'>link</a></p>" for i, n in enumerate(sizes))
-        keep = brute_blocks(sizes)
-        want = [("w%d" % i + "x" * 200)[:n] for i, n in enumerate(sizes) if n and (keep[i] or not any(keep))]
+        sizes = [r.choice([0, 0, 0, 2, 10, 30, 60, 120, 900]) for _ in range(r.randrange(1, 25))]
+        assert html.blocks([("x", n, 0) for n in sizes]) == brute_ranges(sizes)
+        page = "".join(f"<p>{('w%d' % i + 'x' * 999)[:n]}</p>" if n else "<p><a href='/'>link</a></p>" for i, n in enumerate(sizes))
+        want = [("w%d" % i + "x" * 999)[:n] for i, n in enumerate(sizes) if brute_kept(sizes)[i]]
         assert html.main_text(page) == " ".join(want)
 
 
+class Brute(HTMLParser):
+    """Lines of a well-formed page by the definition, with a stack of open elements: text, length, article, whether it weighs."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.open, self.out, self.text, self.linked, self.articles = [], [], "", 0, 0
+
+    def flush(self):
+        text = " ".join(self.text.split())
+        if text:
+            article = next((n for tag, n in self.open if tag == "article"), 0)
+            bad = any(tag in html.BOILERPLATE or (tag == "header" and not article) for tag, _ in self.open) or sum(tag == "article" for tag, _ in self.open) > 1
+            if not bad:
+                self.out.append((text, 0 if 2 * self.linked > len(text) else len(text), article))
+            elif self.out and self.out[-1][1]:  # a whole element of boilerplate is one line without text
+                self.out.append(("", 0, article))
+        self.text, self.linked = "", 0
+
+    def handle_starttag(self, tag, attrs):
+        if tag not in html.INLINE:
+            self.flush()
+        if tag == "article" and not any(t == "article" for t, _ in self.open):
+            self.articles += 1
+        if tag not in ("br", "img", "hr"):
+            self.open.append((tag, self.articles))
+
+    def handle_endtag(self, tag):
+        if tag not in html.INLINE:
+            self.flush()
+        self.open.pop()
+
+    def handle_data(self, data):
+        if not any(t in ("script", "style") for t, _ in self.open):
+            self.text += data
+            self.linked += len(data) * any(t == "a" for t, _ in self.open)
+
+    def main(self):
+        self.flush()
+        rows, marked = self.out, any(w and a for _, w, a in self.out)
+        weights = [w and ((w + html.MARK if a else max(1, w // html.WINDOW)) if marked else w) for _, w, a in rows]
+        groups, ranges = {}, []
+        for i, (_, _, a) in enumerate(rows):  # a line outside starts a new group after each article
+            groups.setdefault((a, a or sum(1 for k in range(i) if rows[k][2] and (k + 1 == len(rows) or rows[k + 1][2] != rows[k][2]))), []).append(i)
+        for (a, _), own in groups.items():
+            found = brute_ranges([weights[i] for i in own])
+            ranges += [own] if a and found else [own[s:e] for s, e in found]
+        sums = [sum(weights[i] for i in x) for x in ranges]
+        kept = {i for x, n in zip(ranges, sums) if html.SHARE * n >= max(sums) for i in x}
+        if not kept:
+            kept = {i for i, w in enumerate(weights) if w and rows[i][2]} or set(range(len(rows)))
+        return " ".join(rows[i][0] for i in sorted(kept) if weights[i])
+
+
+def random_page(r):
+    words = lambda n: " ".join(r.choice(["alpha", "b&amp;c", "d&eacute;", "<b>bold</b>", "e\n f", "x&#65;", "&lt;p&gt;"]) for _ in range(n))
+    para = lambda: f"<p>{words(r.choice([1, 3, 8, 30, 90]))}</p>"
+    links = lambda: "<ul>" + "".join(f"<li><a href='/{i}'>{words(2)}</a></li>" for i in range(r.randrange(1, 6))) + "</ul>"
+    inner = lambda: "".join(r.choice([para, para, para, links, lambda: f"<aside>{para()}</aside>", lambda: f"<header><h1>{words(4)}</h1></header>", lambda: f"<h2>{words(3)}</h2>", lambda: "<script>var a = 1;</script>", lambda: f"<article><p>{words(12)}</p></article>"])() for _ in range(r.randrange(1, 9)))
+    outer = [lambda: f"<nav>{links()}</nav>", lambda: f"<header><p>{words(5)}</p></header>", lambda: f"<footer><p>{words(9)}</p></footer>", lambda: f"<div>{words(7)}</div>", lambda: f"<form><p>{words(6)}</p></form>", links, para, lambda: "<!-- <p>no</p> -->"]
+    body = [r.choice(outer)() for _ in range(r.randrange(0, 8))] + [f"<article>{inner()}</article>" for _ in range(r.randrange(0, 3))]
+    r.shuffle(body)
+    return f"<html><head><style>p {{ margin: 0 }}</style></head><body>{''.join(body)}</body></html>"
+
+
+def test_whole_pages_equal_brute_force():
+    r, changed = random.Random(5), 0
+    for _ in range(400):
+        page = random_page(r)
+        brute = Brute()
+        brute.feed(page)
+        brute.close()
+        got = html.main_text(page)
+        assert got == brute.main(), page
+        changed += got != " ".join(t for t, w, _ in html.lines(page) if w)
+    assert changed > 100  # the sums decide on many of them
+
+
 def test_many_unclosed_elements_take_linear_time():
     import time
 
@@ -455,15 +541,14 @@ def test_many_unclosed_elements_take_linear_time():
     assert time.time() - began < 20
 
 
-def test_layout_around_the_main_text_is_no_boilerplate():
+def test_names_of_classes_decide_nothing():
     text = " ".join(["text"] * 60)
-    body = f"<p>{text}</p><div class='sidebar'><p>Side words</p></div><div class='site-footer'>Foot</div>"
-    for name in ("content-sidebar-wrap", "page has-sidebar", "layout no-sidebar", "sidebar-right", "overflow-hidden", "header"):
-        for inner in (f"<article>{body}</article>", f"<main>{body}</main>", body):
-            assert html.main_text(f"<div class='{name}'>{inner}</div><p>Out</p>") == text + " Out" * (inner == body), (name, inner)
-    assert html.main_text(f"<form id='aspnet'><article>{body}</article></form>") == text
-    cards = f"<article><p>{text}</p></article><div class='related'><article><p>Card {text[:200]}</p></article></div><div id='comments'><p>{text} {text}</p></div>"
-    assert html.main_text(cards) == text
+    for name in ("content-sidebar-wrap", "page has-sidebar", "sidebar", "comments", "header", "ad"):
+        for inner in (f"<article><p>{text}</p></article>", f"<main><p>{text}</p></main>", f"<p>{text}</p>"):
+            assert html.main_text(f"<div class='{name}'>{inner}</div>") == text, (name, inner)
+    assert html.main_text(f"<form id='aspnet'><article><p>{text}</p></article></form>") == text
+    readers = f"<article><p>{text} {text}</p><article><p>{text[:200]}</p></article></article><div><p>Buy it now, {text[:100]}</p></div>"
+    assert html.main_text(readers) == f"{text} {text}"
 
 
 def digest(ids, decoded):
