@@ -16,7 +16,9 @@ most as many candidates as there are shapes. If no rule fits, the verdict is blo
 if one of the host's labels is listed in ``BLOCKED_LABELS``, else allow.
 
 Defined results: null url, or one without ``://``: empty host and path, no rule,
-allow; an empty list passes nothing; repeated rows are judged alike.
+allow; an empty list passes nothing; repeated rows are judged alike; of rules of one length the one first in candidate order
+fits, since two of them never fit one url at one length; urls are read whole, however long; an empty table gives no rows; columns named
+host, path, rule or verdict are replaced by the new ones, other columns pass through, whatever their names.
 """
 
 from __future__ import annotations
@@ -161,7 +163,7 @@ def marked(rows: DataFrame, lists: dict[str, list[Level]], shard: int, shards: i
 
 
 def judge(pages: DataFrame, block: list[str], allow: list[str], labels: list[str] | DataFrame) -> DataFrame:
-    """All columns of ``pages`` with host, path, rule and verdict.
+    """All columns of ``pages`` with host, path, rule and verdict, which replace columns of these names.
 
     ``labels``: the host labels that block where no rule fits, as a list or as a table of any size with a column ``label``.
     """
@@ -169,7 +171,8 @@ def judge(pages: DataFrame, block: list[str], allow: list[str], labels: list[str
     listed = labels if isinstance(labels, DataFrame) else spark.createDataFrame([(x,) for x in labels], "label string")
     listed = written(listed.where("label IS NOT NULL").select(F.concat("label", F.lit(":")).alias("key")).distinct(), "labels")
     rules = lambda x: spark.createDataFrame([(k,) for k in x], "key string")
-    names = [F.col(c).alias(f"_{c}") for c in pages.columns]
+    others = [c for c in pages.columns if c not in ("host", "path", "rule", "verdict")]
+    names = [F.col(f"`{c}`").alias(f"_{k}") for k, c in enumerate(others)]
     rows = keyed(pages.select(F.struct(*names).alias("_row"), "url"), block + allow)
     hashed = lambda c: F.transform(c, lambda k: F.xxhash64(k)).alias(f"{c}_h")
     rows = rows.select("_row", "host", "path", "candidates", hashed("candidates"), hashed("labels"))
@@ -183,7 +186,7 @@ def judge(pages: DataFrame, block: list[str], allow: list[str], labels: list[str
     zipped = F.arrays_zip("candidates", "candidates_blocked", "candidates_allowed")
     fit = F.try_element_at(F.filter(zipped, lambda x: x["candidates_blocked"] | x["candidates_allowed"]), F.lit(1))
     out = rows.withColumn("_fit", fit).select(
-        *(F.col(f"_row._{c}").alias(c) for c in pages.columns),
+        *(F.col(f"_row._{k}").alias(c) for k, c in enumerate(others)),
         "host",
         "path",
         F.col("_fit.candidates").alias("rule"),

@@ -4,7 +4,7 @@ A rolling hash over the last ``SPAN`` bytes picks, among the starts of white-spa
 runs, those where a chunk ends, so equal passages are cut alike wherever they
 stand. A chunk is encoded by the library as one text, once for as long as it stays
 in the byte-bounded cache of the Python worker; wherever it stands again its ids are
-reused. At each join of two chunks the last word before and the first after are
+reused. At each join of two chunks the characters beside it (or, beyond plain letters, the last word before and the first after) are
 encoded together and compared with their ids apart; on disagreement the two chunks
 become one, which is encoded anew, and its own joins are compared again, until all
 agree.
@@ -32,7 +32,7 @@ from tessera.llm.pieces import Cache, tokenizer
 from tessera.llm.scratch import kept_schema, table
 
 U = np.uint64
-SPAN, MASK = 8, 63
+SPAN, MASK, BESIDE = 8, 63, 3
 #: Bytes of each generation of the caches of chunks and of joins, and of what goes to the library in one call.
 CHUNK_BYTES, JOIN_BYTES, CALL_BYTES = 12 << 20, 6 << 20, 1 << 18
 SPACE = ~kernels.NOT_SPACE
@@ -127,7 +127,15 @@ def groups(own: list[int], texts: list[str]) -> Iterator[list[int]]:
 
 
 def join(a: bytes, b: bytes) -> bytes:
-    """The last word of one chunk and the first of the next, with a byte between that UTF-8 never has."""
+    """What tells whether two chunks may be encoded apart, with a byte between that UTF-8 never has.
+
+    Normalizers and pre-tokenizers of ``PLAIN`` text decide by the characters beside a place, so there the last and first
+    ``BESIDE`` are enough, of which few combinations exist. Else, and where a special token may end or begin, it is the last and the first word.
+    """
+    space = len(b) - len(b.lstrip())
+    tail, head = a[-2 * BESIDE :].decode(errors="ignore")[-BESIDE:], b[: space + 2 * BESIDE].decode(errors="ignore")[: space + BESIDE]
+    if space and PLAIN.fullmatch(tail + head) and ">" not in tail:
+        return tail.encode() + b"\xff" + head.encode()
     last, first = a.split()[-1:] if len(a) < 64 else a[-64:].split()[-1:], b.split(None, 1)[:1]
     if last and len(last[0]) >= 63:
         last = a.rsplit(None, 1)[-1:]

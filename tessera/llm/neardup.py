@@ -21,7 +21,9 @@ s is missed with probability 1 - (1 - (1 - s**ROWS)**SLOTS)**2, 2e-5 at 0.85 and
 
 Defined results: null or empty text, or no words: 0 shingles, its own component,
 kept; repeated rows with one doc_id are one document, each row returned; a null
-doc_id takes the component of an equal set, or null, and is then kept.
+doc_id takes the component of an equal set, or null, and is then kept; very long texts are
+shingled whole; ties go to the smallest doc_id; an empty table gives no rows; other columns,
+whatever their names, are not read.
 """
 
 from __future__ import annotations

@@ -9,7 +9,8 @@ calibrated probability is at least ``KEEP``.
 
 Defined results: null or empty text: no words, all counts 0, base_failed; no
 labelled rows, or labels of one kind: probability 1 for every text; repeated
-label rows count as they come; clashing columns of ``labels`` are not read.
+label rows count as they come; clashing columns of ``labels`` are not read; texts of one content are
+judged alike, a probability of exactly ``KEEP`` keeps; very long texts are counted whole; an empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -181,9 +181,11 @@ def test_quality_model_tells_held_out_rows(spark):
 
 
 def test_url_rules(spark):
-    urls = ["http://a.example.net/en/x", "http://example.net/EN/", "https://B.Example.COM/de/1?q", "http://x.org/fr/", "http://x.org/fr", "http://net", "http://net/", None, "no scheme", "", "http://", "ftp://evil.casino-win.io/a", "http://example.net", "a://b://c/d"]
-    pages = spark.createDataFrame([(i, u, "clash") for i, u in enumerate(urls + urls)], "page_id long, url string, verdict string")
-    got = cascade.judge(pages.select("page_id", "url"), cascade.BLOCK_RULES, cascade.ALLOW_RULES, cascade.BLOCKED_LABELS).collect()
+    urls = ["http://a.example.net/en/x", "http://example.net/EN/", "https://B.Example.COM/de/1?q", "http://x.org/fr/", "http://x.org/fr", "http://net", "http://net/", None, "no scheme", "", "http://", "ftp://evil.casino-win.io/a", "http://example.net", "a://b://c/d", "http://x.org/fr/" + "y" * 300_000, "http://" + "a." * 9_000 + "net/"]
+    pages = spark.createDataFrame([(i, u, "clash", 1, "p", "r", "c") for i, u in enumerate(urls + urls)], "page_id long, url string, verdict string, host int, path string, rule string, `candidates.x` string")
+    judged = cascade.judge(pages, cascade.BLOCK_RULES, cascade.ALLOW_RULES, cascade.BLOCKED_LABELS)
+    assert judged.columns == ["page_id", "url", "candidates.x", "host", "path", "rule", "verdict"]
+    got = cascade.judge(pages, cascade.BLOCK_RULES, cascade.ALLOW_RULES, cascade.BLOCKED_LABELS).collect()
     for r in got:
         rest = (r["url"] or "").partition("://")[2] if "://" in (r["url"] or "") else ""
         host = lower(re.match(r"[^/?#]*", rest)[0])
