@@ -16,8 +16,8 @@ most as many candidates as there are shapes. If no rule fits, the verdict is blo
 if one of the host's labels is listed in ``BLOCKED_LABELS``, else allow.
 
 Defined results: null url, or one without ``://``: empty host and path, no rule,
-allow; an empty list passes nothing; repeated rows are judged alike; of rules of one length the one first in candidate order
-fits, since two of them never fit one url at one length; urls are read whole, however long; an empty table gives no rows; columns named
+allow; an empty list passes nothing; repeated rows are judged alike; of fitting rules of one length the one
+first in code-point order is named; urls are read whole, however long; an empty table gives no rows; columns named
 host, path, rule or verdict are replaced by the new ones, other columns pass through, whatever their names.
 """
 
@@ -133,10 +133,14 @@ def keyed(pages: DataFrame, rules: list[str]) -> DataFrame:
         F.when((F.size(F.split("host", r"\.")) >= labels) & (F.length("path") >= chars), F.concat(F.substring_index("host", ".", -labels), F.substring("path", 1, chars)))
         for labels, chars in shapes(rules)
     ]
-    out = out.withColumn("candidates", F.array_sort(F.array_compact(F.array(*candidates)), lambda a, b: F.length(b) - F.length(a)) if candidates else F.array().cast("array<string>"))
+    out = out.withColumn("candidates", F.array_sort(F.array_compact(F.array(*candidates)), longer_first) if candidates else F.array().cast("array<string>"))
     return out.withColumn("labels", F.transform(F.split("host", r"\."), lambda x: F.concat(x, F.lit(":"))))
 
 
+def longer_first(a: Column, b: Column) -> Column:
+    return F.when(F.length(a) != F.length(b), F.length(b) - F.length(a)).when(a < b, -1).when(a > b, 1).otherwise(0)
+
+
 def marked(rows: DataFrame, lists: dict[str, list[Level]], shard: int, shards: int) -> DataFrame:
     """``rows`` with candidates_blocked, candidates_allowed and labels_blocked set for the keys of one shard."""
     shared = rows.sparkSession.sparkContext.broadcast(lists)
