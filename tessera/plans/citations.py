@@ -17,7 +17,7 @@ from tessera.operators.inference import entities, scored, windows
 from tessera.operators.pipeline import document_counts, document_json, run_summary, submission, typed, verified
 from tessera.operators.registry import build_index
 from tessera.plans.resolve import load
-from tessera.sources.settle import dealt, settled
+from tessera.sources.settle import dealt
 
 
 def dotted(number: Column) -> Column:
@@ -306,7 +306,7 @@ def windowed_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of documents as tokens of their length, ten places apart, scored window by window."""
     words = load(spark, sf_dir, "documents").select("doc_id", F.transform(F.split("text", " "), F.length).alias("input_ids"))
     tokens = words.select("doc_id", "input_ids", F.transform("input_ids", lambda _, i: F.array(i * 10, i * 10 + 8)).alias("offset_mapping"))
-    found, repairs = entities(settled(scored(windows(tokens), table_scorer, LABELS), "scores"))
+    found, repairs = entities(scored(windows(tokens), table_scorer, LABELS))
     out = found.select("doc_id", F.col("inicio").cast("long").alias("inicio"), F.col("fim").cast("long").alias("fim"), "tipo", F.round("confianca", 6).alias("confianca"))
     return out.unionByName(repairs.select("doc_id", F.lit(-1).cast("long").alias("inicio"), F.col("reparos").alias("fim"), F.lit("reparos").alias("tipo"), F.lit(0.0).alias("confianca")))
 
