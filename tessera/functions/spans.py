@@ -8,8 +8,10 @@ in the text itself (U+0000) reads as U+0001.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
+from pyspark import SparkContext
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -19,6 +21,22 @@ MARK = "\x00"
 SPAN = "array<struct<start:int,end:int,text:string>>"
 
 
+def once(build: Callable[..., Column]) -> Callable[..., Column]:
+    """The expression of columns given by their names, built once for each JVM: building one takes seconds of round trips."""
+    held: dict[tuple, Column] = {}
+
+    @functools.wraps(build)
+    def expression(*columns: Column | str) -> Column:
+        if not all(isinstance(c, str) for c in columns):
+            return build(*(F.col(c) if isinstance(c, str) else c for c in columns))
+        key = (*columns, id(SparkContext._gateway))
+        if key not in held:
+            held[key] = build(*map(F.col, columns))
+        return held[key]
+
+    return expression
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of a value that is computed once, however often ``body`` names it."""
     return F.element_at(F.transform(F.array(value), lambda x: body(x)), 1)

@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tessera.functions import catalog as C
-from tessera.functions.spans import let
+from tessera.functions.spans import let, once
 from tessera.functions.text import digits, fold, ocr_digits_wide
 from tessera.operators.extract import lookup, resolve_class
 
@@ -36,6 +36,7 @@ def class_surface(text: Column) -> Column:
     return F.nullif(F.trim(F.regexp_extract(text, CLASS_PREFIX, 0)), F.lit(""))
 
 
+@once
 def enrich_acordao(text: Column, a: Column) -> Column:
     """struct(data, warnings): a ruling with a longer number, class, state, court and theme where they were missing."""
     present = lambda c: F.coalesce(c.cast("string"), F.lit("")) != ""
@@ -80,6 +81,7 @@ def enrich_acordao(text: Column, a: Column) -> Column:
     return let(let(typed_number(text), with_number), lambda n: let(with_class(n), lambda k: data(n, k)))
 
 
+@once
 def enrich_sumula(text: Column, s: Column) -> Column:
     number = F.nullif(F.regexp_extract(text, SUMULA_NUMBER, 1), F.lit("")).try_cast("int")
     court = F.nullif(F.upper(F.regexp_extract(text, SUMULA_COURT, 1)), F.lit(""))
@@ -87,6 +89,7 @@ def enrich_sumula(text: Column, s: Column) -> Column:
     return F.struct(F.struct(F.coalesce(s["tribunal"], court).alias("tribunal"), numbers.alias("numero"), s["vinculante"].alias("vinculante")).alias("data"), F.array().cast("array<string>").alias("warnings"))
 
 
+@once
 def enrich_dispositivo(text: Column, d: Column) -> Column:
     """A statute outside the catalogue by number and year."""
     number = F.nullif(F.regexp_extract(text, OTHER_LAW, 2), F.lit(""))

@@ -6,33 +6,13 @@ first; positions refer to the folded text and surfaces are cut from the original
 
 from __future__ import annotations
 
-import functools
-from collections.abc import Callable
-
-from pyspark import SparkContext
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tessera.functions import catalog as C
-from tessera.functions.spans import find_spans, first_span, hits_any, let, only, shifted, stable_unique
+from tessera.functions.spans import find_spans, first_span, hits_any, let, once, only, shifted, stable_unique
 from tessera.functions.text import clean_article, compact_number, compact_space, digits, distance, four_digit_year, normalize_for_matching, normalize_value, ocr_digits, original_slice, output_form, overlaps, roman_values
 
-def once(build: Callable[..., Column]) -> Callable[..., Column]:
-    """The expression of a column given by name, built once for each JVM: building one takes seconds of round trips."""
-    held: dict[tuple[str, int], Column] = {}
-
-    @functools.wraps(build)
-    def expression(trecho: Column | str, *more) -> Column:
-        if not isinstance(trecho, str) or more:
-            return build(F.col(trecho) if isinstance(trecho, str) else trecho, *more)
-        key = trecho, id(SparkContext._gateway)
-        if key not in held:
-            held[key] = build(F.col(trecho))
-        return held[key]
-
-    return expression
-
-
 NUMBER = "struct<value:string,start:int,end:int,score:int>"
 
 

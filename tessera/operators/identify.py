@@ -6,13 +6,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions import catalog as C
-from tessera.functions.spans import find_spans
+from tessera.functions.spans import find_spans, once
 from tessera.functions.text import overlaps
 
 ENTITY = "struct<tipo:string,inicio:int,fim:int,confianca:double>"
 RULE_CONFIDENCE = 0.995
 
 
+@once
 def rule_spans(text: Column, entities: Column) -> Column:
     """Entities with the rule spans: each match takes the place of what it overlaps and inherits the highest confidence there.
 
@@ -74,6 +75,6 @@ def identify(documents: DataFrame, entities: DataFrame | None = None, least: int
         rows, held = texts, F.array().cast(f"array<{ENTITY}>")
     cut = lambda e: F.substr("text", e["inicio"] + 1, e["fim"] - e["inicio"])
     row = lambda e: F.struct(*(e[c].alias(c) for c in ("inicio", "fim", "tipo", "confianca")), cut(e).alias("trecho"))
-    kept = F.filter(F.transform(rule_spans(F.col("text"), held), row), lambda e: F.length(F.regexp_replace(e["trecho"], r"(?U)^\s+|\s+$", "")) >= least)
-    out = rows.select("documento_id", F.array_sort(kept).alias("_s")).select("documento_id", F.posexplode("_s").alias("_n", "e"))
+    kept = F.filter(F.transform(rule_spans("text", "_held"), row), lambda e: F.length(F.regexp_replace(e["trecho"], r"(?U)^\s+|\s+$", "")) >= least)
+    out = rows.select("documento_id", "text", held.alias("_held")).select("documento_id", F.array_sort(kept).alias("_s")).select("documento_id", F.posexplode("_s").alias("_n", "e"))
     return out.select("documento_id", F.concat(F.lit("c"), (F.col("_n") + 1).cast("string")).alias("id"), "e.inicio", "e.fim", relabelled(F.col("e.tipo"), F.col("e.trecho")).alias("tipo"), "e.confianca", "e.trecho")

@@ -35,7 +35,7 @@ def extracted(mentions: DataFrame, keep: list[str], enriched: bool) -> DataFrame
         if natureza == "acordao" and "person" in mentions.columns:
             own = own.withColumn("_x", F.col("_x").withField("relator", F.coalesce("_x.relator", compact_space("person"))))
         plain = F.struct(F.col("_x").alias("data"), F.array().cast("array<string>").alias("warnings"))
-        own = own.withColumn("_e", enrich(F.col("trecho"), F.col("_x")) if enriched else plain)
+        own = own.withColumn("_e", enrich("trecho", "_x") if enriched else plain)
         parts.append(own.select(*keep, F.lit(kind).alias("tipo_citacao"), F.lit(natureza).alias("natureza"), F.col("_e.data").alias(natureza), F.col("_e.warnings").alias("warnings")))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions import catalog as C
-from tessera.functions.spans import find_spans, first_span, let
+from tessera.functions.spans import find_spans, first_span, let, once
 from tessera.functions.text import class_key, digits, fold
 from tessera.sources.settle import dealt, settled
 
@@ -17,6 +17,7 @@ SCHEMA_VERSION, BUILDER_VERSION = "1", "1.0.0"
 RECORD = "struct<number_digits:string,number_type:string,is_primary:boolean>"
 
 
+@once
 def header_slice(text: Column, tribunal: Column) -> Column:
     """struct(start, end, strategy) of the region that identifies a ruling."""
     n = F.length(text)
@@ -43,6 +44,7 @@ def header_slice(text: Column, tribunal: Column) -> Column:
     return let(found, chosen)
 
 
+@once
 def number_records(header: Column, tribunal: Column) -> Column:
     """Distinct numbers of a header in order: struct(number_digits, number_type, is_primary).
 
@@ -134,7 +136,7 @@ def headers(registry: DataFrame) -> DataFrame:
     """
     ruling = F.col("natureza") == "acordao"
     whole = F.struct(F.lit(0).alias("start"), F.least(F.length("texto"), F.lit(500)).alias("end"), F.lit("documento").alias("strategy"))
-    rows = registry.withColumn("_cut", F.when(ruling, header_slice(F.col("texto"), F.coalesce("tribunal", F.lit("")))).otherwise(whole))
+    rows = registry.withColumn("_court", F.coalesce("tribunal", F.lit(""))).withColumn("_cut", F.when(ruling, header_slice("texto", "_court")).otherwise(whole))
     first_line = F.when(F.col("natureza") == "dispositivo", F.regexp_extract("texto", r"^\s*([^\n]*)", 1))
     cut = F.substr("texto", F.col("_cut.start") + 1, F.col("_cut.end") - F.col("_cut.start"))
     return rows.select(F.col("id").alias("id_canonico"), "documento_id", "natureza", "tribunal", "ano", "relator", "_cut", cut.alias("header_raw"), first_line.alias("first_line"))
@@ -145,7 +147,7 @@ def fields_of(rows: DataFrame) -> DataFrame:
     from tessera.operators.extract import extract_acordao, extract_dispositivo, extract_sumula
 
     own = lambda natureza, trecho: rows.where(F.col("natureza") == natureza).select("id_canonico", "natureza", "tribunal", "header_raw", F.col(trecho).alias("trecho"))
-    rulings = own("acordao", "header_raw").withColumn("r", number_records(F.col("header_raw"), F.coalesce("tribunal", F.lit("")))).withColumn("a", extract_acordao("trecho"))
+    rulings = own("acordao", "header_raw").withColumn("court", F.coalesce("tribunal", F.lit(""))).withColumn("r", number_records("header_raw", "court")).withColumn("a", extract_acordao("trecho")).drop("court")
     statements = own("sumula", "header_raw").withColumn("s", extract_sumula("trecho"))
     folded = fold("trecho")
     number = F.nullif(F.regexp_extract(folded, r"\bARTIGO\s+([0-9.]+(?:-[A-Z])?)", 1), F.lit(""))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tessera.functions import spans, text
 from tessera.operators.evaluate import first_rows
 from tessera.operators.extract import select_number
+from tessera.operators.pipeline import source_of
 from tessera.operators.registry import dictionary_classes, header_slice
 from tessera.plans.resolve import load
 from tessera.sources.readers import bio_tokens, metadata_index
@@ -89,7 +90,7 @@ def document_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def hash_of_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents")
-    return docs.select("doc_id", F.sha2("text", 256).alias("sha256"))
+    return docs.select("doc_id", source_of(F.col("text"))["sha256"].alias("sha256"))
 
 
 def scalar_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
