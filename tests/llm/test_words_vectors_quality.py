@@ -216,3 +216,39 @@ def test_queries_over_given_tables(spark, name):
         assert all(not r["kept"] for r in rows.where("base_failed").collect())
     if name == "op8_main_text":
         assert all(r["n_chars"] == len(r["text"]) for r in rows.collect())
+
+
+def test_empty_tables_and_very_long_texts_of_earlier_operators(spark):
+    from tessera.llm import html, language, neardup, quality
+
+    pages = spark.createDataFrame([(1, "u", "<p>x</p>")], "page_id long, url string, html string")
+    assert html.extract(pages.where("false"), ["page_id"]).count() == 0
+    long = " ".join(f"w{i % 5003}x{i % 7}" for i in range(200_000))
+    docs = spark.createDataFrame([(3, long, "en", "clash"), (1, long + " tail", "en", "clash"), (2, "short text of its own here", "de", "clash"), (4, None, None, "clash")], "doc_id long, text string, lang string, kept string")
+    got = {r["doc_id"]: (r["component_id"], r["kept"]) for r in neardup.near_duplicates(docs).collect()}
+    assert got == {1: (1, True), 3: (1, False), 2: (2, True), 4: (4, True)}
+    assert neardup.near_duplicates(docs.where("false")).count() == 0
+    samples = (("de", b" short text of its own here"), ("en", long.encode()[:20_000]))
+    judged = {r["doc_id"]: r["lang_pred"] for r in language.identify(docs, samples, ["doc_id", "kept"]).collect()}
+    assert judged == {1: "en", 3: "en", 2: "de", 4: "und"}
+    model = quality.train(docs, spark.createDataFrame([], "doc_id long, quality int"))
+    assert quality.judge(docs.where("false"), model, ["doc_id"]).count() == 0
+    assert {r["doc_id"]: r["n_words"] for r in quality.judge(docs, model, ["doc_id", "kept"]).collect()}[3] == 200_000
+
+
+def test_links_of_planted_pairs_are_found(spark):
+    """Recall of near-duplicate links: pairs just above the threshold, each of its own component."""
+    from tessera.llm import neardup
+
+    rng, rows, want = random.Random(13), [], 0
+    for k in range(400):
+        words = [f"k{k}w{rng.randrange(10**6)}" for _ in range(120)]
+        other = list(words)
+        other[rng.randrange(10, 110)] = "changed"  # 3 of about 118 shingles
+        other[rng.randrange(10, 110)] = "again"
+        sets = [{tuple(x[i : i + 3]) for i in range(len(x) - 2)} for x in (words, other)]
+        if 100 * len(sets[0] & sets[1]) >= 85 * len(sets[0] | sets[1]):
+            want += 1
+            rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(other))]
+    found = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).where("component_id < doc_id").count()
+    assert want > 350 and found == want
