@@ -42,6 +42,9 @@ NEW = {"ids": "array<int>", "decoded": "string"}
 NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
 PLAIN = re.compile("[\t-\r -;=-~\u00a1-\u00ac\u00ae-\u012f\u0131-\u024f]*")
 
+#: Bytes of plain ASCII text that begins and ends no special token, and the byte between the sides of a join.
+EASY = bytes(x for x in range(128) if PLAIN.fullmatch(chr(x)) and chr(x) != ">") + b"\xff"
+
 
 def cuts(piece: kernels.Slice) -> np.ndarray:
     """Positions at which chunks begin inside texts: starts of white space where a hash of the SPAN bytes before says so."""
@@ -132,6 +135,9 @@ def join(a: bytes, b: bytes) -> bytes:
     Normalizers and pre-tokenizers of ``PLAIN`` text decide by the characters beside a place, so there the last and first
     ``BESIDE`` are enough, of which few combinations exist. Else, and where a special token may end or begin, it is the last and the first word.
     """
+    beside = a[-BESIDE:] + b"\xff" + b[: BESIDE + 1]
+    if not beside.translate(None, EASY) and b[:1].isspace() and not b[1:2].isspace():
+        return beside
     space = len(b) - len(b.lstrip())
     tail, head = a[-2 * BESIDE :].decode(errors="ignore")[-BESIDE:], b[: space + 2 * BESIDE].decode(errors="ignore")[: space + BESIDE]
     if space and PLAIN.fullmatch(tail + head) and ">" not in tail:
