@@ -356,8 +356,8 @@ def document_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = out.withColumn("r", record)
     each = lambda c, f: F.array_join(F.transform(f"r.{c}", f), ",")
     return out.select(
-        "documento_id", F.col("n_citacoes").cast("long").alias("n_citacoes"), F.col("n_erros").cast("long").alias("n_erros"), get("$.nivel").alias("nivel"), get("$.fonte.sha256").alias("sha256"), get("$.fonte.texto_len", "long").alias("texto_len"),
-        get("$.diagnostico.entidades_descartadas", "long").alias("n_gone"), get("$.diagnostico.citacoes_com_erro", "long").alias("n_error"), get("$.diagnostico.reparos_bio", "long").alias("reparos"),
+        "documento_id", F.col("n_citacoes").cast("long").alias("n_citacoes"), F.col("n_erros").cast("long").alias("n_erros"), get("$.nivel").alias("nivel"), get("$.fonte.sha256").alias("sha256"), get("$.fonte.texto_len").alias("texto_len"),
+        get("$.diagnostico.entidades_descartadas").alias("n_gone"), get("$.diagnostico.citacoes_com_erro").alias("n_error"), get("$.diagnostico.reparos_bio", "long").alias("reparos"),
         each("citacoes", lambda c: c["citacao_id"]).alias("ids"), each("citacoes", lambda c: c["recuperacao"]["status"]).alias("status"), each("citacoes", lambda c: F.coalesce(c["resolucao"]["id_canonico"].cast("string"), F.lit("-"))).alias("resolvidas"),
         each("erros", lambda e: F.concat_ws(":", e["codigo"], e["citacao_id"])).alias("erros"), each("citacoes", lambda c: F.size(c["erros"]).cast("string")).alias("erros_de_cada"),
     )
@@ -457,8 +457,8 @@ c AS (SELECT k, count(*) AS m, count(*) FILTER (failed) AS err, string_agg('c' |
       FROM l WHERE n <> 7 GROUP BY k),
 g AS (SELECT k, count(*) AS gone FROM l WHERE n = 7 GROUP BY k)
 SELECT 'd_N' || o_orderkey % 3 || '_' || o_orderkey AS documento_id, coalesce(m, 0) AS n_citacoes, CASE WHEN o_orderkey % 97 = 5 THEN 1 ELSE coalesce(err, 0) END AS n_erros, CASE WHEN o_orderkey % 3 > 0 THEN CAST(o_orderkey % 3 AS VARCHAR) END AS nivel,
-       CASE WHEN o_orderkey % 97 <> 5 THEN sha256(o_orderpriority) END AS sha256, CASE WHEN o_orderkey % 97 <> 5 THEN CAST(length(o_orderpriority) AS BIGINT) END AS texto_len,
-       CASE WHEN o_orderkey % 97 <> 5 THEN coalesce(gone, 0) END AS n_gone, CASE WHEN o_orderkey % 97 <> 5 THEN coalesce(err, 0) END AS n_error,
+       CASE WHEN o_orderkey % 97 <> 5 THEN sha256(o_orderpriority) END AS sha256, CASE WHEN o_orderkey % 97 <> 5 THEN CAST(length(o_orderpriority) AS VARCHAR) END AS texto_len,
+       CASE WHEN o_orderkey % 97 <> 5 THEN CAST(coalesce(gone, 0) AS VARCHAR) END AS n_gone, CASE WHEN o_orderkey % 97 <> 5 THEN CAST(coalesce(err, 0) AS VARCHAR) END AS n_error,
        CASE WHEN o_orderkey % 97 <> 5 AND o_orderkey % 3 = 0 THEN o_orderkey % 5 ELSE 0 END AS reparos,
        coalesce(ids, '') AS ids, coalesce(status, '') AS status, coalesce(resolvidas, '') AS resolvidas, CASE WHEN o_orderkey % 97 = 5 THEN 'DOCUMENT_READ_ERROR' ELSE coalesce(erros, '') END AS erros, coalesce(each_erros, '') AS erros_de_cada
 FROM orders LEFT JOIN c ON c.k = o_orderkey LEFT JOIN g ON g.k = o_orderkey""",

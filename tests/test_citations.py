@@ -78,7 +78,7 @@ def test_document_records_and_summary(spark, citations, tmp_path):
     found = {r["documento_id"]: json.loads(r["json"]) for r in pipeline.document_json(citations[0], docs, citations[1]).collect()}
     assert found["a_n1_1"]["nivel"] == 1 and "nivel" not in found["b"]
     assert found["a_n1_1"]["diagnostico"] == {"total_citacoes": 4, "reparos_bio": 0, "entidades_descartadas": 1, "citacoes_com_erro": 1}
-    assert [c["id"] for c in found["a_n1_1"]["citacoes"]] == ["c1", "c2", "c3", "c4"] and found["vazio"]["citacoes"] == []
+    assert [c["citacao_id"] for c in found["a_n1_1"]["citacoes"]] == ["c1", "c2", "c3", "c4"] and found["vazio"]["citacoes"] == []
     writers.write_documents(pipeline.document_json(citations[0], docs, citations[1]), str(tmp_path / "json"))
     assert sorted(r[0] for r in spark.read.json(str(tmp_path / "json")).select("documento_id").collect()) == ["a_n1_1", "b", "vazio"]
     summary = pipeline.run_summary(citations[0], docs, citations[1])
