@@ -7,6 +7,7 @@ import re
 from collections import defaultdict
 
 import duckdb
+import pandas as pd
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -21,13 +22,13 @@ SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 def rows(frame):
     frame = frame[sorted(frame.columns)]
-    return sorted((tuple(None if x is None or x != x else x.item() if hasattr(x, "item") else x for x in r) for r in frame.itertuples(index=False, name=None)), key=repr)
+    return sorted((tuple(None if pd.isna(x) else float(x) if isinstance(x, (int, np.integer, float)) and not isinstance(x, bool) else x.item() if hasattr(x, "item") else x for x in r) for r in frame.itertuples(index=False, name=None)), key=repr)
 
 
 @pytest.mark.parametrize("name", sorted(registry.ORACLES))
 def test_equals_sql(spark, name):
     db = duckdb.connect()
-    for t in ("documents", "pages", "benchmark", "labels"):
+    for t in ("documents", "pages", "benchmark", "labels", "embeddings"):
         db.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     assert rows(registry.QUERIES[name](spark, SF).toPandas()) == rows(db.sql(registry.ORACLES[name]).df())
 
