@@ -34,7 +34,7 @@ from tessera.llm.scratch import kept_schema, table
 U = np.uint64
 SPAN, MASK, BESIDE = 8, 63, 3
 #: Bytes of each generation of the caches of chunks and of joins, and of what goes to the library in one call.
-CHUNK_BYTES, JOIN_BYTES, CALL_BYTES = 12 << 20, 6 << 20, 1 << 18
+CHUNK_BYTES, JOIN_BYTES, CALL_BYTES = 12 << 20, 2 << 20, 1 << 18
 SPACE = ~kernels.NOT_SPACE
 NEW = {"ids": "array<int>", "decoded": "string"}
 #: The normalizer that texts of ``PLAIN`` characters pass as if only lower-cased: they have no marks to compose,
@@ -65,8 +65,12 @@ class Codec:
         self.normalizer = self.library.normalizer
         with open(path, encoding="utf-8") as file:
             self.lowers = json.load(file).get("normalizer") == NORMALIZER
-        self.chunks, self.joins, self.words = Cache(CHUNK_BYTES), Cache(JOIN_BYTES), Cache(JOIN_BYTES)
         self.bytes_given = self.bytes_encoded = 0
+        self.forget()
+
+    def forget(self) -> None:
+        """Empty caches, so that a worker that goes on to other work holds none of this."""
+        self.chunks, self.joins, self.words = Cache(CHUNK_BYTES), Cache(JOIN_BYTES), Cache(JOIN_BYTES)
 
     def encoded(self, chunks: list[bytes]) -> list[bytes]:
         """What the library makes of each chunk; plain ones reach it in lower case, past its normalizer."""
@@ -165,19 +169,22 @@ def encode(docs: DataFrame, tokenizer_path: str, keep: list[str]) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(tokenizer_path)
-        for batch in batches:
-            for piece in kernels.slices(batch.column("text")):
-                at = cuts(piece)
-                raw, off = piece.buf.tobytes(), piece.off.tolist()
-                among = np.searchsorted(at, piece.off)
-                texts = []
-                for i in range(piece.rows):
-                    edge = [off[i], *(x for x in at[among[i] : among[i + 1]].tolist() if off[i] < x < off[i + 1]), off[i + 1]]
-                    texts.append([raw[x:y] for x, y in zip(edge[:-1], edge[1:]) if x < y])
-                found = own.encode(texts)
-                ends = np.cumsum([0, *(len(x) // 4 for x in found)]).astype(np.int32)
-                ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(found), np.int32)))
-                yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(piece.first, piece.rows) for c in keep), ids, own.decode(ids)], [*keep, *NEW])
+        try:
+            for batch in batches:
+                for piece in kernels.slices(batch.column("text")):
+                    at = cuts(piece)
+                    raw, off = piece.buf.tobytes(), piece.off.tolist()
+                    among = np.searchsorted(at, piece.off)
+                    texts = []
+                    for i in range(piece.rows):
+                        edge = [off[i], *(x for x in at[among[i] : among[i + 1]].tolist() if off[i] < x < off[i + 1]), off[i + 1]]
+                        texts.append([raw[x:y] for x, y in zip(edge[:-1], edge[1:]) if x < y])
+                    found = own.encode(texts)
+                    ends = np.cumsum([0, *(len(x) // 4 for x in found)]).astype(np.int32)
+                    ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(found), np.int32)))
+                    yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(piece.first, piece.rows) for c in keep), ids, own.decode(ids)], [*keep, *NEW])
+        finally:
+            own.forget()
 
     return docs.select(*dict.fromkeys([*keep, "text"])).mapInArrow(run, kept_schema(docs, keep, NEW))
 
