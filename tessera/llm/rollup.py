@@ -34,7 +34,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.pieces import encoder
+from tessera.llm.pieces import encoder, some
 from tessera.llm.scratch import folder, table, written
 
 ENTRY = "doc string, tokenizer string, source string, lang string, n_tokens long, live boolean, seq long"
@@ -126,8 +126,7 @@ def counted(docs: DataFrame, tokenizer: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(tokenizer)
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
+            for part in some(batch):
                 n = np.array([len(x) // 4 for x in own.encode(part.column("text").to_pylist())], dtype=np.int64)
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("doc_id", "source", "lang")), pa.array(n)], ["doc_id", "source", "lang", "n_tokens"])
 

@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tessera.llm.kernels import mix
-from tessera.llm.pieces import encoder
+from tessera.llm.pieces import encoder, some
 from tessera.llm.scratch import folder, table, written
 
 U = np.uint64
@@ -204,7 +204,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, width: int = 2, end_id: in
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(tokenizer)
-        rows = (r for b in batches for at in range(0, b.num_rows, 500) for r in zip(b.column("doc_id").slice(at, 500).to_pylist(), own.encode(b.column("text").slice(at, 500).to_pylist())))
+        rows = (r for b in batches for part in some(b) for r in zip(part.column("doc_id").to_pylist(), own.encode(part.column("text").to_pylist())))
         got = next(rows, None)
         if got is None:
             return

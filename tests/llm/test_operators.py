@@ -613,6 +613,43 @@ def test_long_texts_are_encoded_in_parts(monkeypatch):
     assert encoder.encode(["a", text, None, "b"])[1] == b"".join(i.to_bytes(4, "little") for i in encoder.library.encode(text, add_special_tokens=False).ids)
 
 
+def test_long_texts_with_odd_separators_are_encoded_in_parts(monkeypatch):
+    monkeypatch.setattr(pieces, "TOGETHER_CHARS", 100)
+    text = "".join(x + " " for x in odd_texts(5, 400))
+    encoder = Encoder(BYTE)
+    assert len(list(pieces.parts(text))) > 50 and "".join(pieces.parts(text)) == text
+    assert encoder.encode([text])[0] == b"".join(i.to_bytes(4, "little") for i in encoder.library.encode(text, add_special_tokens=False).ids)
+
+
+def test_batches_are_cut_by_bytes(monkeypatch):
+    monkeypatch.setattr(pieces, "TOGETHER_CHARS", 10)
+    texts = ["abc", None, "é" * 3, "", "x" * 30, "d", "e" * 9, "f", None, "g"]
+    got = [part.column("text").to_pylist() for part in pieces.some(pa.RecordBatch.from_pydict({"text": texts}).slice(1))]
+    assert got == [[None, "éé\u00e9", ""], ["x" * 30], ["d", "e" * 9], ["f", None, "g"]]
+
+
+def test_pieces_go_to_the_library_once_while_their_bytes_fit(monkeypatch):
+    monkeypatch.setattr(pieces, "PIECE_BYTES", 1 << 20)
+    encoder, sent = Encoder(BYTE), []
+    together = encoder.together
+    monkeypatch.setattr(encoder, "together", lambda x: sent.extend(x) or together(x))
+    texts = [" ".join(f"w{k}x{j}" for j in range(100)) for k in range(120)]
+    first = [encoder.encode([x])[0] for x in texts]
+    assert [encoder.encode([x])[0] for x in texts] == first and len(sent) == len(set(sent)) == 12_000
+    assert first == [b"".join(i.to_bytes(4, "little") for i in encoder.library.encode(x, add_special_tokens=False).ids) for x in texts]
+
+
+def test_table_of_pieces_keeps_to_its_bytes():
+    known = pieces.Known(10_000)
+    for k in range(400):
+        keys = [f"{k}-{j}".encode() for j in range(10)] + [b"always", b"x" * 5000 + str(k).encode()]
+        row = known.bring(pa.array(keys, pa.large_binary()), lambda x: [y.encode()[:8].ljust(8) for y in x])
+        end = known.count.cumsum()
+        assert all(known.keys[r].as_py() == x and known.ids[end[r] - known.count[r] : end[r]].tobytes() == x[:8].ljust(8) for r, x in zip(row.tolist(), keys))
+        assert known.cost().sum() < 20_000 and sum(len(x) > 4096 for x in known.keys.to_pylist()) == 1
+    assert b"always" in known.keys.to_pylist() and len(known.keys) > 100
+
+
 def test_cache_keeps_to_its_bytes():
     cache = pieces.Cache(10_000)
     for k in range(400):
