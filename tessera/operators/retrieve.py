@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.text import class_key, contains_word, fold, name_matches
-from tessera.sources.settle import settled
+from tessera.sources.settle import settled, unsent
 
 RELAXED = ["relator", "ano", "classe", "uf"]
 NEVER = 1 << 20
@@ -43,9 +43,9 @@ def resolved(pairs: DataFrame, mention: str, candidate: str, plans: Column, give
     pairs = settled(pairs.select(mention, candidate, "first_pass", *(c.alias(name) for name, c in about.items())), "pairs")
     chosen = pairs.groupBy(mention).agg(F.min("first_pass").alias("_chosen"), *(F.first(c).alias(c) for c in about))
     asked = chosen.where(F.col("_chosen") < NEVER).select(F.col(mention).alias("_m"), "_chosen")
-    met = pairs.where(F.col("first_pass") < NEVER).join(asked, (F.col(mention) == F.col("_m")) & (F.col("first_pass") == F.col("_chosen")))
+    met = pairs.where(F.col("first_pass") < NEVER).join(unsent(asked), (F.col(mention) == F.col("_m")) & (F.col("first_pass") == F.col("_chosen")))
     ids = met.groupBy(mention).agg(F.array_sort(F.collect_list(candidate)).alias("_ids"))
-    rows = chosen.join(ids, mention, "left").withColumn("_ids", F.coalesce("_ids", F.array().cast("array<long>")))
+    rows = chosen.join(unsent(ids), mention, "left").withColumn("_ids", F.coalesce("_ids", F.array().cast("array<long>")))
     last = F.when(F.col("_chosen") < NEVER, F.col("_chosen")).otherwise(F.col("_plans")).cast("int")
     accepted = lambda k: F.when(k == last, F.col("_ids")).otherwise(F.array().cast("array<long>"))
     out = [mention, (last + 1).cast("int").alias("attempts"), F.col("_ids").alias("candidates"), F.transform(F.sequence(F.lit(0), last), lambda k: F.size(accepted(k))).alias("counts")]
@@ -59,7 +59,7 @@ def resolved(pairs: DataFrame, mention: str, candidate: str, plans: Column, give
 
 def payload(found: DataFrame, documents: DataFrame) -> DataFrame:
     """mention_id and ``candidatos``: what the registry says of each candidate (found: mention_id, candidates, confirmed)."""
-    each = found.select("mention_id", "confirmed", F.explode("candidates").alias("id_canonico")).join(documents.select("id_canonico", "documento_id", "natureza", "tribunal", "ano", "header_strategy"), "id_canonico")
+    each = found.select("mention_id", "confirmed", F.explode("candidates").alias("id_canonico")).join(unsent(documents.select("id_canonico", "documento_id", "natureza", "tribunal", "ano", "header_strategy")), "id_canonico")
     row = F.struct("id_canonico", F.col("documento_id").alias("documento_id_base"), "natureza", "tribunal", "ano", F.col("confirmed").alias("campos_confirmados"), F.struct(F.lit("cabecalho").alias("origem"), F.col("header_strategy").alias("estrategia")).alias("evidencia"))
     return each.groupBy("mention_id").agg(F.array_sort(F.collect_list(row)).alias("candidatos"))
 
@@ -74,9 +74,9 @@ def retrieve_acordao(mentions: DataFrame, keys: DataFrame, documents: DataFrame,
     """
     by_id = classes.groupBy("id_canonico").agg(F.collect_set("classe_normalizada").alias("_classes"))
     rows = keys.select("id_canonico", F.col("numero_digitos").alias("numero"), F.col("uf").alias("_uf"), F.col("cnj_ano").alias("_cnj_ano")).distinct()
-    rows = rows.join(documents.select("id_canonico", F.col("tribunal").alias("_tribunal"), F.col("ano").alias("_ano"), F.col("relator_normalizado").alias("_relator"), F.col("header_normalized").alias("_header")), "id_canonico")
-    rows = rows.join(by_id, "id_canonico", "left")
-    pairs = mentions.join(rows, "numero", "left")
+    rows = rows.join(unsent(documents.select("id_canonico", F.col("tribunal").alias("_tribunal"), F.col("ano").alias("_ano"), F.col("relator_normalizado").alias("_relator"), F.col("header_normalized").alias("_header"))), "id_canonico")
+    rows = rows.join(unsent(by_id), "id_canonico", "left")
+    pairs = mentions.join(unsent(rows), "numero", "left")
     present = {f: F.coalesce(F.col(f).cast("string"), F.lit("")) != "" for f in [*RELAXED, "tribunal"]}
     matches = {
         "relator": name_matches(F.col("_relator"), F.col("relator")),
@@ -94,7 +94,7 @@ def retrieve_acordao(mentions: DataFrame, keys: DataFrame, documents: DataFrame,
         F.first((F.length("numero") == 20) | (F.coalesce("_m.tribunal", F.lit("")) != "") | (F.coalesce("_m.classe", F.lit("")) != "") | (F.coalesce("_m.uf", F.lit("")) != "")).alias("sufficient"),
         F.first(F.coalesce("numero", F.lit("")) != "").alias("searched"),
     )
-    return out.join(sufficient, "mention_id").withColumn("sufficient", F.col("searched") & F.coalesce("sufficient", F.lit(False)))
+    return out.join(unsent(sufficient), "mention_id").withColumn("sufficient", F.col("searched") & F.coalesce("sufficient", F.lit(False)))
 
 
 def lookup_each(mentions: DataFrame, values: str, qualifier: str, keys: DataFrame, key: str, key_qualifier: str, kind: str = "consulta") -> DataFrame:
@@ -106,7 +106,7 @@ def lookup_each(mentions: DataFrame, values: str, qualifier: str, keys: DataFram
     """
     asked = mentions.select("mention_id", F.nullif(qualifier, F.lit("")).alias("_q"), F.size(F.coalesce(values, F.array().cast(mentions.schema[values].dataType))).alias("_n"), F.posexplode_outer(values).alias("_at", "_v"))
     held = keys.select(F.col(key).alias("_v"), F.col(key_qualifier).alias("_kq"), "id_canonico")
-    found = asked.join(held, "_v", "left").withColumn("_id", F.when(F.col("_q").isNull() | (F.col("_q") == F.col("_kq")), F.col("id_canonico")))
+    found = asked.join(unsent(held), "_v", "left").withColumn("_id", F.when(F.col("_q").isNull() | (F.col("_q") == F.col("_kq")), F.col("id_canonico")))
     each = found.groupBy("mention_id", "_at").agg(F.first("_q").alias("_q"), F.first("_n").alias("_n"), F.first(F.col("_v").cast("string")).alias("_v"), F.array_sort(F.collect_set("_id")).alias("_ids"))
     plan = F.when(F.col("_q").isNotNull(), f"{kind}_{qualifier}_{key}").otherwise(f"{kind}_{key}")
     attempt = F.struct("_at", plan.alias("plano"), F.col("_v").alias("valor"), F.col("_ids").alias("ids"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tessera.functions.text import class_key, fold
 from tessera.operators.decide import decide, final_confidence
 from tessera.operators.retrieve import RELAXED, first_pass, lookup_each, payload, resolved, retrieve_acordao
-from tessera.sources.settle import settled
+from tessera.sources.settle import settled, unsent
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,7 +18,7 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as rulings: four share a number; court, rapporteur, year, class and state from their columns."""
     orders, customers = load(spark, sf_dir, "orders"), load(spark, sf_dir, "customer")
-    return orders.join(customers, F.col("o_custkey") == F.col("c_custkey")).select(
+    return orders.join(unsent(customers), F.col("o_custkey") == F.col("c_custkey")).select(
         F.col("o_orderkey").alias("id"),
         (F.col("o_orderkey") - F.col("o_orderkey") % 4).cast("string").alias("numero"),
         F.col("o_orderstatus").alias("tribunal"),
@@ -46,14 +46,14 @@ def mentions(registry: DataFrame) -> DataFrame:
 def cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     held = settled(registry(spark, sf_dir), "registry")
     asked = mentions(held)
-    pairs = asked.join(held, "numero")
+    pairs = asked.join(unsent(held), "numero")
     present = {f: F.col(f"m_{f}").isNotNull() for f in RELAXED}
     matches = {f: F.col(f"m_{f}") == F.col(f) for f in RELAXED}
     court = F.col("m_tribunal").isNull() | (F.col("m_tribunal") == F.col("tribunal"))
     pairs = pairs.withColumn("first_pass", first_pass(present, matches, court))
     plans = sum((present[f].cast("int") for f in RELAXED), F.lit(0))
     sufficient = asked.select("mention_id", (F.col("m_tribunal").isNotNull() | F.col("m_classe").isNotNull() | F.col("m_uf").isNotNull()).alias("sufficient"))
-    return resolved(pairs, "mention_id", "id", plans).join(sufficient, "mention_id")
+    return resolved(pairs, "mention_id", "id", plans).join(unsent(sufficient), "mention_id")
 
 
 def resolve_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,7 +70,7 @@ def retrieve_rulings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rulings by number, names, header states and class sets: the last plan, its fields and its candidates with their evidence."""
     orders, customers = load(spark, sf_dir, "orders"), load(spark, sf_dir, "customer")
     k = F.col("o_orderkey")
-    rows = orders.join(customers, F.col("o_custkey") == F.col("c_custkey")).select(
+    rows = orders.join(unsent(customers), F.col("o_custkey") == F.col("c_custkey")).select(
         k.alias("id_canonico"),
         (k - k % 4).cast("string").alias("numero"),
         F.element_at(F.array(*map(F.lit, ["STF", "STJ", "TST"])), (k % 3 + 1).cast("int")).alias("tribunal"),
@@ -97,7 +97,7 @@ def retrieve_rulings(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(i % 4 != 1, F.lower("estado")).alias("uf"),
     )
     found = retrieve_acordao(asked, keys, held, classes)
-    found = found.join(payload(found, held), "mention_id", "left")
+    found = found.join(unsent(payload(found, held)), "mention_id", "left")
     last = F.element_at("log", -1)
     courts = F.array_join(F.transform("candidatos", lambda c: F.concat_ws(":", c["documento_id_base"], c["tribunal"])), ",")
     return found.select("mention_id", "attempts", last["plano"].alias("plano"), F.array_join(last["campos"], ",").alias("campos"), F.size("log").alias("n_log"), F.coalesce(courts, F.lit("")).alias("candidatos"), "sufficient")

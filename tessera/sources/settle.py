@@ -26,6 +26,14 @@ def settled(df: DataFrame, what: str = "rows") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def unsent(df: DataFrame) -> DataFrame:
+    """``df`` as a side of a join that grows with the data: never collected by the driver and broadcast, whatever its files say of its size.
+
+    Sizes are estimated by compressed files and the columns read from them, which is often a tenth of the rows in memory.
+    """
+    return df.hint("merge")
+
+
 def dealt(df: DataFrame) -> DataFrame:
     """``df`` dealt evenly over as many tasks as a shuffle has: for few, short rows that cost about a millisecond each."""
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
