@@ -118,7 +118,7 @@ def dictionary_classes(headers: DataFrame, entries: DataFrame, most: int = 8) ->
     at = lambda n: F.when(F.size("w") >= n, F.transform(F.sequence(F.lit(1), F.size("w") - n + 1), lambda i: F.struct(i.alias("at"), F.array_join(F.slice("w", i, n), " ").alias("surface_key"))))
     runs = F.flatten(F.array_compact(F.array(*(at(n) for n in lengths)))) if lengths else F.array().cast("array<struct<at:int,surface_key:string>>")
     runs = words.select("id_canonico", "_court", F.explode(runs).alias("r")).groupBy("id_canonico", "_court", "r.surface_key").agg(F.min("r.at").alias("at"))
-    hits = runs.join(entries, "surface_key").where(F.col("tribunal").isNull() | (F.col("tribunal") == F.col("_court")))
+    hits = runs.join(F.broadcast(entries), "surface_key").where(F.col("tribunal").isNull() | (F.col("tribunal") == F.col("_court")))
     ranked = hits.groupBy("id_canonico").agg(F.slice(F.array_sort(F.collect_set(F.struct("at", (-F.length("surface_key")).alias("k"), "classe"))), 1, most).alias("hits"))
     return ranked.select("id_canonico", F.array_distinct(F.transform("hits", lambda x: x["classe"])).alias("classes"))
 

@@ -17,7 +17,7 @@ from tessera.operators.inference import entities, scored, windows
 from tessera.operators.pipeline import document_counts, document_json, run_summary, submission, typed, verified
 from tessera.operators.registry import build_index
 from tessera.plans.resolve import load
-from tessera.sources.settle import dealt
+from tessera.sources.settle import dealt, unsent
 
 
 def dotted(number: Column) -> Column:
@@ -162,7 +162,7 @@ def identify_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def build_index_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = build_index(registry(spark, sf_dir), entries(spark))
-    keys = index["acordao_key"].join(index["acordao_class"], "id_canonico").join(index["canonical_document"].select("id_canonico", "header_strategy", "header_end"), "id_canonico")
+    keys = index["acordao_key"].join(unsent(index["acordao_class"]), "id_canonico").join(unsent(index["canonical_document"].select("id_canonico", "header_strategy", "header_end")), "id_canonico")
     claims = keys.select("id_canonico", F.col("numero_digitos").alias("chave"), F.col("classe_normalizada").alias("grupo"), F.concat_ws("/", F.coalesce("uf", F.lit("-")), "header_strategy").alias("detalhe"))
     return claims.unionByName(index["dispositivo_key"].select("id_canonico", F.col("artigo").alias("chave"), F.col("diploma").alias("grupo"), F.lit("-").alias("detalhe")))
 
@@ -187,7 +187,7 @@ def courts_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = parts.select(k.alias("id"), F.concat(F.lit("d"), k.cast("string")).alias("documento_id"), court.alias("tribunal"), F.lit(2020).alias("ano"), F.lit(None).cast("string").alias("relator"), nature.alias("natureza"), F.lit("jurisprudencia").alias("tipo"), text.alias("texto"))
     index = build_index(rows, entries(spark))
     out = lambda df, table, key, more: df.select("id_canonico", F.lit(table).alias("tabela"), key.cast("string").alias("chave"), more.alias("detalhe"))
-    keys = index["acordao_key"].join(index["canonical_document"].select("id_canonico", "header_strategy"), "id_canonico")
+    keys = index["acordao_key"].join(unsent(index["canonical_document"].select("id_canonico", "header_strategy")), "id_canonico")
     detail = F.concat_ws("/", "numero_tipo", F.col("principal").cast("string"), F.coalesce("uf", F.lit("-")), F.col("cnj_ano").cast("string"), F.col("cnj_segmento").cast("string"), "cnj_regiao", "header_strategy")
     found = out(keys, "acordao", F.col("numero_digitos"), detail)
     found = found.unionByName(out(index["sumula_key"], "sumula", F.col("numero"), F.concat_ws("/", "tribunal", F.col("vinculante").cast("string"))))

@@ -12,7 +12,7 @@ from tessera.plans import catalog, resolve
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 
-@pytest.mark.parametrize("name", ["resolve_decide"])
+@pytest.mark.parametrize("name", ["resolve_decide", "build_index"])
 def test_no_side_that_grows_is_broadcast(spark, monkeypatch, name):
     plans = []
 
