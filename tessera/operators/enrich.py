@@ -12,7 +12,8 @@ from tessera.operators.extract import lookup, resolve_class
 
 # --- fixed values: surfaces of numbers and classes in text as written ---------------
 _O = "[0-9OIlLSGg]"
-LONG_NUMBER = rf"(?U)(?<!\w)({_O}(?:[0-9OIlLSGg.\-\s]*{_O}){{13,}})(?!\w)"
+#: The fourteen digits are counted one by one, with no digit between: else the ways to share a longer row out among them are tried one after another.
+LONG_NUMBER = rf"(?U)(?<!\w)({_O}(?:[.\-\s]*{_O}){{13}}(?:[0-9OIlLSGg.\-\s]*{_O})?)(?!\w)"
 GROUPED_NUMBER = rf"(?U)(?<!\w)({_O}{{1,3}}(?:\s*(?:[.]\s*|\s+){_O}{{3}}){{1,2}})(?!\w)"
 MARKED_NUMBER = rf"(?iU)\bN\s*[.º°O]*\s*({_O}(?:[0-9OIlLSGg.\-\s]*{_O})?)"
 CLASS_NUMBER = rf"(?iU)\b(?:RCL|RECL(?:AMA[CÇ][AÃ]O)?|RESP|ARESP|AGRESP|R[.]?ESP[.]?|AR|RE|TEMA)\s*(?:N\s*[.º°O]*\s*)?({_O}[0-9OIlLSGg.\-\s]*{_O})"

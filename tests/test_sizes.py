@@ -1,13 +1,18 @@
-"""What only larger tables show: sides of joins that the driver would collect."""
+"""What only larger tables show: sides of joins that the driver would collect, numbers beyond a million, patterns that try too many ways."""
 
 from __future__ import annotations
 
 import os
+import random
 
+import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from tessera.operators import pipeline, registry, retrieve
+from tessera.operators.enrich import LONG_NUMBER, typed_number
 from tessera.plans import catalog, resolve
+from test_queries import rows
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -26,3 +31,15 @@ def test_no_side_that_grows_is_broadcast(spark, monkeypatch, name):
     sent = [line for line in plans if "BroadcastHashJoin" in line or "BroadcastNestedLoopJoin" in line]
     assert any("SortMergeJoin" in line for line in plans)
     assert [line for line in sent if "surface_key" not in line] == []  # the dictionary of classes does not grow
+
+
+def test_long_numbers_are_read_in_time(spark):
+    """The digits of a long number, as a pattern that shares them out in every way also finds them, and rows of digits that it would try for hours."""
+    as_before = r"(?U)(?<!\w)([0-9OIlLSGg](?:[0-9OIlLSGg.\-\s]*[0-9OIlLSGg]){13,})(?!\w)"
+    draw = random.Random(5)
+    short = ["".join(draw.choice("0123456789OlS.- -x") for _ in range(draw.randint(14, 26))) for _ in range(400)] + ["0000001-56.2020.5.01.0001 fim", "1234567 8901234", "12345678901234x"]
+    found = spark.createDataFrame([(x,) for x in short], "x string").select(F.regexp_extract("x", LONG_NUMBER, 1).alias("new"), F.regexp_extract("x", as_before, 1).alias("old")).collect()
+    assert [r.new for r in found] == [r.old for r in found] and any(r.new for r in found)
+    long = [("12 " * 30 + "3x", "12" * 30), ("1" * 5000, "1" * 5000), ("1" * 60 + "x", None)]
+    out = spark.createDataFrame(long, "x string, digits string").select("digits", typed_number(F.col("x")).alias("n")).collect()
+    assert [r.n for r in out] == [r.digits for r in out]
