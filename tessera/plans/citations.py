@@ -21,16 +21,20 @@ from tessera.sources.settle import dealt, unsent
 
 
 def dotted(number: Column) -> Column:
-    """A number below ten million with points between thousands."""
-    text = F.lpad(number.cast("string"), 6, "0")
-    return F.concat(F.substring(text, 1, 3).cast("int").cast("string"), F.lit("."), F.substring(text, 4, 3))
+    """A number with points between thousands."""
+    return F.translate(F.format_number(number, 0), ",", ".")
+
+
+def pointed(number: Column) -> Column:
+    """A number with a point before its last three digits alone, as the SQL writes it (``_DOTTED``): above a million the first point is missing."""
+    return F.concat(F.floor(number / 1000).cast("string"), F.lit("."), F.lpad((number % 1000).cast("string"), 3, "0"))
 
 
 def extract_acordao_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Special appeals with number, state and year from orders."""
     orders = load(spark, sf_dir, "orders")
     uf = F.element_at(F.array(*map(F.lit, ["SP", "RJ", "MG", "RS"])), (F.col("o_orderkey") % 4 + 1).cast("int"))
-    text = F.concat(F.lit("AgInt no REsp nº "), dotted(F.col("o_orderkey") + 100000), F.lit("/"), uf, F.lit(", Rel. Min. João da Silva, julgado em 12/03/"), F.year("o_orderdate").cast("string"))
+    text = F.concat(F.lit("AgInt no REsp nº "), pointed(F.col("o_orderkey") + 100000), F.lit("/"), uf, F.lit(", Rel. Min. João da Silva, julgado em 12/03/"), F.year("o_orderdate").cast("string"))
     rows = dealt(orders.select("o_orderkey", text.alias("trecho"))).select("o_orderkey", extract_acordao("trecho").alias("a"))
     return rows.select("o_orderkey", "a.tribunal", "a.classe_processual", "a.classe_processual_normalizada", "a.numero", "a.uf", "a.ano", "a.relator")
 
@@ -60,7 +64,7 @@ def acordao_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rulings of orders in six forms: courts named, by class, by long number, or two of them; misread digits; two numbers; a state's name."""
     orders = load(spark, sf_dir, "orders")
     k, year = F.col("o_orderkey"), F.year("o_orderdate").cast("string")
-    n = dotted(k + 100000)
+    n = pointed(k + 100000)
     text = one_of(
         k,
         F.concat(F.lit("acórdão de "), year, F.lit(": o STF concedeu o HC "), n),
@@ -68,7 +72,7 @@ def acordao_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("no MS "), n, F.lit(" divergem o STF e o STJ")),
         F.concat(F.lit("vista da Rcl "), n, F.lit(" MATO GROSSO DO SUL em "), year),
         F.concat(F.lit("STJ: recusado o REsp "), F.translate(n, "0", "O"), F.lit(" [GO]")),
-        F.concat(F.lit("o STF reuniu o HC "), n, F.lit(" ao HC "), dotted(k + 100001)),
+        F.concat(F.lit("o STF reuniu o HC "), n, F.lit(" ao HC "), pointed(k + 100001)),
     )
     rows = dealt(orders.select("o_orderkey", text.alias("trecho"))).select("o_orderkey", extract_acordao("trecho").alias("a"))
     return rows.select("o_orderkey", "a.tribunal", "a.classe_processual_normalizada", "a.numero", "a.uf", F.col("a.ano").cast("string").alias("ano"))
@@ -121,7 +125,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = F.col("c_custkey")
     text = F.concat(
         F.lit("Como decidido na Rcl "),
-        dotted(n + F.when(n % 3 == 0, 500000).otherwise(100000)),
+        pointed(n + F.when(n % 3 == 0, 500000).otherwise(100000)),
         F.when(n % 2 == 0, F.lit(" (SP)")).otherwise(""),
         F.lit(", e nos termos do art. "),
         (n % 40 + 1).cast("string"),
@@ -260,7 +264,7 @@ def envelopes_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("c_custkey")
     cite = lambda trecho, tipo, name: F.struct(trecho.alias("trecho"), F.lit(tipo).alias("tipo"), name.alias("id"))
     every = F.array(
-        cite(F.concat(F.lit("HC "), dotted(k + 100000), F.lit(", STF")), "ACOR", F.concat(F.lit("x"), k.cast("string"))),
+        cite(F.concat(F.lit("HC "), pointed(k + 100000), F.lit(", STF")), "ACOR", F.concat(F.lit("x"), k.cast("string"))),
         cite(F.concat(F.lit("Súmula "), (k % 90 + 1).cast("string"), F.lit(" do STJ")), "SUM", F.lit(None).cast("string")),
         cite(F.concat(F.lit("art. "), (k % 80 + 1).cast("string"), F.lit(" do CPC")), "LEG", F.lit("z")),
     )

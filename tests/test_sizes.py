@@ -33,6 +33,17 @@ def test_no_side_that_grows_is_broadcast(spark, monkeypatch, name):
     assert [line for line in sent if "surface_key" not in line] == []  # the dictionary of classes does not grow
 
 
+@pytest.mark.parametrize("name", ["typed_numbers"])
+def test_numbers_beyond_a_million_equal_sql(spark, tmp_path, name):
+    db = duckdb.connect()
+    for t, key, shift in (("orders", "o_orderkey", 1_400_000), ("customer", "c_custkey", 600_000)):
+        db.execute(f"COPY (SELECT * REPLACE ({key} + {shift} + CASE WHEN {key} % 4 = 0 THEN 7000000 ELSE 0 END AS {key}) FROM '{SF}/{t}.parquet') TO '{tmp_path}/{t}.parquet' (FORMAT parquet)")
+        db.execute(f"CREATE VIEW {t} AS SELECT * FROM '{tmp_path}/{t}.parquet'")
+    got, wanted = catalog.QUERIES[name](spark, str(tmp_path)).toPandas(), db.sql(catalog.ORACLES[name]).df()
+    assert sorted(got.columns) == sorted(wanted.columns)
+    assert rows(got) == rows(wanted)
+
+
 def test_long_numbers_are_read_in_time(spark):
     """The digits of a long number, as a pattern that shares them out in every way also finds them, and rows of digits that it would try for hours."""
     as_before = r"(?U)(?<!\w)([0-9OIlLSGg](?:[0-9OIlLSGg.\-\s]*[0-9OIlLSGg]){13,})(?!\w)"
