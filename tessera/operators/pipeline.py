@@ -163,7 +163,7 @@ def submission(citations: DataFrame, documents: DataFrame) -> DataFrame:
     """documento_id and its cell of citations."""
     spans = F.collect_list(F.struct("inicio", "fim", F.col("classificacao").alias("classe"), F.col("id_canonico").cast("long").alias("id_canonico"), F.col("confianca_final").alias("confianca")))
     cells = citations.groupBy("documento_id").agg(encode_cell(spans).alias("citacoes"))
-    return documents.select("documento_id").join(cells, "documento_id", "left").select("documento_id", F.coalesce("citacoes", F.lit("-")).alias("citacoes"))
+    return documents.select("documento_id").join(unsent(cells), "documento_id", "left").select("documento_id", F.coalesce("citacoes", F.lit("-")).alias("citacoes"))
 
 
 def document_counts(citations: DataFrame, documents: DataFrame, errors: DataFrame) -> DataFrame:

@@ -17,7 +17,7 @@ from test_queries import rows
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 
-@pytest.mark.parametrize("name", ["resolve_decide", "build_index", "verify_citations"])
+@pytest.mark.parametrize("name", ["resolve_decide", "build_index", "verify_citations", "submission_cells"])
 def test_no_side_that_grows_is_broadcast(spark, monkeypatch, name):
     plans = []
 
