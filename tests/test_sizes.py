@@ -9,7 +9,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.operators import pipeline, registry, retrieve
+from tessera.operators import contract, pipeline, registry, retrieve
 from tessera.operators.enrich import LONG_NUMBER, typed_number
 from tessera.plans import catalog, resolve
 from test_queries import rows
@@ -54,3 +54,15 @@ def test_long_numbers_are_read_in_time(spark):
     long = [("12 " * 30 + "3x", "12" * 30), ("1" * 5000, "1" * 5000), ("1" * 60 + "x", None)]
     out = spark.createDataFrame(long, "x string, digits string").select("digits", typed_number(F.col("x")).alias("n")).collect()
     assert [r.n for r in out] == [r.digits for r in out]
+
+
+def test_duplicates_equal_brute_force_and_ask_in_few_places(spark):
+    draw = random.Random(7)
+    spans = [(d, c, a, a + draw.choice([1, 2, 3, 5, 8, 13, 31, 32, 33, 64, 90])) for d in range(6) for c in range(120) for a in [draw.randint(0, 300)]]
+    df = spark.createDataFrame(spans, "doc int, citation int, inicio int, fim int")
+    got = [tuple(r) for r in contract.duplicates(df, "doc").collect()]
+    both = lambda a, b: max(0, min(a[3], b[3]) - max(a[2], b[2]))
+    wanted = {(a[0], a[1], b[1]) for a in spans for b in spans if a[0] == b[0] and a[1] > b[1] and 2 * both(a, b) >= (a[3] - a[2]) + (b[3] - b[2]) - both(a, b)}
+    assert len(got) == len(set(got)) and set(got) == wanted and len(wanted) > 100
+    side = df.select("doc", "citation", F.struct("inicio", "fim").alias("s"), (F.length(F.bin(F.col("fim") - F.col("inicio"))) - 1).alias("k"))
+    assert contract.asking(side).count() < 5 * len(spans)
